@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import exact_dedup, mixing
-from skyledger.sources.shared import read_table
+from skyledger.llm import exact_dedup, mixing, packing, quality, simhash
+from skyledger.sources.shared import read_table, written
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, radius=2)
+    return found.select(F.col("id").alias("doc_id"), simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,9 +27,26 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = written(quality.measured(docs).drop("text"), "quality")
+    q = [F.col(f"_q_.{c}").alias(c) for c in (*quality.COUNTS, *quality.MEASURES)]
+    return quality.judged(found).select(
+        "doc_id", *q, F.col("_q_base_failed").alias("base_failed"), F.col("_q_kept").alias("kept")
+    )
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), keep="ids_crc32")
+    return packed.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
+    "op4_quality": op4_quality,
+    "op8_packing": op8_packing,
 }
 
 ORACLE = {
