@@ -23,9 +23,12 @@ from pyspark.sql.utils import AnalysisException
 from skyledger.sources.shared import shared_dir, small_or_shuffled, written
 
 SPACE = r"[\x20\x09-\x0D]+"
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Else each partition's store takes several MB of disk before it holds anything.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -52,9 +55,9 @@ def keyed_state(log: DataFrame, trigger_bytes: str | None = None) -> DataFrame:
     """
     spark = log.sparkSession
     out, checkpoint = shared_dir(spark, "dedup-state"), shared_dir(spark, "dedup-stream")
-    before = {k: spark.conf.get(k, None) for k in (STATE_STORE, CHANGELOG)}
-    spark.conf.set(STATE_STORE, ROCKSDB)
-    spark.conf.set(CHANGELOG, "true")
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         source = spark.readStream.schema(log.schema)
         if trigger_bytes:
