@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import exact_dedup, mixing, packing, quality, simhash
-from skyledger.sources.shared import read_table, written
+from skyledger.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash, toxicity
+from skyledger.sources.shared import read_table, small_or_shuffled, written
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,17 +36,59 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = toxicity.fold(F.col("doc_id"))
+    model = langid.train(docs.where(fold != 1), F.col("doc_id"))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(fold == 1, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, F.col("_li_lang").alias("lang_pred"), F.col("_li_score").alias("score"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), keep="ids_crc32")
     return packed.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def spans_text(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def of_kind(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The spans are kept in a written table, so that no column of the result scans the texts again.
+    found = written(secrets.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "secrets")
+    kinds = [r.kind for r in secrets.BASE]
+    base = F.filter("_sec_spans", lambda s: s["kind"].isin(kinds))
+    count = [of_kind("_sec_spans", k) for k in kinds]
+    return found.select("doc_id", *count, F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(F.col("_sec_spans")).alias("spans"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = toxicity.fold(F.col("doc_id"))
+    labels = read_table(spark, sf_dir, "labels").where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("label"))
+    labelled = docs.where(fold != 1).join(small_or_shuffled(labels.where(fold != 1)), "doc_id")
+    index = toxicity.train(labelled.select(F.col("doc_id").alias("id"), "text", "label"))
+    found = toxicity.rate(docs, index)
+    return found.select(
+        "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), F.col("_tx_score").alias("score"),
+        F.when(F.col("_tx_score") >= 0.7, 1).otherwise(0).cast("int").alias("predicted"), F.col("_tx_evidence").alias("evidence"),
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
     "op4_quality": op4_quality,
+    "op6_langid": op6_langid,
     "op8_packing": op8_packing,
+    "op9_secrets": op9_secrets,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {
