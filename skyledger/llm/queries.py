@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash, toxicity
+from skyledger.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash, suffix_dedup, toxicity
 from skyledger.sources.shared import read_table, small_or_shuffled, written
 
 
@@ -45,6 +45,15 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, F.col("_li_lang").alias("lang_pred"), F.col("_li_score").alias("score"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), keep="ids_crc32")
     return packed.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -86,6 +95,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_quality": op4_quality,
     "op6_langid": op6_langid,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,

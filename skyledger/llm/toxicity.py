@@ -35,7 +35,7 @@ LEAST_TEXTS, LEAST_Z, LEAST_SHARE, LEAST_SHARE_BEGINNING = 4, 5.0, 0.5, 0.85
 #: Bytes of the word beginnings that are terms of their own, so that an inflected word is known by its stem.
 BEGINNINGS = (4, 5, 6, 7)
 #: Examples of the overall share that a vote starts from.
-PRIOR = 2.0
+PRIOR = 3.0
 #: ASCII characters other than letters, digits and apostrophes part words.
 _PART = bytes(i if chr(i).isalnum() or i >= 128 or i == 39 else 32 for i in range(256))
 
@@ -102,7 +102,7 @@ class Index:
         return found, cosine
 
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
-        """Weighted share of label 1, drawn to the examples' own share where the near examples are few."""
+        """Weighted share of label 1, drawn to the overall share where the near examples are few."""
         w = cosine**2 * self.stands_for[found]
         return float((w @ self.labels[found] + PRIOR * self.base) / (w.sum() + PRIOR))
 
@@ -192,7 +192,6 @@ def train(labelled: DataFrame, examples: int = EXAMPLES) -> Index:
     index.labels, index.ids = rows["label"].to_numpy(float), rows["id"].fillna("").tolist()
     stands = {y: sums.get((y, True), 0) / max(1, (rows["label"] == y).sum()) for y in (0, 1)}
     index.stands_for = rows["label"].map(stands).to_numpy(float)
-    index.base = sums.get((1, True), 0) / max(1, sums.get((1, True), 0) + sums.get((0, True), 0))
     index.without = sums.get((1, False), 0) / max(1, sums.get((1, False), 0) + sums.get((0, False), 0))
     size = np.array([len(a) for a in rows["at"]], int)
     term = np.concatenate([np.asarray(a, int) for a in rows["at"]]) if len(rows) else np.zeros(0, int)
