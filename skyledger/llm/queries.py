@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash, suffix_dedup, toxicity
+from skyledger.llm import exact_dedup, langid, mixing, packing, pii, quality, secrets, simhash, suffix_dedup, toxicity
 from skyledger.sources.shared import read_table, small_or_shuffled, written
 
 
@@ -36,6 +36,21 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spans_text(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def of_kind(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("_pii_spans", lambda s: s["kind"].isin(*pii.BASE))
+    count = [of_kind("_pii_spans", k) for k in pii.BASE]
+    return found.select("doc_id", *count, F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(F.col("_pii_spans")).alias("spans"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = toxicity.fold(F.col("doc_id"))
@@ -59,14 +74,6 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-def spans_text(spans: Column) -> Column:
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
-def of_kind(spans: str, kind: str) -> Column:
-    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-
-
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The spans are kept in a written table, so that no column of the result scans the texts again.
     found = written(secrets.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "secrets")
@@ -94,6 +101,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
     "op4_quality": op4_quality,
+    "op5_pii": op5_pii,
     "op6_langid": op6_langid,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_packing": op8_packing,
