@@ -149,7 +149,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` without the rows that repeat an earlier text; columns as they were."""
     placed = with_locator(docs)
     found = exact_dedup(docs if "_dd_file" not in docs.columns else placed, id_col, text_col)
-    dropped = written(found.where("not kept").select("file", "row"), "dedup-dropped")
+    dropped = written(found.where("not kept").select(F.col("file").alias("_dd_f"), F.col("row").alias("_dd_r")), "dedup-dropped")
     return placed.join(
-        small_or_shuffled(dropped), (F.col("_dd_file") == F.col("file")) & (F.col("_dd_row") == F.col("row")), "left_anti"
+        small_or_shuffled(dropped), (F.col("_dd_file") == F.col("_dd_f")) & (F.col("_dd_row") == F.col("_dd_r")), "left_anti"
     ).select(*[F.col(f"`{c}`") for c in docs.columns])

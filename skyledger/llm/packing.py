@@ -130,5 +130,5 @@ def pack(
     # Even ids for full windows, odd ids for packed sequences.
     columns = ["id", "start", "length", "doc_tokens", keep]
     whole = cut.where(full).select(*columns, (F.col("piece") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    packed = cut.join(plan, "piece").select(*columns, (F.col("sequence") * 2 + 1).alias("sequence_id"), "offset")
+    packed = rest.join(plan, "piece").select(*columns, (F.col("sequence") * 2 + 1).alias("sequence_id"), "offset")
     return whole.unionByName(packed)

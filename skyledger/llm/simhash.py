@@ -6,7 +6,9 @@ on it, never a result), sends each point to one home shard, and to the shard acr
 well where the triangle bound allows a partner there: with radius r and a ball of m bits around
 vantage point v, a point at a distance from m+1 to m+r also goes inside. So any two points within r
 bits meet in at least one shard. In a shard the same tree goes on in memory down to small blocks,
-which are compared exactly. A shard reports a spanning forest, never all pairs of a group; links
+which are compared exactly. Radii at which triangle bounds prune nothing over a whole corpus (a
+similarity of 0.8 is 12 bits) are searched the same way among documents that have one of a few
+first shingles in common. A shard reports a spanning forest, never all pairs of a group; links
 across shards are joined by distributed connected components.
 
 Defined results: a null or wordless text has fingerprint zero and is linked like any other; a null
@@ -25,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.components import components
-from skyledger.sources.shared import written
+from skyledger.llm.exact_dedup import with_locator
+from skyledger.sources.shared import small_or_shuffled, written
 
 SEED = 42
 #: Fingerprints the tree's borders are laid out on, and points a shard should hold.
@@ -35,18 +38,22 @@ BLOCK = 192
 CHUNK = 1 << 16
 
 
-def fingerprint(text: str | None, words_per_shingle: int) -> int:
-    """Bits set in over half of the shingles' XXH64; A-Z is lower-cased, words end at ASCII white space."""
+def shingle_hashes(text: str | None, words_per_shingle: int) -> np.ndarray:
+    """XXH64 of every shingle; A-Z is lower-cased, words end at ASCII white space, fewer words are one shingle."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
-    if len(words) <= words_per_shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+        return np.zeros(0, np.uint64)
     line, digest = b" ".join(words), xxhash.xxh64_intdigest
+    if len(words) <= words_per_shingle:
+        return np.array([digest(line, SEED)], np.uint64)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
     end = np.cumsum(size) - 1
     begin, end = (end - size + 1)[: len(words) - words_per_shingle + 1].tolist(), end[words_per_shingle - 1 :].tolist()
-    hashes = np.fromiter((digest(line[i:j], SEED) for i, j in zip(begin, end, strict=True)), np.uint64, len(begin))
+    return np.fromiter((digest(line[i:j], SEED) for i, j in zip(begin, end, strict=True)), np.uint64, len(begin))
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """Bits set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), CHUNK):
         bits = np.unpackbits(hashes[at : at + CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -54,20 +61,29 @@ def fingerprint(text: str | None, words_per_shingle: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """(id, fp): one row per input row; fp is the fingerprint as a signed long."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+_KEYS = np.random.default_rng(SEED).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = np.array([fingerprint(t, words) for t in batch["text"]], np.uint64)
-            yield pd.DataFrame({"id": batch["id"], "fp": found.view(np.int64)})
 
-    ids = source.schema["id"].dataType.simpleString()
-    if ids in ("bigint", "int"):  # nulls in integer columns would come as floats
-        source = source.withColumn("id", F.col("id").cast("string"))
-    made = source.mapInPandas(hashed, f"id {source.schema['id'].dataType.simpleString()}, fp long")
-    return made.withColumn("id", F.col("id").cast(ids))
+def shared_keys(hashes: np.ndarray, keys: int) -> list[int]:
+    """The shingle that comes first under each of ``keys`` orders, mixed with the order's number."""
+    if not len(hashes):
+        return [0] * keys
+    return [int(np.int64(np.uint64((hashes * _KEYS[k]).min()).view(np.int64))) for k in range(keys)]
+
+
+def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3, keys: int = 0) -> DataFrame:
+    """``docs`` without its text, with ``_sh_`` (fp: the fingerprint as a signed long; keys)."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+
+    @F.pandas_udf("fp long, keys array<long>")
+    def hashed(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in texts:
+            found = shingle_hashes(text, words)
+            rows.append((int(np.uint64(fingerprint(found)).view(np.int64)), shared_keys(found, keys)))
+        return pd.DataFrame(rows, columns=["fp", "keys"])
+
+    return docs.select(*others, hashed(F.col(text_col)).alias("_sh_"))
 
 
 def bits_apart(points: np.ndarray, from_: np.uint64) -> np.ndarray:
@@ -174,6 +190,24 @@ def _midpoint_links(points: np.ndarray, at: np.ndarray, radius: int) -> tuple[np
     return np.concatenate(a), np.concatenate(b)
 
 
+def _peel(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join points no vantage point parts: each point reached is compared with those not yet reached.
+
+    A group whose points lie near one another is reached at once and costs little more than its size.
+    """
+    left, a, b = np.arange(len(points)), [], []
+    while len(left):
+        todo, left = [int(left[0])], left[1:]
+        while todo and len(left):
+            i = todo.pop()
+            near = np.bitwise_count(points[left] ^ points[i]) <= radius
+            a.append(np.full(int(near.sum()), i))
+            b.append(left[near])
+            todo += left[near].tolist()
+            left = left[~near]
+    return np.concatenate(a) if a else np.zeros(0, int), np.concatenate(b) if b else np.zeros(0, int)
+
+
 def links(points: np.ndarray, radius: int) -> np.ndarray:
     """Labels (lowest index) of distinct points linked at ``radius`` bits or fewer, by a vantage-point tree."""
     todo, a, b = [np.arange(len(points))], [], []
@@ -192,13 +226,10 @@ def links(points: np.ndarray, radius: int) -> np.ndarray:
                 x, y = _midpoint_links(points, at, radius)
                 a.append(x)
                 b.append(y)
-            else:  # compared in blocks of rows
-                for k in range(0, len(at), BLOCK):
-                    i, j = np.nonzero(np.bitwise_count(own[k : k + BLOCK, None] ^ own[None, :]) <= radius)
-                    label = _lowest(len(points), at[i + k], at[j])
-                    moved = np.flatnonzero(label != np.arange(len(points)))
-                    a.append(moved)
-                    b.append(label[moved])
+            else:
+                x, y = _peel(own, radius)
+                a.append(at[x])
+                b.append(at[y])
             continue
         v, m = border
         apart = bits_apart(own, v)
@@ -229,18 +260,79 @@ def linked_points(points: DataFrame, radius: int, sample: int = SAMPLE, shard_po
     return points.select("fp").mapInPandas(dealt, "shard int, fp long").groupBy("shard").applyInPandas(joined, "a long, b long")
 
 
+def linked_by_key(keyed: DataFrame, radius: int, shard_rows: int = 1 << 17) -> DataFrame:
+    """Distinct (key, fp) to edges (a, b) that join exactly the points with a common key within ``radius`` bits.
+
+    For radii at which triangle bounds prune nothing over a whole corpus. Keys are dealt to shards; in a shard each
+    key's points are searched by a tree of their own.
+    """
+    shards = max(6, -(-keyed.count() // shard_rows))
+
+    def joined(shard: pd.DataFrame) -> pd.DataFrame:
+        key, fp = shard["key"].to_numpy(np.int64), shard["fp"].to_numpy(np.int64).view(np.uint64)
+        order = np.lexsort((fp, key))
+        key, fp = key[order], fp[order]
+        first = np.append(0, np.flatnonzero(key[1:] != key[:-1]) + 1)
+        stop = np.append(first[1:], len(key))
+        a, b = [], []
+        for i, j in zip(first[stop - first > 1].tolist(), stop[stop - first > 1].tolist(), strict=True):
+            own = fp[i:j]
+            label = links(own, radius)
+            moved = np.flatnonzero(label != np.arange(len(own)))
+            a.append(own[moved])
+            b.append(own[label[moved]])
+        none = np.zeros(0, np.uint64)
+        return pd.DataFrame({"a": np.concatenate([none, *a]).view(np.int64), "b": np.concatenate([none, *b]).view(np.int64)}).drop_duplicates()
+
+    return keyed.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).applyInPandas(joined, "a long, b long")
+
+
+def grouped(docs: DataFrame, text_col: str = "text", words: int = 3, radius: int = 2, keys: int = 0) -> DataFrame:
+    """``docs`` without its text, with ``_sh_fp`` and ``_sh_group`` (equal for all documents that links reach).
+
+    keys: 0 to link all fingerprints within ``radius`` bits; else only those of documents that have one of so many
+    first shingles (under different orders) in common.
+    """
+    hashed = written(fingerprints(docs, text_col, words, keys), "simhash")
+    points = written(hashed.select(F.col("_sh_.fp").alias("fp")).distinct(), "simhash-points")
+    if keys:
+        keyed = hashed.select(F.col("_sh_.fp").alias("fp"), F.posexplode("_sh_.keys").alias("order", "key")).select("fp", F.xxhash64("order", "key").alias("key"))
+        edges = linked_by_key(written(keyed.distinct(), "simhash-keys"), radius)
+    else:
+        edges = linked_points(points, radius)
+    member = components(edges)
+    group = written(points.join(member, points["fp"] == member["node"], "left").select(
+        F.col("fp").alias("_sh_point"), F.coalesce("component", "fp").alias("_sh_group")), "simhash-groups")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    return hashed.join(group, F.col("_sh_.fp") == F.col("_sh_point")).select(*others, F.col("_sh_.fp").alias("_sh_fp"), "_sh_group")
+
+
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2, keys: int = 0
 ) -> DataFrame:
     """(id, fp, component_id): one row per input row; component_id is the smallest id reachable by links."""
-    hashed = written(fingerprints(docs, id_col, text_col, words), "simhash")
-    points = written(hashed.groupBy("fp").agg(F.min("id").alias("least")), "simhash-points")
-    member = components(linked_points(points, radius))
-    group = F.coalesce(F.col("component"), F.col("fp"))
-    placed = written(points.join(member, points["fp"] == member["node"], "left").select("fp", "least", group.alias("g")), "simhash-groups")
-    least = placed.groupBy("g").agg(F.min("least").alias("component_id"))
-    named = written(placed.join(least, "g").select("fp", "component_id"), "simhash-named")
-    return hashed.join(named, "fp").select("id", "fp", "component_id")
+    placed = written(grouped(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", words, radius, keys), "simhash-placed")
+    least = placed.groupBy("_sh_group").agg(F.min("id").alias("component_id"))
+    return placed.join(written(least, "simhash-least"), "_sh_group").select("id", F.col("_sh_fp").alias("fp"), "component_id")
+
+
+#: For whole pipelines: five-word shingles, at least 0.8 of the bits equal, one of eight first shingles in common.
+WORDS, SIMILARITY, KEYS = 5, 0.8, 8
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, keys: int = KEYS) -> DataFrame:
+    """``docs`` with one row of each group (the smallest id, then the first by place); columns as they were."""
+    placed = with_locator(docs)
+    group = written(grouped(
+        placed.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col("_dd_file").alias("file"), F.col("_dd_row").alias("row")),
+        "text", words, int(64 * (1 - similarity) + 1e-9), keys), "simhash-placed")
+    first = group.groupBy("_sh_group").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "row")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    several = written(first.where("n > 1").select("_sh_group", F.col("stays.file").alias("_f"), F.col("stays.row").alias("_r")), "simhash-several")
+    dropped = written(
+        group.join(several, "_sh_group").where("not (file = _f and row = _r)").select(F.col("file").alias("_dd_f"), F.col("row").alias("_dd_r")), "simhash-dropped")
+    return placed.join(
+        small_or_shuffled(dropped), (F.col("_dd_file") == F.col("_dd_f")) & (F.col("_dd_row") == F.col("_dd_r")), "left_anti"
+    ).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def as_hex(fp: str = "fp") -> Column:
