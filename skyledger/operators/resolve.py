@@ -71,7 +71,8 @@ def resolve_stations(stations: DataFrame, coverage: DataFrame, cities: DataFrame
     left_out = others.select(
         "city", "province", "station_id", "station_name", F.lit(False).alias("selected"), F.lit(None).cast("int").alias("rank"),
         F.when(~F.col("station_name").rlike(AIRPORT), "name isn't an airport's").otherwise(F.concat(F.lit("ranked lower than the city's airport, "), "anchor_name")).alias("reason"))
-    return pinned.select(*out).unionByName(by_distance.select(*out)).unionByName(left_out.select(*out))
+    every = pinned.select(*out).unionByName(by_distance.select(*out)).unionByName(left_out.select(*out))
+    return every.withColumn("rank", F.col("rank").cast("long"))
 
 
 def twice_chosen(resolved: DataFrame) -> DataFrame:
