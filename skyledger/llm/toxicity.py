@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from skyledger.sources.shared import written
 
 #: Nearest examples that vote; examples of each label, terms and block length of the index at most.
-NEAREST, EXAMPLES, TERMS, BLOCK = 15, 8_192, 32_768, 64
+NEAREST, EXAMPLES, TERMS, BLOCK = 15, 4_096, 32_768, 64
+#: Blocks scored first; examples whose leave-one-out votes fit the curve.
+FIRST_BLOCKS, CALIBRATED = 4, 2_048
 #: Texts of label 1 a term must be in, standard errors by which it must be more frequent there, and least share of
 #: label 1 among the texts with it; for word beginnings, which say less, a higher share.
 LEAST_TEXTS, LEAST_Z, LEAST_SHARE, LEAST_SHARE_BEGINNING = 4, 5.0, 0.5, 0.85
@@ -65,41 +67,60 @@ class Index:
     curve: tuple[float, float] = (0.0, 1.0)
     base: float = field(default=0.0)
 
+    def __post_init__(self) -> None:
+        self.heads = frozenset(t[:4] for t in self.terms)
+        self.known: dict[tuple, tuple[float, list[str]]] = {}
+
     def vector(self, text: str | None) -> dict[int, float]:
         count: dict[int, int] = {}
         get = self.terms.get
+        heads = self.heads
         for w in words(text):
-            for part in with_beginnings(w):
-                t = get(part)
-                if t is not None:
-                    count[t] = count.get(t, 0) + 1
+            if w[:4] in heads:
+                for part in with_beginnings(w):
+                    t = get(part)
+                    if t is not None:
+                        count[t] = count.get(t, 0) + 1
         x = {t: (1 + np.log(n)) * self.idf[t] for t, n in sorted(count.items())}
         norm = sum(v * v for v in x.values()) ** 0.5
         return {t: v / norm for t, v in x.items()}
 
+    def _scored(self, x: dict[int, float], open_: np.ndarray) -> np.ndarray:
+        """Cosines of the examples in the open blocks."""
+        score = np.zeros(len(self.labels))
+        for t, v in x.items():
+            own = slice(self.begin[t], self.begin[t + 1])
+            example = self.example[own]
+            at = open_[example // BLOCK]
+            score[example[at]] += v * self.weight[own][at]
+        return score
+
     def nearest(self, x: dict[int, float], k: int = NEAREST, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest, nearest first, without example ``but``."""
-        blocks = -(-len(self.labels) // BLOCK)
-        bound = np.zeros(blocks)
+        """(examples, cosines) of the k nearest, nearest first, without example ``but``.
+
+        The blocks with the highest bounds give a k-th cosine; then every other block whose bound reaches it is scored.
+        """
+        bound = np.zeros(-(-len(self.labels) // BLOCK))
         for t, v in x.items():
             at, most = self.most[t]
             bound[at] += v * most
-        found, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            # Only a block that can't reach the k-th nearest is left out (a hair of room for rounding).
-            if bound[b] <= 0 or len(found) == k and bound[b] < cosine[-1] - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for t, v in x.items():
-                lo, hi = self.begin[t], self.begin[t + 1]
-                i, j = lo + np.searchsorted(self.example[lo:hi], [b * BLOCK, (b + 1) * BLOCK])
-                score[self.example[i:j] - b * BLOCK] += v * self.weight[i:j]
-            own = np.flatnonzero(score > 0)
-            own = own[own + b * BLOCK != but]
-            found, cosine = np.append(found, own + b * BLOCK), np.append(cosine, score[own])
-            order = np.lexsort((found, -np.round(cosine, 12)))[:k]
-            found, cosine = found[order], cosine[order]
-        return found, cosine
+        first = np.zeros(len(bound), bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
+        score = self._scored(x, first & (bound > 0))
+        if but >= 0:
+            score[but] = 0
+        least = np.partition(score, len(score) - k)[len(score) - k] if len(score) > k else 0.0
+        # A hair of room for rounding: only a block that can't reach the k-th nearest is left out.
+        rest = ~first & (bound > 0) & (bound >= least - 1e-9)
+        if rest.any():
+            score += self._scored(x, rest)
+            if but >= 0:
+                score[but] = 0
+        found = np.flatnonzero(score > 0)
+        if len(found) > 4 * k:
+            found = found[score[found] >= np.partition(score[found], len(found) - k)[len(found) - k] - 1e-9]
+        found = found[np.lexsort((found, -np.round(score[found], 12)))[:k]]
+        return found, score[found]
 
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
         """Weighted share of label 1, drawn to the overall share where the near examples are few."""
@@ -108,10 +129,16 @@ class Index:
 
     def score(self, text: str | None) -> tuple[float, list[str]]:
         x = self.vector(text)
-        found, cosine = self.nearest(x) if x else (np.zeros(0, int), np.zeros(0))
-        if not len(found):
+        if not x or not len(self.labels):
             return self.without, []
-        return float(1 / (1 + np.exp(-(self.curve[0] + self.curve[1] * self.vote(found, cosine))))), [self.ids[i] for i in found]
+        key = tuple(x.items())
+        if key not in self.known:
+            found, cosine = self.nearest(x)
+            one = 1 / (1 + np.exp(-(self.curve[0] + self.curve[1] * self.vote(found, cosine)))) if len(found) else self.without
+            if len(self.known) > 50_000:  # texts with the same few terms are scored once
+                self.known.clear()
+            self.known[key] = float(one), [self.ids[i] for i in found]
+        return self.known[key]
 
 
 def platt(vote: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -204,7 +231,7 @@ def train(labelled: DataFrame, examples: int = EXAMPLES) -> Index:
         blocks, start = np.unique(index.example[own] // BLOCK, return_index=True)
         index.most.append((blocks, np.maximum.reduceat(index.weight[own], start) if len(start) else np.zeros(0)))
     votes, labels, weights = [], [], []
-    for i in range(len(rows)):
+    for i in range(min(len(rows), CALIBRATED)):
         x = dict(zip((int(t) for t in rows["at"][i]), rows["w"][i], strict=True))
         near, cosine = index.nearest(x, but=i)
         if len(near):
