@@ -162,15 +162,13 @@ def _lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _midpoint_links(points: np.ndarray, at: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def _midpoint_links(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links of points that no vantage point parts: two points within 2 bits share a value at most 1 bit from each.
 
     The values near each point are sorted in passes by value range, so the cost is linear in the points.
     """
     own, passes = points[at], max(1, len(at) * 65 >> 24)
     steps = [np.uint64(0), *(np.uint64(1) << np.uint64(i) for i in range(64))]
-    if radius < 2:
-        steps = steps if radius else steps[:1]
     a, b = [], []
     for p in range(passes):
         near, who = [], []
@@ -222,8 +220,8 @@ def links(points: np.ndarray, radius: int) -> np.ndarray:
             continue
         border = _border(own, radius)
         if border is None:
-            if radius <= 2:
-                x, y = _midpoint_links(points, at, radius)
+            if radius == 2:
+                x, y = _midpoint_links(points, at)
                 a.append(x)
                 b.append(y)
             else:
