@@ -28,6 +28,9 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Else each partition's store takes several MB of disk before it holds anything.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # One bound for all the stores of an executor.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
 
 

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.llm.batches import bounded
+
 #: Buckets the n-grams are hashed to, n-gram lengths, rows a language is learned from at most.
 BUCKETS, ORDERS, PER_LANGUAGE = 1 << 16, (1, 2, 3), 512
 UNDETERMINED = "und"
@@ -122,7 +124,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(df)
         yield pd.DataFrame({"bucket": np.append(at, -1).astype(np.int32), "n": np.append(df[at], n)})
 
-    rows = texts.mapInPandas(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = bounded(texts).mapInPandas(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     df = np.zeros(BUCKETS, np.int64)
     inner = rows[rows["bucket"] >= 0]
     df[inner["bucket"].to_numpy()] = inner["n"].to_numpy()

@@ -22,11 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import vocab
+from skyledger.llm.batches import bounded
 from skyledger.sources.shared import written
 
 WINDOW, END_ID = 1024, 0
 #: Pieces a shard packs on average.
 SHARD_PIECES = 32_768
+#: Tokens a worker holds before it hands pieces on.
+HELD_TOKENS = 1 << 19
 
 
 class Rooms:
@@ -85,21 +88,22 @@ def padded(used: int, window: int = WINDOW) -> int:
 def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, window: int, keep: str) -> DataFrame:
     """(id, start, length, doc_tokens, ids or ids_crc32): documents cut into windows, in one pass over the texts."""
     ids = docs.schema[id_col].dataType.simpleString()
-    source = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    source = bounded(docs).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     kept = {"ids": "ids array<int>", "ids_crc32": "ids_crc32 long"}[keep]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for key, text in zip(batch["id"], batch["text"], strict=True):
                 tokens = np.append(vocab.encode(vocabulary, text), np.uint32(END_ID)).astype("<u4")
                 for start in range(0, len(tokens), window):
                     part = tokens[start : start + window]
                     value = part.astype(np.int32) if keep == "ids" else zlib.crc32(part.tobytes())
                     rows.append((key, start, len(part), len(tokens), value))
-                if len(rows) >= 20_000:
+                held += len(tokens)
+                if held >= HELD_TOKENS:
                     yield pd.DataFrame(rows, columns=["id", "start", "length", "doc_tokens", keep])
-                    rows = []
+                    rows, held = [], 0
             yield pd.DataFrame(rows, columns=["id", "start", "length", "doc_tokens", keep])
 
     made = source.mapInPandas(cut, f"id string, start long, length long, doc_tokens long, {kept}")

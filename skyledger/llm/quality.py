@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm import vocab
+from skyledger.llm.batches import bounded
 from skyledger.sources.shared import written
 
 SPACES = b" \t\n\x0b\x0c\r"
@@ -117,7 +118,7 @@ def measured(docs: DataFrame, text_col: str = "text", lang_col: str | None = "la
             yield pd.DataFrame(rows, columns=[*COUNTS, *MEASURES, "kind"])
 
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    return docs.withColumn("_q_", measure(F.col(text_col), lang))
+    return bounded(docs).withColumn("_q_", measure(F.col(text_col), lang))
 
 
 def base_failed(q: str = "_q_") -> Column:

@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm.batches import bounded
+
 #: Texts in a shard of the index.
 SHARD = 512
 
@@ -207,4 +209,4 @@ def scan(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
                 ]
             yield pd.Series(out, dtype=object)
 
-    return docs.withColumn("_sec_spans", spans(F.col(text_col)))
+    return bounded(docs).withColumn("_sec_spans", spans(F.col(text_col)))

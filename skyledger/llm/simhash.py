@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm.batches import bounded
 from skyledger.llm.components import components
 from skyledger.llm.exact_dedup import with_locator
 from skyledger.sources.shared import small_or_shuffled, written
@@ -83,7 +84,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3, keys:
             rows.append((int(np.uint64(fingerprint(found)).view(np.int64)), shared_keys(found, keys)))
         return pd.DataFrame(rows, columns=["fp", "keys"])
 
-    return docs.select(*others, hashed(F.col(text_col)).alias("_sh_"))
+    return bounded(docs).select(*others, hashed(F.col(text_col)).alias("_sh_"))
 
 
 def bits_apart(points: np.ndarray, from_: np.uint64) -> np.ndarray:

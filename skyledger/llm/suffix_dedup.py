@@ -33,6 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm.batches import bounded
 from skyledger.sources.shared import written
 
 LENGTH, GRAM = 200, 24
@@ -224,7 +225,7 @@ ANCHOR = "array<struct<pos int, first int, last int, h long, c long>>"
 
 def work_table(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int) -> DataFrame:
     ids = docs.schema[id_col].dataType.simpleString()
-    source = docs.select(
+    source = bounded(docs).select(
         F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")
     )
 
@@ -242,7 +243,7 @@ def work_table(docs: DataFrame, id_col: str, text_col: str, length: int, gram: i
                     ]
                 rows.append((key, id_, pack.compress(data), found))
                 held += len(data)
-                if held > 1 << 23:
+                if held > 1 << 21:
                     yield pd.DataFrame(rows, columns=["key", "id", "packed", "anchors"])
                     rows, held = [], 0
             yield pd.DataFrame(rows, columns=["key", "id", "packed", "anchors"])

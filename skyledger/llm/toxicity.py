@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.llm.batches import bounded
 from skyledger.sources.shared import written
 
 #: Nearest examples that vote; examples of each label, terms and block length of the index at most.
@@ -172,7 +173,7 @@ def term_counts(labelled: DataFrame) -> DataFrame:
                 {"term": [w.decode("latin-1") for w in found], "n1": [n[1] for n in found.values()], "n0": [n[0] for n in found.values()]}
             )
 
-    return labelled.mapInPandas(counted, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    return bounded(labelled).mapInPandas(counted, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
 def chosen_terms(counts: DataFrame, most: int = TERMS) -> tuple[pd.DataFrame, int, int]:
