@@ -272,6 +272,11 @@ FINAL = {
     "rejected_lines": "SELECT file_station, line_number, line, CASE WHEN event_id % 101 = 0 THEN 'MISSING COLUMNS' ELSE 'TOO MANY COLUMNS' END AS reason FROM lines WHERE event_id % 101 = 0 OR event_id % 107 = 0",
     "fixed_width_scan": "SELECT " + ", ".join(f"nullif(trim(left({n}, {b - a + 1})), '') AS {n}" for n, a, b in STATION_LAYOUT) + " FROM metadata",
     "layout_drift": f"SELECT id AS doc, 'latitude' AS variable, 13 AS first, 20 AS last, 13 AS doc_first, 21 AS doc_last FROM metadata WHERE {USER.format('id')} % 13 = 0",
+    "load_documents": "SELECT id AS doc, content || chr(10) AS content, sha256(content || chr(10)) AS sha256 FROM (SELECT id, concat_ws(chr(10), 'I. INTRODUCTION', 'text', 'IV. FORMAT', " + ", ".join(
+        f"CASE WHEN {USER.format('id')} % 13 = 0 THEN 'LATITUDE 13-21 Real' ELSE 'LATITUDE 13-20 Real' END" if n == "latitude" else f"'{n.upper()} {a}-{b} Character'" for n, a, b in STATION_LAYOUT) + ") AS content FROM metadata)",
+    "city_candidates": "SELECT city, province, row_number() OVER (PARTITION BY city, province ORDER BY selected DESC, rank NULLS LAST, station_id) AS place, station_id, selected, rank, reason FROM resolved",
+    "top_failures": "SELECT city, obs_date, failed_checks, left(narrative, 120) AS preview FROM latest JOIN (SELECT station_id, city FROM selected) USING (station_id) WHERE NOT passed ORDER BY obs_date DESC, station_id LIMIT 10",
+    "check_status_counts": "SELECT check_name, passed, count(*) AS n FROM load_checks GROUP BY ALL",
     "catalog_from_text": "SELECT p_brand AS doc, 'P' || lpad(p_partkey::VARCHAR, 8, '0') AS code, p_name || ' (' || u || ')' AS description, CASE p_partkey % 4 WHEN 2 THEN 'cm' WHEN 3 THEN 'hPa' ELSE 'mm' END AS unit,"
                          " CASE WHEN p_partkey % 4 IN (0, 2) THEN 0.1::DOUBLE ELSE 1.0::DOUBLE END AS scale FROM (SELECT *, ['tenths of mm', 'mm', 'cm * 10', 'hPa; hourly'][p_partkey % 4 + 1] AS u FROM part)",
     "changed_files": f"""SELECT a.file_station, a.h AS sha256, b.h AS last_sha256 FROM (SELECT file_station, sha256(string_agg({LINE} || chr(10), '' ORDER BY event_id)) AS h FROM v2 GROUP BY 1) a

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import compass
@@ -77,6 +77,13 @@ def layout_drift(t: Tables) -> DataFrame:
     return files.layout_drift(files.documented_layout(layout_documents(t)), declared)
 
 
+@query
+def load_documents(t: Tables) -> DataFrame:
+    path = shared_dir(t.spark, "documents")
+    files.write_files(layout_documents(t).select("doc", F.lit(1).alias("n"), F.col("content").alias("line")), path, key="doc", order="n")
+    return files.load_documents(t.spark, path)
+
+
 @query
 def catalog_from_text(t: Tables) -> DataFrame:
     k = F.col("p_partkey")
@@ -360,6 +367,12 @@ def station_report(t: Tables) -> DataFrame:
     return resolve.station_report(t.resolved)
 
 
+@query
+def city_candidates(t: Tables) -> DataFrame:
+    order = Window.partitionBy("city", "province").orderBy(F.col("selected").desc(), F.col("rank").asc_nulls_last(), "station_id")
+    return t.resolved.select("city", "province", F.row_number().over(order).cast("long").alias("place"), "station_id", "selected", "rank", "reason")
+
+
 # Texts
 
 @query
@@ -403,8 +416,19 @@ def unrepaired(t: Tables) -> DataFrame:
     return narrative.unrepaired(t.latest, t.sheets, MODEL, VERSION, 14).drop("input_hash")
 
 
+@query
+def top_failures(t: Tables) -> DataFrame:
+    failed = t.latest.where(~F.col("passed")).join(t.selected.select("station_id", "city"), "station_id")
+    return failed.orderBy(F.col("obs_date").desc(), "station_id").limit(10).select("city", "obs_date", "failed_checks", F.substring("narrative", 1, 120).alias("preview"))
+
+
 # Ledger
 
+@query
+def check_status_counts(t: Tables) -> DataFrame:
+    return merge.load_checks(t.second, t.guard, feed.MAX_DELETED_PCT).groupBy("check_name", "passed").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def latest_per_key(t: Tables) -> DataFrame:
     return marts.latest_per_key(t.loads, ["file"], [F.col("loaded_at").desc()])

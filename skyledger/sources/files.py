@@ -97,6 +97,11 @@ def catalog_from_text(documents: DataFrame) -> DataFrame:
         F.when(F.col("inside").startswith("tenths of ") | F.col("inside").endswith(" * 10"), 0.1).otherwise(1.0).alias("scale"))
 
 
+def load_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(doc, content, sha256) of whole text files in folders ``doc=..``."""
+    return spark.read.text(path, wholetext=True).select("doc", F.col("value").alias("content"), F.sha2("value", 256).alias("sha256"))
+
+
 def fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """(file_station, sha256) of each file's bytes."""
     return spark.read.format("binaryFile").load(path).select("file_station", F.sha2("content", 256).alias("sha256"))
