@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +13,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+@cache
+def _own_folder() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='skyledger-')}"
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new path under ``spark.checkpoint.dir``.
 
-    The cluster names that folder. Only where it is unset (tests, a laptop) a local one is made and set.
+    The cluster names that folder. Only where it is unset (tests, a laptop) a local one is used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"file://{tempfile.mkdtemp(prefix='skyledger-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return f"{root.rstrip('/')}/skyledger/{label}-{uuid.uuid4().hex}"
 
 
