@@ -51,8 +51,8 @@ def with_locator(docs: DataFrame) -> DataFrame:
         return written(docs, "dedup-docs").select("*", *loc)
 
 
-def keyed_state(log: DataFrame, trigger_bytes: str | None = None) -> DataFrame:
-    """Runs the written digest log through the stateful stream; one row per digest.
+def keyed_state(log: DataFrame, path: str, trigger_bytes: str | None = None) -> DataFrame:
+    """Runs the digest log written at ``path`` through the stateful stream; one row per digest.
 
     trigger_bytes: size of a micro-batch, for logs whose new digests shouldn't arrive all at once.
     """
@@ -65,7 +65,7 @@ def keyed_state(log: DataFrame, trigger_bytes: str | None = None) -> DataFrame:
         source = spark.readStream.schema(log.schema)
         if trigger_bytes:
             source = source.option("maxBytesPerTrigger", trigger_bytes)
-        state = source.parquet(log.inputFiles()[0].rpartition("/")[0]).groupBy("digest").agg(
+        state = source.parquet(path).groupBy("digest").agg(
             F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "row")).alias("keeper"),
             F.count(F.lit(1)).alias("n"),
         )
@@ -93,18 +93,17 @@ def exact_dedup(
     """One row per input row: id, keep_id, group_size, kept, text_sha256, file, row (the locator)."""
     spark = docs.sparkSession
     placed = with_locator(docs)
-    log = written(
-        placed.select(
-            F.col(id_col).alias("id"), F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias("digest"),
-            F.col("_dd_file").alias("file"), F.col("_dd_row").alias("row"),
-        ),
-        "dedup-log",
-    )
-    if not log.inputFiles() or log.isEmpty():
+    path = shared_dir(spark, "dedup-log")
+    placed.select(
+        F.col(id_col).alias("id"), F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias("digest"),
+        F.col("_dd_file").alias("file"), F.col("_dd_row").alias("row"),
+    ).write.parquet(path)
+    log = spark.read.parquet(path)
+    if log.isEmpty():
         return spark.createDataFrame(
             [], f"id {dict(log.dtypes)['id']}, keep_id {dict(log.dtypes)['id']}, group_size long, kept boolean, "
             "text_sha256 string, file string, row long")
-    state = written(keyed_state(log, trigger_bytes), "dedup-digests")
+    state = written(keyed_state(log, path, trigger_bytes), "dedup-digests")
     seen = log.join(state, "digest")
     is_keeper = (F.col("file") == F.col("keeper.file")) & (F.col("row") == F.col("keeper.row"))
 
