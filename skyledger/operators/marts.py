@@ -113,6 +113,7 @@ def city_quality(quality: DataFrame) -> DataFrame:
     known = F.when(F.col("completeness").isNotNull(), F.struct("completeness", "element"))
     return quality.groupBy("city").agg(
         F.sum("expected_days").alias("expected_days"), F.sum(F.col("qc_failed_days") + F.col("out_of_bounds_days") + F.col("inconsistent_days") + F.col("unparseable_days")).alias("quarantined_days"),
-        F.round(F.avg("completeness"), 4).alias("mean_completeness"), F.min("completeness").alias("worst_completeness"), F.min(known)["element"].alias("worst_element"),
+        # Summed as whole ten-thousandths, so that the order of rows can't tip a tie.
+        (F.round(F.sum(F.round(F.col("completeness") * 10000).cast("long")) / F.nullif(F.count("completeness"), F.lit(0))) / 10000).alias("mean_completeness"), F.min("completeness").alias("worst_completeness"), F.min(known)["element"].alias("worst_element"),
         F.bool_or(F.col("freshness") == "stale").alias("any_stale"), F.max("last_usable_date").alias("latest_date"),
     )

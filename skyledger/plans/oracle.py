@@ -315,7 +315,7 @@ UNION SELECT station_id, obs_date_text, element FROM assessed WHERE (station_id,
     "station_daily": "SELECT * FROM daily",
     "status_counts": "SELECT element, status, count(*) AS n FROM grid GROUP BY ALL",
     "data_quality": "SELECT * FROM quality",
-    "city_quality": """SELECT city, sum(expected_days)::BIGINT AS expected_days, sum(qc_failed_days + out_of_bounds_days + inconsistent_days + unparseable_days)::BIGINT AS quarantined_days, round(avg(completeness), 4) AS mean_completeness,
+    "city_quality": """SELECT city, sum(expected_days)::BIGINT AS expected_days, sum(qc_failed_days + out_of_bounds_days + inconsistent_days + unparseable_days)::BIGINT AS quarantined_days, round(sum(round(completeness * 10000)::BIGINT)::DOUBLE / nullif(count(completeness), 0)) / 10000 AS mean_completeness,
  min(completeness) AS worst_completeness, bool_or(freshness = 'stale') AS any_stale, max(last_usable_date) AS latest_date FROM quality GROUP BY 1""",
     "worst_element": "SELECT city, min(completeness) AS worst_completeness, arg_min(element, (completeness, element)) FILTER (completeness IS NOT NULL) AS worst_element FROM quality GROUP BY 1",
     "daily_display": "SELECT station_id, city, obs_date, round(tmax, 1) AS tmax_shown, round(tmin, 1) AS tmin_shown, round(prcp, 1) AS prcp_shown, round(snow * 0.1, 1) AS snow_shown, round(wsfg * 3.6, 1) AS wsfg_shown FROM daily",
