@@ -6,11 +6,13 @@ on it, never a result), sends each point to one home shard, and to the shard acr
 well where the triangle bound allows a partner there: with radius r and a ball of m bits around
 vantage point v, a point at a distance from m+1 to m+r also goes inside. So any two points within r
 bits meet in at least one shard. In a shard the same tree goes on in memory down to small blocks,
-which are compared exactly. Radii at which triangle bounds prune nothing over a whole corpus (a
-similarity of 0.8 is 12 bits) are searched the same way among documents that have one of a few
-first shingles in common. A shard reports a spanning forest, never all pairs of a group; links
+which are compared exactly. A shard reports a spanning forest, never all pairs of a group; links
 across shards are joined by distributed connected components.
 
+For whole pipelines (``keep_one``) fingerprints only propose: documents that have one of a few first
+shingles in common and lie within ``NEAR_BITS`` are compared by their whole shingle sets, and only
+pairs of a Jaccard similarity of 0.8 or more are linked.
+
 Defined results: a null or wordless text has fingerprint zero and is linked like any other; a null
 ``doc_id`` takes part and is never the smallest id (a group of such rows only has a null id);
 repeated rows are returned as often as they come; an empty table gives an empty result.
@@ -72,17 +74,13 @@ def shared_keys(hashes: np.ndarray, keys: int) -> list[int]:
     return [int(np.int64(np.uint64((hashes * _KEYS[k]).min()).view(np.int64))) for k in range(keys)]
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3, keys: int = 0) -> DataFrame:
-    """``docs`` without its text, with ``_sh_`` (fp: the fingerprint as a signed long; keys)."""
+def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3) -> DataFrame:
+    """``docs`` without its text, with ``_sh_`` (fp: the fingerprint as a signed long)."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
 
-    @F.pandas_udf("fp long, keys array<long>")
+    @F.pandas_udf("fp long")
     def hashed(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            found = shingle_hashes(text, words)
-            rows.append((int(np.uint64(fingerprint(found)).view(np.int64)), shared_keys(found, keys)))
-        return pd.DataFrame(rows, columns=["fp", "keys"])
+        return pd.DataFrame({"fp": [int(np.uint64(fingerprint(shingle_hashes(t, words))).view(np.int64)) for t in texts]}, dtype="int64")
 
     return bounded(docs).select(*others, hashed(F.col(text_col)).alias("_sh_"))
 
@@ -259,47 +257,11 @@ def linked_points(points: DataFrame, radius: int, sample: int = SAMPLE, shard_po
     return points.select("fp").mapInPandas(dealt, "shard int, fp long").groupBy("shard").applyInPandas(joined, "a long, b long")
 
 
-def linked_by_key(keyed: DataFrame, radius: int, shard_rows: int = 1 << 17) -> DataFrame:
-    """Distinct (key, fp) to edges (a, b) that join exactly the points with a common key within ``radius`` bits.
-
-    For radii at which triangle bounds prune nothing over a whole corpus. Keys are dealt to shards; in a shard each
-    key's points are searched by a tree of their own.
-    """
-    shards = max(6, -(-keyed.count() // shard_rows))
-
-    def joined(shard: pd.DataFrame) -> pd.DataFrame:
-        key, fp = shard["key"].to_numpy(np.int64), shard["fp"].to_numpy(np.int64).view(np.uint64)
-        order = np.lexsort((fp, key))
-        key, fp = key[order], fp[order]
-        first = np.append(0, np.flatnonzero(key[1:] != key[:-1]) + 1)
-        stop = np.append(first[1:], len(key))
-        a, b = [], []
-        for i, j in zip(first[stop - first > 1].tolist(), stop[stop - first > 1].tolist(), strict=True):
-            own = fp[i:j]
-            label = links(own, radius)
-            moved = np.flatnonzero(label != np.arange(len(own)))
-            a.append(own[moved])
-            b.append(own[label[moved]])
-        none = np.zeros(0, np.uint64)
-        return pd.DataFrame({"a": np.concatenate([none, *a]).view(np.int64), "b": np.concatenate([none, *b]).view(np.int64)}).drop_duplicates()
-
-    return keyed.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).applyInPandas(joined, "a long, b long")
-
-
-def grouped(docs: DataFrame, text_col: str = "text", words: int = 3, radius: int = 2, keys: int = 0) -> DataFrame:
-    """``docs`` without its text, with ``_sh_fp`` and ``_sh_group`` (equal for all documents that links reach).
-
-    keys: 0 to link all fingerprints within ``radius`` bits; else only those of documents that have one of so many
-    first shingles (under different orders) in common.
-    """
-    hashed = written(fingerprints(docs, text_col, words, keys), "simhash")
+def grouped(docs: DataFrame, text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
+    """``docs`` without its text, with ``_sh_fp`` and ``_sh_group`` (equal for all documents that links reach)."""
+    hashed = written(fingerprints(docs, text_col, words), "simhash")
     points = written(hashed.select(F.col("_sh_.fp").alias("fp")).distinct(), "simhash-points")
-    if keys:
-        keyed = hashed.select(F.col("_sh_.fp").alias("fp"), F.posexplode("_sh_.keys").alias("order", "key")).select("fp", F.xxhash64("order", "key").alias("key"))
-        edges = linked_by_key(written(keyed.distinct(), "simhash-keys"), radius)
-    else:
-        edges = linked_points(points, radius)
-    member = components(edges)
+    member = components(linked_points(points, radius))
     group = written(points.join(member, points["fp"] == member["node"], "left").select(
         F.col("fp").alias("_sh_point"), F.coalesce("component", "fp").alias("_sh_group")), "simhash-groups")
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
@@ -307,24 +269,189 @@ def grouped(docs: DataFrame, text_col: str = "text", words: int = 3, radius: int
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2, keys: int = 0
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2
 ) -> DataFrame:
     """(id, fp, component_id): one row per input row; component_id is the smallest id reachable by links."""
-    placed = written(grouped(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", words, radius, keys), "simhash-placed")
+    placed = written(grouped(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", words, radius), "simhash-placed")
     least = placed.groupBy("_sh_group").agg(F.min("id").alias("component_id"))
     return placed.join(written(least, "simhash-least"), "_sh_group").select("id", F.col("_sh_fp").alias("fp"), "component_id")
 
 
-#: For whole pipelines: five-word shingles, at least 0.8 of the bits equal, one of eight first shingles in common.
+#: For whole pipelines: five-word shingles, a Jaccard similarity of 0.8, one of eight first shingles in common.
 WORDS, SIMILARITY, KEYS = 5, 0.8, 8
+#: Bits by which fingerprints of proposed pairs differ at most; first shingles (under so many orders) by which pairs are
+#: told, and how many must be equal. At a similarity of 0.8 these miss a pair with chances of about 5 and 3 in 10,000.
+NEAR_BITS, ORDERS, AGREE = 20, 32, 17
+#: Points that a task compares with one another; rows of such cells in a shard.
+BOUND, SHARD_ROWS = 1_024, 1 << 14
+#: First shingles by which the points of a key are parted when too many have it, in each of two steps.
+PARTS = 12
+
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(id, text, file, row) to (id, file, row, _sh_): the hash of the set of shingles, its size, fingerprint and first shingles."""
+
+    @F.pandas_udf("point long, size long, fp long, keys array<long>, firsts array<int>")
+    def hashed(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in texts:
+            found = np.unique(shingle_hashes(text, words))
+            firsts = np.array(shared_keys(found, ORDERS), np.int64)
+            rows.append((
+                xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63), len(found), int(np.uint64(fingerprint(found)).view(np.int64)),
+                firsts[:KEYS], (firsts & 0xFFFFFFFF).astype(np.uint32).view(np.int32),
+            ))
+        return pd.DataFrame(rows, columns=["point", "size", "fp", "keys", "firsts"])
+
+    return bounded(docs).select("id", "file", "row", hashed("text").alias("_sh_"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a Jaccard similarity of ``similarity`` or more."""
+
+    @F.pandas_udf("boolean")
+    def near(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for s, t in zip(x, y, strict=True):
+            s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+            common = len(np.intersect1d(s, t, assume_unique=True))
+            out.append(common + 1e-9 >= similarity * (len(s) + len(t) - common))
+        return pd.Series(out, dtype=bool)
+
+    return (
+        bounded(pairs).join(sets.select(F.col("point").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("point").alias("b"), F.col("shingles").alias("y")), "b").where(near("x", "y")).select("a", "b")
+    )
+
+
+def with_part(keyed: DataFrame, edges: DataFrame) -> DataFrame:
+    """``keyed`` with ``part``: the component of each point under the links found so far."""
+    member = written(components(edges), "near-parts")
+    return keyed.drop("part").join(member.select(F.col("node").alias("point"), "component"), "point", "left").withColumn(
+        "part", F.coalesce("component", "point")).drop("component")
+
+
+def star_pairs(keyed: DataFrame, turn: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of one point of each key with every other that may be near it and isn't linked to it yet."""
+    one = keyed.groupBy("key").agg(
+        F.min_by(F.struct("point", "size", "fp", "part"), F.xxhash64("point", F.lit(turn))).alias("one"),
+        (F.min("part") < F.max("part")).alias("open"))
+    return keyed.join(one.where("open"), "key").where(
+        (F.col("part") != F.col("one.part")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("one.fp"))) <= NEAR_BITS)
+        & (F.least("size", "one.size") + 1e-9 >= similarity * F.greatest("size", "one.size"))
+    ).select(F.greatest("point", "one.point").alias("a"), F.least("point", "one.point").alias("b")).distinct()
+
+
+def cells(keyed: DataFrame, bound: int) -> DataFrame:
+    """``keyed`` dealt to cells of about ``bound`` points a side, so that all points of a key in different parts meet.
+
+    A key's largest part ('most') is only compared with the rest: a large group of copies that is linked already costs
+    as much as it has rows. Keys of which more than ``bound`` points lie outside the largest part are parted by further
+    first shingles, in two steps (a pair of similarity 0.8 shares none of 12 with a chance of 0.2**12); what is still
+    larger is dealt block by block, so that every pair meets and no task holds more than two blocks.
+    """
+    dealt, todo = [], keyed
+    for step in range(3):
+        of = todo.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+            F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("most"))
+        of = of.where("n > most.n").select("key", F.col("most.part").alias("most"), F.col("most.n").alias("n_most"), (F.col("n") - F.col("most.n")).alias("rest"))
+        todo = written(todo.join(of, "key"), "near-keys")
+        large = (F.col("rest") > bound) if step < 2 else F.lit(False)
+        here = todo.where(~large)
+        blocks = lambda n: F.ceil(F.col(n) / bound).cast("int")
+        block = lambda n: F.pmod(F.xxhash64("point"), blocks(n)).cast("int")
+        cell = lambda i, j, kind: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(kind).alias("kind"))
+        upto = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
+        small = F.col("rest") + F.col("n_most") <= bound
+        zero = F.lit(0)
+        rest = F.concat(
+            F.transform(upto("n_most"), lambda j: cell(block("rest"), j, "most")),
+            F.transform(F.filter(upto("rest"), lambda j: j != block("rest")), lambda j: cell(F.least(j, block("rest")), F.greatest(j, block("rest")), "rest")))
+        most = F.transform(upto("rest"), lambda i: cell(i, block("n_most"), "most"))
+        dealt.append(here.withColumn("cell", F.explode(
+            F.when(small, F.array(cell(zero, zero, "most"))).when(F.col("part") == F.col("most"), most).otherwise(rest))
+        ).select(F.xxhash64(F.lit(step), "key", "cell").alias("cell"), "point", "size", "fp", "firsts", "part"))
+        if step == 2:
+            break
+        todo = todo.where(large).select("key", "point", "size", "fp", "firsts", "part")
+        if todo.isEmpty():
+            break
+        first = KEYS + step * PARTS
+        todo = todo.select(
+            "*", F.posexplode(F.slice("firsts", first + 1, PARTS)).alias("order", "first")
+        ).select(F.xxhash64("key", "order", "first").alias("key"), "point", "size", "fp", "firsts", "part")
+    out = dealt[0]
+    for more in dealt[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def cell_pairs(dealt: DataFrame, similarity: float, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Pairs (a, b) of points in one cell and different parts that may be near."""
+    dealt = written(dealt, "near-cells")
+    shards = max(6, -(-dealt.count() // shard_rows))
+
+    def compared(shard: pd.DataFrame) -> pd.DataFrame:
+        shard = shard.sort_values(["cell", "point"], ignore_index=True)
+        cell, point, part = (shard[c].to_numpy(np.int64) for c in ("cell", "point", "part"))
+        fp, size = shard["fp"].to_numpy(np.int64).view(np.uint64), shard["size"].to_numpy(float)
+        firsts = np.array(shard["firsts"].tolist(), np.int32).reshape(len(shard), ORDERS)
+        begin = np.append(0, np.flatnonzero(cell[1:] != cell[:-1]) + 1)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, j in zip(begin.tolist(), [*begin[1:].tolist(), len(cell)], strict=True):
+            for at in range(i, j, 256):
+                own, other = slice(at, min(at + 256, j)), slice(at, j)
+                x, y = np.nonzero(
+                    (np.bitwise_count(fp[own, None] ^ fp[None, other]) <= NEAR_BITS) & (part[own, None] != part[None, other])
+                    & (np.minimum(size[own, None], size[None, other]) + 1e-9 >= similarity * np.maximum(size[own, None], size[None, other])))
+                x, y = x[x < y] + at, y[x < y] + at
+                for k in range(0, len(x), CHUNK):
+                    p, q = x[k : k + CHUNK], y[k : k + CHUNK]
+                    alike = (firsts[p] == firsts[q]).sum(1) >= AGREE
+                    a.append(np.maximum(point[p[alike]], point[q[alike]]))
+                    b.append(np.minimum(point[p[alike]], point[q[alike]]))
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
+
+    return dealt.groupBy(F.pmod(F.xxhash64("cell"), F.lit(shards)).alias("shard")).applyInPandas(compared, "a long, b long").distinct()
+
+
+def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bound: int = BOUND) -> DataFrame:
+    """(id, text, file, row) to (id, file, row, _sh_group): equal for all documents that links of ``similarity`` reach.
+
+    Two turns link one point of each key to those near it, so that large groups of copies are one part; then
+    all points of a key in different parts are compared. Every link has been verified.
+    """
+    hashed = written(shingle_sets(docs, words), "near-docs")
+    points = hashed.groupBy("_sh_.point").agg(F.first("_sh_").alias("p"), F.min(F.struct("file", "row")).alias("at"))
+    points = written(points.select("p.*", "at"), "near-points")
+    keyed = points.select("point", "size", "fp", "firsts", F.posexplode("keys").alias("order", "first")).withColumn("key", F.xxhash64("order", "first"))
+    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keyed = written(keyed.join(several, "key").select("key", "point", "size", "fp", "firsts", F.col("point").alias("part")), "near-keyed")
+    wanted = written(
+        points.join(keyed.select("point").distinct(), "point", "left_semi").select("point", F.col("at.file").alias("_f"), F.col("at.row").alias("_r")), "near-wanted")
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"point": batch["point"], "shingles": [np.unique(shingle_hashes(t, words)).tobytes() for t in batch["text"]]})
+
+    found = docs.join(small_or_shuffled(wanted), (F.col("file") == F.col("_f")) & (F.col("row") == F.col("_r"))).select("point", "text")
+    found = written(found.mapInPandas(sets, "point long, shingles binary"), "near-sets")
+    edges = None
+    for turn in range(2):
+        more = written(verified(star_pairs(keyed, turn, similarity), found, similarity), "near-links")
+        edges = more if edges is None else edges.unionByName(more)
+        keyed = written(with_part(keyed, edges), "near-keyed")
+    more = written(verified(cell_pairs(cells(keyed, bound), similarity), found, similarity), "near-links")
+    member = components(edges.unionByName(more))
+    return hashed.join(member, F.col("_sh_.point") == F.col("node"), "left").select("id", "file", "row", F.coalesce("component", "_sh_.point").alias("_sh_group"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, keys: int = KEYS) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, bound: int = BOUND) -> DataFrame:
     """``docs`` with one row of each group (the smallest id, then the first by place); columns as they were."""
     placed = with_locator(docs)
-    group = written(grouped(
+    group = written(near_groups(
         placed.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col("_dd_file").alias("file"), F.col("_dd_row").alias("row")),
-        "text", words, int(64 * (1 - similarity) + 1e-9), keys), "simhash-placed")
+        words, similarity, bound), "simhash-placed")
     first = group.groupBy("_sh_group").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "row")).alias("stays"), F.count(F.lit(1)).alias("n"))
     several = written(first.where("n > 1").select("_sh_group", F.col("stays.file").alias("_f"), F.col("stays.row").alias("_r")), "simhash-several")
     dropped = written(

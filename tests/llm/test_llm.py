@@ -158,6 +158,61 @@ def test_components_of_a_long_path(spark):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
 
 
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def families(seed, sizes=(60, 30, 20, 12), n_words=60):
+    """Texts in families whose members have a few words of the family's own text exchanged, and a shared opening."""
+    rng = np.random.default_rng(seed)
+    opening = [f"o{i}" for i in range(20)]
+    out = []
+    for f, size in enumerate(sizes):
+        own = [f"f{f}w{i}" for i in range(n_words)]
+        for m in range(size):
+            text = list(own)
+            for at in rng.choice(n_words, int(rng.integers(0, 4)), replace=False):
+                text[at] = f"x{f}m{m}a{at}"
+            out.append(" ".join(opening + text))
+    return out
+
+
+def near_components(spark, texts, **options):
+    docs = spark.createDataFrame([(i, t, "f", i) for i, t in enumerate(texts)], "id long, text string, file string, row long")
+    groups = {}
+    for r in simhash.near_groups(docs, **options).collect():
+        groups.setdefault(r._sh_group, set()).add(r.id)
+    return sorted(map(sorted, groups.values()))
+
+
+@pytest.mark.parametrize("bound", [simhash.BOUND, 4])
+def test_near_groups_equal_brute_jaccard(spark, bound):
+    texts = families(3)
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    label = brute_components(range(len(texts)), lambda a, b: jaccard(sets[a], sets[b]) >= 0.8)
+    want = {}
+    for k, c in label.items():
+        want.setdefault(c, []).append(k)
+    assert len(want) > 4 and any(len(x) > 2 for x in want.values())
+    assert near_components(spark, texts, bound=bound) == sorted(want.values())
+
+
+def test_documents_less_alike_than_the_similarity_stay(spark):
+    # 100 shingles each, pairs of Jaccard 0.5 to 0.75: many lie within 12 bits, none is a near copy.
+    common = [f"c{i}" for i in range(84)]
+    texts = [" ".join(common + [f"d{d}w{i}" for i in range(20)]) for d in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert simhash.keep_one(docs).count() == 40
+
+
+def test_keep_one_equals_brute_jaccard(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    sets = {k: set(simhash.shingle_hashes(t, 5).tolist()) for k, t in text.items()}
+    component = brute_components(sorted(sets), lambda a, b: sets[a] == sets[b] or bool(sets[a] and sets[b]) and jaccard(sets[a], sets[b]) >= 0.8)
+    assert {r.doc_id for r in simhash.keep_one(docs).collect()} == set(component.values())
+
+
 # 2 Exact dedup
 
 
