@@ -4,11 +4,12 @@ One pass measures each whole text: word and line counts for the base rules, and
 vocabularies take it: characters per token and token entropy under a byte-level BPE, and the share
 of bytes in characters that a piece vocabulary has only as byte fallback. Bands of these three
 measures are laid over the corpus per language (or script, where no language is given) and length
-class: median plus or minus ``width`` scaled median deviations, from exact counts over all documents
-that pass the base rules. A document outside its band is rejected.
+class: median plus or minus ``width`` scaled median deviations, from exact counts over all different
+texts that pass the base rules; copies of a text count once, so that a group of copies doesn't make
+the band. A document outside its band is rejected.
 
 Defined results: a null or wordless text has no words and fails the base rules; a null language
-falls back to the text's main script; classes with fewer than ``least`` documents take the band of
+falls back to the text's main script; classes with fewer than ``least`` different texts take the band of
 their language, or of the whole corpus; repeated rows get equal verdicts; an empty table gives an
 empty result. Work columns start with ``_q_``.
 """
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,24 +100,29 @@ def measures(text: str | None, bpe: str, characters: frozenset[str]) -> tuple:
     )
 
 
+def digest(text: str | None) -> bytes:
+    """A 128-bit hash of the whole text, each run of white space as one space."""
+    return xxhash.xxh3_128_digest(b" ".join((text or "").encode("utf-8", "surrogatepass").split()))
+
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens")
 
 
 def measured(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", bpe: str | None = None, pieces: str | None = None) -> DataFrame:
-    """``docs`` with ``_q_``: the counts and measures of each text, and its language or script."""
+    """``docs`` with ``_q_``: the counts and measures of each text, its language or script, and a digest of its words."""
     bpe = bpe or vocab.vocabulary_path("byte_bpe_50k.tiktoken")
     pieces = pieces or vocab.vocabulary_path("piece_bpe_32k.model")
-    fields = [f"{c} long" for c in COUNTS] + [f"{c} double" for c in MEASURES] + ["kind string"]
+    fields = [f"{c} long" for c in COUNTS] + [f"{c} double" for c in MEASURES] + ["kind string", "digest binary"]
 
     @F.pandas_udf(", ".join(fields))
     def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         characters = vocab.piece_characters(pieces)
         for texts, langs in batches:
             rows = [
-                (*measures(t, bpe, characters), lang if lang is not None else main_script(t or ""))
+                (*measures(t, bpe, characters), lang if lang is not None else main_script(t or ""), digest(t))
                 for t, lang in zip(texts, langs, strict=True)
             ]
-            yield pd.DataFrame(rows, columns=[*COUNTS, *MEASURES, "kind"])
+            yield pd.DataFrame(rows, columns=[*COUNTS, *MEASURES, "kind", "digest"])
 
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
     return bounded(docs).withColumn("_q_", measure(F.col(text_col), lang))
@@ -142,11 +149,12 @@ def _median(counted: DataFrame, keys: list[str], value: str, name: str) -> DataF
 def bands(found: DataFrame, width: float = 6.0) -> DataFrame:
     """(kind, class, measure, docs, low, high); class -1: any length, kind '*': any language or script.
 
-    Counts by bin first: what the medians are taken from is at most bins by kinds by classes.
+    Each different text counts once. Counts by bin first: what the medians are taken from is at most bins by kinds by classes.
     """
-    good = found.where(~base_failed()).select(
-        F.col("_q_.kind").alias("kind"), length_class().alias("class"),
-        F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(f"_q_.{m}") * BINS).cast("long").alias("bin")) for m in MEASURES])).alias("x"),
+    once = found.where(~base_failed()).groupBy(F.col("_q_.kind").alias("kind"), length_class().alias("class"), F.col("_q_.digest").alias("digest")).agg(
+        F.min(F.struct(*[F.round(F.col(f"_q_.{m}") * BINS).cast("long").alias(m) for m in MEASURES])).alias("bins"))
+    good = once.select(
+        "kind", "class", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(f"bins.{m}").alias("bin")) for m in MEASURES])).alias("x"),
     ).groupBy("kind", "class", "x.measure", "x.bin").agg(F.count(F.lit(1)).alias("n"))
     good = written(good, "quality-counts")
     levels = good.unionByName(good.withColumn("class", F.lit(-1))).unionByName(good.withColumn("class", F.lit(-1)).withColumn("kind", F.lit("*")))

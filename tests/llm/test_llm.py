@@ -290,6 +290,18 @@ def test_quality_measures_and_bands(spark, sf, texts, duck):
         assert r.n_tokens == len(ids) and abs(r.entropy + sum(c / len(ids) * np.log2(c / len(ids)) for c in n.values())) < 1e-9
 
 
+def test_copies_count_once_in_bands(spark):
+    rng = np.random.default_rng(1)
+    usual = "the house stands near river where people often walk with their children after work and look at water".split()
+    clean = [" ".join(rng.choice(usual, 80)) for _ in range(60)]
+    junk = " ".join(f"q{c}{d}z" for c in "xvkj" for d in "wpfgb")
+    rows = [(i, t, "en") for i, t in enumerate([*clean, *[junk] * 200])]
+    found = quality.measured(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = {r.doc_id: (r._q_base_failed, r._q_kept, r.c) for r in quality.judged(found.localCheckpoint()).withColumn("c", quality.length_class()).collect()}
+    assert {x[2] for x in got.values()} == {6} and not any(x[0] for x in got.values())
+    assert all(got[i][1] for i in range(60)) and not any(got[i][1] for i in range(60, 260))
+
+
 def test_script_and_fallback():
     assert [quality.main_script(t) for t in ("Straße", "текст", "中文字")] == ["latin", "cyrillic", "han"]
     assert quality.main_script("текст abc") == "cyrillic" and quality.main_script("日本語の ことば") in ("kana", "han")
