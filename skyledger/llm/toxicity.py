@@ -29,9 +29,9 @@ from skyledger.llm.batches import bounded
 from skyledger.sources.shared import written
 
 #: Nearest examples that vote; examples of each label, terms and block length of the index at most.
-NEAREST, EXAMPLES, TERMS, BLOCK = 15, 4_096, 32_768, 64
-#: Blocks scored first; examples whose leave-one-out votes fit the curve.
-FIRST_BLOCKS, CALIBRATED = 4, 2_048
+NEAREST, EXAMPLES, TERMS, BLOCK = 15, 8_192, 32_768, 64
+#: Blocks scored first.
+FIRST_BLOCKS = 4
 #: Texts of label 1 a term must be in, standard errors by which it must be more frequent there, and least share of
 #: label 1 among the texts with it; for word beginnings, which say less, a higher share.
 LEAST_TEXTS, LEAST_Z, LEAST_SHARE, LEAST_SHARE_BEGINNING = 4, 5.0, 0.5, 0.85
@@ -232,7 +232,7 @@ def train(labelled: DataFrame, examples: int = EXAMPLES) -> Index:
         blocks, start = np.unique(index.example[own] // BLOCK, return_index=True)
         index.most.append((blocks, np.maximum.reduceat(index.weight[own], start) if len(start) else np.zeros(0)))
     votes, labels, weights = [], [], []
-    for i in range(min(len(rows), CALIBRATED)):
+    for i in range(len(rows)):
         x = dict(zip((int(t) for t in rows["at"][i]), rows["w"][i], strict=True))
         near, cosine = index.nearest(x, but=i)
         if len(near):

@@ -542,6 +542,14 @@ def test_toxicity_held_out(spark, duck, sf):
     assert caught >= 0.6 and wrong <= 0.03
 
 
+def test_all_examples_fit_the_curve(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(toxicity, "platt", lambda vote, label, weight: fitted.append(len(vote)) or (0.0, 1.0))
+    rows = [(i, f"vile w{i % 50}" if i < 2400 else f"calm w{i % 50}", int(i < 1300)) for i in range(4000)]
+    index = toxicity.train(spark.createDataFrame(rows, "id long, text string, label int"))
+    assert len(index.ids) == 2400 and fitted == [2400] and toxicity.EXAMPLES == 8192
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(4)
     terms, n = 12, 700
