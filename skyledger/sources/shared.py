@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a side may be broadcast; beyond it the join is left to shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes up to which a side may be broadcast; beyond either the join is left to shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+#: Parts that the rows of one key are dealt to where a lookup is too large to broadcast.
+SALTS = 64
+_scratch: list[list[str]] = []
 
 
 @cache
@@ -21,10 +26,32 @@ def _own_folder() -> str:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new path under ``spark.checkpoint.dir``.
 
-    The cluster names that folder. Only where it is unset (tests, a laptop) a local one is used.
+    The cluster names that folder. Only a session that is a single process (tests, a laptop) may do without:
+    there a local folder is shared by driver and executors. On a cluster without the setting this is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    return f"{root.rstrip('/')}/skyledger/{label}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = _own_folder()
+    path = f"{root.rstrip('/')}/skyledger/{label}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the work tables made inside when it ends; what is to stay must have been written elsewhere by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        jvm = spark._jvm
+        for path in _scratch.pop():
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -34,12 +61,33 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``rows`` rows and about ``size`` bytes; reads no more than a few more rows than that."""
+    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)) if t in ("string", "binary") else F.lit(16) for c, t in df.dtypes], F.lit(16))
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return found["rows"] <= rows and (found["bytes"] or 0) <= size
+
+
 def small_or_shuffled(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is (a shuffle join).
+    """``df`` with a broadcast hint if it is small, else as it is (a shuffle join).
 
     ``df`` should be cheap to read twice (a written table) and narrow.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if is_small(df, rows) else df
+
+
+def looked_up(rows: DataFrame, side: DataFrame, on: dict[str, Column], how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``side`` whose key columns equal the expressions ``on`` (nulls are equal); the key columns go.
+
+    ``side`` has one row for each key and is a written table. If it is small it is broadcast and ``rows`` stay where
+    they are. Else each key is salted, so that a key with very many rows is dealt to many tasks.
+    """
+    met = lambda: reduce(lambda a, b: a & b, [value.eqNullSafe(F.col(key)) for key, value in on.items()])
+    if is_small(side):
+        return rows.join(F.broadcast(side), met(), how).drop(*on)
+    salted = side.withColumn("_salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, met() & (F.col("_salt") == F.col("_salt_of")), how).drop("_salt", "_salt_of", *on)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
