@@ -5,9 +5,13 @@ times its words; what it can't give is shared again by weight), the rate of a so
 words, and a document is taken floor(rate) times plus once more with the fraction's probability,
 drawn from a hash of seed and id, so that reruns agree.
 
+The targets are one row per source. They are looked up by each document where it is: no text is
+moved by its source, however many documents have the same one.
+
 Defined results: a null text has no words and is taken like any other (its copies weigh nothing);
 a null source is a source of its own and comes last; rows that repeat an id share its draw; an
-empty table gives an empty result. Work columns start with ``_mx_`` and can't clash.
+empty table gives an empty result. ``mix`` adds the columns named in WORK, in place of input columns
+of these names; ``emit`` returns every input column, whatever its name.
 """
 
 from __future__ import annotations
@@ -15,9 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.sources.shared import looked_up, written
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights by the rank of a source, repeating.
 WEIGHTS = (1, 2, 3)
+WORK = ("_mx_size", "_mx_source_size", "_mx_target", "_mx_rate", "_mx_copies")
 
 
 def n_words(text: Column) -> Column:
@@ -60,29 +67,34 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, most:
     return rest.select("source", "source_size", target.alias("target"))
 
 
+def rates(docs: DataFrame, text_col: str, source_col: str, weights: tuple[int, ...], most: int) -> DataFrame:
+    """(_mx_source, _mx_source_size, _mx_target, _mx_rate) as a written table, one row per source."""
+    totals = docs.select(F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    return written(source_targets(totals, weights, most).select(
+        F.col("source").alias("_mx_source"), F.col("source_size").alias("_mx_source_size"), F.col("target").alias("_mx_target"), rate.alias("_mx_rate")), "mix-rates")
+
+
+def _copies(seed: str, key: Column) -> Column:
+    whole = F.floor("_mx_rate")
+    return (whole + (draw(seed, key) < F.col("_mx_rate") - whole).cast("int")).cast("int")
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: str = "mix",
 ) -> DataFrame:
     """``docs`` with _mx_size, _mx_source_size, _mx_target, _mx_rate and _mx_copies."""
-    sized = docs.withColumn("_mx_size", n_words(F.col(text_col)))
-    totals = docs.select(F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size")).groupBy("source").agg(
-        F.sum("size").alias("source_size")
-    )
-    targets = source_targets(totals, weights, most).select(
-        F.col("source").alias("_mx_source"), F.col("source_size").alias("_mx_source_size"), F.col("target").alias("_mx_target")
-    )
-    rate = F.when(F.col("_mx_source_size") > 0, F.col("_mx_target") / F.col("_mx_source_size")).otherwise(F.lit(0.0))
-    extra = (draw(seed, F.col(id_col)) < F.col("_mx_rate") - F.floor("_mx_rate")).cast("int")
-    return (
-        sized.join(targets, F.col(source_col).eqNullSafe(F.col("_mx_source"))).drop("_mx_source")
-        .withColumn("_mx_rate", rate)
-        .withColumn("_mx_copies", (F.floor("_mx_rate") + extra).cast("int"))
-    )
+    plain = docs.drop(*[c for c in WORK if c in docs.columns])
+    found = looked_up(plain.withColumn("_mx_size", n_words(F.col(text_col))), rates(docs, text_col, source_col, weights, most), {"_mx_source": F.col(source_col)})
+    return found.withColumn("_mx_copies", _copies(seed, F.col(id_col)))
 
 
-def emit(mixed: DataFrame) -> DataFrame:
-    """Each document as often as the mix takes it, without the work columns."""
-    columns = [F.col(f"`{c}`") for c in mixed.columns if not c.startswith("_mx_")]
-    copies = F.explode(F.array_repeat(F.lit(1), F.col("_mx_copies"))).alias("_mx_copy")
-    return mixed.select(*columns, copies).drop("_mx_copy")
+def emit(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: str = "mix",
+) -> DataFrame:
+    """Each row of ``docs`` as often as the mix takes it; columns as they were."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = looked_up(whole, rates(docs, text_col, source_col, weights, most), {"_mx_source": F.col("row")[source_col]})
+    return found.select("row", F.explode(F.array_repeat(F.lit(1), _copies(seed, F.col("row")[id_col])))).select("row.*")
