@@ -2,16 +2,20 @@
 
 One pass measures each whole text: word and line counts for the base rules, and how public
 vocabularies take it: characters per token and token entropy under a byte-level BPE, and the share
-of bytes in characters that a piece vocabulary has only as byte fallback. Bands of these three
+of bytes that a piece vocabulary, tokenising the whole text, falls back to. Bands of these three
 measures are laid over the corpus per language (or script, where no language is given) and length
 class: median plus or minus ``width`` scaled median deviations, from exact counts over all different
 texts that pass the base rules; copies of a text count once, so that a group of copies doesn't make
 the band. A document outside its band is rejected.
 
+Bands are one row per language and length class. Each document looks its band up where it is: no
+text is moved by its language, however many documents have the same one.
+
 Defined results: a null or wordless text has no words and fails the base rules; a null language
 falls back to the text's main script; classes with fewer than ``least`` different texts take the band of
 their language, or of the whole corpus; repeated rows get equal verdicts; an empty table gives an
-empty result. Work columns start with ``_q_``.
+empty result. ``measured`` and ``judged`` add the columns named in WORK, in place of input columns of
+these names; ``keep_good`` returns every input column, whatever its name.
 """
 
 from __future__ import annotations
@@ -26,11 +30,12 @@ from pyspark.sql import functions as F
 
 from skyledger.llm import vocab
 from skyledger.llm.batches import bounded
-from skyledger.sources.shared import written
+from skyledger.sources.shared import looked_up, written
 
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 REPEAT = 8
+WORK = ("_q_", "_q_base_failed", "_q_kept")
 MEASURES = ("chars_per_token", "fallback_share", "entropy")
 #: Bins per unit in which the measures are counted.
 BINS = 200
@@ -81,7 +86,7 @@ def repeated_words(words: list[bytes], window: int = REPEAT) -> int:
     return int((np.cumsum(change[:-1]) > 0).sum())
 
 
-def measures(text: str | None, bpe: str, characters: frozenset[str]) -> tuple:
+def measures(text: str | None, bpe: str, pieces: str) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_tokens and the three MEASURES."""
     text = text or ""
     raw = text.encode("utf-8", "surrogatepass")
@@ -92,11 +97,10 @@ def measures(text: str | None, bpe: str, characters: frozenset[str]) -> tuple:
     if len(ids):
         n = np.unique(ids, return_counts=True)[1]
         entropy = float(np.log2(len(ids)) - (n * np.log2(n)).sum() / len(ids))
-    strange = 0 if text.isascii() else sum(text.count(c) * len(c.encode("utf-8", "surrogatepass")) for c in set(text) - characters if c not in " \t\n\x0b\x0c\r")
     return (
         len(words), len(text) - (len(raw) - len(raw.translate(None, SPACES))), len(raw) - len(raw.translate(None, SYMBOLS)),
         len(lines) - len(set(lines)), repeated_words(words), len(ids),
-        len(text) / len(ids) if len(ids) else 0.0, strange / len(raw) if raw else 0.0, entropy,
+        len(text) / len(ids) if len(ids) else 0.0, min(1.0, vocab.fallback_bytes(pieces, text) / len(raw)) if raw else 0.0, entropy,
     )
 
 
@@ -116,10 +120,9 @@ def measured(docs: DataFrame, text_col: str = "text", lang_col: str | None = "la
 
     @F.pandas_udf(", ".join(fields))
     def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        characters = vocab.piece_characters(pieces)
         for texts, langs in batches:
             rows = [
-                (*measures(t, bpe, characters), lang if lang is not None else main_script(t or ""), digest(t))
+                (*measures(t, bpe, pieces), lang if lang is not None else main_script(t or ""), digest(t))
                 for t, lang in zip(texts, langs, strict=True)
             ]
             yield pd.DataFrame(rows, columns=[*COUNTS, *MEASURES, "kind", "digest"])
@@ -179,28 +182,26 @@ def bands(found: DataFrame, width: float = 6.0) -> DataFrame:
 
 def judged(found: DataFrame, width: float = 6.0, least: int = 30) -> DataFrame:
     """``found`` (a written table with ``_q_``) with _q_base_failed and _q_kept."""
-    limits = bands(found, width)
+    limits = written(bands(found, width), "quality-bands")
     pivot = lambda rows, keys: rows.groupBy(*keys).agg(
         *[F.max(F.when(F.col("measure") == m, F.struct("low", "high"))).alias(m) for m in MEASURES]
     )
     enough = limits.where(F.col("docs") >= least)
-    exact = pivot(enough.where("class >= 0"), ["kind", "class"]).select(
-        F.col("kind").alias("_q_k1"), F.col("class").alias("_q_c1"), F.struct(*MEASURES).alias("_q_b1"))
-    kind = pivot(enough.where("class = -1 and kind <> '*'"), ["kind"]).select(F.col("kind").alias("_q_k2"), F.struct(*MEASURES).alias("_q_b2"))
-    every = pivot(limits.where("kind = '*'"), ["kind"]).select(F.struct(*MEASURES).alias("_q_b3"))
-    placed = (
-        found.join(exact, (F.col("_q_.kind") == F.col("_q_k1")) & (length_class() == F.col("_q_c1")), "left")
-        .join(kind, F.col("_q_.kind") == F.col("_q_k2"), "left").join(F.broadcast(every.limit(1)), F.lit(True), "left")
-    )
+    exact = written(pivot(enough.where("class >= 0"), ["kind", "class"]).select(
+        F.col("kind").alias("_q_k1"), F.col("class").alias("_q_c1"), F.struct(*MEASURES).alias("_q_b1")), "quality-bands")
+    kind = written(pivot(enough.where("class = -1 and kind <> '*'"), ["kind"]).select(F.col("kind").alias("_q_k2"), F.struct(*MEASURES).alias("_q_b2")), "quality-bands")
+    every = written(pivot(limits.where("kind = '*'"), ["kind"]).select(F.col("kind").alias("_q_k3"), F.struct(*MEASURES).alias("_q_b3")), "quality-bands")
+    placed = looked_up(found, exact, {"_q_k1": F.col("_q_.kind"), "_q_c1": length_class()}, "left")
+    placed = looked_up(looked_up(placed, kind, {"_q_k2": F.col("_q_.kind")}, "left"), every, {"_q_k3": F.lit("*")}, "left")
     band = F.coalesce("_q_b1", "_q_b2", "_q_b3")
     within = F.lit(True)
     for m in MEASURES:
         within &= F.coalesce(F.col(f"_q_.{m}").between(band[m]["low"], band[m]["high"]), F.lit(True))
-    return placed.withColumn("_q_base_failed", base_failed()).withColumn("_q_kept", ~base_failed() & within).drop(
-        "_q_k1", "_q_c1", "_q_b1", "_q_k2", "_q_b2", "_q_b3")
+    return placed.withColumn("_q_base_failed", base_failed()).withColumn("_q_kept", ~base_failed() & within).drop("_q_b1", "_q_b2", "_q_b3")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` without the rejected rows; columns as they were."""
-    found = written(measured(docs, text_col, lang_col), "quality-docs")
-    return judged(found).where("_q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    found = written(measured(whole).select("row", "_q_"), "quality-docs")
+    return judged(found).where("_q_kept").select("row.*")

@@ -33,10 +33,17 @@ def encode(path: str, text: str | None) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def piece_characters(path: str) -> frozenset[str]:
-    """Characters that the piece vocabulary holds as they are; any other falls back to its bytes."""
+def pieces(path: str):
+    """The piece vocabulary, and which of its ids stand for a single byte."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    ids = range(model.get_piece_size())
-    return frozenset(c for i in ids if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i)) for c in model.id_to_piece(i))
+    return model, np.array([model.is_byte(i) for i in range(model.get_piece_size())])
+
+
+def fallback_bytes(path: str, text: str) -> int:
+    """Bytes that the piece vocabulary has no piece for, from tokenising the whole text."""
+    model, is_byte = pieces(path)
+    # A lone surrogate is no text for this tokenizer; it stands for a character that no vocabulary has.
+    ids = model.encode(text.encode("utf-8", "replace").decode("utf-8"))
+    return int(is_byte[np.asarray(ids, np.int64)].sum()) if ids else 0
