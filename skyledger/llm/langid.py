@@ -1,14 +1,18 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Document frequencies are counted over every training text. The classifier is fitted by
-follow-the-regularised-leader (FTRL-proximal, elastic net) on at most ``per_language`` labelled rows
-of each language, those with the smallest hash of their identifier; a fifth of these is set aside to
-fit the temperature that calibrates the probabilities. The model (buckets x languages) is bounded.
+Document frequencies are counted over every text that has a label. The classifier is fitted by
+follow-the-regularised-leader (FTRL-proximal, elastic net) on a bounded sample of the labelled rows:
+at most ``per_language`` of each language and ``rows`` in all, those with the smallest hash of
+identifier and text, of which equal ones count once. A hash threshold for each language, from its count,
+picks them in the scan, so that no language is gathered whole. A fifth of the sample is set aside to
+fit the temperature that calibrates the probabilities. N-grams are hashed to BUCKETS, where different ones
+may share a weight; the model (buckets x languages) is bounded.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; so is every text where
 there is nothing to learn from; rows with a null or empty label aren't learned from; ties go to the
 language first in code point order; repeated rows get equal results; an empty table gives an empty
-result; other columns pass through. Work columns are ``_li_lang`` and ``_li_score``.
+result; other columns pass through. ``identify`` adds ``_li_lang`` and ``_li_score``, in place of input
+columns of these names.
 """
 
 from __future__ import annotations
@@ -18,13 +22,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.batches import bounded
+from skyledger.sources.shared import looked_up, written
 
-#: Buckets the n-grams are hashed to, n-gram lengths, rows a language is learned from at most.
-BUCKETS, ORDERS, PER_LANGUAGE = 1 << 16, (1, 2, 3), 512
+#: Buckets the n-grams are hashed to, n-gram lengths, rows a language and all languages are learned from at most.
+BUCKETS, ORDERS, PER_LANGUAGE, ROWS = 1 << 16, (1, 2, 3), 512, 16_384
 UNDETERMINED = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.ones(1 << 16, bool)
@@ -131,23 +136,42 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return df, int(rows.loc[rows["bucket"] < 0, "n"].sum())
 
 
-def train(docs: DataFrame, key: Column, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
+def sampled(labelled: DataFrame, per_language: int, rows: int) -> DataFrame:
+    """(lang, h, text): the rows of (text, lang, h) with the smallest hashes of each language, at most as many as given.
+
+    What a language's threshold lets through is a few standard deviations more than wanted, whatever the table's size.
+    """
+    counts = written(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-counts")
+    wanted = max(1, min(per_language, rows // max(1, counts.count())))
+    share = (wanted + 8 * wanted**0.5 + 16) / F.col("n")
+    few = written(counts.select(F.col("lang").alias("_of"), F.least(share, F.lit(1.0)).alias("share")), "langid-shares")
+    place = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))  # uniform in [0, 1)
+    near = looked_up(labelled, few, {"_of": F.col("lang")}).where(place < F.col("share")).select("lang", "h", "text")
+    # Equal rows have equal hashes and count once; what is gathered of a language is bounded by now.
+    near = written(near.groupBy("lang", "h").agg(F.min("text").alias("text")), "langid-near")
+    ends = near.select("lang", "h").groupBy("lang").agg(F.sort_array(F.collect_list(F.shiftrightunsigned("h", 1))).alias("hs"))
+    end = ends.select(F.col("lang").alias("_of"), F.element_at("hs", F.least(F.size("hs"), F.lit(wanted))).alias("end"))
+    return looked_up(near, written(end, "langid-ends"), {"_of": F.col("lang")}).where(F.shiftrightunsigned("h", 1) <= F.col("end")).drop("end")
+
+
+def train(docs: DataFrame, key: Column, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, rows: int = ROWS) -> Model:
     """A model of the rows of ``docs`` with a label; ``key`` orders the rows of a language by its hash."""
-    labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(key).alias("h")).where(
+    labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(key, F.col(text_col)).alias("h")).where(
         "lang is not null and lang <> '' and text is not null"
     )
-    df, n = document_frequencies(docs.select(F.col(text_col).alias("text")))
-    first = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
-    sample = labelled.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_language)
+    df, n = document_frequencies(labelled.select("text"))
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[[has_letter(t) for t in batch["text"]]]
             found = [features(t) for t in batch["text"]]
-            yield pd.DataFrame({"lang": batch["lang"], "rank": batch["rank"], "found": [a for a, _ in found], "count": [c for _, c in found]})
+            yield pd.DataFrame({"lang": batch["lang"], "h": batch["h"], "found": [a for a, _ in found], "count": [c for _, c in found]})
 
-    rows = sample.select("lang", "rank", "text").mapInPandas(featured, "lang string, rank int, found array<int>, count array<long>").toPandas()
-    rows = rows.sort_values(["rank", "lang"], ignore_index=True)
+    found = sampled(labelled, per_language, rows).mapInPandas(featured, "lang string, h long, found array<int>, count array<long>").toPandas()
+    found["h"] = found["h"].to_numpy(np.int64).view(np.uint64)
+    found = found.sort_values(["lang", "h"], ignore_index=True)
+    found["rank"] = found.groupby("lang").cumcount() + 1
+    rows = found.sort_values(["rank", "lang"], ignore_index=True)
     languages = sorted(set(rows["lang"]), key=lambda x: x.encode())
     idf = np.log((1 + n) / (1 + df)) + 1
     if not languages:
@@ -169,5 +193,6 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shared_model.value.predict(t) for t in texts], columns=["lang", "score"])
 
-    found = docs.withColumn("_li_", predict(F.col(text_col)))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_li_.lang").alias("_li_lang"), F.col("_li_.score").alias("_li_score"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("_li_lang", "_li_score")]
+    found = bounded(docs).select(F.struct(*others).alias("row"), predict(F.col(text_col)).alias("found"))
+    return found.select("row.*", F.col("found.lang").alias("_li_lang"), F.col("found.score").alias("_li_score"))
