@@ -1,17 +1,20 @@
 """Secret scan with a trigram inverted index.
 
 From each rule's regular expression a Boolean query of trigrams is derived that every match must
-satisfy. The texts are indexed in shards of a few hundred rows: for each trigram that some query
-mentions, the rows that contain it (as a bitmap). Queries are answered by intersecting and uniting
-postings, and only the candidates are verified with the expression; a rule without mandatory
-trigrams scans every text of the shard. Index, query and verification of a shard are one step over
-the whole text, so nothing is shuffled and a lost task only repeats its shard.
+satisfy. The texts are indexed in shards of a few hundred rows: one pass over a text's trigrams gives
+those that some query mentions, and their postings are the rows that contain them (as a bitmap). Queries
+are answered by intersecting and uniting postings, and only the candidates are verified with the
+expression; a rule without mandatory trigrams scans every text of the shard. Index, query and
+verification of a shard are one step over the whole text, so nothing is shuffled and a lost task only
+repeats its shard. All rules share a shard's index; ``postings`` keeps it as a table for further runs, and
+``candidates`` answers a rule from that table without reading a text.
 
 Spans are code points, end exclusive, leftmost and non-overlapping per rule; a match that a rule's
 check refuses is dropped without another try.
 
 Defined results: a null text counts as empty and has no spans; repeated rows are each scanned; an
-empty table gives an empty result; other columns pass through. The span column is ``_sec_spans``.
+empty table gives an empty result; other columns pass through. The span column is ``_sec_spans``, in
+place of an input column of this name.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ import math
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from re import _constants as op
 from re import _parser as parser
 
@@ -54,7 +58,7 @@ class Rule:
 BASE = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", least=12, group=2, flags=re.ASCII),
     Rule("access", r"AKIA[A-Z0-9]+", least=18),
-    Rule("hex", r"[0-9a-f]{16,}", least=16),
+    Rule("hex", r"[0-9a-f]+", least=16),
 )
 #: Fixed patterns: published token formats of well-known services, and free-standing random strings.
 MORE = (
@@ -164,13 +168,40 @@ def answer(query: Query, postings: dict[str, np.ndarray], rows: int) -> np.ndarr
     return np.logical_and.reduce(parts) if query[0] == "and" else np.logical_or.reduce(parts)
 
 
-def index(texts: list[str], grams: set[str]) -> dict[str, np.ndarray]:
-    """Postings of the given trigrams: for each, the rows whose lower-cased text contains it."""
-    low = [t.lower() for t in texts]
-    return {g: np.fromiter((g in t for t in low), bool, len(low)) for g in sorted(grams)}
+class Grams:
+    """The trigrams that some query mentions, numbered; found in a text by one pass over its bytes.
 
+    Trigrams of other than ASCII characters are left out: a query that needs one is true for all texts.
+    """
 
-_HEX = bytes(ord("x") if chr(i) in "0123456789abcdef" else ord(" ") for i in range(256))
+    def __init__(self, grams: set[str]):
+        self.names = sorted(grams)
+        self.number = np.full(1 << 21, -1, np.int32)
+        for i, g in enumerate(self.names):
+            a, b, c = g.encode("ascii")
+            self.number[(a << 14) | (b << 7) | c] = i
+
+    def of(self, text: str) -> np.ndarray:
+        """Numbers of the wanted trigrams in the lower-cased text."""
+        data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
+        if len(data) < 3:
+            return np.zeros(0, np.int32)
+        low = (data & 127).astype(np.int32)
+        code = (low[:-2] << 14) | (low[1:-1] << 7) | low[2:]
+        found = self.number[code]
+        at = np.flatnonzero(found >= 0)
+        if len(at) and not text.isascii():
+            wide = data >= 128
+            at = at[~(wide[at] | wide[at + 1] | wide[at + 2])]
+        return np.unique(found[at])
+
+
+def index(texts: list[str], grams: Grams) -> dict[str, np.ndarray]:
+    """Postings of the wanted trigrams: for each, the rows whose lower-cased text contains it."""
+    table = np.zeros((len(grams.names), len(texts)), bool)
+    for row, text in enumerate(texts):
+        table[grams.of(text), row] = True
+    return dict(zip(grams.names, table, strict=True))
 
 
 def matches(rule: Rule, text: str) -> Iterator[tuple[int, int]]:
@@ -179,26 +210,29 @@ def matches(rule: Rule, text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
-def scan_shard(texts: list[str], rules: tuple[Rule, ...], queries: list[Query], grams: set[str]) -> list[list[tuple[int, str, int]]]:
+def scan_shard(texts: list[str], rules: tuple[Rule, ...], queries: list[Query], grams: Grams) -> list[list[tuple[int, str, int]]]:
     """(start, kind, end) of each text, by start and then by the order of the rules."""
-    postings = index(texts, grams)
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    held = index(texts, grams)
     for k, (rule, query) in enumerate(zip(rules, queries, strict=True)):
-        for row in np.flatnonzero(answer(query, postings, len(texts))).tolist():
-            text = texts[row]
-            if rule.pattern == BASE[2].pattern and b"x" * rule.least not in text.encode("utf-8", "replace").translate(_HEX):
-                continue  # the full scan of this rule is a look for a run long enough
-            found[row] += [(start, k, end) for start, end in matches(rule, text)]
+        for row in np.flatnonzero(answer(query, held, len(texts))).tolist():
+            found[row] += [(start, k, end) for start, end in matches(rule, texts[row])]
     return [[(start, rules[k].kind, end) for start, k, end in sorted(x)] for x in found]
 
 
+def queries_of(rules: tuple[Rule, ...]) -> tuple[list[Query], set[str]]:
+    """Each rule's query, and all their trigrams."""
+    queries = [q if all(map(str.isascii, trigrams_of(q))) else True for q in (trigram_query(r.pattern) for r in rules)]
+    return queries, set().union(*map(trigrams_of, queries))
+
+
 def scan(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with ``_sec_spans``: array of (kind, start, end)."""
-    queries = [trigram_query(r.pattern) for r in rules]
-    grams = set().union(*map(trigrams_of, queries))
+    queries, wanted = queries_of(rules)
 
     @F.pandas_udf("array<struct<kind string, start long, end long>>")
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        grams = Grams(wanted)
         for batch in batches:
             texts = [t or "" for t in batch]
             out: list = []
@@ -210,3 +244,40 @@ def scan(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
             yield pd.Series(out, dtype=object)
 
     return bounded(docs).withColumn("_sec_spans", spans(F.col(text_col)))
+
+
+def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The index as a table (gram, shard, ids): the ids of a shard's texts that contain the trigram, for the rules' trigrams.
+
+    A shard is a batch of texts of one task, so a posting is bounded however frequent its trigram is.
+    """
+    wanted = queries_of(rules)[1]
+    ids = docs.schema[id_col].dataType.simpleString()
+
+    def indexed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grams = Grams(wanted)
+        for batch in batches:
+            for at in range(0, len(batch), SHARD):
+                part = batch.iloc[at : at + SHARD]
+                key = part["id"].to_numpy(object)
+                held = index([t or "" for t in part["text"]], grams)
+                some = [(g, str(part["place"].iloc[0]), key[rows].tolist()) for g, rows in held.items() if rows.any()]
+                yield pd.DataFrame(some, columns=["gram", "shard", "ids"])
+
+    source = bounded(docs).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("place"))
+    return source.mapInPandas(indexed, "gram string, shard string, ids array<string>").withColumn("ids", F.col("ids").cast(f"array<{ids}>"))
+
+
+def candidates(held: DataFrame, rule: Rule) -> DataFrame | None:
+    """(id) of the texts that may have a match, from the table of ``postings``; None where every text may."""
+    query = queries_of((rule,))[0][0]
+    if query is True:
+        return None
+
+    def of(q: Query) -> DataFrame:
+        if isinstance(q, str):
+            return held.where(F.col("gram") == q).select(F.explode("ids").alias("id"))
+        parts = [of(p) for p in q[1:]]
+        return reduce(DataFrame.intersect if q[0] == "and" else DataFrame.union, parts)
+
+    return of(query).distinct()
