@@ -1,22 +1,33 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-The terms are the words and word beginnings that come significantly more often in texts labelled 1,
-counted over all labelled texts, of which equal ones count once. Labelled texts that hold such a term, at most ``examples`` of each label (those with
-the smallest hash of their identifier), are the examples; a block-max inverted index over them finds
-the exact nearest ones: blocks of examples are scored in order of their upper bound until none can
-hold a nearer one. Votes are weighted by similarity and by how many labelled texts an example
-stands for; a logistic curve fitted to leave-one-out votes turns the vote into a probability. Texts
-without any term get the share of label 1 among the labelled texts without any.
-
-Defined results: a null, empty or wordless text is a text without terms; labels that are null are
-not learned from, and of several labels of one id each counts; ties between examples go to the one
-first in the index; with nothing to learn from every score is 0; repeated rows get equal scores; an
-empty table gives an empty result; other columns pass through. Work columns are ``_tx_score`` and
-``_tx_evidence`` (identifiers of the nearest examples, as text, nearest first).
+Every word of a text counts. Document frequencies come from all labelled texts, of which equal ones count
+once. A word's weight is tf x idf x relevance, where relevance is log2(2 + texts of label 1 / texts of label 0
+with the word), a published supervised term weight: without it the many common words of long texts drown the
+few that matter (the README has both recalls). It is 1 for a word that only label 0 has and rises without a
+threshold, so no word is left out.
+
+The examples are a bounded sample of the labelled texts: at most ``examples`` of each label, those with the
+smallest hash of their text. The vocabulary is all words of the examples; a word that no example holds can't
+add to any cosine. A block-max inverted index over the examples finds the exact nearest ones: frequent
+words have their largest weight in every block of examples, rare words are added up from their postings, and
+both together bound what an example of a block can reach. Blocks are scored whole only where that bound
+reaches the k-th nearest. Examples are laid out by recursive halving along leading directions, so that
+blocks hold like texts and the bounds are tight.
+
+Votes are weighted by similarity and by how many labelled texts an example stands for; a logistic curve
+fitted to leave-one-out votes of all examples, taken in Spark tasks, turns the vote into a probability.
+
+Defined results: a null, empty or wordless text, or one with no word of an example, gets the share of label 1
+among the labelled texts and no evidence; labels that are null are not learned from, and of several labels
+of one text each counts; ties between examples go to the one first in the index; with nothing to learn
+from every score is 0; repeated rows get equal scores; an empty table gives an empty result; other columns pass
+through. ``rate`` adds ``_tx_score`` and ``_tx_evidence`` (identifiers of the nearest examples, as text,
+nearest first), in place of input columns of these names.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,17 +39,12 @@ from pyspark.sql import functions as F
 from skyledger.llm.batches import bounded
 from skyledger.sources.shared import written
 
-#: Nearest examples that vote; examples of each label, terms and block length of the index at most.
-NEAREST, EXAMPLES, TERMS, BLOCK = 15, 8_192, 32_768, 64
-#: Blocks scored first.
-FIRST_BLOCKS = 4
-#: Texts of label 1 a term must be in, standard errors by which it must be more frequent there, and least share of
-#: label 1 among the texts with it; for word beginnings, which say less, a higher share.
-LEAST_TEXTS, LEAST_Z, LEAST_SHARE, LEAST_SHARE_BEGINNING = 4, 5.0, 0.5, 0.85
-#: Bytes of the word beginnings that are terms of their own, so that an inflected word is known by its stem.
-BEGINNINGS = (4, 5, 6, 7)
-#: Examples of the overall share that a vote starts from.
-PRIOR = 3.0
+#: Nearest examples that vote, examples of each label at most, examples of a block.
+NEAREST, EXAMPLES, BLOCK = 15, 8_192, 64
+#: Blocks scored first; words (the most frequent ones) that have a weight in every block.
+FIRST_BLOCKS, FREQUENT = 6, 256
+#: Weight of the overall share that a vote starts from.
+PRIOR = 0.1
 #: ASCII characters other than letters, digits and apostrophes part words.
 _PART = bytes(i if chr(i).isalnum() or i >= 128 or i == 39 else 32 for i in range(256))
 
@@ -47,81 +53,94 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "surrogatepass").translate(_PART).split()
 
 
-def with_beginnings(word: bytes) -> list[bytes]:
-    return [word, *(word[:n] + b"*" for n in BEGINNINGS if len(word) > n)]
+@dataclass
+class Vocabulary:
+    terms: dict[bytes, int]
+    weight: np.ndarray  # idf x relevance
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, weights) of a text as a unit vector; terms ascending, none if it has no known word."""
+        get = self.terms.get
+        count = [(t, n) for w, n in Counter(words(text)).items() if (t := get(w)) is not None]
+        at = np.fromiter((t for t, _ in count), np.int32, len(count))
+        x = (1 + np.log(np.fromiter((n for _, n in count), float, len(count)))) * self.weight[at]
+        order = np.argsort(at)
+        return at[order], (x[order] / np.sqrt((x * x).sum()) if len(x) else x)
 
 
 @dataclass
 class Index:
-    """Examples (rows of unit TF-IDF vectors) by term, with each term's largest weight in every block."""
+    """Examples (unit vectors) by term. Terms are numbered by falling frequency among the examples."""
 
-    terms: dict[bytes, int]
-    idf: np.ndarray
+    vocabulary: Vocabulary
     labels: np.ndarray
     stands_for: np.ndarray
     ids: list[str]
+    hashes: np.ndarray
     begin: np.ndarray  # by term, into the postings
     example: np.ndarray
     weight: np.ndarray
-    most: list[tuple[np.ndarray, np.ndarray]]  # by term: blocks, largest weights
-    without: float = 0.0
+    base: float = 0.0
     curve: tuple[float, float] = (0.0, 1.0)
-    base: float = field(default=0.0)
+    frequent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # frequent terms x blocks x examples of a block
+    most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # frequent terms x blocks
 
     def __post_init__(self) -> None:
-        self.heads = frozenset(t[:4] for t in self.terms)
-        self.known: dict[tuple, tuple[float, list[str]]] = {}
-
-    def vector(self, text: str | None) -> dict[int, float]:
-        count: dict[int, int] = {}
-        get = self.terms.get
-        heads = self.heads
-        for w in words(text):
-            if w[:4] in heads:
-                for part in with_beginnings(w):
-                    t = get(part)
-                    if t is not None:
-                        count[t] = count.get(t, 0) + 1
-        x = {t: (1 + np.log(n)) * self.idf[t] for t, n in sorted(count.items())}
-        norm = sum(v * v for v in x.values()) ** 0.5
-        return {t: v / norm for t, v in x.items()}
-
-    def _scored(self, x: dict[int, float], open_: np.ndarray) -> np.ndarray:
-        """Cosines of the examples in the open blocks."""
-        score = np.zeros(len(self.labels))
-        for t, v in x.items():
-            own = slice(self.begin[t], self.begin[t + 1])
-            example = self.example[own]
-            at = open_[example // BLOCK]
-            score[example[at]] += v * self.weight[own][at]
-        return score
-
-    def nearest(self, x: dict[int, float], k: int = NEAREST, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest, nearest first, without example ``but``.
-
-        The blocks with the highest bounds give a k-th cosine; then every other block whose bound reaches it is scored.
-        """
-        bound = np.zeros(-(-len(self.labels) // BLOCK))
-        for t, v in x.items():
-            at, most = self.most[t]
-            bound[at] += v * most
-        first = np.zeros(len(bound), bool)
-        first[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
-        score = self._scored(x, first & (bound > 0))
+        n, blocks = min(FREQUENT, len(self.begin) - 1), -(-len(self.labels) // BLOCK)
+        dense = np.zeros((n, blocks * BLOCK))
+        upto = self.begin[n] if n else 0
+        dense[np.repeat(np.arange(n), np.diff(self.begin[: n + 1])), self.example[:upto]] = self.weight[:upto]
+        self.most = dense.reshape(n, blocks, BLOCK).max(axis=2) if n and blocks else np.zeros((n, blocks))
+        self.frequent = dense.reshape(n, blocks, BLOCK)
+        self.place = {(int(h), int(y)): i for i, (h, y) in enumerate(zip(self.hashes, self.labels, strict=True))}
+        self.known: dict[bytes, tuple[float, list[str]]] = {}
+
+    def __getstate__(self) -> dict:
+        """Without what the postings give again."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("frequent", "most", "place", "known")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.__post_init__()
+
+    def nearest(self, at: np.ndarray, x: np.ndarray, k: int = NEAREST, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, cosines) of the k nearest with a cosine above 0, nearest first, without example ``but``."""
+        n = len(self.most)
+        common, blocks = at < n, self.most.shape[1]
+        rare, rare_x = at[~common], x[~common]
+        size = self.begin[rare + 1] - self.begin[rare]
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.begin[rare], size)
+        score = np.bincount(self.example[step], np.repeat(rare_x, size) * self.weight[step], blocks * BLOCK).astype(float, copy=False).reshape(blocks, BLOCK)
         if but >= 0:
-            score[but] = 0
-        least = np.partition(score, len(score) - k)[len(score) - k] if len(score) > k else 0.0
+            score[but // BLOCK, but % BLOCK] = -2.0
+        own, own_x = at[common], x[common]
+        bound = score.max(axis=1) + own_x @ self.most[own]
         # A hair of room for rounding: only a block that can't reach the k-th nearest is left out.
-        rest = ~first & (bound > 0) & (bound >= least - 1e-9)
-        if rest.any():
-            score += self._scored(x, rest)
-            if but >= 0:
-                score[but] = 0
-        found = np.flatnonzero(score > 0)
-        if len(found) > 4 * k:
-            found = found[score[found] >= np.partition(score[found], len(found) - k)[len(found) - k] - 1e-9]
-        found = found[np.lexsort((found, -np.round(score[found], 12)))[:k]]
-        return found, score[found]
+        first = np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]
+        found = [self._whole(first, score, own, own_x)]
+        least = max(np.partition(found[0].ravel(), -k)[-k], 0.0) if found[0].size >= k else 0.0
+        open_ = bound >= max(least - 1e-9, 1e-12)
+        open_[first] = False
+        rest = np.flatnonzero(open_)
+        if len(rest):
+            found.append(self._whole(rest, score, own, own_x))
+        cosine = np.concatenate(found).ravel()
+        example = (np.concatenate([first, rest])[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        if len(cosine) > 4 * k:
+            near = cosine >= np.partition(cosine, -k)[-k] - 1e-9
+            cosine, example = cosine[near], example[near]
+        cosine, example = cosine[cosine > 1e-12], example[cosine > 1e-12]
+        best = np.lexsort((example, -np.round(cosine, 9)))[:k]
+        return example[best], cosine[best]
+
+    def _whole(self, blocks: np.ndarray, score: np.ndarray, own: np.ndarray, own_x: np.ndarray) -> np.ndarray:
+        """Cosines of the examples in the given blocks: what rare words gave and the frequent ones."""
+        if len(blocks) * 4 <= len(score):
+            return score[blocks] + np.tensordot(own_x, self.frequent[own[:, None], blocks[None, :]], (0, 0))
+        score = score.copy()
+        for t, v in zip(own.tolist(), own_x.tolist(), strict=True):
+            score += v * self.frequent[t]
+        return score[blocks]
 
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
         """Weighted share of label 1, drawn to the overall share where the near examples are few."""
@@ -129,17 +148,20 @@ class Index:
         return float((w @ self.labels[found] + PRIOR * self.base) / (w.sum() + PRIOR))
 
     def score(self, text: str | None) -> tuple[float, list[str]]:
-        x = self.vector(text)
-        if not x or not len(self.labels):
-            return self.without, []
-        key = tuple(x.items())
-        if key not in self.known:
-            found, cosine = self.nearest(x)
-            one = 1 / (1 + np.exp(-(self.curve[0] + self.curve[1] * self.vote(found, cosine)))) if len(found) else self.without
-            if len(self.known) > 50_000:  # texts with the same few terms are scored once
+        at, x = self.vocabulary.vector(text)
+        if not len(at) or not len(self.labels):
+            return self.base, []
+        key = at.tobytes() + x.tobytes() if len(at) < 64 else b""
+        if key and key in self.known:  # texts with the same few words are scored once
+            return self.known[key]
+        found, cosine = self.nearest(at, x)
+        one = float(1 / (1 + np.exp(-(self.curve[0] + self.curve[1] * self.vote(found, cosine))))) if len(found) else self.base
+        result = one, [self.ids[i] for i in found]
+        if key:
+            if len(self.known) > 10_000:
                 self.known.clear()
-            self.known[key] = float(one), [self.ids[i] for i in found]
-        return self.known[key]
+            self.known[key] = result
+        return result
 
 
 def platt(vote: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -156,104 +178,141 @@ def platt(vote: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[floa
     return float(b[0]), float(b[1])
 
 
-def term_counts(labelled: DataFrame) -> DataFrame:
-    """(term, n1, n0): different texts of each label that hold the term, over all of (text, label); term '' counts the texts.
+def laid_out(example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int, rounds: int = 4) -> np.ndarray:
+    """An order of the examples that puts like ones side by side: halved along their leading direction, again and again.
 
-    Copies count once, else a text with many copies would make terms of all its words. Terms are bytes as Latin-1.
+    All parts of a level are halved at once: each part has its own direction, found by a few power steps.
     """
-    labelled = labelled.groupBy(F.xxhash64("text", "label").alias("h"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("s"), "label").agg(F.first("text").alias("text"))
+    order = np.arange(n)
+    start = np.random.default_rng(0).standard_normal(terms)
+    width = 1 << max(0, int(np.ceil(np.log2(max(1, n) / BLOCK)))) if n > BLOCK else 1
+    level = 1
+    while level < width:
+        part = np.empty(n, np.int64)
+        part[order] = np.arange(n) * level // n
+        size = np.bincount(part, minlength=level)
+        along = (weight * start[term])
+        value = np.bincount(example, along, n)
+        own = part[example]
+        cell, back = np.unique(own * terms + term, return_inverse=True)  # terms of a part
+        for _ in range(rounds):
+            value = value - (np.bincount(part, value, level) / np.maximum(size, 1))[part]
+            value /= np.sqrt(np.maximum(np.bincount(part, value * value, level), 1e-12))[part]
+            side = np.bincount(back, weight * value[example], len(cell))
+            value = np.bincount(example, weight * side[back], n)
+        order = np.lexsort((np.arange(n), value, part))
+        level *= 2
+    return order
+
+
+def distinct_texts(labelled: DataFrame) -> DataFrame:
+    """(h, label, id, text, copies) of (id, text, label): one row for each different text and label, as a written table."""
+    text = F.coalesce("text", F.lit(""))
+    once = labelled.select(F.col("id").cast("string").alias("id"), text.alias("text"), "label", F.xxhash64(text).alias("h"), F.sha2(text, 256).alias("digest"))
+    return written(once.groupBy("h", "digest", "label").agg(F.min("id").alias("id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")), "toxic-texts")
+
+
+def term_counts(texts: DataFrame) -> DataFrame:
+    """(term, n1, n0): texts of each label that hold the term, over all of (text, label). Terms are bytes as Latin-1."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[bytes, list[int]] = {}
+
+        def out() -> pd.DataFrame:
+            return pd.DataFrame({"term": [w.decode("latin-1") for w in found], "n1": [n[1] for n in found.values()], "n0": [n[0] for n in found.values()]})
+
         for batch in batches:
-            found: dict[bytes, list[int]] = {}
             for text, label in zip(batch["text"], batch["label"], strict=True):
-                for w in {b"", *(p for w in set(words(text)) for p in with_beginnings(w))}:
+                for w in set(words(text)):
                     found.setdefault(w, [0, 0])[label] += 1
-            yield pd.DataFrame(
-                {"term": [w.decode("latin-1") for w in found], "n1": [n[1] for n in found.values()], "n0": [n[0] for n in found.values()]}
-            )
+            if len(found) > 1 << 18:  # bounded memory; the same term may come again
+                yield out()
+                found.clear()
+        yield out()
 
-    return bounded(labelled).mapInPandas(counted, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    return bounded(texts).mapInPandas(counted, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def chosen_terms(counts: DataFrame, most: int = TERMS) -> tuple[pd.DataFrame, int, int]:
-    """The significant terms (at most ``most``, the clearest first), and the texts of label 1 and 0."""
-    total = counts.where("term = ''").select("n1", "n0").first()
-    n1, n0 = (total["n1"], total["n0"]) if total else (0, 0)
-    if not n1 or not n0:
-        return pd.DataFrame({"term": [], "n1": [], "n0": []}), n1, n0
-    p1, p0 = F.col("n1") / n1, F.col("n0") / n0
-    p = (F.col("n1") + F.col("n0") + 1) / (n1 + n0 + 2)
-    z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    share = F.when(F.col("term").endswith("*"), LEAST_SHARE_BEGINNING).otherwise(LEAST_SHARE)
-    kept = counts.where("term <> ''").withColumn("z", z).where(
-        (F.col("z") >= LEAST_Z) & (F.col("n1") >= LEAST_TEXTS) & (F.col("n1") >= share * (F.col("n1") + F.col("n0")))
-    )
-    return kept.orderBy(F.col("z").desc(), "term").limit(most).toPandas(), n1, n0
+def chosen_examples(texts: DataFrame, examples: int) -> tuple[DataFrame, dict[int, int]]:
+    """The texts of each label with the smallest hashes, at most ``examples``, as a written table; and the texts of each label."""
+    number = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = F.shiftrightunsigned("h", 1)
+    share = {y: min(1.0, (examples + 8 * examples**0.5 + 16) / n) for y, n in number.items()}
+    near = texts.where(order / F.lit(2.0**63) <= F.when(F.col("label") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0)))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(order, "h", "digest"))
+    few = written(near.select("h", "digest", "label").withColumn("rank", rank).where(F.col("rank") <= examples).select("h", "digest", "label"), "toxic-chosen")
+    return written(near.join(F.broadcast(few), ["h", "digest", "label"]).select("h", "label", "id", "text"), "toxic-examples"), number
 
 
 def train(labelled: DataFrame, examples: int = EXAMPLES) -> Index:
     """An index of (id, text, label) rows, label 0 or 1."""
-    terms, n1, n0 = chosen_terms(written(term_counts(labelled.select("text", "label")), "toxic-terms"))
-    at = {w.encode("latin-1"): i for i, w in enumerate(terms["term"])}
-    idf = np.log((1 + n1 + n0) / (1 + (terms["n1"] + terms["n0"]).to_numpy(float))) + 1
-    index = Index(at, idf, np.zeros(0), np.zeros(0), [], np.zeros(len(at) + 1, int), np.zeros(0, int), np.zeros(0), [], base=n1 / max(1, n1 + n0), without=n1 / max(1, n1 + n0))
-    if not at:
-        return index
-    bare = labelled.sparkSession.sparkContext.broadcast(index)
+    spark = labelled.sparkSession
+    texts = distinct_texts(labelled)
+    chosen, number = chosen_examples(texts, examples)
+    n1, n0 = number.get(1, 0), number.get(0, 0)
+    base = n1 / max(1, n1 + n0)
+    used = term_counts(chosen).select("term", (F.col("n1") + F.col("n0")).alias("used"))
+    counts = term_counts(texts).join(used, "term").toPandas()  # one row for each word of a bounded number of texts
+    counts = counts.sort_values(["used", "term"], ascending=[False, True], ignore_index=True)
+    df, relevance = (counts["n1"] + counts["n0"]).to_numpy(float), np.log2(2 + counts["n1"] / np.maximum(1, counts["n0"])).to_numpy(float)
+    vocabulary = Vocabulary({w.encode("latin-1"): i for i, w in enumerate(counts["term"])}, (np.log((1 + n1 + n0) / (1 + df)) + 1) * relevance)
+    del counts
+    bare = spark.sparkContext.broadcast(vocabulary)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = [bare.value.vector(t) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "at": [list(v) for v in x], "w": [list(map(float, v.values())) for v in x]})
-
-    found = written(
-        labelled.select(F.col("id").cast("string").alias("id"), "text", "label").mapInPandas(vectors, "id string, label int, at array<int>, w array<double>"),
-        "toxic-vectors",
-    )
-    holds = F.size("at") > 0
-    sums = {(r["label"], r["holds"]): r["n"] for r in found.groupBy("label", holds.alias("holds")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    first = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    rows = found.where(holds).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= examples).toPandas()
+            found = [bare.value.vector(t) for t in batch["text"]]
+            yield pd.DataFrame({
+                "h": batch["h"], "label": batch["label"], "id": batch["id"], "at": [a.astype("<i4").tobytes() for a, _ in found], "x": [x.astype("<f4").tobytes() for _, x in found]})
+
+    rows = bounded(chosen).mapInPandas(vectors, "h long, label int, id string, at binary, x binary").toPandas()
+    bare.unpersist()
     # Mixed by hash, so that neither label comes first among equally near examples.
-    rows = rows.sort_values(["rank", "label", "id"], ignore_index=True)
-    index.labels, index.ids = rows["label"].to_numpy(float), rows["id"].fillna("").tolist()
-    stands = {y: sums.get((y, True), 0) / max(1, (rows["label"] == y).sum()) for y in (0, 1)}
-    index.stands_for = rows["label"].map(stands).to_numpy(float)
-    index.without = sums.get((1, False), 0) / max(1, sums.get((1, False), 0) + sums.get((0, False), 0))
-    size = np.array([len(a) for a in rows["at"]], int)
-    term = np.concatenate([np.asarray(a, int) for a in rows["at"]]) if len(rows) else np.zeros(0, int)
-    example, weight = np.repeat(np.arange(len(rows)), size), np.concatenate([np.asarray(w, float) for w in rows["w"]]) if len(rows) else np.zeros(0)
-    order = np.lexsort((example, term))
-    index.example, index.weight = example[order], weight[order]
-    index.begin = np.searchsorted(term[order], np.arange(len(at) + 1))
-    for t in range(len(at)):
-        own = slice(index.begin[t], index.begin[t + 1])
-        blocks, start = np.unique(index.example[own] // BLOCK, return_index=True)
-        index.most.append((blocks, np.maximum.reduceat(index.weight[own], start) if len(start) else np.zeros(0)))
-    votes, labels, weights = [], [], []
-    for i in range(len(rows)):
-        x = dict(zip((int(t) for t in rows["at"][i]), rows["w"][i], strict=True))
-        near, cosine = index.nearest(x, but=i)
-        if len(near):
-            votes.append(index.vote(near, cosine))
-            labels.append(index.labels[i])
-            weights.append(index.stands_for[i])
-    if votes:
-        index.curve = platt(np.array(votes), np.array(labels), np.array(weights))
+    rows = rows.sort_values(["h", "label"], ignore_index=True)
+    size = rows["at"].map(len).to_numpy(np.int64) // 4 if len(rows) else np.zeros(0, np.int64)
+    term, weight = np.frombuffer(b"".join(rows["at"]), "<i4"), np.frombuffer(b"".join(rows["x"]), "<f4")
+    example = np.repeat(np.arange(len(rows), dtype=np.int32), size)
+    order = laid_out(example, term, weight, len(rows), len(vocabulary.terms))
+    place = np.empty(len(rows), np.int32)
+    place[order] = np.arange(len(rows))
+    rows, example = rows.drop(columns=["at", "x"]).iloc[order].reset_index(drop=True), place[example]
+    sort = np.lexsort((example, term))
+    labels = rows["label"].to_numpy(float) if len(rows) else np.zeros(0)
+    stands = {y: number.get(y, 0) / max(1, int((labels == y).sum())) for y in (0, 1)}
+    index = Index(
+        vocabulary, labels, np.array([stands[int(y)] for y in labels]), rows["id"].fillna("").tolist(), rows["h"].to_numpy(np.int64),
+        np.searchsorted(term[sort], np.arange(len(vocabulary.terms) + 1)), example[sort], weight[sort], base)
+    if not len(labels):
+        return index
+    shared = spark.sparkContext.broadcast(index)
+
+    def votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for h, label, text in zip(batch["h"], batch["label"], batch["text"], strict=True):
+                i = shared.value.place[h, label]
+                near, cosine = shared.value.nearest(*shared.value.vocabulary.vector(text), but=i)
+                if len(near):
+                    out.append((i, shared.value.vote(near, cosine)))
+            yield pd.DataFrame(out, columns=["i", "vote"])
+
+    found = bounded(chosen).mapInPandas(votes, "i int, vote double").toPandas().sort_values("i")
+    if len(found):
+        index.curve = platt(found["vote"].to_numpy(float), labels[found["i"]], index.stands_for[found["i"]])
     return index
 
 
 def rate(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_tx_score`` and ``_tx_evidence``."""
-    shared_index = docs.sparkSession.sparkContext.broadcast(index)
+    shared_index = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the examples' words
 
     @F.pandas_udf("score double, evidence array<string>")
     def scored(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shared_index.value.score(t) for t in texts], columns=["score", "evidence"])
 
-    found = docs.withColumn("_tx_", scored(F.col(text_col)))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_tx_.score").alias("_tx_score"), F.col("_tx_.evidence").alias("_tx_evidence"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("_tx_score", "_tx_evidence")]
+    found = bounded(docs).select(F.struct(*others).alias("row"), scored(F.col(text_col)).alias("found"))
+    return found.select("row.*", F.col("found.score").alias("_tx_score"), F.col("found.evidence").alias("_tx_evidence"))
 
 
 def fold(key: Column, of: int = 3) -> Column:
