@@ -6,16 +6,22 @@ anchors (about one in 90 bytes) instead of all suffixes. Each anchor stands for
 anchor of, which make up its context, at most twice ``length`` bytes.
 
 1. Texts are read once: compressed texts, anchors, hashes of anchors and contexts go to a work table.
-2. Anchors whose hash comes once are done with. If all contexts of a hash are equal, all their strings repeat.
-3. Of the others one context for each (anchor, context) pair is cut out, so that copies are settled
-   once however many there are, and dealt to shards by anchor. In a shard the suffixes at the starts
-   of runs of strings that may repeat are merge-sorted; two suffixes are compared at their first
-   difference, which a binary search over prefix polynomial hashes finds; the longest common
-   extension with a neighbour settles the strings it covers, once its bytes have been compared.
-4. The strings found go back to their documents by key, and what they cover is cut out.
-
-Copies of a context are told by two independent 64-bit hashes, of its anchor and of all its bytes;
-everything that is found in a shard is verified byte by byte, so a collision there only costs time.
+2. Anchors whose hash comes once are done with. Of the others each different context has a
+   representative, which stands for its copies, so that copies are settled once however many there are.
+3. One pass over the texts cuts out the representatives' contexts, and of every copy the bytes that must
+   equal the representative's: the part between two anchors, and the tail where a run of copied
+   contexts ends. Grouped by their place in the representative, least and greatest must be the same bytes.
+   If any differ, two contexts had one hash, and all is done again with another hash: no string is ever
+   removed on a hash alone.
+4. Contexts are dealt to shards by anchor. In a shard the suffixes at the starts of runs of strings that
+   may repeat are merge-sorted; two suffixes are compared at their first difference, which a binary search
+   over prefix polynomial hashes finds; the longest common extension with a neighbour settles the strings it
+   covers, once its bytes have been compared.
+   An anchor with more than ``hot`` different contexts is parted first: the strings that start at most STEP
+   bytes apart have ``length`` - STEP + 1 bytes in common, and those with the same common bytes are a shard's
+   group of their own. What is still larger is grouped string by string, by the bytes themselves. So no task
+   holds more than about two groups of ``hot`` contexts, and no match is lost.
+5. The strings found go back to their documents by key, and what they cover is cut out.
 
 Defined results: a null text is empty; texts shorter than ``length`` keep everything; repeated rows
 are documents of their own (so both lose what they share); an empty table gives an empty result;
@@ -25,6 +31,7 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -39,6 +46,10 @@ from skyledger.sources.shared import written
 LENGTH, GRAM = 200, 24
 #: Bytes of a text that are searched for anchors at a time; contexts in a shard on average.
 CHUNK, SHARD_CONTEXTS = 1 << 20, 4096
+#: Different contexts up to which an anchor is settled whole; starts of strings that are settled together beyond.
+HOT, STEP = 4096, 8
+#: Bits of the contexts' hashes; bytes that a worker holds before it hands rows on.
+BITS, HELD = 64, 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
 _PLACE = np.uint64(CHUNK * 2 - 1)
 
@@ -223,11 +234,13 @@ def covered_spans(starts: list[tuple[int, int]], length: int = LENGTH) -> list[t
 ANCHOR = "array<struct<pos int, first int, last int, h long, c long>>"
 
 
-def work_table(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int) -> DataFrame:
+def work_table(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, seed: int, bits: int) -> DataFrame:
+    """(key, id, packed, anchors): each text compressed, with its anchors, their hashes and those of their contexts."""
     ids = docs.schema[id_col].dataType.simpleString()
     source = bounded(docs).select(
         F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")
     )
+    mask = (1 << bits) - 1
 
     def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pack = zstandard.ZstdCompressor(level=1)
@@ -238,12 +251,12 @@ def work_table(docs: DataFrame, id_col: str, text_col: str, length: int, gram: i
                 found = []
                 for pos, first, last, h in anchors(data, length, gram):
                     found += [
-                        (p, a, b, x, xxhash.xxh3_64_intdigest(data[a : b + length], p - a) - (1 << 63))
+                        (p, a, b, x, (xxhash.xxh3_64_intdigest(data[a : b + length], (p - a) + (seed << 32)) & mask) - (1 << 63))
                         for p, a, b, x in zip(pos.tolist(), first.tolist(), last.tolist(), h.view(np.int64).tolist(), strict=True)
                     ]
                 rows.append((key, id_, pack.compress(data), found))
                 held += len(data)
-                if held > 1 << 21:
+                if held > HELD:
                     yield pd.DataFrame(rows, columns=["key", "id", "packed", "anchors"])
                     rows, held = [], 0
             yield pd.DataFrame(rows, columns=["key", "id", "packed", "anchors"])
@@ -252,63 +265,150 @@ def work_table(docs: DataFrame, id_col: str, text_col: str, length: int, gram: i
     return written(made.withColumn("id", F.col("id").cast(ids)), "suffix-texts")
 
 
-def repeated_ranges(texts: DataFrame, length: int) -> DataFrame:
-    """(key, ranges): the starts of repeated strings by document, from the work table."""
+def repeated_anchors(texts: DataFrame) -> DataFrame:
+    """(key, pos, first, last, h, c, n, rk, rpos, kinds): the anchors whose hash comes again.
+
+    n: how often the context comes; rk, rpos: key and place of its representative; kinds: different contexts of the anchor.
+    """
     placed = texts.select("key", F.explode("anchors").alias("a")).select("key", "a.*")
-    several = written(
-        placed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("n > 1")
-        .select("h", (F.col("low") != F.col("high")).alias("mixed")),
-        "suffix-repeated",
-    )
+    several = written(placed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-repeated")
     again = written(placed.join(several, "h"), "suffix-again")
-    equal = again.where("not mixed").select("key", F.col("first").alias("from"), F.col("last").alias("to"))
-    mixed = again.where("mixed")
+    one = written(again.groupBy("h", "c").agg(F.min(F.struct("key", "pos")).alias("r"), F.count(F.lit(1)).alias("n")), "suffix-kinds")
+    kinds = one.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
+    one = one.join(kinds, "h").select("h", "c", "n", F.col("r.key").alias("rk"), F.col("r.pos").alias("rpos"), "kinds")
+    return written(again.join(one, ["h", "c"]), "suffix-marked")
+
+
+#: What is cut out of the texts. kind 0: a representative's context (h, c, n, kinds and the anchor's place in it);
+#: kinds 1 and 2: a part or tail that must equal the representative's (its key as h, its place there as c).
+CUT = "kind int, h long, c long, n long, kinds long, anchor int, data binary"
+
 
-    # One context for each anchor and context; those of one document are cut out together.
-    one = mixed.groupBy("h", "c").agg(F.min(F.struct("key", "first", "last", "pos")).alias("at"), F.count(F.lit(1)).alias("n"))
-    wanted = one.groupBy(F.col("at.key").alias("key")).agg(F.collect_list(F.struct("h", "c", "n", "at.first", "at.last", "at.pos")).alias("wanted"))
+def cut_out(texts: DataFrame, marked: DataFrame, length: int) -> DataFrame:
+    wanted = marked.groupBy("key").agg(F.collect_list(F.struct("h", "c", "n", "first", "last", "pos", "rk", "rpos", "kinds")).alias("wanted"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            rows = []
-            for packed, some in zip(batch["packed"], batch["wanted"], strict=True):
+            rows, held = [], 0
+            for key, packed, some in zip(batch["key"], batch["packed"], batch["wanted"], strict=True):
                 data = unpack.decompress(packed)
-                rows += [(x["h"], x["c"], x["n"], x["pos"] - x["first"], data[x["first"] : x["last"] + length]) for x in some]
-            yield pd.DataFrame(rows, columns=["h", "c", "n", "anchor", "context"])
-
-    contexts = written(
-        texts.select("key", "packed").join(wanted, "key").select("packed", "wanted")
-        .mapInPandas(cut, "h long, c long, n long, anchor int, context binary"),
-        "suffix-contexts",
-    )
+                some = sorted(some, key=lambda x: x["first"])
+                for x, after in zip(some, [*some[1:], None], strict=True):
+                    first, last, pos = x["first"], x["last"], x["pos"]
+                    own = x["rk"] == key and x["rpos"] == pos
+                    if own and x["kinds"] > 1:
+                        rows.append((0, x["h"], x["c"], x["n"], x["kinds"], pos - first, data[first : last + length]))
+                    if x["n"] > 1:
+                        shift = pos - x["rpos"]
+                        rows.append((1, x["rk"], first - shift, 0, 0, 0, data[first : last + 1]))
+                        goes_on = after is not None and after["n"] > 1 and after["first"] == last + 1 and after["rk"] == x["rk"] and after["pos"] - after["rpos"] == shift
+                        if own or not goes_on:
+                            rows.append((2, x["rk"], last + 1 - shift, 0, 0, 0, data[last + 1 : last + length]))
+                    held += 3 * length
+                    if held > HELD:
+                        yield pd.DataFrame(rows, columns=["kind", "h", "c", "n", "kinds", "anchor", "data"])
+                        rows, held = [], 0
+            yield pd.DataFrame(rows, columns=["kind", "h", "c", "n", "kinds", "anchor", "data"])
+
+    return written(texts.select("key", "packed").join(wanted, "key").mapInPandas(cut, CUT), "suffix-cut")
+
+
+def copies_agree(cut: DataFrame) -> bool:
+    """Whether every copy of a context has its representative's bytes."""
+    same = cut.where("kind > 0").groupBy("kind", "h", "c").agg(F.min("data").alias("low"), F.max("data").alias("high"))
+    return same.where("low <> high").isEmpty()
+
+
+def settled(contexts: DataFrame, length: int) -> DataFrame:
+    """(h, c, a, b): ranges of starts, within each context, of strings that come again.
+
+    contexts: (h, c, n, at, anchor, group, data); ``data`` starts at place ``at`` of the context; only rows of one group can
+    have a string in common.
+    """
     shards = max(6, -(-contexts.count() // SHARD_CONTEXTS))
 
     def settle(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["h", "c"], ignore_index=True)
+        shard = shard.sort_values(["group", "h", "c", "at"], ignore_index=True)
         flags = repeated_strings(
-            list(shard["context"]), shard["anchor"].to_numpy(np.int64), shard["h"].to_numpy(np.int64).view(np.uint64),
+            list(shard["data"]), shard["anchor"].to_numpy(np.int64), shard["group"].to_numpy(np.int64).view(np.uint64),
             shard["n"].to_numpy(np.int64), length)
-        rows, at = [], 0
-        for h, c, context in zip(shard["h"], shard["c"], shard["context"], strict=True):
-            rows += [(h, c, a, b) for a, b in ranges_of(flags[at : at + len(context)])]
-            at += len(context)
+        rows, place = [], 0
+        for h, c, at, data in zip(shard["h"], shard["c"], shard["at"], shard["data"], strict=True):
+            rows += [(h, c, at + a, at + b) for a, b in ranges_of(flags[place : place + len(data)])]
+            place += len(data)
         return pd.DataFrame(rows, columns=["h", "c", "a", "b"])
 
-    settled = written(
-        contexts.groupBy(F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard")).applyInPandas(
-            settle, "h long, c long, a int, b int"),
-        "suffix-settled",
-    )
-    differing = mixed.join(settled, ["h", "c"]).select("key", (F.col("first") + F.col("a")).alias("from"), (F.col("first") + F.col("b")).alias("to"))
+    return contexts.groupBy(F.pmod(F.xxhash64("group"), F.lit(shards)).alias("shard")).applyInPandas(settle, "h long, c long, a int, b int")
+
+
+def parted(contexts: DataFrame, length: int, with_data: bool) -> DataFrame:
+    """Contexts cut into pieces of at most STEP starts; a piece's group is the hash of the bytes that all its strings have in common."""
+    schema = "h long, c long, n long, at int, anchor int, group long, data binary" if with_data else "group long"
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, held = [], 0
+            for h, c, n, anchor, data in zip(batch["h"], batch["c"], batch["n"], batch["anchor"], batch["data"], strict=True):
+                for end in range(anchor, -STEP, -STEP):
+                    begin, last = max(0, end - STEP + 1), min(end, len(data) - length)
+                    if last < begin:
+                        continue
+                    group = xxhash.xxh3_64_intdigest(data[end : end - STEP + 1 + length], (h ^ (anchor - end)) & ((1 << 64) - 1)) - (1 << 63)
+                    rows.append((h, c, n, begin, anchor - begin, group, data[begin : last + length]) if with_data else (group,))
+                    held += length
+                if held > HELD:
+                    yield pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
+                    rows, held = [], 0
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
+
+    return contexts.select("h", "c", "n", "anchor", "data").mapInPandas(part, schema)
+
+
+def one_by_one(pieces: DataFrame, length: int) -> DataFrame:
+    """(h, c, a, b) for pieces of groups of any size: strings are grouped by their own bytes."""
+
+    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(h, c, n, at + i, anchor - i, data[i : i + length]) for h, c, n, at, anchor, data in zip(
+                batch["h"], batch["c"], batch["n"], batch["at"], batch["anchor"], batch["data"], strict=True) for i in range(len(data) - length + 1)]
+            yield pd.DataFrame(rows, columns=["h", "c", "n", "a", "off", "string"])
+
+    single = pieces.select("h", "c", "n", "at", "anchor", "data").mapInPandas(strings, "h long, c long, n long, a int, off int, string binary")
+    again = single.groupBy("h", "off", "string").agg(F.sum("n").alias("all")).where("all > 1").drop("all")
+    return single.join(again, ["h", "off", "string"]).select("h", "c", "a", F.col("a").alias("b"))
+
+
+def repeated_ranges(marked: DataFrame, cut: DataFrame, length: int, hot: int = HOT) -> DataFrame:
+    """(key, ranges): the starts of repeated strings by document."""
+    contexts = cut.where("kind = 0")
+    usual = contexts.where(F.col("kinds") <= hot).select("h", "c", "n", F.lit(0).alias("at"), "anchor", F.col("h").alias("group"), "data")
+    found = written(settled(usual, length), "suffix-settled")
+    many = contexts.where(F.col("kinds") > hot)
+    if not many.isEmpty():
+        several = written(parted(many, length, False).groupBy("group").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "suffix-groups")
+        pieces = written(parted(many, length, True).join(several, "group"), "suffix-pieces")
+        copied = many.where("n > 1").select("h", "c", F.lit(0).alias("a"), (F.octet_length("data") - length).alias("b"))
+        found = found.unionByName(copied).unionByName(settled(pieces.where(F.col("size") <= hot), length)).unionByName(
+            one_by_one(pieces.where(F.col("size") > hot), length))
+        found = written(found, "suffix-settled")
+    equal = marked.where("kinds = 1").select("key", F.col("first").alias("from"), F.col("last").alias("to"))
+    differing = marked.where("kinds > 1").join(found, ["h", "c"]).select("key", (F.col("first") + F.col("a")).alias("from"), (F.col("first") + F.col("b")).alias("to"))
     return equal.unionByName(differing).groupBy("key").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, bits: int = BITS,
+) -> DataFrame:
     """One row per document: id, n_bytes, spans (removed, in bytes, end exclusive) and kept (binary)."""
     ids = docs.schema[id_col].dataType.simpleString()
-    texts = work_table(docs, id_col, text_col, length, gram)
-    ranges = written(repeated_ranges(texts, length), "suffix-ranges")
+    for seed in count():
+        texts = work_table(docs, id_col, text_col, length, gram, seed, BITS if seed else bits)
+        marked = repeated_anchors(texts)
+        cut = cut_out(texts, marked, length)
+        if copies_agree(cut):
+            break
+    ranges = written(repeated_ranges(marked, cut, length, hot), "suffix-ranges")
 
     def removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor()
