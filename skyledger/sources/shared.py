@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import cache, reduce
 
@@ -82,12 +82,15 @@ def looked_up(rows: DataFrame, side: DataFrame, on: dict[str, Column], how: str
     ``side`` has one row for each key and is a written table. If it is small it is broadcast and ``rows`` stay where
     they are. Else each key is salted, so that a key with very many rows is dealt to many tasks.
     """
-    met = lambda: reduce(lambda a, b: a & b, [value.eqNullSafe(F.col(key)) for key, value in on.items()])
+    def joined(left: DataFrame, right: DataFrame, hint: Callable[[DataFrame], DataFrame], *more: Column) -> DataFrame:
+        met = reduce(lambda a, b: a & b, [*more, *(value.eqNullSafe(right[key]) for key, value in on.items())])
+        return left.join(hint(right), met, how).drop(*[right[key] for key in on])
+
     if is_small(side):
-        return rows.join(F.broadcast(side), met(), how).drop(*on)
+        return joined(rows, side, F.broadcast)
     salted = side.withColumn("_salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    return dealt.join(salted, met() & (F.col("_salt") == F.col("_salt_of")), how).drop("_salt", "_salt_of", *on)
+    return joined(dealt, salted, lambda df: df, F.col("_salt") == F.col("_salt_of")).drop("_salt", "_salt_of")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
