@@ -10,8 +10,8 @@ Only DataFrame operations: no Python runs on the executors.
 
 Defined results: a null text counts as empty; a null ``doc_id`` sorts after every other and is
 never a ``keep_id`` unless the whole group has none; of rows with equal text and equal id, the
-first by (file, row) stays; an empty table gives an empty result; columns other than the id and
-text pass through ``keep_first`` untouched and never clash (work columns start with ``_dd_``).
+first by (file, row) stays; an empty table gives an empty result; ``keep_first`` returns every input
+column as it was, whatever its name (rows travel as one struct).
 """
 
 from __future__ import annotations
@@ -40,15 +40,19 @@ def normalised(text: Column) -> Column:
 
 
 def with_locator(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_dd_file`` and ``_dd_row``: the place each row can be read from again.
+    """(row, _dd_file, _dd_row): each row as a struct, and the place it can be read from again.
 
     Rows that don't come straight from files are first written to the shared folder.
     """
-    loc = (F.col("_metadata.file_path").alias("_dd_file"), F.col("_metadata.row_index").alias("_dd_row"))
+    def placed(stored: DataFrame) -> DataFrame:
+        place = stored.metadataColumn("_metadata")
+        return stored.select(
+            F.struct(*[F.col(f"`{c}`") for c in stored.columns]).alias("row"), place["file_path"].alias("_dd_file"), place["row_index"].alias("_dd_row"))
+
     try:
-        return docs.select("*", *loc)
+        return placed(docs)
     except AnalysisException:
-        return written(docs, "dedup-docs").select("*", *loc)
+        return placed(written(docs, "dedup-docs"))
 
 
 def keyed_state(log: DataFrame, path: str, trigger_bytes: str | None = None) -> DataFrame:
@@ -91,11 +95,14 @@ def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trigger_bytes: str | None = None
 ) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256, file, row (the locator)."""
-    spark = docs.sparkSession
-    placed = with_locator(docs)
+    return _deduplicated(with_locator(docs), id_col, text_col, trigger_bytes)
+
+
+def _deduplicated(placed: DataFrame, id_col: str, text_col: str, trigger_bytes: str | None = None) -> DataFrame:
+    spark, row = placed.sparkSession, F.col("row")
     path = shared_dir(spark, "dedup-log")
     placed.select(
-        F.col(id_col).alias("id"), F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias("digest"),
+        row[id_col].alias("id"), F.unhex(F.sha2(normalised(row[text_col]), 256)).alias("digest"),
         F.col("_dd_file").alias("file"), F.col("_dd_row").alias("row"),
     ).write.parquet(path)
     log = spark.read.parquet(path)
@@ -111,7 +118,7 @@ def exact_dedup(
     hits = written(
         seen.where("n > 1").select("digest", "id", "file", "row", is_keeper.alias("is_keeper")), "dedup-hits"
     )
-    texts = placed.select(normalised(F.col(text_col)).alias("bytes"), "_dd_file", "_dd_row").join(
+    texts = placed.select(normalised(row[text_col]).alias("bytes"), "_dd_file", "_dd_row").join(
         small_or_shuffled(hits), (F.col("_dd_file") == F.col("file")) & (F.col("_dd_row") == F.col("row"))
     )
     first = texts.where("is_keeper").select("digest", F.col("bytes").alias("keeper_bytes"))
@@ -150,8 +157,8 @@ def _split_collisions(result: DataFrame, odd: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that repeat an earlier text; columns as they were."""
     placed = with_locator(docs)
-    found = exact_dedup(docs if "_dd_file" not in docs.columns else placed, id_col, text_col)
+    found = _deduplicated(placed, id_col, text_col)
     dropped = written(found.where("not kept").select(F.col("file").alias("_dd_f"), F.col("row").alias("_dd_r")), "dedup-dropped")
     return placed.join(
         small_or_shuffled(dropped), (F.col("_dd_file") == F.col("_dd_f")) & (F.col("_dd_row") == F.col("_dd_r")), "left_anti"
-    ).select(*[F.col(f"`{c}`") for c in docs.columns])
+    ).select("row.*")

@@ -15,7 +15,7 @@ kind's check is dropped without another try.
 
 Defined results: a null text counts as empty and has no spans; repeated rows get equal spans; with no
 candidates only base spans are returned; an empty table gives an empty result. Other columns pass
-through. The span column is ``_pii_spans``: array of (kind, start, end).
+through. The span column is ``_pii_spans``: array of (kind, start, end), in place of an input column of this name.
 """
 
 from __future__ import annotations
@@ -251,7 +251,7 @@ def _score(f: Column, weight: dict[str, float]) -> Column:
 
 def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs``, without its text, with ``_pii_spans``."""
-    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "_pii_spans")]
     text = F.coalesce(F.col(text_col), F.lit(""))
     wide = F.transform(let(text, candidates), lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), features(s).alias("f")))
     found = written(docs.select(*others, wide.alias("_pii_spans")), "pii")

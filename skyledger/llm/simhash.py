@@ -450,7 +450,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """``docs`` with one row of each group (the smallest id, then the first by place); columns as they were."""
     placed = with_locator(docs)
     group = written(near_groups(
-        placed.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col("_dd_file").alias("file"), F.col("_dd_row").alias("row")),
+        placed.select(F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"), F.col("_dd_file").alias("file"), F.col("_dd_row").alias("row")),
         words, similarity, bound), "simhash-placed")
     first = group.groupBy("_sh_group").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "row")).alias("stays"), F.count(F.lit(1)).alias("n"))
     several = written(first.where("n > 1").select("_sh_group", F.col("stays.file").alias("_f"), F.col("stays.row").alias("_r")), "simhash-several")
@@ -458,7 +458,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
         group.join(several, "_sh_group").where("not (file = _f and row = _r)").select(F.col("file").alias("_dd_f"), F.col("row").alias("_dd_r")), "simhash-dropped")
     return placed.join(
         small_or_shuffled(dropped), (F.col("_dd_file") == F.col("_dd_f")) & (F.col("_dd_row") == F.col("_dd_r")), "left_anti"
-    ).select(*[F.col(f"`{c}`") for c in docs.columns])
+    ).select("row.*")
 
 
 def as_hex(fp: str = "fp") -> Column:
