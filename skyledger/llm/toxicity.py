@@ -30,9 +30,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,10 +56,18 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "surrogatepass").translate(_PART).split()
 
 
-@dataclass
 class Vocabulary:
-    terms: dict[bytes, int]
-    weight: np.ndarray  # idf x relevance
+    """Words and their weights. Kept as one string of bytes; the table of words is made where texts are read."""
+
+    def __init__(self, words_: bytes, weight: np.ndarray):
+        self.words, self.weight = words_, weight  # words parted by line ends, in the order of their numbers
+
+    def __getstate__(self) -> dict:
+        return {"words": self.words, "weight": self.weight}
+
+    @cached_property
+    def terms(self) -> dict[bytes, int]:
+        return {w: i for i, w in enumerate(self.words.split(b"\n"))} if self.words else {}
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, weights) of a text as a unit vector; terms ascending, none if it has no known word."""
@@ -82,26 +93,34 @@ class Index:
     weight: np.ndarray
     base: float = 0.0
     curve: tuple[float, float] = (0.0, 1.0)
-    frequent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # frequent terms x blocks x examples of a block
-    most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # frequent terms x blocks
+    #: The index as tasks have it, without the curve.
+    shared: Broadcast | None = field(default=None, repr=False)
 
-    def __post_init__(self) -> None:
+    def __getstate__(self) -> dict:
+        """Without what the postings give again."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("frequent", "most", "place", "known", "shared")}
+
+    @cached_property
+    def frequent(self) -> np.ndarray:
+        """Weights of the frequent terms: terms x blocks x examples of a block."""
         n, blocks = min(FREQUENT, len(self.begin) - 1), -(-len(self.labels) // BLOCK)
         dense = np.zeros((n, blocks * BLOCK))
         upto = self.begin[n] if n else 0
         dense[np.repeat(np.arange(n), np.diff(self.begin[: n + 1])), self.example[:upto]] = self.weight[:upto]
-        self.most = dense.reshape(n, blocks, BLOCK).max(axis=2) if n and blocks else np.zeros((n, blocks))
-        self.frequent = dense.reshape(n, blocks, BLOCK)
-        self.place = {(int(h), int(y)): i for i, (h, y) in enumerate(zip(self.hashes, self.labels, strict=True))}
-        self.known: dict[bytes, tuple[float, list[str]]] = {}
+        return dense.reshape(n, blocks, BLOCK)
 
-    def __getstate__(self) -> dict:
-        """Without what the postings give again."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("frequent", "most", "place", "known")}
+    @cached_property
+    def most(self) -> np.ndarray:
+        """The largest weight of each frequent term in each block."""
+        return self.frequent.max(axis=2) if self.frequent.size else np.zeros(self.frequent.shape[:2])
 
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.__post_init__()
+    @cached_property
+    def place(self) -> dict[tuple[int, int], int]:
+        return {(int(h), int(y)): i for i, (h, y) in enumerate(zip(self.hashes, self.labels, strict=True))}
+
+    @cached_property
+    def known(self) -> dict[bytes, tuple[float, list[str]]]:
+        return {}
 
     def nearest(self, at: np.ndarray, x: np.ndarray, k: int = NEAREST, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a cosine above 0, nearest first, without example ``but``."""
@@ -147,7 +166,8 @@ class Index:
         w = cosine**2 * self.stands_for[found]
         return float((w @ self.labels[found] + PRIOR * self.base) / (w.sum() + PRIOR))
 
-    def score(self, text: str | None) -> tuple[float, list[str]]:
+    def score(self, text: str | None, curve: tuple[float, float] | None = None) -> tuple[float, list[str]]:
+        curve = curve or self.curve
         at, x = self.vocabulary.vector(text)
         if not len(at) or not len(self.labels):
             return self.base, []
@@ -155,7 +175,7 @@ class Index:
         if key and key in self.known:  # texts with the same few words are scored once
             return self.known[key]
         found, cosine = self.nearest(at, x)
-        one = float(1 / (1 + np.exp(-(self.curve[0] + self.curve[1] * self.vote(found, cosine))))) if len(found) else self.base
+        one = float(1 / (1 + np.exp(-(curve[0] + curve[1] * self.vote(found, cosine))))) if len(found) else self.base
         result = one, [self.ids[i] for i in found]
         if key:
             if len(self.known) > 10_000:
@@ -178,31 +198,31 @@ def platt(vote: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[floa
     return float(b[0]), float(b[1])
 
 
-def laid_out(example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int, rounds: int = 4) -> np.ndarray:
-    """An order of the examples that puts like ones side by side: halved along their leading direction, again and again.
+def laid_out(example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int, directions: int = 8, rounds: int = 6) -> np.ndarray:
+    """An order of the examples that puts like ones side by side.
 
-    All parts of a level are halved at once: each part has its own direction, found by a few power steps.
+    The examples' leading directions come from a few rounds of orthogonal iteration; then parts are halved, each along the
+    direction in which it is widest, down to a block. Only the bounds' tightness depends on it, never a result.
     """
-    order = np.arange(n)
-    start = np.random.default_rng(0).standard_normal(terms)
-    width = 1 << max(0, int(np.ceil(np.log2(max(1, n) / BLOCK)))) if n > BLOCK else 1
-    level = 1
-    while level < width:
-        part = np.empty(n, np.int64)
-        part[order] = np.arange(n) * level // n
-        size = np.bincount(part, minlength=level)
-        along = (weight * start[term])
-        value = np.bincount(example, along, n)
-        own = part[example]
-        cell, back = np.unique(own * terms + term, return_inverse=True)  # terms of a part
-        for _ in range(rounds):
-            value = value - (np.bincount(part, value, level) / np.maximum(size, 1))[part]
-            value /= np.sqrt(np.maximum(np.bincount(part, value * value, level), 1e-12))[part]
-            side = np.bincount(back, weight * value[example], len(cell))
-            value = np.bincount(example, weight * side[back], n)
-        order = np.lexsort((np.arange(n), value, part))
-        level *= 2
-    return order
+    if n <= BLOCK:
+        return np.arange(n)
+    along = np.random.default_rng(0).standard_normal((n, min(directions, n)))
+    for _ in range(rounds):
+        along = np.linalg.qr(along - along.mean(axis=0))[0]
+        for k in range(along.shape[1]):
+            side = np.bincount(term, weight * along[example, k], terms)
+            along[:, k] = np.bincount(example, weight * side[term], n)
+    out, todo = [], [np.arange(n)]
+    while todo:
+        part = todo.pop()
+        if len(part) <= BLOCK:
+            out.append(part)
+            continue
+        own = along[part]
+        part = part[np.argsort(own[:, own.var(axis=0).argmax()], kind="stable")]
+        half = -(-len(part) // BLOCK) // 2 * BLOCK  # whole blocks, so that no block straddles two parts
+        todo += [part[half:], part[:half]]
+    return np.concatenate(out)
 
 
 def distinct_texts(labelled: DataFrame) -> DataFrame:
@@ -218,17 +238,20 @@ def term_counts(texts: DataFrame) -> DataFrame:
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[bytes, list[int]] = {}
 
-        def out() -> pd.DataFrame:
-            return pd.DataFrame({"term": [w.decode("latin-1") for w in found], "n1": [n[1] for n in found.values()], "n0": [n[0] for n in found.values()]})
+        def out() -> Iterator[pd.DataFrame]:
+            rows = [(w.decode("latin-1"), n1, n0) for w, (n0, n1) in found.items()]
+            for at in range(0, len(rows) or 1, 1 << 14):
+                part = pd.DataFrame(rows[at : at + (1 << 14)], columns=["term", "n1", "n0"], dtype=object)
+                yield part.astype({"n1": "int64", "n0": "int64"})
 
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"], strict=True):
                 for w in set(words(text)):
                     found.setdefault(w, [0, 0])[label] += 1
             if len(found) > 1 << 18:  # bounded memory; the same term may come again
-                yield out()
+                yield from out()
                 found.clear()
-        yield out()
+        yield from out()
 
     return bounded(texts).mapInPandas(counted, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
@@ -252,11 +275,13 @@ def train(labelled: DataFrame, examples: int = EXAMPLES) -> Index:
     n1, n0 = number.get(1, 0), number.get(0, 0)
     base = n1 / max(1, n1 + n0)
     used = term_counts(chosen).select("term", (F.col("n1") + F.col("n0")).alias("used"))
-    counts = term_counts(texts).join(used, "term").toPandas()  # one row for each word of a bounded number of texts
-    counts = counts.sort_values(["used", "term"], ascending=[False, True], ignore_index=True)
-    df, relevance = (counts["n1"] + counts["n0"]).to_numpy(float), np.log2(2 + counts["n1"] / np.maximum(1, counts["n0"])).to_numpy(float)
-    vocabulary = Vocabulary({w.encode("latin-1"): i for i, w in enumerate(counts["term"])}, (np.log((1 + n1 + n0) / (1 + df)) + 1) * relevance)
-    del counts
+    # One row for each word of a bounded number of texts, numbered by falling frequency among these.
+    counts = term_counts(texts).join(used, "term").toArrow().sort_by([("used", "descending"), ("term", "ascending")])
+    of1, of0 = (counts[c].to_numpy().astype(float) for c in ("n1", "n0"))
+    relevance = np.log2(2 + of1 / np.maximum(1, of0))
+    vocabulary = Vocabulary("\n".join(counts["term"].to_pylist()).encode("latin-1"), (np.log((1 + n1 + n0) / (1 + of1 + of0)) + 1) * relevance)
+    terms = len(of1)
+    del counts, of1, of0
     bare = spark.sparkContext.broadcast(vocabulary)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,26 +290,31 @@ def train(labelled: DataFrame, examples: int = EXAMPLES) -> Index:
             yield pd.DataFrame({
                 "h": batch["h"], "label": batch["label"], "id": batch["id"], "at": [a.astype("<i4").tobytes() for a, _ in found], "x": [x.astype("<f4").tobytes() for _, x in found]})
 
-    rows = bounded(chosen).mapInPandas(vectors, "h long, label int, id string, at binary, x binary").toPandas()
-    bare.unpersist()
+    rows = bounded(chosen).mapInPandas(vectors, "h long, label int, id string, at binary, x binary").toArrow()
     # Mixed by hash, so that neither label comes first among equally near examples.
-    rows = rows.sort_values(["h", "label"], ignore_index=True)
-    size = rows["at"].map(len).to_numpy(np.int64) // 4 if len(rows) else np.zeros(0, np.int64)
-    term, weight = np.frombuffer(b"".join(rows["at"]), "<i4"), np.frombuffer(b"".join(rows["x"]), "<f4")
-    example = np.repeat(np.arange(len(rows), dtype=np.int32), size)
-    order = laid_out(example, term, weight, len(rows), len(vocabulary.terms))
-    place = np.empty(len(rows), np.int32)
-    place[order] = np.arange(len(rows))
-    rows, example = rows.drop(columns=["at", "x"]).iloc[order].reset_index(drop=True), place[example]
+    rows = rows.sort_by([("h", "ascending"), ("label", "ascending")])
+    n = rows.num_rows
+    term, weight = np.frombuffer(b"".join(rows["at"].to_pylist()), "<i4"), np.frombuffer(b"".join(rows["x"].to_pylist()), "<f4")
+    size = np.fromiter((len(a.as_buffer()) // 4 for a in rows["at"]), np.int64, n) if n else np.zeros(0, np.int64)
+    rows = rows.select(["h", "label", "id"])
+    example = np.repeat(np.arange(n, dtype=np.int32), size)
+    order = laid_out(example, term, weight, n, terms)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n)
+    rows, example = rows.take(pa.array(order)), place[example]
     sort = np.lexsort((example, term))
-    labels = rows["label"].to_numpy(float) if len(rows) else np.zeros(0)
+    begin = np.searchsorted(term[sort], np.arange(terms + 1))
+    example, weight = example[sort], weight[sort]
+    del term, sort
+    labels = rows["label"].to_numpy().astype(float)
     stands = {y: number.get(y, 0) / max(1, int((labels == y).sum())) for y in (0, 1)}
     index = Index(
-        vocabulary, labels, np.array([stands[int(y)] for y in labels]), rows["id"].fillna("").tolist(), rows["h"].to_numpy(np.int64),
-        np.searchsorted(term[sort], np.arange(len(vocabulary.terms) + 1)), example[sort], weight[sort], base)
+        vocabulary, labels, np.array([stands[int(y)] for y in labels]), [i or "" for i in rows["id"].to_pylist()], rows["h"].to_numpy().astype(np.int64),
+        begin, example, weight, base)
+    bare.unpersist()
+    index.shared = shared = spark.sparkContext.broadcast(index)  # bounded by the examples' words
     if not len(labels):
         return index
-    shared = spark.sparkContext.broadcast(index)
 
     def votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -304,11 +334,11 @@ def train(labelled: DataFrame, examples: int = EXAMPLES) -> Index:
 
 def rate(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_tx_score`` and ``_tx_evidence``."""
-    shared_index = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the examples' words
+    shared, curve = index.shared or docs.sparkSession.sparkContext.broadcast(index), index.curve
 
     @F.pandas_udf("score double, evidence array<string>")
     def scored(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared_index.value.score(t) for t in texts], columns=["score", "evidence"])
+        return pd.DataFrame([shared.value.score(t, curve) for t in texts], columns=["score", "evidence"])
 
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("_tx_score", "_tx_evidence")]
     found = bounded(docs).select(F.struct(*others).alias("row"), scored(F.col(text_col)).alias("found"))

@@ -841,7 +841,7 @@ def test_nearest_is_exact(monkeypatch, frequent):
     assert sorted(order.tolist()) == list(range(n))
     dense = dense[order]
     term, example = np.nonzero(dense.T)
-    index = toxicity.Index(toxicity.Vocabulary({}, np.zeros(0)), rng.integers(0, 2, n).astype(float), np.ones(n), [str(i) for i in range(n)], np.arange(n),
+    index = toxicity.Index(toxicity.Vocabulary(b"", np.zeros(0)), rng.integers(0, 2, n).astype(float), np.ones(n), [str(i) for i in range(n)], np.arange(n),
                            np.searchsorted(term, np.arange(terms + 1)), example, dense[example, term])
     for but in [-1] * 40 + [3, 64, 699]:
         at = np.sort(rng.choice(terms, 3, replace=False))
