@@ -427,21 +427,26 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     keyed = points.select("point", "size", "fp", "firsts", F.posexplode("keys").alias("order", "first")).withColumn("key", F.xxhash64("order", "first"))
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     keyed = written(keyed.join(several, "key").select("key", "point", "size", "fp", "firsts", F.col("point").alias("part")), "near-keyed")
-    wanted = written(
-        points.join(keyed.select("point").distinct(), "point", "left_semi").select("point", F.col("at.file").alias("_f"), F.col("at.row").alias("_r")), "near-wanted")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"point": batch["point"], "shingles": [np.unique(shingle_hashes(t, words)).tobytes() for t in batch["text"]]})
 
-    found = docs.join(small_or_shuffled(wanted), (F.col("file") == F.col("_f")) & (F.col("row") == F.col("_r"))).select("point", "text")
-    found = written(found.mapInPandas(sets, "point long, shingles binary"), "near-sets")
+    def checked(proposed: DataFrame) -> DataFrame:
+        """The proposed pairs that hold. Only the texts of documents in some proposed pair are read again."""
+        pairs = written(proposed, "near-pairs")
+        these = pairs.select(F.col("a").alias("point")).unionByName(pairs.select(F.col("b").alias("point"))).distinct()
+        wanted = written(points.join(these, "point", "left_semi").select("point", F.col("at.file").alias("_f"), F.col("at.row").alias("_r")), "near-wanted")
+        found = docs.join(small_or_shuffled(wanted), (F.col("file") == F.col("_f")) & (F.col("row") == F.col("_r"))).select("point", "text")
+        found = written(bounded(found).mapInPandas(sets, "point long, shingles binary"), "near-sets")
+        return written(verified(pairs, found, similarity), "near-links")
+
     edges = None
     for turn in range(2):
-        more = written(verified(star_pairs(keyed, turn, similarity), found, similarity), "near-links")
+        more = checked(star_pairs(keyed, turn, similarity))
         edges = more if edges is None else edges.unionByName(more)
         keyed = written(with_part(keyed, edges), "near-keyed")
-    more = written(verified(cell_pairs(cells(keyed, bound), similarity), found, similarity), "near-links")
+    more = checked(cell_pairs(cells(keyed, bound), similarity))
     member = components(edges.unionByName(more))
     return hashed.join(member, F.col("_sh_.point") == F.col("node"), "left").select("id", "file", "row", F.coalesce("component", "_sh_.point").alias("_sh_group"))
 
