@@ -43,10 +43,6 @@ def source_changes(log: DataFrame, selected: DataFrame) -> DataFrame:
     )
 
 
-def _fact(core: bool) -> Column:
-    return F.struct(*[c for c in (["element", "label", "value", "unit", "status", "compass"])])
-
-
 def fact_sheets(grid: DataFrame, elements: DataFrame, selected: DataFrame) -> DataFrame:
     """Per station and day the ordered facts, their JSON and its fingerprint; only elements that were expected."""
     usable = F.col("status").isin(USABLE)

@@ -79,14 +79,16 @@ def first_load(incoming: DataFrame, run_id: str, loaded_at: str) -> DataFrame:
     return incoming.select(*KEY, *ORDER, "row_hash", now.alias("first_loaded_at"), now.alias("last_changed_at"), F.lit(run_id).alias("run_id"))
 
 
-def load_checks(incoming: DataFrame, guard: DataFrame, most_pct: float) -> DataFrame:
-    """(station_id, check_name, severity, passed, observed, expected): one aggregation over the files, one row per check."""
+def load_checks(incoming: DataFrame, rejected: DataFrame, guard: DataFrame, most_pct: float) -> DataFrame:
+    """(station_id, check_name, severity, passed, observed, expected): one row per file and check.
+
+    incoming: the lines the reader took; rejected: (file_station, ..) one row for each line it couldn't.
+    """
     mine = F.col("station_id").eqNullSafe(F.col("file_station"))
     counts = incoming.groupBy("file_station").agg(
         F.count_if(~mine).alias("foreign"),
         (F.count_if(mine) - F.count_distinct(F.when(mine, F.struct(*[F.coalesce(c, F.lit("")) for c in KEY])))).alias("duplicates"),
-        F.count_if(F.col("value").try_cast("int").isNull()).alias("unreadable"),
-    )
+    ).join(rejected.groupBy("file_station").agg(F.count(F.lit(1)).alias("unreadable")), "file_station", "full_outer").na.fill(0)
     check = lambda name, severity, n: F.struct(
         F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), (F.col(n) == 0).alias("passed"), F.col(n).cast("double").alias("observed"), F.lit(0.0).alias("expected"))
     rows = counts.select(F.col("file_station").alias("station_id"), F.explode(F.array(

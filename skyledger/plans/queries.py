@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.values import compass
 from skyledger.operators import assess, checks, facts, grid, marts, merge, narrative, resolve, scope, staging, textcheck
-from skyledger.plans.tables import DAYS, MODEL, VERSION, Tables
+from skyledger.plans.tables import DAYS, MODEL, VERSION, Tables, csv_lines
 from skyledger.sources import feed, files
 from skyledger.sources.shared import read_table, shared_dir, written
 from skyledger.streaming.arrivals import merge_arrivals
@@ -32,14 +32,6 @@ FACT = ["station_id", "obs_date_text", "element", "obs_date", "raw_value", "valu
 
 # File sources: the feed is written as files first, then read back
 
-def csv_lines(rows: DataFrame, spoil: bool) -> DataFrame:
-    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in feed.COLUMNS])
-    if spoil:
-        line = F.when(F.col("event_id") % 101 == 0, F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in feed.COLUMNS[:5]])).when(
-            F.col("event_id") % 107 == 0, F.concat(line, F.lit(",extra"))).otherwise(line)
-    return rows.select("file_station", "event_id", line.alias("line"))
-
-
 def station_files(t: Tables, rows: DataFrame, spoil: bool) -> str:
     path = shared_dir(t.spark, "station-files")
     files.write_files(csv_lines(rows, spoil), path)
@@ -102,8 +94,12 @@ def changed_files(t: Tables) -> DataFrame:
 
 @query
 def stream_merge(t: Tables) -> DataFrame:
-    path = station_files(t, t.second, False)
-    return merge_arrivals(t.spark, path, feed.CHANGED_AT).select(*merge.KEY, *merge.ORDER, "row_hash")
+    # The first snapshot's files arrive, then the second's; each is merged when it comes.
+    path, root = shared_dir(t.spark, "arriving"), shared_dir(t.spark, "arrivals")
+    files.write_files(csv_lines(t.first, False), f"{path}/load=1")
+    merge_arrivals(t.spark, path, root, feed.LOADED_AT)
+    files.write_files(csv_lines(t.second, False), f"{path}/load=2")
+    return merge_arrivals(t.spark, path, root, feed.CHANGED_AT).select(*merge.KEY, *merge.ORDER, "row_hash", "first_loaded_at", "last_changed_at")
 
 
 # Scope and staging
@@ -195,7 +191,7 @@ QUERIES["merge"] = QUERIES.pop("merge_snapshots")
 
 @query
 def load_checks(t: Tables) -> DataFrame:
-    return merge.load_checks(t.second, t.guard, feed.MAX_DELETED_PCT)
+    return t.load_checks
 
 
 @query
@@ -426,7 +422,7 @@ def top_failures(t: Tables) -> DataFrame:
 
 @query
 def check_status_counts(t: Tables) -> DataFrame:
-    return merge.load_checks(t.second, t.guard, feed.MAX_DELETED_PCT).groupBy("check_name", "passed").agg(F.count(F.lit(1)).alias("n"))
+    return t.load_checks.groupBy("check_name", "passed").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -442,7 +438,7 @@ def volume_swing(t: Tables) -> DataFrame:
 @query
 def health_status(t: Tables) -> DataFrame:
     problem = lambda rows, section, severity: rows.select(F.lit(section).alias("section"), F.lit(severity).alias("severity"))
-    failed = merge.load_checks(t.second, t.guard, feed.MAX_DELETED_PCT).where("not passed").select(F.lit("load").alias("section"), "severity")
+    failed = t.load_checks.where("not passed").select(F.lit("load").alias("section"), "severity")
     swings = problem(marts.volume_swing(t.loads).where(F.abs("swing_pct") > 20), "volume", "warn")
     stale = t.quality.where("freshness in ('stale', 'lagging')").select(F.lit("quality").alias("section"), F.when(F.col("freshness") == "stale", "error").otherwise("warn").alias("severity"))
     city = problem(t.cities.join(t.resolved.where("selected").select("city"), "city", "left_anti"), "resolution", "error")

@@ -42,6 +42,12 @@ def rejected_lines(lines: DataFrame, columns: int = len(COLUMNS)) -> DataFrame:
     return lines.withColumn("reason", reason).where("reason is not null")
 
 
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """The well-formed lines with every column as text, empty ones null."""
+    parts = F.split("line", ",", -1)
+    return lines.where(F.size(parts) == len(COLUMNS)).select("file_station", *[F.nullif(F.get(parts, F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(COLUMNS)])
+
+
 def fixed_width_line(row_layout: list[tuple[str, int, int]]) -> Column:
     """A line with each column at its place."""
     parts, at = [], 1

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from skyledger.operators.facts import keyed_replace
 
 
+MANIFEST = "number long, run_id string, paths string"
+
+
 def write_snapshot(df: DataFrame, path: str, comments: dict[str, str] | None = None) -> None:
     """Replaces the table; column comments go with the schema."""
     for c, text in (comments or {}).items():
@@ -23,16 +26,22 @@ def append_log(df: DataFrame, path: str, run_id: str) -> None:
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str) -> None:
-    """Writes all tables under the run's own folder and then one manifest, which readers follow: all or nothing."""
+    """Writes all tables under the run's own folder and then one manifest, which readers follow: all or nothing.
+
+    Publications are numbered in the order they are made, whatever the runs are called. One writer at a time.
+    """
+    spark.createDataFrame([], MANIFEST).write.mode("ignore").json(f"{root}/manifest")  # there for good after the first publication
+    numbers = spark.read.schema(MANIFEST).json(f"{root}/manifest")
+    number = (numbers.agg(F.max("number")).first()[0] or 0) + 1
     paths = {name: f"{root}/{run_id}/{name}" for name in tables}
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(paths[name])
-    spark.createDataFrame([(run_id, json.dumps(paths))], "run_id string, paths string").coalesce(1).write.mode("append").json(f"{root}/manifest")
+    spark.createDataFrame([(number, run_id, json.dumps(paths))], MANIFEST).coalesce(1).write.mode("append").json(f"{root}/manifest")
 
 
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table as of the latest manifest."""
-    latest = spark.read.schema("run_id string, paths string").json(f"{root}/manifest").orderBy(F.col("run_id").desc()).first()
+    latest = spark.read.schema(MANIFEST).json(f"{root}/manifest").agg(F.max_by("paths", "number").alias("paths")).first()
     return spark.read.parquet(json.loads(latest["paths"])[name])
 
 

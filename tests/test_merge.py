@@ -5,7 +5,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skyledger.operators import assess, facts, merge, scope, staging
-from skyledger.sources import feed
+from skyledger.sources import feed, files
+from skyledger.sources.shared import shared_dir
+from skyledger.streaming import arrivals
 
 SCHEMA = "file_station string, station_id string, obs_date string, element string, value string, mflag string, qflag string, sflag string, obs_time string"
 A, B = "CAN00000001", "CAN00000002"
@@ -92,3 +94,25 @@ def test_incremental_equals_full_and_merge_is_idempotent(spark, v1, v2):
     build = facts.fct_incremental(facts.fct_full(before, first_log, selected, elements), after, log, elements, selected)
     as_set = lambda t: sorted(map(str, t.select(*sorted(t.columns)).collect()))
     assert as_set(full) == as_set(build)
+
+
+def write_arrivals(spark, path, items):
+    lines = [(s, n, ",".join([s, d, e, v, m or "", q or "", "C", ""])) for n, (s, d, e, v, m, q) in enumerate(items)]
+    files.write_files(spark.createDataFrame(lines, "file_station string, event_id long, line string"), path)
+
+
+def test_arrivals_keep_the_merge_promises(spark):
+    path, root = shared_dir(spark, "arriving"), shared_dir(spark, "arrivals")
+    day = lambda s, n: (s, f"202601{n:02d}", "TMAX", str(n), None, None)
+    one, two = [day(A, n) for n in range(1, 21)], [day(B, n) for n in range(1, 21)]
+    loads = [one + two, one[:10] + two[1:], two]
+    for n, load in enumerate(loads, 1):
+        write_arrivals(spark, f"{path}/load={n}", load)
+        table = arrivals.merge_arrivals(spark, path, root, f"2026-02-0{n} 00:00:00").collect()
+    got = {(r.station_id, r.obs_date): (r.first_loaded_at.day, r.last_changed_at.day) for r in table}
+    # A lost half its rows with the second file: refused, so it is as first loaded. B lost one row and got it back.
+    assert sum(s == A for s, _ in got) == 20 and {v for (s, _), v in got.items() if s == A} == {(1, 1)}
+    assert got[B, "20260101"] == (1, 3) and {v for (s, d), v in got.items() if s == B and d != "20260101"} == {(1, 1)}
+    # The last batch wrote the rows of its own station only.
+    versions = spark.read.parquet(f"{root}/table").groupBy("version", "station_id").count().collect()
+    assert {r.station_id for r in versions if r.version == max(v.version for v in versions)} == {B}

@@ -51,9 +51,9 @@ def test_values(spark):
     assert (r.a, r.b, r.c, r.d, r.e) == ("W", "N", None, None, "21")
 
 
-def checked(spark, text, facts, cited=(), city="Toronto"):
+def checked(spark, text, facts, cited=(), city="Toronto", others=("Ottawa",)):
     rows = spark.createDataFrame(
-        [(text, list(cited), [(e, float(v) if v is not None else None, s, c) for e, v, s, c in facts], D(2026, 9, 12), city, ["Ottawa"])],
+        [(text, list(cited), [(e, float(v) if v is not None else None, s, c) for e, v, s, c in facts], D(2026, 9, 12), city, list(others))],
         "narrative string, cited array<struct<element:string,value:double>>, fact_list array<struct<element:string,value:double,status:string,compass:string>>, obs_date date, city string, other_cities array<string>")
     r = textcheck.text_checks(rows).first().asDict()
     return {n for n, _ in textcheck.CHECKS if not r[n]}
@@ -73,6 +73,12 @@ def test_text_checks(spark):
     assert "no_invented_topics" in checked(spark, "Toronto will be sunny tomorrow.", FACTS, CITED)
     assert "names_own_city" in checked(spark, "Ottawa was mild.", FACTS, CITED)
     assert "own_city_named" in checked(spark, "It was mild.", FACTS, CITED)
+    # Capitals with accents are the same name; a name inside a word is not; without a city nothing is asked for.
+    assert "names_own_city" in checked(spark, "MONTRÉAL was mild.", FACTS, CITED, others=["Montréal"])
+    assert "own_city_named" not in checked(spark, "MONTRÉAL was mild.", FACTS, CITED, city="Montréal")
+    assert "names_own_city" not in checked(spark, "Montréalais say it was mild.", FACTS, CITED, others=["Montréal"])
+    assert not {"own_city_named", "names_own_city"} & checked(spark, "It was mild.", FACTS, CITED, city=None)
+    assert "names_own_city" in checked(spark, "Ottawa was mild.", FACTS, CITED, city=None)
     assert "no_false_gaps" in checked(spark, "Toronto: the temperature was not available.", FACTS, CITED)
     assert "cited_values_match" in checked(spark, good, FACTS, [("TMAX", 25.0), ("TMIN", 11.0)])
     assert "mentions_temperatures" in checked(spark, good, FACTS, [("TMAX", 21.4)])
@@ -126,6 +132,9 @@ def test_sinks(spark):
     sinks.publish(spark, {"t": old}, root, "run-1")
     sinks.replace_keys(spark, root, "t", new.withColumn("w", F.lit(1)), ["k"], "run-2")
     assert {(r.k, r.v, r.w) for r in sinks.published(spark, root, "t").collect()} == {(1, "a", None), (2, "c", 1), (3, "d", 1)}
+    for n in range(9, 12):  # publications count, not the names of runs
+        sinks.publish(spark, {"t": old.withColumn("n", F.lit(n))}, root, f"run-{n}")
+    assert {r.n for r in sinks.published(spark, root, "t").collect()} == {11}
     for run in ("r1", "r2", "r1"):
         sinks.append_log(old, f"{root}/log", run)
     assert spark.read.parquet(f"{root}/log").count() == 4
