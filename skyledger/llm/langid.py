@@ -141,7 +141,7 @@ def sampled(labelled: DataFrame, per_language: int, rows: int) -> DataFrame:
 
     What a language's threshold lets through is a few standard deviations more than wanted, whatever the table's size.
     """
-    counts = written(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-counts")
+    counts = written(labelled.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-counts")  # copies count once
     wanted = max(1, min(per_language, rows // max(1, counts.count())))
     share = (wanted + 8 * wanted**0.5 + 16) / F.col("n")
     few = written(counts.select(F.col("lang").alias("_of"), F.least(share, F.lit(1.0)).alias("share")), "langid-shares")
