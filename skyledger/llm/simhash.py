@@ -279,29 +279,53 @@ def near_duplicates(
 
 #: For whole pipelines: five-word shingles, a Jaccard similarity of 0.8, one of eight first shingles in common.
 WORDS, SIMILARITY, KEYS = 5, 0.8, 8
-#: Bits by which fingerprints of proposed pairs differ at most; first shingles (under so many orders) by which pairs are
-#: told, and how many must be equal. At a similarity of 0.8 these miss a pair with chances of about 5 and 3 in 10,000.
-NEAR_BITS, ORDERS, AGREE = 20, 32, 17
+#: Bits by which fingerprints of proposed pairs differ at most; four-bit marks of first shingles (under so many orders) by
+#: which pairs are told, and how many must be equal. At a similarity of 0.8 these miss a pair with chances of about 5 and
+#: 2 in 10,000; of pairs at 0.65 about 2 in 100 are proposed.
+NEAR_BITS, MARKS, AGREE = 20, 256, 186
+#: Rounds in which each point is held against its likeliest partner only, before all remaining pairs are proposed.
+ROUNDS = 2
 #: Points that a task compares with one another; rows of such cells in a shard.
 BOUND, SHARD_ROWS = 1_024, 1 << 14
-#: First shingles by which the points of a key are parted when too many have it, in each of two steps.
-PARTS = 12
+#: Bands by which the points of a key are parted when too many have it, in each of two steps, and first shingles to a band.
+#: A pair of similarity 0.8 has none of 16 bands in common with a chance of (1 - 0.8**4)**16, about 2 in 10,000 a step;
+#: documents that share a passage only, at a similarity of 0.4, have a given band in common with a chance of 0.026.
+BANDS, IN_BAND = 16, 4
+_MARK_KEYS = np.random.default_rng(SEED + 1).integers(1, 1 << 63, MARKS, dtype=np.uint64) | np.uint64(1)
+
+
+def marks_and_bands(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Four bits of the first shingle under each of ``MARKS`` orders, 16 to a number, and the hashes of both steps' bands."""
+    first = np.full(MARKS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        np.minimum(first, (hashes[at : at + 1024, None] * _MARK_KEYS).min(axis=0), out=first)
+    nibbles = (first >> np.uint64(20) & np.uint64(15)).reshape(-1, 16) << np.arange(0, 64, 4, dtype=np.uint64)
+    bands = (first[: 2 * BANDS * IN_BAND].reshape(2 * BANDS, IN_BAND) * _MARK_KEYS[:IN_BAND]).sum(axis=1, dtype=np.uint64)
+    return np.bitwise_or.reduce(nibbles, axis=1).view(np.int64), (bands >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def marks_equal(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many four-bit marks of each row of ``x`` and ``y`` are equal."""
+    z = (x ^ y).view(np.uint64)
+    z |= z >> np.uint64(1)
+    z |= z >> np.uint64(2)
+    return MARKS - np.bitwise_count(z & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(id, text, file, row) to (id, file, row, _sh_): the hash of the set of shingles, its size, fingerprint and first shingles."""
+    """(id, text, file, row) to (id, file, row, _sh_): the hash of the set of shingles, its size, fingerprint, first shingles, bands and marks."""
 
-    @F.pandas_udf("point long, size long, fp long, keys array<long>, firsts array<int>")
+    @F.pandas_udf("point long, size long, fp long, keys array<long>, bands array<int>, marks array<long>")
     def hashed(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
             found = np.unique(shingle_hashes(text, words))
-            firsts = np.array(shared_keys(found, ORDERS), np.int64)
+            mark, bands = marks_and_bands(found)
             rows.append((
                 xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63), len(found), int(np.uint64(fingerprint(found)).view(np.int64)),
-                firsts[:KEYS], (firsts & 0xFFFFFFFF).astype(np.uint32).view(np.int32),
+                np.array(shared_keys(found, KEYS), np.int64), bands, mark,
             ))
-        return pd.DataFrame(rows, columns=["point", "size", "fp", "keys", "firsts"])
+        return pd.DataFrame(rows, columns=["point", "size", "fp", "keys", "bands", "marks"])
 
     return bounded(docs).select("id", "file", "row", hashed("text").alias("_sh_"))
 
@@ -333,22 +357,23 @@ def with_part(keyed: DataFrame, edges: DataFrame) -> DataFrame:
 
 def star_pairs(keyed: DataFrame, turn: int, similarity: float) -> DataFrame:
     """Pairs (a, b) of one point of each key with every other that may be near it and isn't linked to it yet."""
+    apart = lambda z: F.bit_count((z.bitwiseOR(F.shiftright(z, 1)).bitwiseOR(F.shiftright(z, 2)).bitwiseOR(F.shiftright(z, 3))).bitwiseAND(F.lit(0x1111111111111111)))
+    unequal = F.aggregate(F.zip_with("marks", "one.marks", lambda x, y: apart(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
     one = keyed.groupBy("key").agg(
-        F.min_by(F.struct("point", "size", "fp", "part"), F.xxhash64("point", F.lit(turn))).alias("one"),
+        F.min_by(F.struct("point", "size", "fp", "marks", "part"), F.xxhash64("point", F.lit(turn))).alias("one"),
         (F.min("part") < F.max("part")).alias("open"))
     return keyed.join(one.where("open"), "key").where(
         (F.col("part") != F.col("one.part")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("one.fp"))) <= NEAR_BITS)
-        & (F.least("size", "one.size") + 1e-9 >= similarity * F.greatest("size", "one.size"))
+        & (F.least("size", "one.size") + 1e-9 >= similarity * F.greatest("size", "one.size")) & (unequal <= MARKS - AGREE)
     ).select(F.greatest("point", "one.point").alias("a"), F.least("point", "one.point").alias("b")).distinct()
 
 
-def cells(keyed: DataFrame, bound: int) -> DataFrame:
+def cells(keyed: DataFrame, points: DataFrame, bound: int) -> DataFrame:
     """``keyed`` dealt to cells of about ``bound`` points a side, so that all points of a key in different parts meet.
 
     A key's largest part ('most') is only compared with the rest: a large group of copies that is linked already costs
-    as much as it has rows. Keys of which more than ``bound`` points lie outside the largest part are parted by further
-    first shingles, in two steps (a pair of similarity 0.8 shares none of 12 with a chance of 0.2**12); what is still
-    larger is dealt block by block, so that every pair meets and no task holds more than two blocks.
+    as much as it has rows. Keys of which more than ``bound`` points lie outside the largest part are parted by
+    bands of several first shingles, in two steps; what is still larger is dealt block by block, so that every pair meets and no task holds more than two blocks.
     """
     dealt, todo = [], keyed
     for step in range(3):
@@ -370,35 +395,34 @@ def cells(keyed: DataFrame, bound: int) -> DataFrame:
         most = F.transform(upto("rest"), lambda i: cell(i, block("n_most"), "most"))
         dealt.append(here.withColumn("cell", F.explode(
             F.when(small, F.array(cell(zero, zero, "most"))).when(F.col("part") == F.col("most"), most).otherwise(rest))
-        ).select(F.xxhash64(F.lit(step), "key", "cell").alias("cell"), "point", "size", "fp", "firsts", "part"))
+        ).select(F.xxhash64(F.lit(step), "key", "cell").alias("cell"), "point", "size", "fp", "marks", "part"))
         if step == 2:
             break
-        todo = todo.where(large).select("key", "point", "size", "fp", "firsts", "part")
+        todo = todo.where(large).select("key", "point", "size", "fp", "marks", "part")
         if todo.isEmpty():
             break
-        first = KEYS + step * PARTS
-        todo = todo.select(
-            "*", F.posexplode(F.slice("firsts", first + 1, PARTS)).alias("order", "first")
-        ).select(F.xxhash64("key", "order", "first").alias("key"), "point", "size", "fp", "firsts", "part")
+        todo = todo.join(points.select("point", "bands"), "point").select(
+            "*", F.posexplode(F.slice("bands", step * BANDS + 1, BANDS)).alias("order", "band")
+        ).select(F.xxhash64("key", "order", "band").alias("key"), "point", "size", "fp", "marks", "part")
     out = dealt[0]
     for more in dealt[1:]:
         out = out.unionByName(more)
     return out
 
 
-def cell_pairs(dealt: DataFrame, similarity: float, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Pairs (a, b) of points in one cell and different parts that may be near."""
-    dealt = written(dealt, "near-cells")
+def cell_pairs(dealt: DataFrame, similarity: float, best: bool, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Pairs (a, b) of points in one cell and different parts that may be near; with ``best`` only each point's likeliest one."""
     shards = max(6, -(-dealt.count() // shard_rows))
 
     def compared(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["cell", "point"], ignore_index=True)
         cell, point, part = (shard[c].to_numpy(np.int64) for c in ("cell", "point", "part"))
         fp, size = shard["fp"].to_numpy(np.int64).view(np.uint64), shard["size"].to_numpy(float)
-        firsts = np.array(shard["firsts"].tolist(), np.int32).reshape(len(shard), ORDERS)
+        mark = np.array(shard["marks"].tolist(), np.int64).reshape(len(shard), MARKS // 16)
         begin = np.append(0, np.flatnonzero(cell[1:] != cell[:-1]) + 1)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, j in zip(begin.tolist(), [*begin[1:].tolist(), len(cell)], strict=True):
+            top, partner = np.zeros(j - i, np.int64), np.full(j - i, -1)  # of each point of the cell
             for at in range(i, j, 256):
                 own, other = slice(at, min(at + 256, j)), slice(at, j)
                 x, y = np.nonzero(
@@ -407,9 +431,22 @@ def cell_pairs(dealt: DataFrame, similarity: float, shard_rows: int = SHARD_ROWS
                 x, y = x[x < y] + at, y[x < y] + at
                 for k in range(0, len(x), CHUNK):
                     p, q = x[k : k + CHUNK], y[k : k + CHUNK]
-                    alike = (firsts[p] == firsts[q]).sum(1) >= AGREE
-                    a.append(np.maximum(point[p[alike]], point[q[alike]]))
-                    b.append(np.minimum(point[p[alike]], point[q[alike]]))
+                    equal = marks_equal(mark[p], mark[q])
+                    p, q, equal = p[equal >= AGREE], q[equal >= AGREE], equal[equal >= AGREE]
+                    if not best:
+                        a.append(np.maximum(point[p], point[q]))
+                        b.append(np.minimum(point[p], point[q]))
+                        continue
+                    p, q, equal = np.append(p, q), np.append(q, p), np.append(equal, equal)
+                    order = np.lexsort((q, -equal, p))
+                    p, q, equal = p[order], q[order], equal[order]
+                    first = np.append(True, p[1:] != p[:-1])[: len(p)]
+                    p, q, equal = p[first], q[first], equal[first]
+                    better = equal > top[p - i]
+                    top[p[better] - i], partner[p[better] - i] = equal[better], q[better]
+            p = np.flatnonzero(partner >= 0)
+            a.append(np.maximum(point[p + i], point[partner[p]]))
+            b.append(np.minimum(point[p + i], point[partner[p]]))
         return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
 
     return dealt.groupBy(F.pmod(F.xxhash64("cell"), F.lit(shards)).alias("shard")).applyInPandas(compared, "a long, b long").distinct()
@@ -418,15 +455,17 @@ def cell_pairs(dealt: DataFrame, similarity: float, shard_rows: int = SHARD_ROWS
 def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bound: int = BOUND) -> DataFrame:
     """(id, text, file, row) to (id, file, row, _sh_group): equal for all documents that links of ``similarity`` reach.
 
-    Two turns link one point of each key to those near it, so that large groups of copies are one part; then
-    all points of a key in different parts are compared. Every link has been verified.
+    Two turns link one point of each key to those near it, so that large groups of copies are one part. Then all points
+    of a key in different parts are compared: a few rounds hold each against its likeliest partner, which joins families
+    of near copies at a cost of a pair a point, and a last one proposes every pair still in different parts. Every
+    link has been verified.
     """
     hashed = written(shingle_sets(docs, words), "near-docs")
     points = hashed.groupBy("_sh_.point").agg(F.first("_sh_").alias("p"), F.min(F.struct("file", "row")).alias("at"))
     points = written(points.select("p.*", "at"), "near-points")
-    keyed = points.select("point", "size", "fp", "firsts", F.posexplode("keys").alias("order", "first")).withColumn("key", F.xxhash64("order", "first"))
+    keyed = points.select("point", "size", "fp", "marks", F.posexplode("keys").alias("order", "first")).withColumn("key", F.xxhash64("order", "first"))
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    keyed = written(keyed.join(several, "key").select("key", "point", "size", "fp", "firsts", F.col("point").alias("part")), "near-keyed")
+    keyed = written(keyed.join(several, "key").select("key", "point", "size", "fp", "marks", F.col("point").alias("part")), "near-keyed")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -446,8 +485,18 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         more = checked(star_pairs(keyed, turn, similarity))
         edges = more if edges is None else edges.unionByName(more)
         keyed = written(with_part(keyed, edges), "near-keyed")
-    more = checked(cell_pairs(cells(keyed, bound), similarity))
-    member = components(edges.unionByName(more))
+    dealt = written(cells(keyed, points, bound), "near-cells")
+    for _ in range(ROUNDS):
+        more = checked(cell_pairs(dealt, similarity, best=True))
+        if more.isEmpty():
+            break
+        edges = edges.unionByName(more)
+        # Cells in one part have nothing left to compare.
+        dealt = with_part(dealt, edges)
+        mixed = dealt.groupBy("cell").agg((F.min("part") < F.max("part")).alias("open")).where("open").select("cell")
+        dealt = written(dealt.join(mixed, "cell", "left_semi"), "near-cells")
+    edges = edges.unionByName(checked(cell_pairs(dealt, similarity, best=False)))
+    member = components(edges)
     return hashed.join(member, F.col("_sh_.point") == F.col("node"), "left").select("id", "file", "row", F.coalesce("component", "_sh_.point").alias("_sh_group"))
 
 
