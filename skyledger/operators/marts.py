@@ -84,7 +84,7 @@ def data_issues(fct: DataFrame, rejects: DataFrame, log: DataFrame, failures: Da
         issue(rejects, "rejected_row", F.lit("warn"), station_id=F.col("file_station"), obs_date=F.lit(None).cast("date"), element=none, value=F.col("line"), reason=F.col("reason")),
         issue(log.where("change in ('update', 'delete')"), "revised_at_source", F.lit("info"), station_id=F.col("station_id"), obs_date=obs_day(F.col("obs_date")), element=F.col("element"),
               value=F.coalesce("new_value", "old_value"), reason=revised),
-        issue(failures, "test_failure", F.col("severity"), station_id=field("station_id"), obs_date=F.try_to_date(field("obs_date")), element=field("element"), value=F.col("failing_row"),
+        issue(failures, "test_failure", F.col("severity"), station_id=field("station_id"), obs_date=F.when(field("obs_date").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(field("obs_date"))), element=field("element"), value=F.col("failing_row"),
               reason=F.concat(F.lit("failed test "), "test_name", F.lit(" on "), "tested")),
     ]
     every = rows[0]

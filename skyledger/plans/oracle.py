@@ -6,6 +6,7 @@ import re
 
 from skyledger.functions.values import POINTS, QUALITY_FLAGS
 from skyledger.operators import textcheck
+from skyledger.plans.data_tests import IDENTITY, TESTS, name_of
 from skyledger.plans.tables import DAYS, MODEL, VERSION
 from skyledger.sources import feed
 from skyledger.sources.files import STATION_LAYOUT
@@ -42,6 +43,24 @@ _INVERTED = """SELECT station_id, obs_date, min(value) FILTER (element = 'TMAX')
 FROM {0} WHERE s = 'valid' AND element IN ('TMAX', 'TMIN') AND obs_date IS NOT NULL GROUP BY ALL HAVING min(value) FILTER (element = 'TMAX') < max(value) FILTER (element = 'TMIN')"""
 _FCT = """SELECT station_id, obs_date_text, element, obs_date, raw_value, value, quality_status, is_trace, quality_status IN ('valid', 'trace') AS is_usable, false AS is_deleted, raw_run_id, qflag, policy_hash FROM {0}"""
 
+IN_SQL = {"log": "change_log", "elements": "elements_in_scope", "reported": "station_elements"}
+
+
+def failing_rows(test: tuple) -> str:
+    """The failures of one data test, to be put after other SELECTs."""
+    kind, table, columns, given, severity = test
+    text, of, c = lambda names: ", ".join(f"{n}::VARCHAR AS {n}" for n in names), IN_SQL.get(table, table), columns[0]
+    if kind == "unique":
+        rows = f"SELECT {text(columns)}, count(*) AS n_rows FROM {of} WHERE {f'{c} IS NOT NULL' if len(columns) == 1 else 'true'} GROUP BY {', '.join(columns)} HAVING count(*) > 1"
+    else:
+        wrong = {
+            "not_null": lambda: f"{c} IS NULL", "accepted_values": lambda: f"{c} NOT IN ({', '.join(map(lit, given))})", "within_bounds": lambda: f"({c} < {given[0]} OR {c} > {given[1]})",
+            "relationships": lambda: f"{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {IN_SQL.get(given[0], given[0])} p WHERE p.{given[1]} = x.{c})",
+        }[kind]()
+        rows = f"SELECT {text(IDENTITY[table])} FROM {of} x WHERE {wrong}"
+    return f"\nUNION ALL SELECT '{name_of(kind, table, columns)}', '{table}', '{severity}', to_json(t)::VARCHAR FROM ({rows}) t"
+
+
 PARTS = {
     "feed": """SELECT event_id, user_id, 'CAN' || lpad(user_id::VARCHAR, 8, '0') AS station_id,
  CASE WHEN event_id % 73 = 0 THEN left(strftime(ts, '%Y%m%d'), 7) ELSE strftime(ts, '%Y%m%d') END AS obs_date, element,
@@ -161,7 +180,7 @@ UNION ALL SELECT n.city, n.province, n.station_id, n.station_name, false, NULL,
  WHERE NOT EXISTS (SELECT 1 FROM near x WHERE x.city = n.city AND x.province = n.province AND x.station_id = n.station_id)""",
     "failures": """SELECT 'not_null_obs_date' AS test_name, 'fct_observations' AS tested, 'warn' AS severity, to_json(t)::VARCHAR AS failing_row FROM (SELECT station_id, obs_date_text, element FROM fct WHERE obs_date IS NULL) t
 UNION ALL SELECT 'value_within_300', 'fct_observations', 'warn', to_json(t)::VARCHAR FROM (SELECT station_id, obs_date::VARCHAR AS obs_date, element FROM fct WHERE is_usable AND (value < -300 OR value > 300)) t
-UNION ALL SELECT 'stations_fresh', 'data_quality', 'error', to_json(t)::VARCHAR FROM (SELECT station_id, element FROM quality WHERE freshness = 'stale') t""",
+UNION ALL SELECT 'stations_fresh', 'data_quality', 'error', to_json(t)::VARCHAR FROM (SELECT station_id, element FROM quality WHERE freshness = 'stale') t""" + "".join(map(failing_rows, TESTS)),
     "source_changes": f"""SELECT l.run_id, l.station_id, s.city, min(changed_at) AS changed_at, count(*) FILTER (change = 'insert') AS inserted, count(*) FILTER (change = 'update') AS updated, count(*) FILTER (change = 'delete') AS deleted,
  count(*) FILTER (change = 'update' AND old_value IS DISTINCT FROM new_value) AS value_revisions, count(*) FILTER (change = 'update' AND old_value IS NOT DISTINCT FROM new_value) AS flag_revisions,
  count(*) FILTER (change IN ('update', 'delete') AND {DAY.format('obs_date')} < changed_at::DATE - 7) AS historical_changes, min({DAY.format('obs_date')}) AS earliest_date_touched, max({DAY.format('obs_date')}) AS latest_date_touched
@@ -325,6 +344,10 @@ UNION SELECT station_id, obs_date_text, element FROM assessed WHERE (station_id,
     "fact_sheets": "SELECT station_id, city, province, station_name, obs_date, facts, input_hash FROM sheets",
     "unique_combination": f"SELECT {KEY}, count(*) AS n_rows FROM feed GROUP BY ALL HAVING count(*) > 1",
     "all_failures": "SELECT * FROM failures",
+    "data_tests": f"""SELECT test_name, tested, severity, failing, CASE WHEN failing = 0 THEN 'pass' WHEN severity = 'error' THEN 'fail' ELSE 'warn' END AS status FROM (
+ SELECT n.*, (SELECT count(*) FROM failures f WHERE f.test_name = n.test_name) AS failing FROM ({values([
+    ("not_null_obs_date", "fct_observations", "warn"), ("value_within_300", "fct_observations", "warn"), ("stations_fresh", "data_quality", "error"),
+    *[(name_of(kind, table, cols), table, severity) for kind, table, cols, _, severity in TESTS]], "test_name, tested, severity")}) n)""",
     "data_issues": f"""SELECT 'quarantined' AS issue_type, 'info' AS severity, station_id, obs_date, element, raw_value::VARCHAR AS value, CASE quality_status
  WHEN 'qc_failed' THEN 'failed quality check ' || qflag || ': ' || CASE qflag {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in QUALITY_FLAGS.items())} ELSE 'unknown flag' END
  WHEN 'out_of_bounds' THEN 'outside the physical bounds' WHEN 'inconsistent' THEN 'maximum temperature below minimum that day: both set aside' ELSE 'value or date did not parse' END AS reason, city
@@ -356,10 +379,13 @@ FROM text_checked GROUP BY ALL""",
     "unrepaired": "SELECT station_id, city, obs_date, narrative, failed_checks FROM recent JOIN latest USING (station_id, obs_date, input_hash) WHERE obs_date > last_day - 14 AND NOT passed AND attempt = 1",
     "latest_per_key": "SELECT * FROM loads QUALIFY row_number() OVER (PARTITION BY file ORDER BY loaded_at DESC) = 1",
     "volume_swing": "SELECT * FROM swings",
-    "health_status": """SELECT section, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warn') AS warnings,
- CASE WHEN count(*) FILTER (severity = 'error') > 0 THEN 'ERROR' WHEN count(*) FILTER (severity = 'warn') > 0 THEN 'WARN' ELSE 'OK' END AS status FROM (
+    "health_status": f"""SELECT section, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warn') AS warnings, count(*) FILTER (severity = 'info') AS notes,
+ CASE WHEN count(*) FILTER (severity = 'error') > 0 THEN 'ERROR' WHEN count(*) FILTER (severity = 'warn') > 0 THEN 'WARN' ELSE 'OK' END AS status
+FROM (SELECT unnest(['load', 'volume', 'changes', 'quality', 'tests', 'resolution', 'texts', 'evaluation']) AS section) LEFT JOIN (
  SELECT 'load' AS section, severity FROM load_checks WHERE NOT passed UNION ALL SELECT 'volume', 'warn' FROM swings WHERE abs(swing_pct) > 20
  UNION ALL SELECT 'quality', CASE WHEN freshness = 'stale' THEN 'error' ELSE 'warn' END FROM quality WHERE freshness IN ('stale', 'lagging')
- UNION ALL SELECT 'resolution', 'error' FROM cities WHERE city NOT IN (SELECT city FROM resolved WHERE selected)) GROUP BY 1""",
+ UNION ALL SELECT 'resolution', 'error' FROM cities WHERE city NOT IN (SELECT city FROM resolved WHERE selected)
+ UNION ALL SELECT 'tests', severity FROM failures UNION ALL SELECT 'changes', 'info' FROM change_log WHERE run_id = '{feed.SECOND_RUN}'
+ UNION ALL SELECT 'texts', 'warn' FROM latest WHERE NOT passed UNION ALL SELECT 'evaluation', 'warn' FROM text_checked WHERE NOT passed) USING (section) GROUP BY 1""",
 }
 SQL = {name: whole(sql) for name, sql in FINAL.items()}

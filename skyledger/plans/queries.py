@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -327,6 +328,11 @@ def all_failures(t: Tables) -> DataFrame:
     return t.failures
 
 
+@query
+def data_tests(t: Tables) -> DataFrame:
+    return checks.test_status(t.test_names, t.failures)
+
+
 @query
 def data_issues(t: Tables) -> DataFrame:
     return marts.data_issues(t.fct, t.rejects, t.log, t.failures, t.selected)
@@ -442,4 +448,9 @@ def health_status(t: Tables) -> DataFrame:
     swings = problem(marts.volume_swing(t.loads).where(F.abs("swing_pct") > 20), "volume", "warn")
     stale = t.quality.where("freshness in ('stale', 'lagging')").select(F.lit("quality").alias("section"), F.when(F.col("freshness") == "stale", "error").otherwise("warn").alias("severity"))
     city = problem(t.cities.join(t.resolved.where("selected").select("city"), "city", "left_anti"), "resolution", "error")
-    return checks.health_status(failed.unionByName(swings).unionByName(stale).unionByName(city))
+    tests = t.failures.select(F.lit("tests").alias("section"), "severity")
+    changes = problem(t.log.where(F.col("run_id") == feed.SECOND_RUN), "changes", "info")
+    texts = problem(t.latest.where("not passed"), "texts", "warn")
+    evaluated = problem(t.checked.where("not passed"), "evaluation", "warn")
+    every = reduce(DataFrame.unionByName, [failed, swings, stale, city, tests, changes, texts, evaluated])
+    return checks.health_status(every, ["load", "volume", "changes", "quality", "tests", "resolution", "texts", "evaluation"])

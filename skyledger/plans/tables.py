@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import flags
 from skyledger.operators import assess, checks, facts, grid, marts, merge, narrative, resolve, scope, staging, textcheck
+from skyledger.plans import data_tests
 from skyledger.sources import feed, files
 from skyledger.sources.shared import written
 
@@ -216,9 +217,35 @@ class Tables:
             ("stations_fresh", "data_quality", "error", self.quality.where("freshness = 'stale'").select("station_id", "element")),
         ]
 
+    def tested(self, table: str) -> DataFrame:
+        return getattr(self, table)
+
     @cached_property
     def failures(self) -> DataFrame:
-        return checks.all_failures(self.test_results)
+        every = [checks.all_failures(self.test_results)]
+        for table, identity in data_tests.IDENTITY.items():
+            of_rows = [t for t in data_tests.TESTS if t[1] == table and t[0] in data_tests.ROW_KINDS]
+            every.append(checks.row_failures(
+                self.tested(table), table, [F.col(c).cast("string").alias(c) for c in identity],
+                [(data_tests.name_of(kind, table, cols), severity, checks.breaks(kind, cols[0], given)) for kind, _, cols, given, severity in of_rows]))
+        for kind, table, cols, given, severity in data_tests.TESTS:
+            if kind == "unique":
+                texts = self.tested(table).select(*[F.col(c).cast("string").alias(c) for c in cols])
+                failing = checks.unique(texts, cols[0]) if len(cols) == 1 else checks.unique_combination(texts, cols)
+            elif kind == "relationships":
+                parent, column = given
+                failing = checks.relationships(self.tested(table), cols[0], self.tested(parent), column).select(
+                    *[F.col(c).cast("string").alias(c) for c in data_tests.IDENTITY[table]])
+            else:
+                continue
+            every.append(checks.all_failures([(data_tests.name_of(kind, table, cols), table, severity, failing)]))
+        return written(reduce(DataFrame.unionByName, every), "failures")
+
+    @cached_property
+    def test_names(self) -> DataFrame:
+        rows = [(n, tested, severity) for n, tested, severity, _ in self.test_results]
+        rows += [(data_tests.name_of(kind, table, cols), table, severity) for kind, table, cols, _, severity in data_tests.TESTS]
+        return self.spark.createDataFrame(rows, "test_name string, tested string, severity string")
 
     # Ledger of loads: rows per station file and run
     @cached_property

@@ -142,3 +142,22 @@ def test_sinks(spark):
     assert spark.read.parquet(f"{root}/snap").schema["k"].metadata == {"comment": "the key"}
     sinks.write_report(old, f"{root}/report")
     assert spark.read.json(f"{root}/report").count() == 2
+
+
+def test_data_tests_find_each_kind_of_failure(spark):
+    rows = spark.createDataFrame([("a", None, 1.0), ("b", "x", 5.0), (None, "y", None)], "k string, v string, n double")
+    tests = [
+        ("not_null_v", "error", checks.breaks("not_null", "v", None)), ("accepted_v", "error", checks.breaks("accepted_values", "v", ["x"])),
+        ("bounds_n", "warn", checks.breaks("within_bounds", "n", (0, 2))), ("not_null_k", "warn", checks.breaks("not_null", "k", None))]
+    found = checks.row_failures(rows, "t", [F.col("k")], tests)
+    assert sorted((r.test_name, r.severity, r.failing_row) for r in found.collect()) == [
+        ("accepted_v", "error", '{"k":null}'), ("bounds_n", "warn", '{"k":"b"}'), ("not_null_k", "warn", '{"k":null}'), ("not_null_v", "error", '{"k":"a"}')]
+    named = spark.createDataFrame([("not_null_v", "t", "error"), ("bounds_n", "t", "warn"), ("other", "t", "error")], "test_name string, tested string, severity string")
+    assert {r.test_name: (r.failing, r.status) for r in checks.test_status(named, found).collect()} == {"not_null_v": (1, "fail"), "bounds_n": (1, "warn"), "other": (0, "pass")}
+    assert checks.row_failures(rows.limit(0), "t", [F.col("k")], tests).count() == 0
+
+
+def test_health_names_every_section(spark):
+    problems = spark.createDataFrame([("load", "warn"), ("load", "error"), ("changes", "info")], "section string, severity string")
+    found = {r.section: (r.errors, r.warnings, r.notes, r.status) for r in checks.health_status(problems, ["load", "changes", "texts"]).collect()}
+    assert found == {"load": (1, 1, 0, "ERROR"), "changes": (0, 0, 1, "OK"), "texts": (0, 0, 0, "OK")}
