@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,3 +51,19 @@ def km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance, to a tenth of a kilometre."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
     return F.round(6371 * 2 * F.asin(F.sqrt(a)), 1)
+
+
+def _bare_letters() -> tuple[str, str]:
+    """Every accented Latin or phonetic letter whose compatibility form is one ASCII letter and marks, and that letter."""
+    pairs = []
+    for code in (*range(0xAA, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)):
+        plain_form = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if ord(c) < 128)
+        if len(plain_form) == 1:
+            pairs.append((chr(code), plain_form))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def plain_name(name: Column) -> Column:
+    """A name in capitals without accents: compatibility forms, what isn't ASCII then goes, white space cut at both ends."""
+    bare = F.translate(name, *_bare_letters())
+    return F.trim(F.upper(F.regexp_replace(bare, r"[^\x00-\x7F]", "")))

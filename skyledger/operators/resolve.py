@@ -80,6 +80,21 @@ def twice_chosen(resolved: DataFrame) -> DataFrame:
     return resolved.where("selected").groupBy("station_id").agg(F.count(F.lit(1)).alias("cities")).where("cities > 1")
 
 
+def resolution_errors(cities: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Cities without a station, and why; stations that several cities were given, once for each of these cities."""
+    found = resolved.groupBy("city", "province").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason") == "name isn't an airport's").alias("other"), F.count_if("selected").alias("chosen"))
+    n = F.coalesce("n", F.lit(0))
+    why = (
+        F.when(F.col("pinned_id").isNotNull() & (n == 0), "pinned station is unknown").when(F.col("pinned_id").isNotNull(), "pinned station reports too little")
+        .when(n == 0, "no station has the city's name").when(n == F.col("other"), "no station of that name is an airport's")
+        .otherwise("no station near enough reports all required elements"))
+    without = cities.join(found, ["city", "province"], "left").where(F.coalesce("chosen", F.lit(0)) == 0).select(
+        "city", "province", F.lit(None).cast("string").alias("station_id"), why.alias("error"))
+    twice = resolved.where("selected").join(twice_chosen(resolved), "station_id").select("city", "province", "station_id", F.lit("station was given to several cities").alias("error"))
+    return without.unionByName(twice)
+
+
 def resolution_summary(resolved: DataFrame) -> DataFrame:
     """The chosen station of each city with the number of its candidates."""
     return resolved.withColumn("candidates", F.count(F.lit(1)).over(Window.partitionBy("city", "province"))).where("selected").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -57,3 +57,16 @@ def element_coverage(inventory: DataFrame, required: list[str], first_year: int,
         F.count_distinct("element").alias("elements"), F.count_distinct(F.when(covers, F.col("element"))).alias("required_covered"),
         F.min("first_year").alias("first_year"), F.max("last_year").alias("last_year"),
     )
+
+
+def window_bounds(windows: DataFrame, today: Column) -> DataFrame:
+    """``windows`` with their first and last day and what is wrong with them.
+
+    windows: start_date, end_date, last_days, each of which may be null. An open end is today; a window starts on its date or
+    ``last_days`` before its end, of which exactly one must be given. A window with an error has no bounds.
+    """
+    last = F.coalesce("end_date", today)
+    error = F.when(F.col("start_date").isNull() == F.col("last_days").isNull(), "give either a start or a number of days").when(
+        F.col("start_date") > last, "starts after its end").when(F.col("last_days") < 0, "negative number of days")
+    return windows.withColumn("error", error).withColumns({
+        "first_day": F.when(F.col("error").isNull(), F.coalesce("start_date", F.date_sub(last, F.col("last_days")))), "last_day": F.when(F.col("error").isNull(), last)})

@@ -358,6 +358,16 @@ UNION ALL SELECT 'revised_at_source', 'info', l.station_id, {DAY.format('obs_dat
 FROM change_log l LEFT JOIN (SELECT station_id, city FROM selected) s USING (station_id) WHERE change IN ('update', 'delete')
 UNION ALL SELECT 'test_failure', severity, f.failing_row->>'$.station_id', TRY_CAST(f.failing_row->>'$.obs_date' AS DATE), f.failing_row->>'$.element', failing_row, 'failed test ' || test_name || ' on ' || tested, city
 FROM failures f LEFT JOIN selected s ON s.station_id = f.failing_row->>'$.station_id'""",
+    "normalised_names": "SELECT id, trim(upper(strip_accents(translate(name, 'AEOINn', 'ÀéÖïÑñ')))) AS plain_name FROM metadata",
+    "window_bounds": """SELECT id, start_date, end_date, last_days, error, CASE WHEN error IS NULL THEN coalesce(start_date, last - last_days) END AS first_day, CASE WHEN error IS NULL THEN last END AS last_day FROM (
+ SELECT *, CASE WHEN (start_date IS NULL) = (last_days IS NULL) THEN 'give either a start or a number of days' WHEN start_date > last THEN 'starts after its end' WHEN last_days < 0 THEN 'negative number of days' END AS error FROM (
+ SELECT *, coalesce(end_date, DATE '2024-01-30') AS last FROM (SELECT id, CASE WHEN user_id % 3 <> 0 THEN DATE '2024-01-01' + (user_id % 37)::INT END AS start_date,
+ CASE WHEN user_id % 2 = 0 THEN DATE '2024-01-01' + (user_id % 31)::INT END AS end_date, CASE WHEN user_id % 3 = 0 AND user_id % 4 <> 3 OR user_id % 7 = 0 THEN (user_id % 45 - 2)::INT END AS last_days FROM metadata)))""",
+    "resolution_errors": """SELECT city, province, NULL::VARCHAR AS station_id, CASE WHEN pinned_id IS NOT NULL AND n = 0 THEN 'pinned station is unknown' WHEN pinned_id IS NOT NULL THEN 'pinned station reports too little'
+ WHEN n = 0 THEN 'no station has the city''s name' WHEN n = other THEN 'no station of that name is an airport''s' ELSE 'no station near enough reports all required elements' END AS error FROM (
+ SELECT c.city, c.province, c.pinned_id, count(r.reason) AS n, count(*) FILTER (r.reason = 'name isn''t an airport''s') AS other, count(*) FILTER (r.selected) AS chosen
+ FROM (SELECT city, CASE WHEN substr(city, 6, 3)::INT % 3 = 0 THEN 'ZZ' ELSE province END AS province, pinned_id FROM cities) c LEFT JOIN resolved r USING (city, province) GROUP BY ALL) WHERE chosen = 0
+UNION ALL SELECT city, province, station_id, 'station was given to several cities' FROM resolved WHERE selected QUALIFY count(*) OVER (PARTITION BY station_id) > 1""",
     "city_without_station": "SELECT city FROM cities WHERE city NOT IN (SELECT city FROM resolved WHERE selected)",
     "nearby_stations": f"""SELECT a.station_id AS anchor_id, k.station_id, {KM.format(a='a.latitude', b='a.longitude', c='k.latitude', d='k.longitude')} AS distance_km FROM
 (SELECT * FROM stations WHERE regexp_matches(station_name, ' (A|AP|INT)$') QUALIFY row_number() OVER (PARTITION BY station_name ORDER BY station_id) = 1) a

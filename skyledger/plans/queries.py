@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.functions.values import compass
+from skyledger.functions.values import compass, plain_name
 from skyledger.operators import assess, checks, facts, grid, marts, merge, narrative, resolve, scope, staging, textcheck
 from skyledger.plans.tables import DAYS, MODEL, VERSION, Tables, csv_lines
 from skyledger.sources import feed, files
@@ -316,6 +316,31 @@ def fact_sheets(t: Tables) -> DataFrame:
     return t.sheets.select("station_id", "city", "province", "station_name", "obs_date", "facts", "input_hash")
 
 
+# Names, windows and what resolution could not do
+
+@query
+def normalised_names(t: Tables) -> DataFrame:
+    # The names carry no accents; some letters get them by rule.
+    accented = F.concat(F.translate("name", "AEOINn", "ÀéÖïÑñ"), F.lit(" 北"))
+    return t.metadata.select("id", plain_name(accented).alias("plain_name"))
+
+
+@query
+def window_bounds(t: Tables) -> DataFrame:
+    u, day = F.col("user_id"), F.lit("2024-01-01").cast("date")
+    windows = t.metadata.select(
+        "id", F.when(u % 3 != 0, F.date_add(day, (u % 37).cast("int"))).alias("start_date"), F.when(u % 2 == 0, F.date_add(day, (u % 31).cast("int"))).alias("end_date"),
+        F.when((u % 3 == 0) & (u % 4 != 3) | (u % 7 == 0), (u % 45 - 2).cast("int")).alias("last_days"))
+    return scope.window_bounds(windows, F.lit("2024-01-30").cast("date"))
+
+
+@query
+def resolution_errors(t: Tables) -> DataFrame:
+    # Every third city goes by a name that no station has.
+    renamed = t.cities.withColumn("province", F.when(F.substring("city", 6, 3).cast("int") % 3 == 0, "ZZ").otherwise(F.col("province")))
+    return resolve.resolution_errors(renamed, t.resolved)
+
+
 # Tests and issues
 
 @query

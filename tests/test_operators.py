@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from skyledger.functions.values import compass, obs_day, short
+from skyledger.functions.values import compass, obs_day, plain_name, short
 from skyledger.operators import assess, checks, grid, narrative, resolve, textcheck
 from skyledger.sources import files, sinks
 from skyledger.sources.shared import shared_dir
@@ -161,3 +161,21 @@ def test_health_names_every_section(spark):
     problems = spark.createDataFrame([("load", "warn"), ("load", "error"), ("changes", "info")], "section string, severity string")
     found = {r.section: (r.errors, r.warnings, r.notes, r.status) for r in checks.health_status(problems, ["load", "changes", "texts"]).collect()}
     assert found == {"load": (1, 1, 0, "ERROR"), "changes": (0, 0, 1, "OK"), "texts": (0, 0, 0, "OK")}
+
+
+def test_plain_names(spark):
+    names = ["Montréal", "ＳＡＩＮＴ Jean", "Łódź ", None, "", "São Tomé 北"]
+    found = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").select("i", plain_name(F.col("n")).alias("p")).orderBy("i").collect()
+    assert [r.p for r in found] == ["MONTREAL", "SAINT JEAN", "ODZ", None, "", "SAO TOME"]
+
+
+def test_resolution_errors_name_each_case(spark):
+    cities = spark.createDataFrame([("A", "X", None), ("B", "X", None), ("C", "X", "p"), ("D", "X", None), ("E", "X", None), ("F", "X", "q")], "city string, province string, pinned_id string")
+    resolved = spark.createDataFrame(
+        [("B", "X", "s1", False, "name isn't an airport's"), ("C", "X", "p", False, "reports 1 of 3 required elements"), ("D", "X", "s2", True, "selected: a"),
+         ("E", "X", "s2", True, "selected: b")], "city string, province string, station_id string, selected boolean, reason string")
+    found = {(r.city, r.station_id): r.error for r in resolve.resolution_errors(cities, resolved).collect()}
+    several = "station was given to several cities"
+    assert found == {
+        ("A", None): "no station has the city's name", ("B", None): "no station of that name is an airport's", ("C", None): "pinned station reports too little",
+        ("F", None): "pinned station is unknown", ("D", "s2"): several, ("E", "s2"): several}
