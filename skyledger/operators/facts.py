@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import USABLE, obs_day
+from skyledger.operators.assess import assess
+from skyledger.sources.shared import written
 
 KEY = ["station_id", "obs_date_text", "element"]
 COLUMNS = [*KEY, "obs_date", "raw_value", "value", "unit", "mflag", "qflag", "sflag", "is_trace", "quality_status", "is_usable", "policy_hash", "raw_changed_at", "raw_run_id", "is_deleted"]
@@ -29,10 +31,10 @@ def removed_rows(log: DataFrame) -> DataFrame:
         F.max("changed_at").alias("changed_at"), F.max_by("run_id", F.struct("changed_at", "run_id")).alias("run_id"))
 
 
-def tombstones(log: DataFrame, assessed: DataFrame, selected: DataFrame, elements: DataFrame) -> DataFrame:
-    """A deleted row for each removed key that hasn't come back."""
-    gone = in_scope(removed_rows(log), selected, elements).join(assessed.select(*KEY), KEY, "left_anti")
-    types = dict(_facts(assessed).dtypes)
+def tombstones(log: DataFrame, present: DataFrame, shaped: DataFrame, selected: DataFrame, elements: DataFrame) -> DataFrame:
+    """A deleted row for each removed key that hasn't come back (isn't in ``present``), with the columns of ``shaped``."""
+    gone = in_scope(removed_rows(log), selected, elements).join(present.select(*KEY), KEY, "left_anti")
+    types = dict(shaped.dtypes)
     given = {
         "obs_date": obs_day(F.col("obs_date_text")), "is_trace": F.lit(False), "quality_status": F.lit("removed_at_source"), "is_usable": F.lit(False),
         "raw_changed_at": F.col("changed_at"), "raw_run_id": F.col("run_id"), "is_deleted": F.lit(True),
@@ -41,7 +43,8 @@ def tombstones(log: DataFrame, assessed: DataFrame, selected: DataFrame, element
 
 
 def fct_full(assessed: DataFrame, log: DataFrame, selected: DataFrame, elements: DataFrame) -> DataFrame:
-    return _facts(assessed).unionByName(tombstones(log, assessed, selected, elements))
+    rows = _facts(assessed)
+    return rows.unionByName(tombstones(log, assessed, rows, selected, elements))
 
 
 def new_pairs(assessed: DataFrame, current: DataFrame) -> DataFrame:
@@ -65,10 +68,17 @@ def keyed_replace(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return old.join(new.select(*key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def fct_incremental(current: DataFrame, assessed: DataFrame, log: DataFrame, elements: DataFrame, selected: DataFrame) -> DataFrame:
-    """The fact table after a build that touches only changed keys; equal to a full build."""
-    keys = changed_keys(current, assessed, log, elements)
-    fresh = _facts(assessed.join(keys, KEY, "left_semi")).unionByName(tombstones(log, assessed, selected, elements))
+def fct_incremental(current: DataFrame, observations: DataFrame, log: DataFrame, elements: DataFrame, selected: DataFrame) -> DataFrame:
+    """The fact table after a build that touches only changed keys; equal to a full build.
+
+    observations: typed, not assessed. Only days with a changed key are assessed, whole, as a day's pair is judged together.
+    """
+    present = in_scope(observations.select(*KEY), selected, elements)
+    keys = written(changed_keys(current, present, log, elements), "changed-keys")
+    days = keys.select("station_id", "obs_date_text").distinct()
+    assessed = assess(observations.join(days, ["station_id", "obs_date_text"], "left_semi"), selected, elements)
+    fresh = _facts(assessed.join(keys, KEY, "left_semi"))
+    fresh = written(fresh.unionByName(tombstones(log, present, fresh, selected, elements)), "fresh-facts")
     # Rows that changed keys no longer have go as well.
     kept = in_scope(current, selected, elements).join(keys, KEY, "left_anti")
     return keyed_replace(kept.select(*COLUMNS), fresh, KEY)

@@ -234,7 +234,7 @@ def removed_rows(t: Tables) -> DataFrame:
 
 @query
 def tombstones(t: Tables) -> DataFrame:
-    return facts.tombstones(t.log, t.assessed, t.selected, t.elements).select(*FACT)
+    return facts.tombstones(t.log, t.assessed, t.fct_before, t.selected, t.elements).select(*FACT)
 
 
 @query
@@ -256,7 +256,7 @@ def changed_keys(t: Tables) -> DataFrame:
 
 @query
 def fct_incremental(t: Tables) -> DataFrame:
-    return facts.fct_incremental(t.fct_before, t.assessed, t.log, t.elements, t.selected).select(*FACT)
+    return facts.fct_incremental(t.fct_before, t.typed_of(t.merged), t.log, t.elements, t.selected).select(*FACT)
 
 
 @query

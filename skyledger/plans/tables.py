@@ -121,9 +121,11 @@ class Tables:
         return scope.station_elements(self.selected, self.inventory, self.elements)
 
     # Facts and marts
+    def typed_of(self, table: DataFrame) -> DataFrame:
+        return staging.typed_observations(table.withColumnsRenamed({"last_changed_at": "raw_changed_at", "run_id": "raw_run_id"}))
+
     def assessed_of(self, table: DataFrame) -> DataFrame:
-        stamped = table.withColumnsRenamed({"last_changed_at": "raw_changed_at", "run_id": "raw_run_id"})
-        return assess.assess(staging.typed_observations(stamped), self.selected, self.elements)
+        return assess.assess(self.typed_of(table), self.selected, self.elements)
 
     @cached_property
     def assessed(self) -> DataFrame:

@@ -91,7 +91,7 @@ def test_incremental_equals_full_and_merge_is_idempotent(spark, v1, v2):
     stamp = lambda t: t.withColumnsRenamed({"last_changed_at": "raw_changed_at", "run_id": "raw_run_id"})
     before, after = (assess.assess(staging.typed_observations(stamp(t)), selected, elements) for t in (stored, merged))
     full = facts.fct_full(after, log, selected, elements)
-    build = facts.fct_incremental(facts.fct_full(before, first_log, selected, elements), after, log, elements, selected)
+    build = facts.fct_incremental(facts.fct_full(before, first_log, selected, elements), staging.typed_observations(stamp(merged)), log, elements, selected)
     as_set = lambda t: sorted(map(str, t.select(*sorted(t.columns)).collect()))
     assert as_set(full) == as_set(build)
 
