@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import exact_dedup, langid, mixing, packing, pii, quality, secrets, simhash, suffix_dedup, toxicity
+from skyledger.llm import exact_dedup, langid, mixing, packing, periodic, pii, quality, secrets, sharding, simhash, spelling, suffix_dedup, toxicity
 from skyledger.sources.shared import read_table, small_or_shuffled, written
 
 
@@ -96,6 +96,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+    found = sharding.shard(docs, carry=["doc_id", "text_crc32"])
+    return found.select("row.doc_id", "size", "row.text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+def repeating(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) where one in ten, by a hash of the id, repeats a stretch of its words from some word on to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))))
+    placed = words.withColumn("g", F.expr("h div 10")).withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.expr("cast(g % n as int)"))).withColumn(
+        "p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    spread = F.expr("array_join(concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)), ' ')")
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), spread).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(repeating(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("minus"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("id", F.size("runs").cast("long").alias("n_runs"), longest.alias("longest"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        F.col("id").alias("doc_id"), "n_runs", F.col("longest.start").alias("start"), (-F.col("longest.minus")).alias("length"), F.col("longest.period").alias("period"),
+        F.expr("(-longest.minus * 1000) div longest.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
@@ -107,6 +136,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
+    "op11_sharding": op11_sharding,
+    "op12_spelling": op12_spelling,
+    "op13_periodic": op13_periodic,
 }
 
 ORACLE = {
@@ -139,4 +171,36 @@ r AS (SELECT d.*, t.source_size, t.target,
 SELECT doc_id, size, source_size, target,
        (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM r""",
+    # crc32 by its table, which follows from the polynomial.
+    "op12_spelling": r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 1, 1, 1, 1, 1, 1, 1, 1], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, 'null') AS id,
+         translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents),
+each AS (SELECT id, low, count(*) AS n FROM runs GROUP BY ALL),
+hexed AS (SELECT *, hex(encode(id || ':' || low)) AS x FROM each),
+hashed AS (
+  SELECT low, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(x) + 1, 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+                                 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM hexed, tab),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(low, 1, h % length(low)) || substr(low, h % length(low) + 2) ELSE low END AS word, n FROM hashed),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN v b ON a.rest = b.word),
+near AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS best, max(n) AS best_n FROM pairs GROUP BY word),
+f AS (
+  SELECT word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * v.n THEN best END AS form,
+         CASE WHEN best_n >= 10 * v.n THEN best_n END AS form_n FROM v LEFT JOIN near USING (word)),
+chain AS (
+  SELECT word, word AS here, 0 AS step FROM f UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN f ON f.word = c.here WHERE f.form IS NOT NULL),
+ends AS (SELECT word, max_by(here, step) AS root FROM chain GROUP BY word)
+SELECT word, n, n_near, form, form_n, root FROM f JOIN ends USING (word)""",
 }
