@@ -266,26 +266,30 @@ def work_table(docs: DataFrame, id_col: str, text_col: str, length: int, gram: i
 
 
 def repeated_anchors(texts: DataFrame) -> DataFrame:
-    """(key, pos, first, last, h, c, n, rk, rpos, kinds): the anchors whose hash comes again.
+    """(key, pos, first, last, h, c, n, rk, rpos, kinds, uneven): the anchors whose hash comes again.
 
-    n: how often the context comes; rk, rpos: key and place of its representative; kinds: different contexts of the anchor.
+    n: how often the context comes; rk, rpos: key and place of its representative; kinds: different contexts of the anchor;
+    uneven: whether contexts with this hash differ in their length or in the anchor's place.
     """
     placed = texts.select("key", F.explode("anchors").alias("a")).select("key", "a.*")
     several = written(placed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-repeated")
     again = written(placed.join(several, "h"), "suffix-again")
-    one = written(again.groupBy("h", "c").agg(F.min(F.struct("key", "pos")).alias("r"), F.count(F.lit(1)).alias("n")), "suffix-kinds")
+    shape = F.struct(F.col("pos") - F.col("first"), F.col("last") - F.col("first"))
+    one = written(again.groupBy("h", "c").agg(
+        F.min(F.struct("key", "pos")).alias("r"), F.count(F.lit(1)).alias("n"), (F.min(shape) != F.max(shape)).alias("uneven")), "suffix-kinds")
     kinds = one.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
-    one = one.join(kinds, "h").select("h", "c", "n", F.col("r.key").alias("rk"), F.col("r.pos").alias("rpos"), "kinds")
+    one = one.join(kinds, "h").select("h", "c", "n", F.col("r.key").alias("rk"), F.col("r.pos").alias("rpos"), "kinds", "uneven")
     return written(again.join(one, ["h", "c"]), "suffix-marked")
 
 
 #: What is cut out of the texts. kind 0: a representative's context (h, c, n, kinds and the anchor's place in it);
-#: kinds 1 and 2: a part or tail that must equal the representative's (its key as h, its place there as c).
+#: kinds 1 and 2: a part or tail that must equal the representative's (its key as h, its place there as c); kind 3: the shape of
+#: a context that must equal that of all with its hash (h, c), only where shapes are known to differ.
 CUT = "kind int, h long, c long, n long, kinds long, anchor int, data binary"
 
 
 def cut_out(texts: DataFrame, marked: DataFrame, length: int) -> DataFrame:
-    wanted = marked.groupBy("key").agg(F.collect_list(F.struct("h", "c", "n", "first", "last", "pos", "rk", "rpos", "kinds")).alias("wanted"))
+    wanted = marked.groupBy("key").agg(F.collect_list(F.struct("h", "c", "n", "first", "last", "pos", "rk", "rpos", "kinds", "uneven")).alias("wanted"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor()
@@ -299,6 +303,8 @@ def cut_out(texts: DataFrame, marked: DataFrame, length: int) -> DataFrame:
                     own = x["rk"] == key and x["rpos"] == pos
                     if own and x["kinds"] > 1:
                         rows.append((0, x["h"], x["c"], x["n"], x["kinds"], pos - first, data[first : last + length]))
+                    if x["uneven"]:
+                        rows.append((3, x["h"], x["c"], 0, 0, 0, f"{pos - first} {last - first}".encode()))
                     if x["n"] > 1:
                         shift = pos - x["rpos"]
                         rows.append((1, x["rk"], first - shift, 0, 0, 0, data[first : last + 1]))

@@ -560,7 +560,7 @@ def test_repeats_equal_brute_force(spark, sf, texts):
     check_repeats(got, [(k, (t or "").encode()) for k, t in texts.items()], 200)
 
 
-@pytest.mark.parametrize(("seed", "options"), [(0, {}), (1, {}), (0, {"hot": 2}), (1, {"hot": 6}), (0, {"bits": 3}), (1, {"bits": 5, "hot": 3})])
+@pytest.mark.parametrize(("seed", "options"), [(0, {}), (1, {}), (0, {"hot": 2}), (1, {"hot": 6}), (0, {"bits": 3}), (1, {"bits": 5, "hot": 3}), (2, {"bits": 2}), (3, {"bits": 2, "hot": 3})])
 def test_repeats_in_dense_texts(spark, seed, options):
     """hot: anchors are parted from few contexts on; bits: different contexts of different documents share a hash."""
     rng = np.random.default_rng(seed)
@@ -588,6 +588,17 @@ def test_copies_with_one_hash_but_other_bytes_are_found_out(spark):
     assert agree == [False, True]
 
 
+@pytest.mark.parametrize("bits", [2, 3, 5])
+def test_contexts_of_one_hash_and_different_shape_lose_nothing(spark, bits):
+    rng = np.random.default_rng(3)
+    own = ["".join(rng.choice(list("abcdefgh"), 130)) for _ in range(30)]
+    every = [(i, x + "m" * 40 + x[::-1]) for i, x in enumerate(own)]
+    for rows in (every, [every[4], every[29]]):
+        found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=60, gram=12, bits=bits).collect()
+        got = {r.id: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in found}
+        check_repeats(got, [(i, d.encode()) for i, d in rows], 60)
+
+
 def test_an_anchor_in_100000_contexts_is_dealt_out(spark):
     # One anchor, 100,000 contexts that differ on both sides of a passage of 120 bytes, a few of which share a string.
     n, bound = 100_000, 512
