@@ -201,10 +201,12 @@ def roots(forms: DataFrame) -> DataFrame:
     """(word, form) to (word, root): forms followed to the last, by doubling."""
     now = written(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
-        then = written(looked_up(now, now.select(F.col("word").alias("via"), F.col("root").alias("further")), {"via": F.col("root")}, "left"), "spelling-roots")
-        if then.where("further is not null").isEmpty():
+        # Only roots that have a form themselves lead on.
+        reached = now.select(F.col("root").alias("word")).distinct()
+        onward = written(now.join(reached, "word", "left_semi").select(F.col("word").alias("via"), F.col("root").alias("further")), "spelling-onward")
+        if onward.isEmpty():
             return now
-        now = written(then.select("word", F.coalesce("further", "root").alias("root")), "spelling-roots")
+        now = written(looked_up(now, onward, {"via": F.col("root")}, "left").select("word", F.coalesce("further", "root").alias("root")), "spelling-roots")
 
 
 def variants(
