@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import flags, row_hash
@@ -23,14 +23,20 @@ def dedup(incoming: DataFrame) -> DataFrame:
     return ranked(mine).where("copy = 1").select(*KEY, *ORDER, row_hash().alias("row_hash"))
 
 
+def foreign_reason() -> Column:
+    return F.concat(F.lit("filed under another station's name: "), F.coalesce("station_id", F.lit("none")))
+
+
+def double_reason() -> Column:
+    return F.concat(F.lit("second row of "), F.coalesce("obs_date", F.lit("no date")), F.lit(", "), F.coalesce("element", F.lit("no element")), F.lit("; the first in order stays"))
+
+
 def row_rejects(incoming: DataFrame) -> DataFrame:
     """Rows that were readable but not taken, with the reason."""
     line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in [*KEY, *ORDER]])
     foreign = ~F.col("station_id").eqNullSafe(F.col("file_station"))
-    strange = incoming.where(foreign).select(
-        "file_station", line.alias("line"), F.concat(F.lit("row for another station ("), F.coalesce("station_id", F.lit("none")), F.lit(")")).alias("reason"))
-    double = ranked(incoming.where(~foreign)).where("copy > 1").select(
-        "file_station", line.alias("line"), F.concat(F.lit("duplicate of "), "obs_date", F.lit(" "), "element", F.lit(" (another row was kept)")).alias("reason"))
+    strange = incoming.where(foreign).select("file_station", line.alias("line"), foreign_reason().alias("reason"))
+    double = ranked(incoming.where(~foreign)).where("copy > 1").select("file_station", line.alias("line"), double_reason().alias("reason"))
     return strange.unionByName(double)
 
 
@@ -79,20 +85,20 @@ def first_load(incoming: DataFrame, run_id: str, loaded_at: str) -> DataFrame:
     return incoming.select(*KEY, *ORDER, "row_hash", now.alias("first_loaded_at"), now.alias("last_changed_at"), F.lit(run_id).alias("run_id"))
 
 
-def load_checks(incoming: DataFrame, rejected: DataFrame, guard: DataFrame, most_pct: float) -> DataFrame:
+def load_checks(incoming: DataFrame, rejected: DataFrame, guard: DataFrame, most_pct: float, of: tuple[str, ...] = ()) -> DataFrame:
     """(station_id, check_name, severity, passed, observed, expected): one row per file and check.
 
-    incoming: the lines the reader took; rejected: (file_station, ..) one row for each line it couldn't.
+    incoming: the lines the reader took; rejected: (file_station, ..) one row for each line it couldn't. of: more columns that tell files apart.
     """
-    mine = F.col("station_id").eqNullSafe(F.col("file_station"))
-    counts = incoming.groupBy("file_station").agg(
+    mine, file = F.col("station_id").eqNullSafe(F.col("file_station")), ["file_station", *of]
+    counts = incoming.groupBy(*file).agg(
         F.count_if(~mine).alias("foreign"),
         (F.count_if(mine) - F.count_distinct(F.when(mine, F.struct(*[F.coalesce(c, F.lit("")) for c in KEY])))).alias("duplicates"),
-    ).join(rejected.groupBy("file_station").agg(F.count(F.lit(1)).alias("unreadable")), "file_station", "full_outer").na.fill(0)
+    ).join(rejected.groupBy(*file).agg(F.count(F.lit(1)).alias("unreadable")), file, "full_outer").na.fill(0, ["foreign", "duplicates", "unreadable"])
     check = lambda name, severity, n: F.struct(
         F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), (F.col(n) == 0).alias("passed"), F.col(n).cast("double").alias("observed"), F.lit(0.0).alias("expected"))
-    rows = counts.select(F.col("file_station").alias("station_id"), F.explode(F.array(
+    rows = counts.select(F.col("file_station").alias("station_id"), *of, F.explode(F.array(
         check("rows_belong_to_station", "error", "foreign"), check("unique_station_date_element", "error", "duplicates"), check("parseable_rows", "warn", "unreadable"))).alias("c"))
-    deletes = guard.select("station_id", F.lit("deletes_within_limit").alias("check_name"), F.lit("error").alias("severity"), (~F.col("refused")).alias("passed"),
+    deletes = guard.select("station_id", *of, F.lit("deletes_within_limit").alias("check_name"), F.lit("error").alias("severity"), (~F.col("refused")).alias("passed"),
                            F.round(100 * F.col("deleted") / F.col("existing"), 4).alias("observed"), F.lit(most_pct).alias("expected"))
-    return rows.select("station_id", "c.*").unionByName(deletes)
+    return rows.select("station_id", *of, "c.*").unionByName(deletes)

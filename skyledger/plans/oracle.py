@@ -107,8 +107,8 @@ UNION ALL SELECT '{feed.SECOND_RUN}', {KEY}, change, old_value, new_value, old_f
     "merged": f"""SELECT s.* FROM stored s ANTI JOIN (SELECT * FROM changes WHERE change <> 'insert') c USING ({KEY})
 UNION ALL SELECT i.station_id, i.obs_date, i.element, i.value, i.mflag, i.qflag, i.sflag, i.obs_time, i.row_hash, f.first, TIMESTAMP '{feed.CHANGED_AT}', '{feed.SECOND_RUN}'
 FROM incoming i SEMI JOIN (SELECT * FROM changes WHERE change <> 'delete') c USING ({KEY}) LEFT JOIN (SELECT {KEY}, min(changed_at) AS first FROM change_log WHERE change = 'insert' GROUP BY ALL) f USING ({KEY})""",
-    "rejects": f"""SELECT file_station, {LINE} AS line, 'row for another station (' || station_id || ')' AS reason FROM v2 WHERE station_id <> file_station
-UNION ALL SELECT file_station, {LINE}, 'duplicate of ' || obs_date || ' ' || element || ' (another row was kept)' FROM ranked2 WHERE n > 1""",
+    "rejects": f"""SELECT file_station, {LINE} AS line, 'filed under another station''s name: ' || station_id AS reason FROM v2 WHERE station_id <> file_station
+UNION ALL SELECT file_station, {LINE}, 'second row of ' || obs_date || ', ' || element || '; the first in order stays' FROM ranked2 WHERE n > 1""",
     "checked": _CHECKED.replace("@rows", "merged"), "checked0": _CHECKED.replace("@rows", "stored"), "inverted": _INVERTED.format("checked"), "inverted0": _INVERTED.format("checked0"),
     "assessed": _ASSESS.format("checked", "inverted"), "assessed0": _ASSESS.format("checked0", "inverted0"),
     "removed": "SELECT station_id, obs_date AS obs_date_text, element, max(changed_at) AS changed_at, max(run_id) AS run_id FROM change_log WHERE change = 'delete' GROUP BY ALL",
@@ -197,6 +197,17 @@ UNION ALL SELECT station_id, 'deletes_within_limit', 'error', NOT refused, round
     "keyed": f"SELECT {KEY}, {ORDER}, row_hash FROM incoming SEMI JOIN (SELECT * FROM changes WHERE change = 'update') c USING ({KEY})",
     "lines": f"""SELECT *, row_number() OVER (PARTITION BY file_station ORDER BY event_id) AS line_number, CASE WHEN event_id % 101 = 0 THEN concat_ws(',', station_id, obs_date, element, value, coalesce(mflag, ''))
  WHEN event_id % 107 = 0 THEN {LINE} || ',extra' ELSE {LINE} END AS line FROM v1""",
+    "lines2": f"""SELECT *, row_number() OVER (PARTITION BY file_station ORDER BY event_id) AS line_number, CASE WHEN event_id % 101 = 0 THEN concat_ws(',', station_id, obs_date, element, value, coalesce(mflag, ''))
+ WHEN event_id % 107 = 0 THEN {LINE} || ',extra' ELSE {LINE} END AS line FROM v2""",
+    "waiting": "SELECT 1 AS load, * FROM lines UNION ALL SELECT 2, * FROM lines2",
+    "waiting_ranked": f"""SELECT *, row_number() OVER (PARTITION BY load, {KEY} ORDER BY value NULLS LAST, mflag NULLS LAST, qflag NULLS LAST, sflag NULLS LAST, obs_time NULLS LAST, line_number) AS n
+FROM waiting WHERE event_id % 101 <> 0 AND event_id % 107 <> 0 AND station_id = file_station""",
+    "quoted": f"""SELECT event_id, file_station, {KEY}, CASE WHEN event_id % 13 = 0 THEN value || ',5' ELSE value END AS value, mflag, CASE WHEN event_id % 37 = 0 THEN 'say "I", twice' ELSE qflag END AS qflag, sflag, obs_time FROM v1""",
+    "quoted_fields": """SELECT *, CASE WHEN event_id % 13 = 0 THEN '"' || value || '"' ELSE value END AS value_written, CASE WHEN event_id % 37 = 0 THEN '"say ""I"", twice"' ELSE coalesce(qflag, '') END AS qflag_written FROM quoted""",
+    "quoted_lines": """SELECT *, row_number() OVER (PARTITION BY file_station ORDER BY event_id) AS line_number,
+ CASE WHEN event_id % 101 = 0 THEN concat_ws(',', station_id, obs_date, element, value_written, coalesce(mflag, ''))
+  ELSE concat_ws(',', station_id, obs_date, element, value_written, coalesce(mflag, ''), qflag_written, sflag, coalesce(obs_time, '')) || CASE WHEN event_id % 107 = 0 THEN ',extra' ELSE '' END END AS line,
+ CASE WHEN event_id % 101 = 0 THEN 'MISSING COLUMNS' WHEN event_id % 107 = 0 THEN 'TOO MANY COLUMNS' END AS reason FROM quoted_fields""",
     "new_pairs": f"""SELECT DISTINCT station_id, element FROM assessed EXCEPT SELECT station_id, element FROM fct0 WHERE {USER.format('station_id')} % 5 <> 0""",
     "noaa": f"SELECT station_id, obs_date AS obs_date_text, element FROM change_log WHERE changed_at > (SELECT max(last_changed_at) FROM assessed0)",
 }
@@ -330,6 +341,12 @@ JOIN fct x ON x.station_id = a.station_id AND x.obs_date = a.obs_date AND x.elem
     "changed_keys": """SELECT station_id, obs_date_text, element FROM noaa UNION SELECT station_id, obs_date_text, CASE element WHEN 'TMAX' THEN 'TMIN' ELSE 'TMAX' END FROM noaa WHERE element IN ('TMAX', 'TMIN')
 UNION SELECT station_id, obs_date_text, element FROM assessed WHERE (station_id, element) NOT IN (SELECT (station_id, element) FROM fct0)""",
     "fct_incremental": f"SELECT {_FACT} FROM fct",
+    "scan_with_rejects": f"SELECT file_station, line_number, line, {', '.join(f'CASE WHEN reason IS NULL THEN {c} END AS {c}' for c in feed.COLUMNS)}, reason FROM quoted_lines",
+    "stream_backlog": f"SELECT {KEY}, {ORDER}, row_hash, first_loaded_at, last_changed_at, run_id FROM merged",
+    "stream_backlog_log": "SELECT * FROM change_log",
+    "stream_rejects": """SELECT load, file_station, line_number, line, CASE WHEN event_id % 101 = 0 THEN 'MISSING COLUMNS' ELSE 'TOO MANY COLUMNS' END AS reason FROM waiting WHERE event_id % 101 = 0 OR event_id % 107 = 0
+UNION ALL SELECT load, file_station, line_number, line, 'filed under another station''s name: ' || station_id FROM waiting WHERE station_id <> file_station AND event_id % 101 <> 0 AND event_id % 107 <> 0
+UNION ALL SELECT load, file_station, line_number, line, 'second row of ' || obs_date || ', ' || element || '; the first in order stays' FROM waiting_ranked WHERE n > 1""",
     "stream_merge": f"SELECT {KEY}, {ORDER}, row_hash, first_loaded_at, last_changed_at FROM merged",
     "keyed_replace": f"SELECT {KEY}, {ORDER}, row_hash FROM stored ANTI JOIN keyed USING ({KEY}) UNION ALL SELECT * FROM keyed",
     "station_day_grid": "SELECT * FROM grid",

@@ -13,7 +13,7 @@ from skyledger.operators import assess, checks, facts, grid, marts, merge, narra
 from skyledger.plans.tables import DAYS, MODEL, VERSION, Tables, csv_lines
 from skyledger.sources import feed, files
 from skyledger.sources.shared import read_table, shared_dir, written
-from skyledger.streaming.arrivals import merge_arrivals
+from skyledger.streaming import arrivals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -46,7 +46,16 @@ def scan_observations(t: Tables) -> DataFrame:
 
 @query
 def rejected_lines(t: Tables) -> DataFrame:
-    return files.rejected_lines(files.numbered_lines(t.spark, station_files(t, t.first, True)))
+    found = files.scan_with_rejects(t.spark, station_files(t, t.first, True))
+    return found.where("reason is not null").select("file_station", "line_number", "line", "reason")
+
+
+@query
+def scan_with_rejects(t: Tables) -> DataFrame:
+    # Some values are decimals with a comma, and so stand in quotes; some flags hold quotes.
+    value = F.when(F.col("event_id") % 13 == 0, F.concat("value", F.lit(",5"))).otherwise(F.col("value"))
+    flag = F.when(F.col("event_id") % 37 == 0, F.lit('say "I", twice')).otherwise(F.col("qflag"))
+    return files.scan_with_rejects(t.spark, station_files(t, t.first.withColumn("value", value).withColumn("qflag", flag), True))
 
 
 @query
@@ -98,9 +107,34 @@ def stream_merge(t: Tables) -> DataFrame:
     # The first snapshot's files arrive, then the second's; each is merged when it comes.
     path, root = shared_dir(t.spark, "arriving"), shared_dir(t.spark, "arrivals")
     files.write_files(csv_lines(t.first, False), f"{path}/load=1")
-    merge_arrivals(t.spark, path, root, feed.LOADED_AT)
+    arrivals.merge_arrivals(t.spark, path, root, feed.LOADED_AT, buckets=8)
     files.write_files(csv_lines(t.second, False), f"{path}/load=2")
-    return merge_arrivals(t.spark, path, root, feed.CHANGED_AT).select(*merge.KEY, *merge.ORDER, "row_hash", "first_loaded_at", "last_changed_at")
+    return arrivals.merge_arrivals(t.spark, path, root, feed.CHANGED_AT, buckets=8).select(*merge.KEY, *merge.ORDER, "row_hash", "first_loaded_at", "last_changed_at")
+
+
+def backlog(t: Tables, spoil: bool) -> str:
+    """Root of the tables after one call that finds both snapshots' files waiting."""
+    path, root = shared_dir(t.spark, "arriving"), shared_dir(t.spark, "arrivals")
+    for load, rows in ((1, t.first), (2, t.second)):
+        files.write_files(csv_lines(rows, spoil), f"{path}/load={load}")
+    at = lambda load: F.when(load == 1, F.lit(feed.LOADED_AT)).otherwise(F.lit(feed.CHANGED_AT)).cast("timestamp")
+    arrivals.merge_arrivals(t.spark, path, root, at, files_per_batch=100_000, buckets=8)
+    return root
+
+
+@query
+def stream_backlog(t: Tables) -> DataFrame:
+    return arrivals.stored_rows(t.spark, backlog(t, False))
+
+
+@query
+def stream_backlog_log(t: Tables) -> DataFrame:
+    return arrivals.stored(t.spark, backlog(t, False), "log")
+
+
+@query
+def stream_rejects(t: Tables) -> DataFrame:
+    return arrivals.stored(t.spark, backlog(t, True), "rejects")
 
 
 # Scope and staging

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import flags
@@ -19,9 +19,13 @@ MODEL, VERSION = "template-1", "v3"
 
 def csv_lines(rows: DataFrame, spoil: bool) -> DataFrame:
     """(file_station, event_id, line): rows as lines of their station's file; ``spoil`` cuts some short and lengthens others."""
-    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in feed.COLUMNS])
+    def written_field(c: str) -> Column:
+        text = F.coalesce(c, F.lit(""))
+        return F.when(text.rlike('[",]'), F.concat(F.lit('"'), F.regexp_replace(text, '"', '""'), F.lit('"'))).otherwise(text)
+
+    line = F.concat_ws(",", *[written_field(c) for c in feed.COLUMNS])
     if spoil:
-        line = F.when(F.col("event_id") % 101 == 0, F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in feed.COLUMNS[:5]])).when(
+        line = F.when(F.col("event_id") % 101 == 0, F.concat_ws(",", *[written_field(c) for c in feed.COLUMNS[:5]])).when(
             F.col("event_id") % 107 == 0, F.concat(line, F.lit(",extra"))).otherwise(line)
     return rows.select("file_station", "event_id", line.alias("line"))
 
@@ -95,7 +99,7 @@ class Tables:
     @cached_property
     def load_checks(self) -> DataFrame:
         # The second snapshot's files with some lines spoilt: the reader rejects these and takes the others.
-        lines = csv_lines(self.second, True)
+        lines = written(csv_lines(self.second, True), "lines")
         return merge.load_checks(files.parsed_lines(lines), files.rejected_lines(lines), self.guard, feed.MAX_DELETED_PCT)
 
     # Scope

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from skyledger.sources.feed import COLUMNS
 
@@ -22,30 +23,65 @@ def observation_schema() -> str:
     return ", ".join(f"{c} string" for c in COLUMNS)
 
 
-def scan_observations(spark: SparkSession, path: str) -> DataFrame:
-    """The well-formed lines of all observation files, every column as text."""
-    rows = spark.read.schema(f"{observation_schema()}, file_station string, _bad string").options(mode="PERMISSIVE", columnNameOfCorruptRecord="_bad").csv(path)
-    return rows.where("_bad is null").drop("_bad")
+def split_lines(reader: DataFrameReader | DataStreamReader, path: str, columns: str = "") -> DataFrame:
+    """(line, the partition columns in ``columns``, _file, _from) of text files: each line with its file and the place where its split of the file begins."""
+    lines = reader.schema(f"value string{columns and ', ' + columns}").text(path)
+    return lines.select(
+        F.col("value").alias("line"), *[c.split()[0] for c in columns.split(",") if c], F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_from"))
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """``split_lines`` with line_number, from 1 in each file, however many splits a file is read in.
+
+    A split's lines stand in one task one after the other. Its first row and its lines are counted by a grouping, what the splits
+    before it hold is a sum over a file's splits (a row each), and a line's number is that plus its place in its split. No file is
+    gathered in one task.
+    """
+    lines = lines.withColumn("_row", F.monotonically_increasing_id())
+    splits = lines.groupBy("_file", "_from").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy("_file").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return lines.join(starts, ["_file", "_from"]).withColumn("line_number", F.col("_row") - F.col("_first") + F.col("_before") + 1).drop("_file", "_from", "_row", "_first", "_before")
+
+
+#: A field in quotes, at its place between separators; quotes inside are doubled.
+QUOTED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file_station, line_number, line): each file's lines, from 1."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select("file_station", F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("n", "line")).where("line <> ''").select(
-        "file_station", (F.col("n") + 1).cast("long").alias("line_number"), "line")
+def parsed(lines: DataFrame, line: str = "line") -> DataFrame:
+    """``lines`` with the eight columns of an observation as text (empty ones null) and reason, which is null for a good line.
+
+    Rows and dead letters come from one parse, which minds quotes: a separator between quotes is part of the field, a doubled quote
+    is one. Blank lines are dropped.
+    """
+    n = F.size(F.split(F.regexp_replace(line, QUOTED, "$1"), ",", -1))
+    row = F.from_csv(line, F.lit(f"{observation_schema()}, _bad string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "escape": '"', "maxCharsPerColumn": "-1"})
+    found = lines.where(F.trim(line) != "").withColumn("_parsed", row).withColumn("_n", n)
+    reason = F.when(F.col("_n") < len(COLUMNS), "MISSING COLUMNS").when(F.col("_n") > len(COLUMNS), "TOO MANY COLUMNS").when(F.col("_parsed._bad").isNotNull(), "UNREADABLE")
+    good = [F.when(F.col("reason").isNull(), F.nullif(F.col(f"_parsed.{c}"), F.lit(""))).alias(c) for c in COLUMNS]
+    return found.withColumn("reason", reason).select(*lines.columns, *good, "reason")
+
+
+def scan_with_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(file_station, line_number, line, the eight columns, reason) of all observation files, good lines and dead letters together."""
+    return parsed(numbered(split_lines(spark.read, path, "file_station string")))
+
+
+def scan_observations(spark: SparkSession, path: str) -> DataFrame:
+    """The well-formed lines of all observation files, every column as text."""
+    lines = spark.read.schema("value string, file_station string").text(path).withColumnRenamed("value", "line")
+    return parsed(lines).where("reason is null").select(*COLUMNS, "file_station")
 
 
-def rejected_lines(lines: DataFrame, columns: int = len(COLUMNS)) -> DataFrame:
-    """Lines with too few or too many columns, with the reason."""
-    n = F.size(F.split("line", ",", -1))
-    reason = F.when(n < columns, "MISSING COLUMNS").when(n > columns, "TOO MANY COLUMNS")
-    return lines.withColumn("reason", reason).where("reason is not null")
+def rejected_lines(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Lines with too few or too many columns, or that can't be parsed, with the reason."""
+    return parsed(lines, line).where("reason is not null").select(*lines.columns, "reason")
 
 
 def parsed_lines(lines: DataFrame) -> DataFrame:
     """The well-formed lines with every column as text, empty ones null."""
-    parts = F.split("line", ",", -1)
-    return lines.where(F.size(parts) == len(COLUMNS)).select("file_station", *[F.nullif(F.get(parts, F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(COLUMNS)])
+    return parsed(lines, "line").where("reason is null").select("file_station", *COLUMNS)
 
 
 def fixed_width_line(row_layout: list[tuple[str, int, int]]) -> Column:

@@ -43,13 +43,13 @@ def test_unchanged_reload(spark):
 def test_duplicate_keeps_first_by_text(spark):
     twice = [(A, "20260101", "TMAX", "-52", None, None), (A, "20260101", "TMAX", "-51", None, None)]
     assert [r.value for r in merge.dedup(rows(spark, twice)).collect()] == ["-51"]
-    assert [r.reason for r in merge.row_rejects(rows(spark, twice)).collect()] == ["duplicate of 20260101 TMAX (another row was kept)"]
+    assert [r.reason for r in merge.row_rejects(rows(spark, twice)).collect()] == ["second row of 20260101, TMAX; the first in order stays"]
 
 
 def test_foreign_row(spark):
     strange = spark.createDataFrame([(A, B, "20260101", "TMAX", "1", None, None, None, None)], SCHEMA)
     assert merge.dedup(strange).count() == 0
-    assert merge.row_rejects(strange).first().reason == f"row for another station ({B})"
+    assert merge.row_rejects(strange).first().reason == f"filed under another station's name: {B}"
 
 
 def test_too_many_deletes_refused_per_station(spark):
