@@ -8,41 +8,78 @@ from pyspark.sql import functions as F
 from skyledger.functions.values import QUARANTINED
 
 
-def day_spine(scope: DataFrame, fct: DataFrame) -> DataFrame:
-    """The days from the window's start to its end or the latest reading, whichever is first; none if it's before the start."""
+#: What a row of a series stands for, in the order in which rows of one day come.
+YEARS, FRAME, READING, FED = range(4)
+
+
+def grid_window(scope: DataFrame, fct: DataFrame) -> DataFrame:
+    """One row (first, last): the window's start, and its end or the latest reading, whichever is first; none if that's before the start."""
     latest = fct.where("not is_deleted").agg(F.max("obs_date").alias("latest"))
-    ends = scope.crossJoin(latest).select("start_date", F.least("end_date", "latest").alias("end"))
-    return ends.where("end >= start_date").select(F.explode(F.sequence("start_date", "end")).alias("obs_date"))
+    return scope.crossJoin(F.broadcast(latest)).select(F.col("start_date").alias("first"), F.least("end_date", "latest").alias("last")).where("last >= first")
+
+
+def day_spine(scope: DataFrame, fct: DataFrame) -> DataFrame:
+    """The days of the window."""
+    return grid_window(scope, fct).select(F.explode(F.sequence("first", "last")).alias("obs_date"))
+
+
+def series_rows(window: DataFrame, selected: DataFrame, elements: DataFrame, reported: DataFrame, fct: DataFrame) -> DataFrame:
+    """(station_id, element, day, kind, year, reading, fed): all that bears on a series, side by side.
+
+    A series has a frame on the day before the window, the years it is reported in, its readings in the window and, where another
+    element feeds it, that element's usable readings.
+    """
+    columns = ["station_id", "element", "day", "kind", "year", "reading", "fed"]
+    readings = fct.where("not is_deleted and obs_date is not null").join(window, F.col("obs_date").between(F.col("first"), F.col("last"))).select(
+        "station_id", "element", F.col("obs_date").alias("day"), F.struct("quality_status", "is_usable", F.col("value").alias("observed"), "is_trace", "qflag", "raw_value").alias("reading"))
+    types = dict(readings.dtypes) | {"year": "struct<first_year:int,last_year:int>"}
+    types["fed"] = dict(readings.select("reading.observed").dtypes)["observed"]
+    before = F.date_sub("first", 1).alias("day")
+
+    def rows(df: DataFrame, kind: int) -> DataFrame:
+        there = {"kind": F.lit(kind).alias("kind")} | {c: F.col(c) for c in df.columns}
+        return df.select(*[there.get(c, F.lit(None).cast(types.get(c, "int")).alias(c)) for c in columns])
+
+    frames = selected.select("station_id").crossJoin(F.broadcast(elements.select("element"))).crossJoin(window).select("station_id", "element", before)
+    years = reported.crossJoin(window).select("station_id", "element", before, F.struct("first_year", "last_year").alias("year"))
+    fed = readings.where("reading.is_usable").join(F.broadcast(elements.select(F.col("element").alias("target"), "fed_by")), F.col("element") == F.col("fed_by")).select(
+        "station_id", F.col("target").alias("element"), "day", F.col("reading.observed").alias("fed"))
+    return rows(years, YEARS).unionByName(rows(frames, FRAME)).unionByName(rows(readings, READING)).unionByName(rows(fed, FED))
 
 
 def station_day_grid(scope: DataFrame, selected: DataFrame, elements: DataFrame, reported: DataFrame, fct: DataFrame) -> DataFrame:
     """One row per selected station, day and element, with a status and, where usable or known to be nothing, a value.
 
-    Reported years, readings and both neighbour windows share one partitioning by (station, element).
+    A series is kept as its readings and the gaps between them: what bears on a series is exchanged once, by (station, element), and
+    sorted by day once; both neighbours of a gap come from that order. Days are made last, each row giving its own day and the gap after it.
     """
-    by_series = ["station_id", "element"]
-    small = F.broadcast(elements.select("element", "unit", "is_core", "absent_means_zero", "persistent", "fed_by"))
-    years = reported.groupBy(*by_series).agg(F.collect_list(F.struct("first_year", "last_year")).alias("years"))
-    grid = selected.select("station_id").crossJoin(small).join(years, by_series, "left").crossJoin(F.broadcast(day_spine(scope, fct)))
-    expected = F.exists(F.coalesce("years", F.array().cast("array<struct<first_year:int,last_year:int>>")), lambda y: F.year("obs_date").between(y["first_year"], y["last_year"]))
-    readings = fct.where("not is_deleted and obs_date is not null").select(
-        *by_series, "obs_date", "quality_status", "is_usable", F.col("value").alias("observed"), "is_trace", "qflag", "raw_value", F.lit(True).alias("has_row"))
-    series = Window.partitionBy(*by_series).orderBy("obs_date")
-    usable = F.when(F.col("is_usable"), F.col("observed"))
-    seen = (
-        grid.withColumn("is_expected", expected).drop("years").join(readings, [*by_series, "obs_date"], "left")
-        .withColumn("has_row", F.coalesce("has_row", F.lit(False)))
-        .withColumn("previous", F.last(usable, ignorenulls=True).over(series.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("next", F.first(usable, ignorenulls=True).over(series.rowsBetween(1, Window.unboundedFollowing)))
-    )
-    feeding = fct.where("is_usable and not is_deleted").select("station_id", "obs_date", F.col("element").alias("fed_by"), F.col("value").alias("fed_value"))
+    window = F.broadcast(grid_window(scope, fct))
+    series = Window.partitionBy("station_id", "element")
+    order = series.orderBy("day", "kind")
+    usable = F.when(F.col("reading.is_usable"), F.col("reading.observed"))
+    marked = series_rows(window, selected, elements, reported, fct).select(
+        "*", F.last(usable, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("previous"),
+        F.first(usable, ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("next"),
+        F.lag("day").over(order).alias("day_before"), F.lead("day").over(order).alias("day_after"),
+        F.collect_list("year").over(series).alias("years"), F.max(F.col("kind") == FRAME).over(series).alias("framed"))
+    own = (F.col("kind") >= READING) & ~F.col("day").eqNullSafe(F.col("day_before"))  # not a frame, and the day's first row
+    begin = F.when(own, F.col("day")).otherwise(F.date_add("day", 1))
+    end = F.greatest(F.coalesce(F.date_sub("day_after", 1), F.col("last")), F.when(own, F.col("day")))
+    days = marked.where("framed").crossJoin(window).withColumn("begin", begin).withColumn("end", end).where("begin <= end").select(
+        "station_id", "element", "day", "reading", "fed", "previous", "next", "years", F.explode(F.sequence("begin", "end")).alias("obs_date"))
+    on_day = F.col("obs_date") == F.col("day")
+    small = F.broadcast(elements.select("element", "unit", "is_core", "absent_means_zero", "persistent"))
+    seen = days.join(small, "element").select(
+        "*", (on_day & F.col("reading").isNotNull()).alias("has_row"), F.when(on_day, F.col("fed")).alias("fed_value"),
+        F.exists("years", lambda y: F.year("obs_date").between(y["first_year"], y["last_year"])).alias("is_expected"))
     present = F.col("persistent") & (((F.col("previous") > 0) & (F.col("next") > 0)) | (F.coalesce(F.col("fed_value").cast("double"), F.lit(0.0)) > 0))
     nothing = F.col("absent_means_zero") & ~F.coalesce(present, F.lit(False))
-    return seen.join(feeding, ["station_id", "obs_date", "fed_by"], "left").select(
+    of_reading = lambda c: F.when(F.col("has_row"), F.col(f"reading.{c}"))
+    return seen.select(
         "station_id", "obs_date", "element", "unit", "is_core", "is_expected",
-        F.when(F.col("has_row"), F.col("quality_status")).when(~F.col("is_expected"), "not_expected").when(nothing, "not_reported").otherwise("missing").alias("status"),
-        F.when(F.col("is_usable"), F.col("observed").cast("double")).when(~F.col("has_row") & F.col("is_expected") & nothing, 0.0).alias("value"),
-        F.coalesce("is_trace", F.lit(False)).alias("is_trace"), "qflag", "raw_value",
+        F.when(F.col("has_row"), F.col("reading.quality_status")).when(~F.col("is_expected"), "not_expected").when(nothing, "not_reported").otherwise("missing").alias("status"),
+        F.when(F.col("has_row"), F.when(F.col("reading.is_usable"), F.col("reading.observed").cast("double"))).when(F.col("is_expected") & nothing, 0.0).alias("value"),
+        F.coalesce(of_reading("is_trace"), F.lit(False)).alias("is_trace"), of_reading("qflag").alias("qflag"), of_reading("raw_value").alias("raw_value"),
     )
 
 

@@ -349,6 +349,7 @@ UNION ALL SELECT load, file_station, line_number, line, 'filed under another sta
 UNION ALL SELECT load, file_station, line_number, line, 'second row of ' || obs_date || ', ' || element || '; the first in order stays' FROM waiting_ranked WHERE n > 1""",
     "stream_merge": f"SELECT {KEY}, {ORDER}, row_hash, first_loaded_at, last_changed_at FROM merged",
     "keyed_replace": f"SELECT {KEY}, {ORDER}, row_hash FROM stored ANTI JOIN keyed USING ({KEY}) UNION ALL SELECT * FROM keyed",
+    "fct_refresh": f"SELECT {_FACT} FROM fct",
     "station_day_grid": "SELECT * FROM grid",
     "station_daily": "SELECT * FROM daily",
     "status_counts": "SELECT element, status, count(*) AS n FROM grid GROUP BY ALL",

@@ -13,7 +13,7 @@ from skyledger.operators import assess, checks, facts, grid, marts, merge, narra
 from skyledger.plans.tables import DAYS, MODEL, VERSION, Tables, csv_lines
 from skyledger.sources import feed, files
 from skyledger.sources.shared import read_table, shared_dir, written
-from skyledger.streaming import arrivals
+from skyledger.streaming import arrivals, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -293,6 +293,19 @@ def fct_incremental(t: Tables) -> DataFrame:
     return facts.fct_incremental(t.fct_before, t.typed_of(t.merged), t.log, t.elements, t.selected).select(*FACT)
 
 
+@query
+def fct_refresh(t: Tables) -> DataFrame:
+    # Three builds: after the first snapshot, after the second, and after the bounds of an element have been changed and changed back.
+    path, source, root = shared_dir(t.spark, "arriving"), shared_dir(t.spark, "arrivals"), shared_dir(t.spark, "facts")
+    narrowed = t.elements.withColumn("policy_hash", F.when(F.col("element") == "PRCP", "other").otherwise(F.col("policy_hash"))).withColumn(
+        "upper_bound", F.when(F.col("element") == "PRCP", 10.0).otherwise(F.col("upper_bound")))
+    for load, rows, at, elements in ((1, t.first, feed.LOADED_AT, narrowed), (2, t.second, feed.CHANGED_AT, narrowed)):
+        files.write_files(csv_lines(rows, False), f"{path}/load={load}")
+        arrivals.merge_arrivals(t.spark, path, source, at, files_per_batch=100_000, buckets=8)
+        view.refresh(t.spark, source, root, t.selected, elements, buckets=8)
+    return view.refresh(t.spark, source, root, t.selected, t.elements, buckets=8).select(*FACT)
+
+
 @query
 def keyed_replace(t: Tables) -> DataFrame:
     fresh = t.incoming.join(t.changes.where("change = 'update'").select(*merge.KEY), merge.KEY, "left_semi")
