@@ -83,6 +83,18 @@ def station_day_grid(scope: DataFrame, selected: DataFrame, elements: DataFrame,
     )
 
 
+#: Columns that a wide table may get from the data: beyond that the scope is not one of elements.
+MOST_CODES = 500
+
+
+def scoped_codes(elements: DataFrame, most: int = MOST_CODES) -> list[str]:
+    """The codes in scope, which name the wide table's columns: the one step of the pivot that the driver has to see."""
+    codes = [r[0] for r in elements.select("element").distinct().orderBy("element").limit(most + 1).collect()]
+    if len(codes) > most:
+        raise ValueError(f"more than {most} elements in scope: too many for columns")
+    return codes
+
+
 def station_daily(grid: DataFrame, selected: DataFrame, elements: list[str]) -> DataFrame:
     """One row per station and day: value and status of each element, core counts, lists of missing and set-aside elements."""
     core, list_of = F.col("is_core") & F.col("is_expected"), lambda cond: F.nullif(F.array_join(F.array_sort(F.collect_list(F.when(cond, F.col("element")))), ", "), F.lit(""))

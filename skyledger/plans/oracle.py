@@ -61,6 +61,14 @@ def failing_rows(test: tuple) -> str:
     return f"\nUNION ALL SELECT '{name_of(kind, table, columns)}', '{table}', '{severity}', to_json(t)::VARCHAR FROM ({rows}) t"
 
 
+def wide(grid: str, elements: list[str]) -> str:
+    return "SELECT g.station_id, obs_date, " + ", ".join(
+        f"max(value) FILTER (element = '{e}') AS {e.lower()}, max(status) FILTER (element = '{e}') AS {e.lower()}_status" for e in elements) + f""",
+ count(*) FILTER (is_core AND is_expected) AS core_expected, count(*) FILTER (is_core AND is_expected AND status IN ('valid', 'trace', 'not_reported')) AS core_present,
+ string_agg(element, ', ' ORDER BY element) FILTER (status = 'missing') AS missing_elements, string_agg(element, ', ' ORDER BY element) FILTER (status IN {QUARANTINED}) AS quarantined_elements,
+ s.city, s.station_name FROM {grid} g JOIN selected s USING (station_id) GROUP BY g.station_id, obs_date, s.city, s.station_name"""
+
+
 PARTS = {
     "feed": """SELECT event_id, user_id, 'CAN' || lpad(user_id::VARCHAR, 8, '0') AS station_id,
  CASE WHEN event_id % 73 = 0 THEN left(strftime(ts, '%Y%m%d'), 7) ELSE strftime(ts, '%Y%m%d') END AS obs_date, element,
@@ -128,11 +136,7 @@ FROM neighbours n LEFT JOIN neighbours d ON d.station_id = n.station_id AND d.ob
     "grid": """SELECT station_id, obs_date, element, unit, is_core, is_expected,
  CASE WHEN has_row THEN quality_status WHEN NOT is_expected THEN 'not_expected' WHEN nothing THEN 'not_reported' ELSE 'missing' END AS status,
  CASE WHEN is_usable THEN observed::DOUBLE WHEN NOT has_row AND is_expected AND nothing THEN 0.0 END AS value, coalesce(is_trace, false) AS is_trace, qflag, raw_value FROM present""",
-    "daily": "SELECT g.station_id, obs_date, " + ", ".join(
-        f"max(value) FILTER (element = '{e}') AS {e.lower()}, max(status) FILTER (element = '{e}') AS {e.lower()}_status" for e in ELEMENTS) + f""",
- count(*) FILTER (is_core AND is_expected) AS core_expected, count(*) FILTER (is_core AND is_expected AND status IN ('valid', 'trace', 'not_reported')) AS core_present,
- string_agg(element, ', ' ORDER BY element) FILTER (status = 'missing') AS missing_elements, string_agg(element, ', ' ORDER BY element) FILTER (status IN {QUARANTINED}) AS quarantined_elements,
- s.city, s.station_name FROM grid g JOIN selected s USING (station_id) GROUP BY g.station_id, obs_date, s.city, s.station_name""",
+    "daily": wide("grid", ELEMENTS),
     "by_status": "SELECT station_id, element, count(*) FILTER (is_expected) AS expected_days, " + ", ".join(
         f"count(*) FILTER (status = '{s}') AS {s}_days" for s in ("valid", "trace", "missing", "not_reported", "qc_failed", "out_of_bounds", "inconsistent", "unparseable")
     ) + f", min(obs_date) FILTER (status IN {USABLE}) AS first_usable_date, max(obs_date) FILTER (status IN {USABLE}) AS last_usable_date FROM grid GROUP BY ALL",
@@ -277,6 +281,23 @@ _ERRORS = [n for n, s in _T.CHECKS if s == "error"]
 _WARNS = ["own_city_named", "intensity_supported", "mentions_temperatures", "acknowledges_gaps", '"length"']
 PARTS["text_checked"] = f"""SELECT * EXCLUDE (length_ok), length_ok AS "length", NOT names_own_city OR named_own AS own_city_named, {' AND '.join(_ERRORS)} AS passed,
  concat_ws(', ', {', '.join(f"CASE WHEN NOT {n} THEN '{n}' END" for n in _ERRORS)}) AS failed_checks FROM text_results"""
+PARTS["run_events"] = """SELECT printf('run-%08d', event_id // 4) AS run_id, ['ingest', 'transform', 'narrate', 'report', 'evaluate'][(event_id // 4) % 5 + 1] AS stage,
+ CASE WHEN event_id % 4 = 0 THEN 'started' WHEN event_id % 4 = 3 AND (event_id // 4) % 7 = 0 THEN 'failed' WHEN event_id % 4 = 3 AND (event_id // 4) % 11 <> 0 THEN 'finished' END AS event, date_trunc('second', ts) AS "at", event_id FROM events"""
+PARTS["run_ledger"] = """SELECT run_id, stage, min("at") FILTER (event = 'started') AS started_at, max("at") FILTER (event <> 'started') AS ended_at,
+ epoch(max("at") FILTER (event <> 'started'))::BIGINT - epoch(min("at") FILTER (event = 'started'))::BIGINT AS seconds,
+ CASE WHEN count(*) FILTER (event = 'started') = 0 THEN 'unknown' WHEN count(*) FILTER (event = 'failed') > 0 THEN 'failed' WHEN count(*) FILTER (event = 'finished') > 0 THEN 'success' ELSE 'unfinished' END AS status,
+ max('no answer to event ' || event_id) FILTER (event = 'failed') AS error FROM run_events WHERE event IS NOT NULL GROUP BY 1, 2"""
+PARTS["downloads"] = """SELECT 'run-' || (page_id % 4 + 1) AS run_id, url, strlen(html)::BIGINT AS bytes, page_id % 3 = 0 AS changed, CASE WHEN page_id % 11 = 0 THEN 'timed out' END AS error FROM pages"""
+PARTS["cases"] = f"""SELECT city || '-' || lower(element) AS case_id, city, obs_date FROM (
+ SELECT station_id, element, arg_min(obs_date, (CASE WHEN element = 'TMIN' THEN value ELSE -value END, obs_date)) AS obs_date FROM grid WHERE status IN {USABLE} AND element IN ('TMIN', 'TMAX', 'PRCP') GROUP BY 1, 2
+ UNION ALL SELECT station_id, 'outside', DATE '2023-12-31' FROM selected) JOIN selected USING (station_id)"""
+_TEXT = "CASE WHEN kind = 2 THEN '' ELSE narrative END"
+PARTS["drafted"] = f"""SELECT unnest(CASE WHEN kind = 7 THEN ['v1'] ELSE ['v1', 'v2'] END) AS version, * EXCLUDE (narrative), {_TEXT} AS narrative FROM text_checked WHERE kind <> 4"""
+PARTS["evaluated"] = f"""SELECT *, CASE WHEN outcome0 IS NULL AND n_failed = 0 THEN 'passed' ELSE coalesce(outcome0, 'failed') END AS outcome, outcome0 IS NULL AND n_failed = 0 AS passed FROM (
+ SELECT v.version, c.case_id, c.city, c.obs_date, CASE WHEN s.station_id IS NULL THEN 'no sheet' WHEN coalesce(d.narrative, '') = '' THEN 'no text' END AS outcome0, length(coalesce(d.narrative, '')) AS chars,
+ {', '.join(f"concat_ws(', ', " + ', '.join(f"CASE WHEN d.narrative <> '' AND NOT d.{n} THEN '{n.strip(chr(34))}' END" for n in names) + f") AS {label}, (" + ' + '.join(f"coalesce((d.narrative <> '' AND NOT d.{n})::INT, 0)" for n in names) + f") AS n_{label}" for label, names in (('failed', _ERRORS), ('warnings', _WARNS)))},
+ concat_ws(', ', {', '.join(f"CASE WHEN regexp_matches(coalesce(d.narrative, ''), {q(p)}) THEN '{n}' END" for n, p in _T.STYLE.items())}) AS style, ({' + '.join(f"regexp_matches(coalesce(d.narrative, ''), {q(p)})::INT" for p in _T.STYLE.values())}) AS n_style
+ FROM cases c CROSS JOIN (SELECT unnest(['v1', 'v2']) AS version) v LEFT JOIN sheets s ON s.city = c.city AND s.obs_date = c.obs_date LEFT JOIN drafted d ON d.version = v.version AND d.station_id = s.station_id AND d.obs_date = s.obs_date)"""
 PARTS["attempts"] = f"""SELECT station_id, obs_date, input_hash, narrative, passed, failed_checks, kind, a.attempt FROM text_checked JOIN (SELECT unnest([1, 2]) AS attempt) a ON a.attempt = 1 OR kind IN (3, 4) WHERE kind <> 0"""
 PARTS["latest"] = """SELECT station_id, obs_date, input_hash, attempt, narrative, CASE WHEN kind <> 5 THEN passed END AS passed, CASE WHEN kind <> 5 THEN failed_checks END AS failed_checks
 FROM attempts QUALIFY row_number() OVER (PARTITION BY station_id, obs_date ORDER BY attempt DESC) = 1"""
@@ -352,6 +373,10 @@ UNION ALL SELECT load, file_station, line_number, line, 'second row of ' || obs_
     "fct_refresh": f"SELECT {_FACT} FROM fct",
     "station_day_grid": "SELECT * FROM grid",
     "station_daily": "SELECT * FROM daily",
+    "station_daily_scoped": wide("(SELECT * FROM grid WHERE element <> 'WDFG')", [e for e in ELEMENTS if e != "WDFG"]),
+    "station_daily_retired": "SELECT * FROM (" + wide("(SELECT * FROM grid WHERE element <> 'WDFG')", [e for e in ELEMENTS if e != "WDFG"]) + f""") WHERE {USER.format('station_id')} % 2 = 0
+UNION ALL BY NAME SELECT *, NULL::DOUBLE AS snow, NULL AS snow_status, NULL::DOUBLE AS snwd, NULL AS snwd_status FROM ("""
+    + wide("(SELECT * FROM grid WHERE element NOT IN ('SNOW', 'SNWD'))", [e for e in ELEMENTS if e not in ("WDFG", "SNOW", "SNWD")]) + f""") WHERE {USER.format('station_id')} % 2 <> 0""",
     "status_counts": "SELECT element, status, count(*) AS n FROM grid GROUP BY ALL",
     "data_quality": "SELECT * FROM quality",
     "city_quality": """SELECT city, sum(expected_days)::BIGINT AS expected_days, sum(qc_failed_days + out_of_bounds_days + inconsistent_days + unparseable_days)::BIGINT AS quarantined_days, round(sum(round(completeness * 10000)::BIGINT)::DOUBLE / nullif(count(completeness), 0)) / 10000 AS mean_completeness,
@@ -407,13 +432,27 @@ FROM text_checked GROUP BY ALL""",
     "unrepaired": "SELECT station_id, city, obs_date, narrative, failed_checks FROM recent JOIN latest USING (station_id, obs_date, input_hash) WHERE obs_date > last_day - 14 AND NOT passed AND attempt = 1",
     "latest_per_key": "SELECT * FROM loads QUALIFY row_number() OVER (PARTITION BY file ORDER BY loaded_at DESC) = 1",
     "volume_swing": "SELECT * FROM swings",
+    "run_ledger": "SELECT * FROM run_ledger",
+    "latest_runs": """SELECT * FROM (SELECT stage, run_id, started_at, ended_at, seconds, status, error FROM run_ledger QUALIFY row_number() OVER (PARTITION BY stage ORDER BY started_at DESC, run_id DESC) = 1)
+ JOIN (SELECT stage, max(ok) AS last_success, count(*) FILTER (status = 'failed' AND (ok IS NULL OR started_at > ok)) AS failed_since
+ FROM (SELECT *, max(started_at) FILTER (status = 'success') OVER (PARTITION BY stage) AS ok FROM run_ledger) GROUP BY 1) USING (stage)""",
+    "download_totals": "SELECT run_id, count(*) AS files, count(*) FILTER (changed) AS changed, count(error) AS failed, sum(bytes)::BIGINT AS bytes FROM downloads GROUP BY 1",
+    "catalog_columns": """SELECT *, 'True,True,False' AS exists_test, CASE table_name WHEN 'dim_element' THEN (SELECT count(*) FROM elements_in_scope) ELSE (SELECT count(*) FROM selected) END AS n_rows FROM (VALUES
+ ('dim_element', 'Elements in scope', 1, 'element', 'string', 'code'), ('dim_element', 'Elements in scope', 2, 'unit', 'string', 'of a reading''s value'), ('dim_element', 'Elements in scope', 3, 'scale', 'double', NULL),
+ ('dim_station', 'It''s one row per station', 1, 'station_id', 'string', NULL), ('dim_station', 'It''s one row per station', 2, 'city', 'string', NULL)) v(table_name, table_comment, position, column_name, data_type, column_comment)""",
+    "evaluate": "SELECT version, case_id, city, obs_date, outcome, passed, failed, warnings, style, chars FROM evaluated",
+    "latest_evaluations": f"""SELECT version, '{MODEL}' AS model, 3 AS runs, 'eval-3-' || version AS eval_id, TIMESTAMP '2024-03-03' AS evaluated_at, count(*) FILTER (passed) AS passed, count(*) AS cases, sum(n_failed)::BIGINT AS error_failures,
+ sum(n_warnings)::BIGINT AS warnings, sum(n_style)::BIGINT AS style_issues, count(*) FILTER (passed AND ends_with(case_id, '-tmax')) AS passed_change, count(*) AS n_results, count(*) FILTER (outcome = 'no sheet') AS n_no_sheet
+FROM evaluated GROUP BY 1""",
     "health_status": f"""SELECT section, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warn') AS warnings, count(*) FILTER (severity = 'info') AS notes,
  CASE WHEN count(*) FILTER (severity = 'error') > 0 THEN 'ERROR' WHEN count(*) FILTER (severity = 'warn') > 0 THEN 'WARN' ELSE 'OK' END AS status
-FROM (SELECT unnest(['load', 'volume', 'changes', 'quality', 'tests', 'resolution', 'texts', 'evaluation']) AS section) LEFT JOIN (
+FROM (SELECT unnest(['runs', 'downloads', 'load', 'volume', 'changes', 'quality', 'tests', 'resolution', 'texts', 'evaluation']) AS section) LEFT JOIN (
  SELECT 'load' AS section, severity FROM load_checks WHERE NOT passed UNION ALL SELECT 'volume', 'warn' FROM swings WHERE abs(swing_pct) > 20
  UNION ALL SELECT 'quality', CASE WHEN freshness = 'stale' THEN 'error' ELSE 'warn' END FROM quality WHERE freshness IN ('stale', 'lagging')
  UNION ALL SELECT 'resolution', 'error' FROM cities WHERE city NOT IN (SELECT city FROM resolved WHERE selected)
  UNION ALL SELECT 'tests', severity FROM failures UNION ALL SELECT 'changes', 'info' FROM change_log WHERE run_id = '{feed.SECOND_RUN}'
+ UNION ALL SELECT 'runs', CASE WHEN status = 'failed' THEN 'error' ELSE 'warn' END FROM (SELECT * FROM run_ledger QUALIFY row_number() OVER (PARTITION BY stage ORDER BY started_at DESC, run_id DESC) = 1) WHERE status <> 'success'
+ UNION ALL SELECT 'downloads', 'warn' FROM downloads WHERE run_id = 'run-4' AND error IS NOT NULL
  UNION ALL SELECT 'texts', 'warn' FROM latest WHERE NOT passed UNION ALL SELECT 'evaluation', 'warn' FROM text_checked WHERE NOT passed) USING (section) GROUP BY 1""",
 }
 SQL = {name: whole(sql) for name, sql in FINAL.items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -9,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import compass, plain_name
-from skyledger.operators import assess, checks, facts, grid, marts, merge, narrative, resolve, scope, staging, textcheck
+from skyledger.operators import assess, checks, evaluation, facts, grid, ledger, marts, merge, narrative, resolve, scope, staging, textcheck
 from skyledger.plans.tables import DAYS, MODEL, VERSION, Tables, csv_lines
-from skyledger.sources import feed, files
+from skyledger.sources import feed, files, sinks
 from skyledger.sources.shared import read_table, shared_dir, written
 from skyledger.streaming import arrivals, view
 
@@ -321,7 +322,27 @@ def station_day_grid(t: Tables) -> DataFrame:
 
 @query
 def station_daily(t: Tables) -> DataFrame:
-    return grid.station_daily(t.grid, t.selected, [e for e, *_ in feed.CATALOG if "*" not in e])
+    return grid.station_daily(t.grid, t.selected, grid.scoped_codes(t.elements))
+
+
+@query
+def station_daily_scoped(t: Tables) -> DataFrame:
+    # An element is excluded: its columns go.
+    elements = t.elements.where("element <> 'WDFG'")
+    days = grid.station_day_grid(t.scope, t.selected, elements, t.reported, t.fct)
+    return grid.station_daily(days, t.selected, grid.scoped_codes(elements))
+
+
+@query
+def station_daily_retired(t: Tables) -> DataFrame:
+    # First without snow, then with it but without wind direction, and that for every other station only.
+    def wide(without: list[str], stations: DataFrame) -> DataFrame:
+        codes = [c for c in grid.scoped_codes(t.elements) if c not in without]
+        days = t.grid.where(F.col("element").isin(codes)).join(stations.select("station_id"), "station_id", "left_semi")
+        return grid.station_daily(days, t.selected, codes)
+
+    even = t.selected.where(F.substring("station_id", 4, 8).cast("int") % 2 == 0)
+    return sinks.wide_after(wide(["SNOW", "SNWD"], t.selected), wide(["WDFG"], even), ["station_id", "obs_date"])
 
 
 @query
@@ -469,6 +490,27 @@ def eval_summary(t: Tables) -> DataFrame:
     return textcheck.eval_summary(t.checked)
 
 
+@query
+def evaluate(t: Tables) -> DataFrame:
+    text = lambda c: F.array_join(c, ", ").alias(c)
+    return t.evaluated.select("version", "case_id", "city", "obs_date", "outcome", "passed", text("failed"), text("warnings"), text("style"), "chars")
+
+
+@query
+def latest_evaluations(t: Tables) -> DataFrame:
+    # Three runs: on all cases, on all but the hottest days, on all again; each is a record of the ledger.
+    found = written(t.evaluated, "evaluated")
+    run = lambda n, rows: evaluation.run_record(rows, F.concat(F.lit(f"eval-{n}-"), "version"), MODEL, F.lit(f"2024-03-0{n} 00:00:00").cast("timestamp"))
+    records = run(1, found).unionByName(run(2, found.where(~F.col("case_id").endswith("-tmax")))).unionByName(run(3, found))
+    path = shared_dir(t.spark, "evaluations")
+    sinks.write_snapshot(records, path)
+    back = t.spark.read.parquet(path)
+    last = evaluation.latest_evaluations(back)
+    # The nested results come back whole: counted again from the record.
+    inside = back.select("eval_id", F.size("results").cast("long").alias("n_results"), F.size(F.filter("results", lambda r: r["outcome"] == "no sheet")).cast("long").alias("n_no_sheet"))
+    return last.join(inside, "eval_id")
+
+
 @query
 def pending(t: Tables) -> DataFrame:
     done = written(t.written.select("station_id", "obs_date", "input_hash", "model", "version"), "narratives")
@@ -513,6 +555,37 @@ def volume_swing(t: Tables) -> DataFrame:
     return marts.volume_swing(t.loads)
 
 
+@query
+def run_ledger(t: Tables) -> DataFrame:
+    return ledger.runs(t.run_events)
+
+
+@query
+def latest_runs(t: Tables) -> DataFrame:
+    found = written(ledger.runs(t.run_events), "runs")
+    return ledger.latest_runs(found).join(ledger.since_success(found), "stage")
+
+
+@query
+def download_totals(t: Tables) -> DataFrame:
+    return ledger.download_totals(t.downloads).drop("mb")
+
+
+@query
+def catalog_columns(t: Tables) -> DataFrame:
+    # A layer of two tables, registered with comments on tables and columns, as the catalog shows it.
+    database = "layer_" + uuid.uuid4().hex[:8]
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_dir(t.spark, 'layer')}'")
+    sinks.register(t.spark, t.elements.select("element", "unit", "scale"), f"{database}.dim_element", "Elements in scope", {"element": "code", "unit": "of a reading's value"})
+    sinks.register(t.spark, t.selected.select("station_id", "city"), f"{database}.dim_station", "It's one row per station")
+    there = [sinks.table_exists(t.spark, f"{database}.{n}") for n in ("dim_element", "dim_station", "dim_nothing")]
+    found = sinks.catalog_columns(t.spark, database)
+    rows = {n: t.spark.table(f"{database}.{n}").count() for n in ("dim_element", "dim_station")}
+    t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    counted = t.spark.createDataFrame(list(rows.items()), "table_name string, n_rows long")
+    return found.join(counted, "table_name").withColumn("exists_test", F.lit(",".join(map(str, there))))
+
+
 @query
 def health_status(t: Tables) -> DataFrame:
     problem = lambda rows, section, severity: rows.select(F.lit(section).alias("section"), F.lit(severity).alias("severity"))
@@ -524,5 +597,7 @@ def health_status(t: Tables) -> DataFrame:
     changes = problem(t.log.where(F.col("run_id") == feed.SECOND_RUN), "changes", "info")
     texts = problem(t.latest.where("not passed"), "texts", "warn")
     evaluated = problem(t.checked.where("not passed"), "evaluation", "warn")
-    every = reduce(DataFrame.unionByName, [failed, swings, stale, city, tests, changes, texts, evaluated])
-    return checks.health_status(every, ["load", "volume", "changes", "quality", "tests", "resolution", "texts", "evaluation"])
+    last = ledger.latest_runs(ledger.runs(t.run_events)).where("status <> 'success'").select(F.lit("runs").alias("section"), F.when(F.col("status") == "failed", "error").otherwise("warn").alias("severity"))
+    fetched = problem(t.downloads.where("run_id = 'run-4' and error is not null"), "downloads", "warn")
+    every = reduce(DataFrame.unionByName, [failed, swings, stale, city, tests, changes, texts, evaluated, last, fetched])
+    return checks.health_status(every, ["runs", "downloads", "load", "volume", "changes", "quality", "tests", "resolution", "texts", "evaluation"])

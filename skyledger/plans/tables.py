@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import flags
-from skyledger.operators import assess, checks, facts, grid, marts, merge, narrative, resolve, scope, staging, textcheck
+from skyledger.operators import assess, checks, evaluation, facts, grid, marts, merge, narrative, resolve, scope, staging, textcheck
 from skyledger.plans import data_tests
 from skyledger.sources import feed, files
 from skyledger.sources.shared import written
@@ -182,6 +182,42 @@ class Tables:
         version = F.concat(F.lit("v"), (F.dayofmonth("obs_date") % 3).cast("string"))
         return textcheck.text_checks(self.texts).withColumn("version", version).withColumn("model", F.lit(MODEL))
 
+    @cached_property
+    def cases(self) -> DataFrame:
+        """Evaluation cases: of each station its coldest, hottest and wettest day with a reading, and a day before the window."""
+        usable = self.grid.where(F.col("status").isin("valid", "trace")).where(F.col("element").isin("TMIN", "TMAX", "PRCP"))
+        sign = F.when(F.col("element") == "TMIN", 1).otherwise(-1)
+        hard = usable.groupBy("station_id", "element").agg(F.min(F.struct((sign * F.col("value")).alias("v"), "obs_date"))["obs_date"].alias("obs_date"))
+        outside = self.selected.select("station_id", F.lit("outside").alias("element"), F.lit("2023-12-31").cast("date").alias("obs_date"))
+        return hard.unionByName(outside).join(self.selected.select("station_id", "city"), "station_id").select(
+            F.concat_ws("-", F.col("city"), F.lower("element")).alias("case_id"), "city", "obs_date")
+
+    @cached_property
+    def evaluated(self) -> DataFrame:
+        # Two versions of the texts; some days have no draft, and some drafts are empty.
+        drafts = self.checked.where("kind <> 4").withColumn("narrative", F.when(F.col("kind") == 2, "").otherwise(F.col("narrative")))
+        versions = F.explode(F.when(F.col("kind") == 7, F.array(F.lit("v1"))).otherwise(F.array(F.lit("v1"), F.lit("v2"))))
+        return evaluation.results(self.cases, self.sheets, drafts.drop("version").withColumn("version", versions))
+
+    @cached_property
+    def run_events(self) -> DataFrame:
+        """Starts and ends of runs: the first of four events in a row starts a run, the last ends it, if it ends."""
+        k = F.col("event_id")
+        run = (k - k % 4) / 4
+        stage = F.element_at(F.array(*[F.lit(x) for x in ("ingest", "transform", "narrate", "report", "evaluate")]), (run % 5 + 1).cast("int"))
+        what = F.when(k % 4 == 0, "started").when((k % 4 == 3) & (run % 7 == 0), "failed").when((k % 4 == 3) & (run % 11 != 0), "finished")
+        rows = feed.read_table(self.spark, self.dir, "events").select(
+            F.format_string("run-%08d", run.cast("long")).alias("run_id"), stage.alias("stage"), what.alias("event"), F.date_trunc("second", "ts").alias("at"),
+            F.when(what == "failed", F.concat(F.lit("no answer to event "), k.cast("string"))).alias("error"))
+        return rows.where("event is not null")
+
+    @cached_property
+    def downloads(self) -> DataFrame:
+        k = F.col("page_id")
+        return feed.read_table(self.spark, self.dir, "pages").select(
+            F.concat(F.lit("run-"), (k % 4 + 1).cast("string")).alias("run_id"), "url", F.octet_length("html").cast("long").alias("bytes"), (k % 3 == 0).alias("changed"),
+            F.when(k % 11 == 0, "timed out").alias("error"))
+
     @cached_property
     def written(self) -> DataFrame:
         """Stored texts: first attempts for most station-days, second ones for some."""

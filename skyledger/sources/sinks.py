@@ -50,6 +50,33 @@ def replace_keys(spark: SparkSession, root: str, name: str, new: DataFrame, key:
     publish(spark, {name: keyed_replace(published(spark, root, name), new, key)}, root, run_id)
 
 
+def wide_after(stored: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """A wide table after ``new`` has replaced the rows of its keys: columns that only ``new`` has are taken on (null elsewhere), those it no longer has go."""
+    return keyed_replace(stored.select(*[c for c in stored.columns if c in new.columns]), new, key).select(*new.columns)
+
+
+def register(spark: SparkSession, df: DataFrame, table: str, comment: str | None = None, columns: dict[str, str] | None = None) -> None:
+    """Writes a catalog table, replacing it, with a comment of its own and comments on its columns."""
+    for c, text in (columns or {}).items():
+        df = df.withMetadata(c, {**df.schema[c].metadata, "comment": text})
+    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    if comment is not None:
+        quoted = comment.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"COMMENT ON TABLE {table} IS '{quoted}'")
+
+
+def table_exists(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table)
+
+
+def catalog_columns(spark: SparkSession, database: str = "default") -> DataFrame:
+    """(table_name, table_comment, position, column_name, data_type, column_comment) of a database's tables, temporary views left out."""
+    rows = [
+        (t.name, t.description, n, c.name, c.dataType, c.description)
+        for t in spark.catalog.listTables(database) if not t.isTemporary for n, c in enumerate(spark.catalog.listColumns(f"{database}.{t.name}"), 1)]
+    return spark.createDataFrame(rows, "table_name string, table_comment string, position int, column_name string, data_type string, column_comment string")
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Rows as JSON lines, decimals as numbers and dates in ISO form."""
     numbers = [F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes]
