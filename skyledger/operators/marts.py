@@ -66,8 +66,8 @@ def status_counts(grid: DataFrame) -> DataFrame:
     return grid.groupBy("element", "status").agg(F.count(F.lit(1)).alias("n")).orderBy("element", "status")
 
 
-def data_issues(fct: DataFrame, rejects: DataFrame, log: DataFrame, failures: DataFrame, selected: DataFrame) -> DataFrame:
-    """Everything wrong with the data, one row per issue of four kinds."""
+def data_issues(fct: DataFrame, rejects: DataFrame, log: DataFrame, failures: DataFrame, selected: DataFrame, rejected_at: Column) -> DataFrame:
+    """Everything wrong with the data, one row per issue of four kinds, with the table it was found in and the time it came (unknown for tests)."""
     none, status = F.lit(None).cast("string"), F.col("quality_status")
     why = (
         F.when(status == "qc_failed", F.concat(F.lit("failed quality check "), "qflag", F.lit(": "), flag_text(F.col("qflag"))))
@@ -80,12 +80,14 @@ def data_issues(fct: DataFrame, rejects: DataFrame, log: DataFrame, failures: Da
         F.concat(F.lit("flags revised: "), "old_flags", F.lit(" -> "), "new_flags"))
     field = lambda name: F.get_json_object("failing_row", f"$.{name}")
     rows = [
-        issue(fct.where(status.isin(QUARANTINED)), "quarantined", F.lit("info"), station_id=F.col("station_id"), obs_date=F.col("obs_date"), element=F.col("element"), value=F.col("raw_value").cast("string"), reason=why),
-        issue(rejects, "rejected_row", F.lit("warn"), station_id=F.col("file_station"), obs_date=F.lit(None).cast("date"), element=none, value=F.col("line"), reason=F.col("reason")),
+        issue(fct.where(status.isin(QUARANTINED)), "quarantined", F.lit("info"), station_id=F.col("station_id"), obs_date=F.col("obs_date"), element=F.col("element"), value=F.col("raw_value").cast("string"), reason=why,
+              found_in=F.lit("facts"), detected_at=F.col("raw_changed_at")),
+        issue(rejects, "rejected_row", F.lit("warn"), station_id=F.col("file_station"), obs_date=F.lit(None).cast("date"), element=none, value=F.col("line"), reason=F.col("reason"),
+              found_in=F.lit("rejects"), detected_at=rejected_at),
         issue(log.where("change in ('update', 'delete')"), "revised_at_source", F.lit("info"), station_id=F.col("station_id"), obs_date=obs_day(F.col("obs_date")), element=F.col("element"),
-              value=F.coalesce("new_value", "old_value"), reason=revised),
+              value=F.coalesce("new_value", "old_value"), reason=revised, found_in=F.lit("change_log"), detected_at=F.col("changed_at")),
         issue(failures, "test_failure", F.col("severity"), station_id=field("station_id"), obs_date=F.when(field("obs_date").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(field("obs_date"))), element=field("element"), value=F.col("failing_row"),
-              reason=F.concat(F.lit("failed test "), "test_name", F.lit(" on "), "tested")),
+              reason=F.concat(F.lit("failed test "), "test_name", F.lit(" on "), "tested"), found_in=F.col("tested"), detected_at=F.lit(None).cast("timestamp")),
     ]
     every = rows[0]
     for r in rows[1:]:

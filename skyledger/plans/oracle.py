@@ -393,14 +393,25 @@ UNION ALL BY NAME SELECT *, NULL::DOUBLE AS snow, NULL AS snow_status, NULL::DOU
     *[(name_of(kind, table, cols), table, severity) for kind, table, cols, _, severity in TESTS]], "test_name, tested, severity")}) n)""",
     "data_issues": f"""SELECT 'quarantined' AS issue_type, 'info' AS severity, station_id, obs_date, element, raw_value::VARCHAR AS value, CASE quality_status
  WHEN 'qc_failed' THEN 'failed quality check ' || qflag || ': ' || CASE qflag {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in QUALITY_FLAGS.items())} ELSE 'unknown flag' END
- WHEN 'out_of_bounds' THEN 'outside the physical bounds' WHEN 'inconsistent' THEN 'maximum temperature below minimum that day: both set aside' ELSE 'value or date did not parse' END AS reason, city
-FROM fct LEFT JOIN (SELECT station_id, city FROM selected) USING (station_id) WHERE quality_status IN {QUARANTINED}
-UNION ALL SELECT 'rejected_row', 'warn', file_station, NULL, NULL, line, reason, city FROM rejects LEFT JOIN selected ON station_id = file_station
+ WHEN 'out_of_bounds' THEN 'outside the physical bounds' WHEN 'inconsistent' THEN 'maximum temperature below minimum that day: both set aside' ELSE 'value or date did not parse' END AS reason, 'facts' AS found_in, last_changed_at AS detected_at, city
+FROM (SELECT f.*, coalesce(a.last_changed_at, r.changed_at) AS last_changed_at FROM fct f LEFT JOIN assessed a USING (station_id, obs_date_text, element) LEFT JOIN removed r USING (station_id, obs_date_text, element)) LEFT JOIN (SELECT station_id, city FROM selected) USING (station_id) WHERE quality_status IN {QUARANTINED}
+UNION ALL SELECT 'rejected_row', 'warn', file_station, NULL, NULL, line, reason, 'rejects', TIMESTAMP '{feed.CHANGED_AT}', city FROM rejects LEFT JOIN selected ON station_id = file_station
 UNION ALL SELECT 'revised_at_source', 'info', l.station_id, {DAY.format('obs_date')}, element, coalesce(new_value, old_value), CASE WHEN change = 'delete' THEN 'removed at source (was ' || old_value || ')'
- WHEN old_value IS DISTINCT FROM new_value THEN 'value revised: ' || old_value || ' -> ' || new_value ELSE 'flags revised: ' || old_flags || ' -> ' || new_flags END, city
+ WHEN old_value IS DISTINCT FROM new_value THEN 'value revised: ' || old_value || ' -> ' || new_value ELSE 'flags revised: ' || old_flags || ' -> ' || new_flags END, 'change_log', changed_at, city
 FROM change_log l LEFT JOIN (SELECT station_id, city FROM selected) s USING (station_id) WHERE change IN ('update', 'delete')
-UNION ALL SELECT 'test_failure', severity, f.failing_row->>'$.station_id', TRY_CAST(f.failing_row->>'$.obs_date' AS DATE), f.failing_row->>'$.element', failing_row, 'failed test ' || test_name || ' on ' || tested, city
+UNION ALL SELECT 'test_failure', severity, f.failing_row->>'$.station_id', TRY_CAST(f.failing_row->>'$.obs_date' AS DATE), f.failing_row->>'$.element', failing_row, 'failed test ' || test_name || ' on ' || tested, tested, NULL, city
 FROM failures f LEFT JOIN selected s ON s.station_id = f.failing_row->>'$.station_id'""",
+    "station_documents": """SELECT station_id, city, n_daily, n_quality, coalesce(n_changes, 0) AS n_changes, coalesce(n_texts, 0) AS n_texts, coalesce(n_evaluations, 0) AS n_evaluations, coalesce(n_tests, 0) AS n_tests, last_day, last_missing,
+ coalesce(inserted, 0)::BIGINT AS inserted, coalesce(n_facts, 0)::BIGINT AS n_facts, coalesce(n_missing_facts, 0)::BIGINT AS n_missing_facts, coalesce(n_failed_checks, 0)::BIGINT AS n_failed_checks, coalesce(outcomes, '') AS outcomes, coalesce(failing, '') AS failing, first_text
+FROM selected LEFT JOIN (SELECT station_id, count(*) AS n_daily, max(obs_date) AS last_day, arg_max(missing_elements, obs_date) FILTER (true) AS last_any FROM daily GROUP BY 1) USING (station_id)
+LEFT JOIN (SELECT station_id, missing_elements AS last_missing FROM daily QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY obs_date DESC) = 1) USING (station_id)
+LEFT JOIN (SELECT station_id, count(*) AS n_quality FROM quality GROUP BY 1) USING (station_id)
+LEFT JOIN (SELECT station_id, count(*) AS n_changes, sum(inserted) AS inserted FROM source_changes GROUP BY 1) USING (station_id)
+LEFT JOIN (SELECT l.station_id, count(*) AS n_texts, sum(len(fact_list)) AS n_facts, sum(len(list_filter(fact_list, lambda f: f.status = 'missing'))) AS n_missing_facts,
+ sum(CASE WHEN coalesce(failed_checks, '') = '' THEN 0 ELSE len(string_split(failed_checks, ', ')) END) AS n_failed_checks, arg_min(narrative, l.obs_date) AS first_text
+ FROM latest l LEFT JOIN sheets s ON s.station_id = l.station_id AND s.obs_date = l.obs_date GROUP BY 1) USING (station_id)
+LEFT JOIN (SELECT city, count(*) AS n_evaluations, string_agg(DISTINCT outcome, ', ' ORDER BY outcome) AS outcomes FROM evaluated GROUP BY 1) USING (city)
+LEFT JOIN (SELECT failing_row->>'$.station_id' AS station_id, count(*) AS n_tests, string_agg(DISTINCT test_name, ', ' ORDER BY test_name) AS failing FROM failures GROUP BY 1) USING (station_id)""",
     "normalised_names": "SELECT id, trim(upper(strip_accents(translate(name, 'AEOINn', 'ÀéÖïÑñ')))) AS plain_name FROM metadata",
     "window_bounds": """SELECT id, start_date, end_date, last_days, error, CASE WHEN error IS NULL THEN coalesce(start_date, last - last_days) END AS first_day, CASE WHEN error IS NULL THEN last END AS last_day FROM (
  SELECT *, CASE WHEN (start_date IS NULL) = (last_days IS NULL) THEN 'give either a start or a number of days' WHEN start_date > last THEN 'starts after its end' WHEN last_days < 0 THEN 'negative number of days' END AS error FROM (

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import compass, plain_name
-from skyledger.operators import assess, checks, evaluation, facts, grid, ledger, marts, merge, narrative, resolve, scope, staging, textcheck
+from skyledger.operators import assess, checks, evaluation, facts, grid, ledger, marts, merge, narrative, report, resolve, scope, staging, textcheck
 from skyledger.plans.tables import DAYS, MODEL, VERSION, Tables, csv_lines
 from skyledger.sources import feed, files, sinks
 from skyledger.sources.shared import read_table, shared_dir, written
@@ -428,7 +428,7 @@ def data_tests(t: Tables) -> DataFrame:
 
 @query
 def data_issues(t: Tables) -> DataFrame:
-    return marts.data_issues(t.fct, t.rejects, t.log, t.failures, t.selected)
+    return marts.data_issues(t.fct, t.rejects, t.log, t.failures, t.selected, F.lit(feed.CHANGED_AT).cast("timestamp"))
 
 
 @query
@@ -462,6 +462,26 @@ def station_report(t: Tables) -> DataFrame:
     return resolve.station_report(t.resolved)
 
 
+@query
+def station_documents(t: Tables) -> DataFrame:
+    # Written as a JSON document per station and read back by schema; shown as counts and a few values from each extract.
+    docs = report.station_documents(
+        t.selected.select("station_id", "city", "province", "station_name"), t.resolved, grid.station_daily(t.grid, t.selected, grid.scoped_codes(t.elements)), t.quality,
+        marts.source_changes(t.log, t.selected), t.latest, t.sheets, t.evaluated, t.failures)
+    path = shared_dir(t.spark, "documents")
+    sinks.write_report(docs, path)
+    back = t.spark.read.schema(docs.schema).json(path)
+    n = lambda c: F.size(c).cast("long").alias(f"n_{c}")
+    total = lambda rows, of: F.aggregate(rows, F.lit(0).cast("long"), lambda a, x: a + of(x))
+    return back.select(
+        "station_id", "city", *[n(c) for c in ("daily", "quality", "changes", "texts", "evaluations", "tests")],
+        F.element_at("daily", -1)["obs_date"].alias("last_day"), F.element_at("daily", -1)["missing_elements"].alias("last_missing"),
+        total("changes", lambda x: x["inserted"]).alias("inserted"), total("texts", lambda x: F.size(x["facts"])).alias("n_facts"),
+        total("texts", lambda x: F.size(F.filter(x["facts"], lambda f: f["status"] == "missing"))).alias("n_missing_facts"), total("texts", lambda x: F.size(x["failed"])).alias("n_failed_checks"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("evaluations", lambda x: x["outcome"]))), ", ").alias("outcomes"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("tests", lambda x: x["test_name"]))), ", ").alias("failing"), F.get(F.col("texts"), F.lit(0))["narrative"].alias("first_text"))
+
+
 @query
 def city_candidates(t: Tables) -> DataFrame:
     order = Window.partitionBy("city", "province").orderBy(F.col("selected").desc(), F.col("rank").asc_nulls_last(), "station_id")
