@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,7 +65,22 @@ def _bare_letters() -> tuple[str, str]:
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
+@cache
+def _spelled_out() -> str:
+    """As JSON: every other character that has ASCII in its compatibility form, such as ligatures and fractions, and that part of the form."""
+    single, _ = _bare_letters()
+    forms = {}
+    for code in (*range(0xA0, 0xD800), *range(0xE000, 0x10000)):
+        plain_form = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if ord(c) < 128)
+        if plain_form and chr(code) not in single:
+            forms[chr(code)] = plain_form
+    return json.dumps(forms)
+
+
 def plain_name(name: Column) -> Column:
     """A name in capitals without accents: compatibility forms, what isn't ASCII then goes, white space cut at both ends."""
     bare = F.translate(name, *_bare_letters())
-    return F.trim(F.upper(F.regexp_replace(bare, r"[^\x00-\x7F]", "")))
+    forms = F.from_json(F.lit(_spelled_out()), "map<string,string>")
+    spelled = F.array_join(F.transform(F.split(bare, ""), lambda c: F.coalesce(F.try_element_at(forms, c), c)), "")
+    text = F.when(bare.rlike(r"[^\x00-\x7F]"), spelled).otherwise(bare)
+    return F.trim(F.upper(F.regexp_replace(text, r"[^\x00-\x7F]", "")))

@@ -51,3 +51,10 @@ def tavg_outside(fct: DataFrame, tolerance: float = 0.5) -> DataFrame:
     days = fct.where("is_usable and not is_deleted").where(F.col("element").isin("TAVG", "TMIN", "TMAX")).groupBy("station_id", "obs_date").agg(
         of("TAVG").alias("tavg"), of("TMIN").alias("tmin"), of("TMAX").alias("tmax"))
     return days.where((F.col("tavg") < F.col("tmin") - tolerance) | (F.col("tavg") > F.col("tmax") + tolerance)).where("tmin is not null and tmax is not null")
+
+
+def inverted_usable(fct: DataFrame) -> DataFrame:
+    """Days whose usable maximum lies below their usable minimum; there are none unless the assessment is broken."""
+    of = lambda e: F.max(F.when(F.col("element") == e, F.col("value")))
+    days = fct.where("is_usable and not is_deleted").where(F.col("element").isin(*PAIR)).groupBy("station_id", "obs_date").agg(of(PAIR[0]).alias("tmax"), of(PAIR[1]).alias("tmin"))
+    return days.where("tmax < tmin")

@@ -34,3 +34,7 @@ def typed_inventory(raw: DataFrame) -> DataFrame:
 def typed_elements(raw: DataFrame) -> DataFrame:
     """The catalog; codes with * or # name families and match no observation."""
     return raw.select(F.col("code").alias("element"), "description", "unit", "scale", F.col("core").alias("is_core"), (~F.col("code").rlike("[*#]")).alias("is_exact_code"))
+
+
+def typed_countries(raw: DataFrame) -> DataFrame:
+    return raw.select(F.col("code").alias("country_code"), F.col("name").alias("country_name"))

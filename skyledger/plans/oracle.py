@@ -184,7 +184,14 @@ UNION ALL SELECT n.city, n.province, n.station_id, n.station_name, false, NULL,
  WHERE NOT EXISTS (SELECT 1 FROM near x WHERE x.city = n.city AND x.province = n.province AND x.station_id = n.station_id)""",
     "failures": """SELECT 'not_null_obs_date' AS test_name, 'fct_observations' AS tested, 'warn' AS severity, to_json(t)::VARCHAR AS failing_row FROM (SELECT station_id, obs_date_text, element FROM fct WHERE obs_date IS NULL) t
 UNION ALL SELECT 'value_within_300', 'fct_observations', 'warn', to_json(t)::VARCHAR FROM (SELECT station_id, obs_date::VARCHAR AS obs_date, element FROM fct WHERE is_usable AND (value < -300 OR value > 300)) t
-UNION ALL SELECT 'stations_fresh', 'data_quality', 'error', to_json(t)::VARCHAR FROM (SELECT station_id, element FROM quality WHERE freshness = 'stale') t""" + "".join(map(failing_rows, TESTS)),
+UNION ALL SELECT 'stations_fresh', 'data_quality', 'error', to_json(t)::VARCHAR FROM (SELECT station_id, element FROM quality WHERE freshness = 'stale') t
+UNION ALL SELECT 'every_city_has_a_station', 'cities', 'error', to_json(t)::VARCHAR FROM (SELECT city FROM cities WHERE city NOT IN (SELECT city FROM resolved WHERE selected)) t
+UNION ALL SELECT 'tavg_within_tmin_tmax', 'fct_observations', 'warn', to_json(t)::VARCHAR FROM (SELECT a.station_id, a.obs_date::VARCHAR AS obs_date FROM fct a JOIN fct i ON i.station_id = a.station_id AND i.obs_date = a.obs_date AND i.element = 'TMIN'
+ JOIN fct x ON x.station_id = a.station_id AND x.obs_date = a.obs_date AND x.element = 'TMAX' WHERE a.element = 'TAVG' AND a.is_usable AND i.is_usable AND x.is_usable AND (a.value < i.value - 0.5 OR a.value > x.value + 0.5)) t
+UNION ALL SELECT 'tmax_not_below_tmin', 'fct_observations', 'error', to_json(t)::VARCHAR FROM (SELECT x.station_id, x.obs_date::VARCHAR AS obs_date FROM fct x JOIN fct i ON i.station_id = x.station_id AND i.obs_date = x.obs_date
+ WHERE x.element = 'TMAX' AND i.element = 'TMIN' AND x.is_usable AND i.is_usable AND x.value < i.value) t
+UNION ALL SELECT 'single_row_scope', 'scope', 'error', to_json(t)::VARCHAR FROM (SELECT count(*) AS n_rows FROM scope HAVING count(*) <> 1) t
+UNION ALL SELECT 'single_row_selected', 'selected', 'warn', to_json(t)::VARCHAR FROM (SELECT count(*) AS n_rows FROM selected HAVING count(*) <> 1) t""" + "".join(map(failing_rows, TESTS)),
     "source_changes": f"""SELECT l.run_id, l.station_id, s.city, min(changed_at) AS changed_at, count(*) FILTER (change = 'insert') AS inserted, count(*) FILTER (change = 'update') AS updated, count(*) FILTER (change = 'delete') AS deleted,
  count(*) FILTER (change = 'update' AND old_value IS DISTINCT FROM new_value) AS value_revisions, count(*) FILTER (change = 'update' AND old_value IS NOT DISTINCT FROM new_value) AS flag_revisions,
  count(*) FILTER (change IN ('update', 'delete') AND {DAY.format('obs_date')} < changed_at::DATE - 7) AS historical_changes, min({DAY.format('obs_date')}) AS earliest_date_touched, max({DAY.format('obs_date')}) AS latest_date_touched
@@ -336,7 +343,7 @@ LEFT JOIN (SELECT file_station, sha256(string_agg({LINE} || chr(10), '' ORDER BY
     "element_policy": "SELECT element, readings, absent_means_zero, persistent, fed_by, lower_bound, upper_bound, start_date, end_date, (end_date - start_date)::INT AS window_days FROM (SELECT element, count(*) AS readings FROM feed GROUP BY 1) LEFT JOIN policy USING (element) CROSS JOIN scope",
     "typed_observations": f"SELECT station_id, {DAY.format('obs_date')} AS obs_date, element, TRY_CAST(value AS INT) AS raw_value, mflag, qflag, sflag, obs_time, obs_date AS obs_date_text, value AS value_text FROM feed",
     "typed_stations": "SELECT * FROM stations",
-    "stations_selected": "SELECT station_id, city, province, station_name, state_code, r_name AS state_name, latitude, longitude, elevation_m FROM selected LEFT JOIN region ON state_code = 'R' || r_regionkey AND r_name <> 'ASIA'",
+    "stations_selected": "SELECT station_id, city, province, station_name, country_code, country_name, state_code, r_name AS state_name, latitude, longitude, elevation_m FROM selected LEFT JOIN (SELECT 'C' || chr((65 + n_nationkey)::INT) AS country_code, n_name AS country_name FROM nation) USING (country_code) LEFT JOIN region ON state_code = 'R' || r_regionkey AND r_name <> 'ASIA'",
     "scoped_elements": "SELECT * FROM scoped_elements",
     "elements_in_scope": "SELECT * FROM elements_in_scope",
     "dim_element": "SELECT * EXCLUDE (policy_hash) FROM elements_in_scope",
@@ -390,6 +397,8 @@ UNION ALL BY NAME SELECT *, NULL::DOUBLE AS snow, NULL AS snow_status, NULL::DOU
     "data_tests": f"""SELECT test_name, tested, severity, failing, CASE WHEN failing = 0 THEN 'pass' WHEN severity = 'error' THEN 'fail' ELSE 'warn' END AS status FROM (
  SELECT n.*, (SELECT count(*) FROM failures f WHERE f.test_name = n.test_name) AS failing FROM ({values([
     ("not_null_obs_date", "fct_observations", "warn"), ("value_within_300", "fct_observations", "warn"), ("stations_fresh", "data_quality", "error"),
+    ("every_city_has_a_station", "cities", "error"), ("tavg_within_tmin_tmax", "fct_observations", "warn"), ("tmax_not_below_tmin", "fct_observations", "error"),
+    ("single_row_scope", "scope", "error"), ("single_row_selected", "selected", "warn"),
     *[(name_of(kind, table, cols), table, severity) for kind, table, cols, _, severity in TESTS]], "test_name, tested, severity")}) n)""",
     "data_issues": f"""SELECT 'quarantined' AS issue_type, 'info' AS severity, station_id, obs_date, element, raw_value::VARCHAR AS value, CASE quality_status
  WHEN 'qc_failed' THEN 'failed quality check ' || qflag || ': ' || CASE qflag {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in QUALITY_FLAGS.items())} ELSE 'unknown flag' END

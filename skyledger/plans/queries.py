@@ -161,8 +161,9 @@ def typed_stations(t: Tables) -> DataFrame:
 @query
 def stations_selected(t: Tables) -> DataFrame:
     nations = read_table(t.spark, t.dir, "region").select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("state_code"), F.col("r_name").alias("state_name"))
-    return scope.stations_selected(feed.selected_stations(t.metadata), t.stations, states=nations.where("state_name <> 'ASIA'")).select(
-        "station_id", "city", "province", "station_name", "state_code", "state_name", "latitude", "longitude", "elevation_m")
+    countries = staging.typed_countries(feed.countries(t.spark, t.dir))
+    return scope.stations_selected(feed.selected_stations(t.metadata), t.stations, countries, nations.where("state_name <> 'ASIA'")).select(
+        "station_id", "city", "province", "station_name", "country_code", "country_name", "state_code", "state_name", "latitude", "longitude", "elevation_m")
 
 
 @query

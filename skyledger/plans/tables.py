@@ -257,6 +257,11 @@ class Tables:
             ("not_null_obs_date", "fct_observations", "warn", checks.not_null(self.fct, "obs_date").select("station_id", "obs_date_text", "element")),
             ("value_within_300", "fct_observations", "warn", day(checks.within_bounds(self.fct.where("is_usable"), "value", -300, 300).select("station_id", "obs_date", "element"))),
             ("stations_fresh", "data_quality", "error", self.quality.where("freshness = 'stale'").select("station_id", "element")),
+            ("every_city_has_a_station", "cities", "error", self.cities.select("city").join(self.resolved.where("selected").select("city"), "city", "left_anti")),
+            ("tavg_within_tmin_tmax", "fct_observations", "warn", day(assess.tavg_outside(self.fct).select("station_id", "obs_date"))),
+            ("tmax_not_below_tmin", "fct_observations", "error", day(assess.inverted_usable(self.fct).select("station_id", "obs_date"))),
+            ("single_row_scope", "scope", "error", checks.single_row(self.scope)),
+            ("single_row_selected", "selected", "warn", checks.single_row(self.selected)),
         ]
 
     def tested(self, table: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.sources.shared import read_table
+from skyledger.sources.shared import read_table, small_or_shuffled
 
 KEY = ["station_id", "obs_date", "element"]
 FLAGS = ["mflag", "qflag", "sflag", "obs_time"]
@@ -106,7 +106,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     suffix = F.element_at(F.array(*[F.lit(x) for x in ("INTL A", "A", "AP", "CENTRE", "INT", "HARBOUR")]), (u % 6 + 1).cast("int"))
     degrees = lambda base, step: F.format_string("%.4f", base + step * 0.0005)
-    return users.join(customers, "user_id").join(F.broadcast(nations), "c_nationkey").select(
+    return users.join(customers, "user_id").join(small_or_shuffled(nations), "c_nationkey").select(
         "user_id", station_id(u).alias("id"), F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("state"),
         F.concat(F.lit("N"), n.cast("string"), F.lit(" "), suffix).alias("name"),
         F.when(u % 3 == 0, F.lpad(u.cast("string"), 5, "0")).otherwise("").alias("wmo_id"),
@@ -116,6 +116,11 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw country codes and names, one for each nation."""
+    return read_table(spark, sf_dir, "nation").select(F.concat(F.lit("C"), F.chr(F.col("n_nationkey") + 65)).alias("code"), F.col("n_name").alias("name"))
+
+
 def inventory(rows: DataFrame) -> DataFrame:
     """Which station reports which element over which years, as text; a few stopped before the window."""
     u = F.col("user_id")
