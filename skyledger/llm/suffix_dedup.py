@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.batches import bounded
-from skyledger.sources.shared import written
+from skyledger.sources.shared import scratch, shared_dir, written
 
 LENGTH, GRAM = 200, 24
 #: Bytes of a text that are searched for anchors at a time; contexts in a shard on average.
@@ -271,15 +271,19 @@ def repeated_anchors(texts: DataFrame) -> DataFrame:
     n: how often the context comes; rk, rpos: key and place of its representative; kinds: different contexts of the anchor;
     uneven: whether contexts with this hash differ in their length or in the anchor's place.
     """
-    placed = texts.select("key", F.explode("anchors").alias("a")).select("key", "a.*")
-    several = written(placed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-repeated")
-    again = written(placed.join(several, "h"), "suffix-again")
-    shape = F.struct(F.col("pos") - F.col("first"), F.col("last") - F.col("first"))
-    one = written(again.groupBy("h", "c").agg(
-        F.min(F.struct("key", "pos")).alias("r"), F.count(F.lit(1)).alias("n"), (F.min(shape) != F.max(shape)).alias("uneven")), "suffix-kinds")
-    kinds = one.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
-    one = one.join(kinds, "h").select("h", "c", "n", F.col("r.key").alias("rk"), F.col("r.pos").alias("rpos"), "kinds", "uneven")
-    return written(again.join(one, ["h", "c"]), "suffix-marked")
+    spark, path = texts.sparkSession, shared_dir(texts.sparkSession, "suffix-marked")
+    with scratch(spark):  # what leads to the table goes once it is written
+        placed = texts.select("key", F.explode("anchors").alias("a")).select("key", "a.*")
+        several = written(placed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-repeated")
+        again = written(placed.join(several, "h"), "suffix-again")
+        shape = F.struct(F.col("pos") - F.col("first"), F.col("last") - F.col("first"))
+        one = written(again.groupBy("h", "c").agg(
+            F.min(F.struct("key", "pos")).alias("r"), F.count(F.lit(1)).alias("n"), (F.min(shape) != F.max(shape)).alias("uneven")), "suffix-kinds")
+        kinds = one.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
+        one = one.join(kinds, "h").select("h", "c", "n", F.col("r.key").alias("rk"), F.col("r.pos").alias("rpos"), "kinds", "uneven")
+        marked = again.join(one, ["h", "c"])
+        marked.write.parquet(path)
+    return spark.read.schema(marked.schema).parquet(path)
 
 
 #: What is cut out of the texts. kind 0: a representative's context (h, c, n, kinds and the anchor's place in it);
@@ -408,13 +412,17 @@ def remove_repeats(
 ) -> DataFrame:
     """One row per document: id, n_bytes, spans (removed, in bytes, end exclusive) and kept (binary)."""
     ids = docs.schema[id_col].dataType.simpleString()
+    spark, path = docs.sparkSession, shared_dir(docs.sparkSession, "suffix-ranges")
     for seed in count():
         texts = work_table(docs, id_col, text_col, length, gram, seed, BITS if seed else bits)
-        marked = repeated_anchors(texts)
-        cut = cut_out(texts, marked, length)
-        if copies_agree(cut):
-            break
-    ranges = written(repeated_ranges(marked, cut, length, hot), "suffix-ranges")
+        with scratch(spark):  # anchors and contexts go once the ranges are written
+            marked = repeated_anchors(texts)
+            cut = cut_out(texts, marked, length)
+            if copies_agree(cut):
+                found = repeated_ranges(marked, cut, length, hot)
+                found.write.parquet(path)
+                break
+    ranges = spark.read.schema(found.schema).parquet(path)
 
     def removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor()
