@@ -1,33 +1,38 @@
 """Personal data by weak supervision, with DataFrame functions only.
 
 Base patterns find e-mail addresses, network addresses, payment cards and phone numbers; further
-candidate patterns find personal names after a title, national numbers, bank accounts, local phone
+candidate patterns find personal names after a title or a cue, national numbers, bank accounts, local phone
 numbers and street addresses. Labelers then vote on each candidate: its own format (regex and
 checksum), gazetteers, the words before it, words that speak against it, and its surroundings.
+The gazetteers of names and streets are learned: a word enters when enough different candidates hold it
+on which the other labelers agree; a few frequent given names are there from the start.
 Expectation-maximisation over the counts of vote patterns (of all candidates in the corpus)
-estimates how reliable each labeler is, and its posteriors train a logistic span classifier, which
-decides which of the further candidates stay. Spans of the base patterns always stay.
+estimates how reliable each labeler is, and its posteriors train a logistic span classifier on kind, length, share of
+digits, word before, what follows, and each kind's own votes. It decides which of the further candidates stay.
+Spans of the base patterns always stay.
 
-The driver only sees counts by vote pattern: at most kinds x 3**labelers x lengths rows.
+The driver only sees counts by feature pattern: at most kinds x 3**labelers x lengths x shares x words x followers rows,
+whatever the corpus; all but few of these never occur.
 
 Spans are code points, end exclusive, leftmost and non-overlapping per kind; a match that fails its
 kind's check is dropped without another try.
 
 Defined results: a null text counts as empty and has no spans; repeated rows get equal spans; with no
-candidates only base spans are returned; an empty table gives an empty result. Other columns pass
-through. The span column is ``_pii_spans``: array of (kind, start, end), in place of an input column of this name.
+candidates only base spans are returned; an empty table gives an empty result. Very long texts are searched
+whole, in time that grows with their length. Other columns pass through. The span column is ``_pii_spans``: array of (kind, start, end), in place of an input column of this name.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.sources.shared import written
+from skyledger.sources.shared import looked_up, written
 
 #: Kinds in the order in which spans of one start are listed, base kinds first.
 BASE = ("email", "ip", "card", "phone")
@@ -41,10 +46,11 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?:\G|(?<![0-9]))[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "person": r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Monsieur|Madame|Señora?|Sra?)\.? \p{Lu}\p{Ll}{1,20}+(?: \p{Lu}\p{Ll}{1,20}+){0,2}+",
+    "person": r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Monsieur|Madame|Señora?|Sra?)\.? \p{Lu}\p{Ll}{1,20}+(?: \p{Lu}\p{Ll}{1,20}+){0,2}+"
+              r"|(?<=\b(?:[Nn]ame|[Dd]ear|[Cc]ontact|[Ss]igned|[Rr]egards,)[: ]{1,2})\p{Lu}\p{Ll}{1,20}+(?: \p{Lu}\p{Ll}{1,20}+){1,2}+",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "bank_account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "local_phone": r"(?<![0-9+.-])(?<!\+[0-9]{1,3} )\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9.-])",
+    "local_phone": r"(?=[(0-9])(?<![0-9+.(-])(?<!\+[0-9 ().-]{1,12})(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[.-][0-9]{4}(?![0-9.-])",
     "street": r"(?<![0-9.,])[0-9]{1,5} (?:\p{Lu}\p{Ll}{1,20}+ ){1,3}+(?:Street|St|Avenue|Ave|Road|Rd|Lane|Drive|Boulevard|Blvd)\b",
 }
 #: What a text must hold for a pattern to be tried at all.
@@ -52,7 +58,7 @@ HINTS = {
     "email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]", "national_id": r"[0-9]-[0-9]",
     "bank_account": r"[A-Z][0-9]{2}", "local_phone": r"[0-9]{3}\)?[ .-][0-9]{3}", "street": r"[0-9] \p{Lu}",
 }
-#: Gazetteer: frequent given names in four languages.
+#: Names the gazetteer starts from: frequent given names in four languages.
 GIVEN_NAMES = (
     "james", "mary", "john", "linda", "robert", "susan", "michael", "sarah", "david", "karen", "hans", "anna", "peter", "ursula",
     "klaus", "monika", "jean", "marie", "pierre", "nathalie", "michel", "isabelle", "jose", "carmen", "antonio", "maria", "manuel", "lucia",
@@ -60,11 +66,16 @@ GIVEN_NAMES = (
 #: Words before a span that speak for its kind, and words that speak against any.
 BEFORE = {
     "email": r"mail|contact|write", "ip": r"\bip\b|address|host|server", "card": r"card|karte|carte|tarjeta|visa|pay", "phone": r"tel|phone|call|fax|mobil",
-    "person": r"name|dear|by|from|contact", "national_id": r"ssn|social|security|national", "bank_account": r"iban|account|konto|compte|cuenta|bank",
+    "person": r"name|dear|by|from|contact|signed|regards", "national_id": r"ssn|social|security|national", "bank_account": r"iban|account|konto|compte|cuenta|bank",
     "local_phone": r"tel|phone|call|fax|mobil", "street": r"address|live|street|home|adresse",
 }
 AGAINST = r"version|isbn|order|figure|page|model|part no|invoice|total|\bv$|\$\s*$"
 LABELERS = ("format", "gazetteer", "before", "against", "around")
+#: Different candidates that must hold a word, with the other labelers agreeing, before it enters a gazetteer.
+SUPPORT = 3
+#: Classes of the word before a candidate (by hash) and the values of the other features of its surroundings.
+WORDS = 32
+CONTEXT = {"share": range(4), "word": range(WORDS + 1), "after": range(4)}
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -151,8 +162,30 @@ def _kind(s: Column) -> Column:
     return F.element_at(F.array(*[F.lit(k) for k in KINDS]), s["rank"] + 1)
 
 
+#: Capitalised words that stand where a name could, and aren't one.
+NO_NAME = r"\b(?:Sir|Madam|Customer|Service|Support|Team|Us|Our|The|And|Sales|Office|Reader|Friends?|Members?|Department|Server|President)\b"
+
+
+def mod_97(account: Column) -> Column:
+    """Whether an account number (letters and digits) passes its check: first four to the end, letters as 10 to 35, remainder 1 of 97."""
+    turned = F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, 1, 4))
+    code = lambda c: F.ascii(c)
+    step = lambda n, c: F.when(code(c) >= 65, (n * 100 + code(c) - 55) % 97).otherwise((n * 10 + code(c) - 48) % 97)
+    return F.aggregate(F.split(turned, "(?<=.)(?=.)"), F.lit(0), step) == 1
+
+
+def gazetteer_words(s: Column) -> Column:
+    """The words by which a gazetteer is asked about a candidate: those of a name (or of an address's local part), or of a street."""
+    kind, match = _kind(s), s["match"]
+    parts = lambda text, of: F.transform(F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.length(w) >= 3), lambda w: F.concat(F.lit(of), w))
+    name = F.regexp_replace(match, r"^(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Monsieur|Madame|Señora?|Sra?)\.? ", "")
+    return F.array_distinct(
+        F.when(kind == "person", parts(name, "name ")).when(kind == "email", parts(F.substring_index(match, "@", 1), "name "))
+        .when(kind == "street", parts(F.regexp_replace(match, r" [^ ]+$", ""), "street ")).otherwise(F.array().cast("array<string>")))
+
+
 def votes(s: Column) -> list[Column]:
-    """A vote of each labeler on a candidate: 1 for, -1 against, 0 none."""
+    """A vote of each labeler on a candidate: 1 for, -1 against, 0 none. The gazetteer's is given later, once it has been learned."""
     kind, match, before = _kind(s), s["match"], F.lower(s["before"])
     number = digits(match)
     area = F.substring(match, 1, 3)
@@ -163,20 +196,14 @@ def votes(s: Column) -> list[Column]:
         .when(kind == "card", vote(match.rlike("^[3-6]"), match.rlike("^0")))
         .when(kind == "phone", vote(~match.rlike(r"^\+0"), match.rlike(r"^\+0")))
         .when(kind == "national_id", vote(~area.isin("000", "666") & ~match.rlike("^9|-00-|-0000$"), area.isin("000", "666") | match.rlike("^9|-00-|-0000$")))
-        .when(kind == "bank_account", vote(F.length(F.regexp_replace(match, " ", "")).between(15, 34), F.length(F.regexp_replace(match, " ", "")) > 34))
+        .when(kind == "bank_account", let(F.regexp_replace(match, " ", ""), lambda m: vote(F.length(m).between(15, 34) & mod_97(m), F.lit(True))))
         .when(kind == "local_phone", vote(number.rlike("^[2-9]"), number.rlike("^[01]")))
-        .otherwise(F.lit(0))
-    )
-    names = "|".join(GIVEN_NAMES)
-    gazetteer = (
-        F.when(kind == "person", F.when(F.lower(match).rlike(rf"\b(?:{names})\b"), 1).otherwise(0))
-        .when(kind == "email", F.when(F.lower(match).rlike(rf"\b(?:{names})\b"), 1).otherwise(0))
-        .when(kind == "street", F.when(match.rlike(r"(?:Street|Avenue|Road|Lane|Boulevard)$"), 1).otherwise(0))
-        .otherwise(F.lit(0))
+        .when(kind == "person", vote(match.rlike(r"\p{Ll} \p{Lu}") & ~match.rlike(NO_NAME), match.rlike(NO_NAME)))
+        .otherwise(vote(match.rlike("^[1-9]"), match.rlike("^0")))
     )
     context = reduce(lambda c, k: c.when(kind == k, before.rlike(BEFORE[k])), KINDS[1:], F.when(kind == KINDS[0], before.rlike(BEFORE[KINDS[0]])))
     return [
-        shape, gazetteer, F.when(context, 1).otherwise(0), F.when(before.rlike(AGAINST), -1).otherwise(0),
+        shape, F.lit(0), F.when(context, 1).otherwise(0), F.when(before.rlike(AGAINST), -1).otherwise(0),
         # Part of a longer string of characters, or set apart on both sides.
         vote(s["before"].rlike(r"(?:^|[\s(:,;\"'])$") & s["after"].rlike(r"^(?:$|[\s).,;:\"'])"), s["before"].rlike(r"[A-Za-z0-9_/=]$") | s["after"].rlike("^[A-Za-z0-9_/=]")),
     ]
@@ -187,9 +214,43 @@ def features(s: Column) -> Column:
     return F.struct(
         s["rank"].alias("rank"), *[v.cast("int").alias(n) for n, v in zip(LABELERS, votes(s), strict=True)],
         F.least(F.floor(F.log2(s["end"] - s["start"])).cast("int"), F.lit(6)).alias("size"),
+        F.least(F.floor(4 * F.length(digits(s["match"])) / F.length(s["match"])).cast("int"), F.lit(3)).alias("share"),
+        let(F.regexp_extract(F.lower(s["before"]), r"(\p{L}+)[^\p{L}]*$", 1), lambda w: F.when(w == "", WORDS).otherwise((F.crc32(w.cast("binary")) % WORDS).cast("int"))).alias("word"),
+        F.when(s["after"] == "", 0).when(s["after"].rlike(r"^\s"), 1).when(s["after"].rlike(r"^[\p{L}0-9]"), 2).otherwise(3).alias("after"),
     )
 
 
+def learned(found: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(word): the words of the gazetteers, from the spans of all documents.
+
+    A word enters if at least ``support`` different candidates hold it that two of format, words before and surroundings vote
+    for and none votes against, and if these are at least half of all candidates with the word.
+    """
+    f = F.col("s.f")
+    agreed = ((f["format"] == 1).cast("int") + (f["before"] == 1).cast("int") + (f["around"] == 1).cast("int") >= 2) & (F.least(f["format"], f["against"], f["around"]) >= 0)
+    kinds = [KINDS.index(k) for k in ("person", "street")]
+    some = found.select(F.explode(F.filter("spans", lambda s: s["rank"].isin(kinds))).alias("s"))
+    # Equal candidates are counted before anything is grouped by word.
+    once = some.select(F.explode("s.words").alias("word"), F.col("s.key").alias("key"), agreed.alias("agreed")).groupBy("word", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("agreed").cast("long")).alias("yes"))
+    return once.groupBy("word").agg(F.sum("n").alias("n"), F.sum("yes").alias("yes"), F.count_if(F.col("yes") > 0).alias("different")).where(
+        (F.col("different") >= support) & (2 * F.col("yes") >= F.col("n"))).select("word")
+
+
+def with_gazetteer(found: DataFrame, known: DataFrame) -> DataFrame:
+    """``found`` (row, id, spans) with the gazetteer's votes: for a candidate of which a word is known, or is among the given names.
+
+    Only words of candidates meet the gazetteer, which is broadcast if it is small; a word that very many candidates hold is dealt to many tasks.
+    """
+    spans = found.select("id", F.posexplode("spans").alias("i", "s")).select("id", "i", F.explode("s.words").alias("word"))
+    hit = looked_up(spans, known, {"known": F.col("word")}).groupBy("id").agg(F.collect_set("i").alias("hits"))
+    hit = written(hit.withColumnRenamed("id", "hit_id"), "pii-known")
+    seeds = F.array(*[F.lit(f"name {n}") for n in GIVEN_NAMES])
+    met = looked_up(found, hit, {"hit_id": F.col("id")}, "left")
+    return met.select("row", F.transform("spans", lambda s, i: s.withField("f", s["f"].withField("gazetteer", F.when(
+        F.arrays_overlap(s["words"], seeds) | F.coalesce(F.array_contains("hits", i), F.lit(False)), 1).otherwise(0))).dropFields("words", "key")).alias("spans"))
+
+
 def reliabilities(rows: list[tuple], rounds: int = 100) -> dict[tuple, float]:
     """Posterior of each vote pattern by expectation-maximisation.
 
@@ -220,48 +281,60 @@ def reliabilities(rows: list[tuple], rounds: int = 100) -> dict[tuple, float]:
     return post
 
 
-def _inputs(rank: int, vote: tuple, size: int) -> list[str]:
-    return [f"kind{rank}", f"size{size}", *(f"{n}{v}" for n, v in zip(LABELERS, vote, strict=True))]
+def _inputs(rank: int, vote: tuple, size: int, *context: int) -> list[str]:
+    own = [f"{n}{v}" for n, v in zip(LABELERS, vote, strict=True)]
+    return [f"kind{rank}", f"size{size}", *own, *(f"kind{rank} {o}" for o in own), *(f"{n}{v}" for n, v in zip(CONTEXT, context))]
 
 
-def classifier(rows: list[tuple], post: dict[tuple, float], rounds: int = 300, rate: float = 0.5, l2: float = 1e-3) -> dict[str, float]:
-    """Weights of a logistic regression on one-hot inputs, trained on the posteriors; rows: (rank, votes, size, n)."""
-    weight: dict[str, float] = {"bias": 0.0}
-    total = sum(n for *_, n in rows) or 1
+def classifier(rows: Iterable[tuple], post: dict[tuple, float], rounds: int = 300, rate: float = 0.5, l2: float = 1e-3) -> dict[str, float]:
+    """Weights of a logistic regression on one-hot inputs, trained on the posteriors; rows: (rank, votes, size, features of the context, n)."""
+    number: dict[str, int] = {"bias": 0}
+    at, want, n = [], [], []
+    for rank, vote, size, *context, m in rows:
+        at.append([0, *(number.setdefault(x, len(number)) for x in _inputs(rank, vote, size, *context))])
+        want.append(post[rank, vote])
+        n.append(m)
+    if not at:
+        return {"bias": 0.0}
+    at, want, n = np.array(at), np.array(want), np.array(n, float)
+    weight = np.zeros(len(number))
     for _ in range(rounds):
-        slope = dict.fromkeys(weight, 0.0)
-        for rank, vote, size, n in rows:
-            names = ["bias", *_inputs(rank, vote, size)]
-            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(weight.get(x, 0.0) for x in names)))))
-            for x in names:
-                slope[x] = slope.get(x, 0.0) + n * (p - post[rank, vote])
-        for x, g in slope.items():
-            weight[x] = weight.get(x, 0.0) - rate * (g / total + l2 * weight.get(x, 0.0))
-    return weight
+        p = 1 / (1 + np.exp(-np.clip(weight[at].sum(axis=1), -30, 30)))
+        slope = np.bincount(at.ravel(), np.repeat(n * (p - want), at.shape[1]), len(number))
+        weight -= rate * (slope / n.sum() + l2 * weight)
+    return dict(zip(number, weight.tolist(), strict=True))
 
 
 def _score(f: Column, weight: dict[str, float]) -> Column:
     """Log odds of a candidate's features under the classifier."""
-    def of(value: Column, name: str, values: range) -> Column:
-        return reduce(lambda c, v: c.when(value == v, F.lit(weight.get(f"{name}{v}", 0.0))), values, F.when(F.lit(False), F.lit(0.0))).otherwise(F.lit(0.0))
-
-    parts = [of(f["rank"], "kind", range(len(KINDS))), of(f["size"], "size", range(7)), *(of(f[n], n, range(-1, 2)) for n in LABELERS)]
+    def of(names: list[str], at: Column) -> Column:
+        return F.coalesce(F.get(F.array(*[F.lit(weight.get(x, 0.0)) for x in names]), at), F.lit(0.0))
+
+    kinds, vote = range(len(KINDS)), range(-1, 2)
+    parts = [of([f"kind{k}" for k in kinds], f["rank"]), of([f"size{k}" for k in range(7)], f["size"])]
+    parts += [of([f"{n}{v}" for v in vote], f[n] + 1) for n in LABELERS]
+    parts += [of([f"kind{k} {n}{v}" for k in kinds for v in vote], f["rank"] * 3 + f[n] + 1) for n in LABELERS]
+    parts += [of([f"{n}{v}" for v in values], f[n]) for n, values in CONTEXT.items()]
     return reduce(lambda a, b: a + b, parts, F.lit(weight.get("bias", 0.0)))
 
 
-def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def find(docs: DataFrame, text_col: str = "text", support: int = SUPPORT) -> DataFrame:
     """``docs``, without its text, with ``_pii_spans``."""
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "_pii_spans")]
+    others = [c for c in docs.columns if c not in (text_col, "_pii_spans")]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    wide = F.transform(let(text, candidates), lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), features(s).alias("f")))
-    found = written(docs.select(*others, wide.alias("_pii_spans")), "pii")
-    counted = found.select(F.explode("_pii_spans.f").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n")).collect()
-    rows = sorted((r["f"]["rank"], tuple(r["f"][n] for n in LABELERS), r["f"]["size"], r["n"]) for r in counted)
+    wide = F.transform(let(text, candidates), lambda s: F.struct(
+        s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), features(s).alias("f"), gazetteer_words(s).alias("words"), F.xxhash64(s["match"]).alias("key")))
+    row = F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias("_pii_none"))
+    found = written(docs.select(row.alias("row"), F.monotonically_increasing_id().alias("id"), wide.alias("spans")), "pii-found")
+    known = written(learned(found, support).withColumnRenamed("word", "known"), "pii-gazetteer")
+    found = written(with_gazetteer(found, known), "pii")
+    counted = found.select(F.explode("spans.f").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = sorted((r["f"]["rank"], tuple(r["f"][n] for n in LABELERS), r["f"]["size"], *(r["f"][n] for n in CONTEXT), r["n"]) for r in counted)
     merged: dict[tuple, int] = {}
-    for rank, vote, _, n in rows:
+    for rank, vote, *_, n in rows:
         merged[rank, vote] = merged.get((rank, vote), 0) + n
     post = reliabilities([(rank, vote, n) for (rank, vote), n in sorted(merged.items())]) if rows else {}
     weight = classifier(rows, post)
-    stays = F.filter("_pii_spans", lambda s: (s["rank"] < len(BASE)) | (_score(s["f"], weight) >= 0))
-    return found.select(*others, F.transform(stays, lambda s: F.struct(
+    stays = F.filter("spans", lambda s: (s["rank"] < len(BASE)) | (_score(s["f"], weight) >= 0))
+    return found.select(*[F.col("row")[c].alias(c) for c in others], F.transform(stays, lambda s: F.struct(
         _kind(s).alias("kind"), s["start"].cast("long").alias("start"), s["end"].cast("long").alias("end"))).alias("_pii_spans"))

@@ -428,6 +428,73 @@ def test_pii_equals_brute_force(spark, sf, texts):
     assert not re.search("Python|Arrow|Pandas", queries.QUERIES["op5_pii"](spark, sf)._jdf.queryExecution().toString())
 
 
+GIVEN, FAMILY = ["Oskar", "Ingrid", "Tomas", "Beatriz", "Yusuf", "Chloé"], ["Lindqvist", "Moreau", "Okafor", "Castillo", "Brandt"]
+STREETS = ["Maple", "Harbour", "Linden", "Station"]
+
+
+def iban(n):
+    account = f"CTBA{n:014d}"
+    code = "".join(str(int(c, 36)) for c in account + "GB00")
+    plain = f"GB{98 - int(code) % 97:02d}{account}"
+    return " ".join(plain[i : i + 4] for i in range(0, len(plain), 4))
+
+
+def planted_pii(n=240):
+    """(text, true spans, kinds of the decoys): each text holds one case between words in small letters."""
+    rows = []
+    for i in range(n):
+        name = f"{GIVEN[i % 6]} {FAMILY[i % 5]}"
+        cases = [
+            ("person", ["written by {}", "my name is {}", "{}", "a letter from {}"][i // 9 % 4], f"{['Mr', 'Dr.', 'Frau', 'Sra.'][i % 4]} {name}"),
+            ("person", "name: {}", name), ("national_id", ["ssn {}", "social security {}", "{}"][i // 9 % 3], f"{100 + i}-{10 + i % 80}-{1000 + 7 * i}"),
+            ("bank_account", ["iban {}", "account {}", "{}"][i // 9 % 3], iban(i)), ("local_phone", ["call {}", "tel {}", "{}"][i // 9 % 3], f"({200 + i}) 555-{1000 + i}"),
+            ("street", ["address {}", "we live at {}", "{}"][i // 9 % 3], f"{i + 1} {STREETS[i % 4]} {['Street', 'Avenue', 'Road'][i % 3]}"),
+            (None, "version {}", f"{100 + i}-{10 + i % 80}-{1000 + i}"), (None, "order {}", f"155-123-{4000 + i}"), (None, "phone {}", f"+1 ({200 + i}) 555-{1000 + i}"),
+        ]
+        kind, frame, match = cases[i % 9]
+        before, after = frame.split("{}")
+        text = f"some words that stand before it, {before}{match}{after}, and some more after {i}"
+        at = text.index(match)
+        rows.append((text, {(kind, at, at + len(match))} if kind else set()))
+    return rows
+
+
+def test_pii_finds_planted_spans_of_every_added_kind(spark):
+    """Recall of each added kind at least 0.9, precision of all of them at least 0.9; held against what was planted."""
+    cases = planted_pii() + [(t, set()) for t in ("Dear Customer Service, hello", "contact Sales Office now", "invoice 666-12-3456", "a ZZ00 ABCD 1234 5678 9012 model")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: {tuple(s) for s in r["_pii_spans"] if s.kind in pii.MORE} for r in pii.find(docs).collect()}
+    for kind in pii.MORE:
+        want = [(i, s) for i, (_, spans) in enumerate(cases) for s in spans if s[0] == kind]
+        assert sum(s in got[i] for i, s in want) >= 0.9 * len(want) > 0, kind
+    found = [(i, s) for i, spans in got.items() for s in spans]
+    assert sum(s in cases[i][1] for i, s in found) >= 0.9 * len(found)
+
+
+def test_pii_learns_names_where_labelers_agree(spark):
+    """A word is learned from enough different agreeing candidates; copies of one candidate don't make it known."""
+    texts = [f"my name is Dr. Quillon {f}, and" for f in ("Abel", "Bost", "Carr")] + ["my name is Dr. Ossia Tarn, and"] * 9
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    wide = F.transform(pii.let(F.col("text"), pii.candidates), lambda s: F.struct(
+        s["rank"].alias("rank"), pii.features(s).alias("f"), pii.gazetteer_words(s).alias("words"), F.xxhash64(s["match"]).alias("key")))
+    known = {r.word for r in pii.learned(docs.select(wide.alias("spans"))).collect()}
+    assert known == {"name quillon"}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_pii_gazetteer_votes_are_equal_however_large_the_gazetteer(spark, monkeypatch, small):
+    texts = [f"my name is Dr. Quillon {f}, and" for f in ("Abel", "Bost", "Carr")] + ["Dr. Quillon", "Dr. Nobody", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    if not small:
+        monkeypatch.setattr("skyledger.sources.shared.is_small", lambda *_: False)
+    wide = F.transform(pii.let(F.coalesce("text", F.lit("")), pii.candidates), lambda s: F.struct(
+        s["rank"].alias("rank"), pii.features(s).alias("f"), pii.gazetteer_words(s).alias("words"), F.xxhash64(s["match"]).alias("key")))
+    found = written(docs.select(F.struct("i").alias("row"), F.col("i").alias("id"), wide.alias("spans")), "test-pii")
+    known = written(spark.createDataFrame([("name quillon",)], "known string"), "test-known")
+    got = {r.i: r.g for r in pii.with_gazetteer(found, known).select("row.i", F.col("spans.f.gazetteer").alias("g")).collect()}
+    assert got == {0: [1], 1: [1], 2: [1], 3: [1], 4: [0], 5: [], 6: []}
+
+
 def test_em_tells_reliable_from_useless_labelers():
     rows = [(0, (1, 0, 1, 0, 1), 400), (0, (-1, 0, 0, -1, -1), 300), (1, (1, 1, 0, 0, 1), 50), (1, (0, 0, 0, -1, -1), 80)]
     post = pii.reliabilities(rows)
