@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 #: Parts that the rows of one key are dealt to where a lookup is too large to broadcast.
 SALTS = 64
+#: Words of 64 bits that a filter of keys has at most, so that it can be broadcast whatever the number of keys.
+FILTER_WORDS = 1 << 20
 _scratch: list[list[str]] = []
 
 
@@ -93,5 +95,45 @@ def looked_up(rows: DataFrame, side: DataFrame, on: dict[str, Column], how: str
     return joined(dealt, salted, lambda df: df, F.col("_salt") == F.col("_salt_of")).drop("_salt", "_salt_of")
 
 
+def _filter_place(*key: Column) -> tuple[Column, Column]:
+    """The word of a filter that a key belongs to, and its two bits there."""
+    h = F.xxhash64(*key)
+    bit = lambda shift: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63)).cast("int"))
+    return F.pmod(h, F.lit(FILTER_WORDS)), bit(40).bitwiseOR(bit(52))
+
+
+def may_be_in(rows: DataFrame, side: DataFrame, on: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts: those whose key may be among the keys of ``side``, and those whose key surely isn't.
+
+    A filter of the keys is tested where the rows are. It has a fixed size: with 7 million keys about 4 in 100 rows are taken for one of them wrongly,
+    with 70 million nearly all are, which costs time, never a row. ``rows`` is read once for each part.
+    """
+    word, bits = _filter_place(*[F.col(key) for key in on])
+    keys = written(side.select(word.alias("_f_word"), bits.alias("_f_bits")).groupBy("_f_word").agg(F.bit_or("_f_bits").alias("_f_bits")), "key-filter")
+    word, bits = _filter_place(*on.values())
+    tested = rows.withColumn("_f_own", bits).join(F.broadcast(keys), word == keys["_f_word"], "left")
+    may = F.coalesce(F.col("_f_bits").bitwiseAND(F.col("_f_own")) == F.col("_f_own"), F.lit(False))
+    return tuple(tested.where(part).drop("_f_own", "_f_word", "_f_bits") for part in (may, ~may))
+
+
+def _matched(side: DataFrame, on: dict[str, Column]) -> Column:
+    return reduce(lambda a, b: a & b, [value == side[key] for key, value in on.items()])
+
+
+def those_in(rows: DataFrame, side: DataFrame, on: dict[str, Column]) -> DataFrame:
+    """``rows`` joined to ``side``, a written table, by keys that equal the expressions ``on``. Rows that surely have no match aren't moved."""
+    if is_small(side):
+        return rows.join(F.broadcast(side), _matched(side, on))
+    return may_be_in(rows, side, on)[0].join(side, _matched(side, on))
+
+
+def those_not_in(rows: DataFrame, side: DataFrame, on: dict[str, Column]) -> DataFrame:
+    """``rows`` without a match in ``side``, a written table, by keys that equal the expressions ``on``. Rows that surely have none are passed on where they are."""
+    if is_small(side):
+        return rows.join(F.broadcast(side), _matched(side, on), "left_anti")
+    may, none = may_be_in(rows, side, on)
+    return none.unionByName(may.join(side, _matched(side, on), "left_anti"))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
