@@ -6,12 +6,15 @@ identifier, that row's locator and the number of rows. Rows that hit a digest se
 compared with the keeper's full text, which the locator finds; a row that differs (a digest
 collision) is grouped by its full text instead.
 
+Beyond what may be broadcast, rows are looked up behind a filter of the wanted places, so that texts
+which surely aren't wanted are not moved.
+
 Only DataFrame operations: no Python runs on the executors.
 
 Defined results: a null text counts as empty; a null ``doc_id`` sorts after every other and is
 never a ``keep_id`` unless the whole group has none; of rows with equal text and equal id, the
 first by (file, row) stays; an empty table gives an empty result; ``keep_first`` returns every input
-column as it was, whatever its name (rows travel as one struct).
+column as it was, whatever its name (rows travel as one struct). Very long texts are digested and compared whole.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from skyledger.sources.shared import shared_dir, small_or_shuffled, written
+from skyledger.sources.shared import shared_dir, those_in, those_not_in, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 STATE = {
@@ -118,9 +121,7 @@ def _deduplicated(placed: DataFrame, id_col: str, text_col: str, trigger_bytes:
     hits = written(
         seen.where("n > 1").select("digest", "id", "file", "row", is_keeper.alias("is_keeper")), "dedup-hits"
     )
-    texts = placed.select(normalised(row[text_col]).alias("bytes"), "_dd_file", "_dd_row").join(
-        small_or_shuffled(hits), (F.col("_dd_file") == F.col("file")) & (F.col("_dd_row") == F.col("row"))
-    )
+    texts = those_in(placed.select(normalised(row[text_col]).alias("bytes"), "_dd_file", "_dd_row"), hits, {"file": F.col("_dd_file"), "row": F.col("_dd_row")})
     first = texts.where("is_keeper").select("digest", F.col("bytes").alias("keeper_bytes"))
     odd = written(
         texts.where("not is_keeper").join(first, "digest").where("bytes <> keeper_bytes")
@@ -159,6 +160,4 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     placed = with_locator(docs)
     found = _deduplicated(placed, id_col, text_col)
     dropped = written(found.where("not kept").select(F.col("file").alias("_dd_f"), F.col("row").alias("_dd_r")), "dedup-dropped")
-    return placed.join(
-        small_or_shuffled(dropped), (F.col("_dd_file") == F.col("_dd_f")) & (F.col("_dd_row") == F.col("_dd_r")), "left_anti"
-    ).select("row.*")
+    return those_not_in(placed, dropped, {"_dd_f": F.col("_dd_file"), "_dd_r": F.col("_dd_row")}).select("row.*")

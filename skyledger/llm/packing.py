@@ -5,10 +5,10 @@ each a sequence of its own; what is left of each document, shorter than a window
 to shards and packed there: pieces in order of falling length, each into the open sequence with the
 least room that still holds it, which a segment tree over the rooms finds. Shards take a fixed
 number of pieces on average, so a shard's memory and the share of padding don't depend on the input's
-size. Tokens are never moved: only lengths are dealt out, and the plan is joined back.
+size. Only lengths are dealt out to be packed; the plan is joined back by piece, which moves the pieces shorter than a window once.
 
 Defined results: a null or empty text is one end id; repeated rows are packed as often as they
-come; an empty table gives an empty result; other columns are ignored.
+come; an empty table gives an empty result; other columns are ignored. A very long text is tokenised whole and cut freely.
 """
 
 from __future__ import annotations

@@ -11,11 +11,13 @@ across shards are joined by distributed connected components.
 
 For whole pipelines (``keep_one``) fingerprints only propose: documents that have one of a few first
 shingles in common and lie within ``NEAR_BITS`` are compared by their whole shingle sets, and only
-pairs of a Jaccard similarity of 0.8 or more are linked.
+pairs of a Jaccard similarity of 0.8 or more are linked. With ``exact`` no such pair is missed: documents are then proposed by
+their rarest shingles (a prefix filter), and neither fingerprints nor marks tell pairs in the last round.
 
 Defined results: a null or wordless text has fingerprint zero and is linked like any other; a null
 ``doc_id`` takes part and is never the smallest id (a group of such rows only has a null id);
-repeated rows are returned as often as they come; an empty table gives an empty result.
+repeated rows are returned as often as they come; an empty table gives an empty result. Very long texts are hashed
+whole, a block of shingles at a time.
 """
 
 from __future__ import annotations
@@ -25,13 +27,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.batches import bounded
 from skyledger.llm.components import components
 from skyledger.llm.exact_dedup import with_locator
-from skyledger.sources.shared import small_or_shuffled, written
+from skyledger.sources.shared import looked_up, those_in, those_not_in, written
 
 SEED = 42
 #: Fingerprints the tree's borders are laid out on, and points a shard should hold.
@@ -368,12 +370,38 @@ def star_pairs(keyed: DataFrame, turn: int, similarity: float) -> DataFrame:
     ).select(F.greatest("point", "one.point").alias("a"), F.least("point", "one.point").alias("b")).distinct()
 
 
-def cells(keyed: DataFrame, points: DataFrame, bound: int) -> DataFrame:
+def rarest_shingles(docs: DataFrame, points: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(point, key): the shingles that two sets of ``similarity`` must have one of in common, of those that more than one set holds.
+
+    Sets of sizes m and n that similar share at least ``similarity`` x m shingles. So if each set is put in one order, the rarest
+    first, a shared one is among the first m - ceil(similarity x m) + 1 of either. How many sets hold a shingle is counted over all of them.
+    """
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for point, text in zip(batch["point"], batch["text"], strict=True):
+                found = np.unique(shingle_hashes(text, words))
+                first = len(found) - int(np.ceil(similarity * len(found) - 1e-6)) + 1
+                for at in range(0, len(found), CHUNK):
+                    yield pd.DataFrame({"point": point, "first": first, "shingle": found[at : at + CHUNK].view(np.int64)})
+
+    # One document stands for its set.
+    places = written(points.select("point", F.col("at.file").alias("_f"), F.col("at.row").alias("_r")), "near-places")
+    one = those_in(docs, places, {"_f": F.col("file"), "_r": F.col("row")}).select("point", "text")
+    held = written(bounded(one).mapInPandas(listed, "point long, first long, shingle long"), "near-shingles")
+    several = written(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("shingle").alias("common"), "n"), "near-common")
+    rank = F.row_number().over(Window.partitionBy("point").orderBy("n", "shingle"))
+    ranked = looked_up(held, several, {"common": F.col("shingle")}, "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("rank", rank)
+    return ranked.where("rank <= first and n > 1").select("point", F.col("shingle").alias("key"))
+
+
+def cells(keyed: DataFrame, points: DataFrame, bound: int, exact: bool = False) -> DataFrame:
     """``keyed`` dealt to cells of about ``bound`` points a side, so that all points of a key in different parts meet.
 
     A key's largest part ('most') is only compared with the rest: a large group of copies that is linked already costs
     as much as it has rows. Keys of which more than ``bound`` points lie outside the largest part are parted by
     bands of several first shingles, in two steps; what is still larger is dealt block by block, so that every pair meets and no task holds more than two blocks.
+    With ``exact`` bands, which can miss a pair, aren't used: large keys are dealt block by block at once.
     """
     dealt, todo = [], keyed
     for step in range(3):
@@ -381,7 +409,7 @@ def cells(keyed: DataFrame, points: DataFrame, bound: int) -> DataFrame:
             F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("most"))
         of = of.where("n > most.n").select("key", F.col("most.part").alias("most"), F.col("most.n").alias("n_most"), (F.col("n") - F.col("most.n")).alias("rest"))
         todo = written(todo.join(of, "key"), "near-keys")
-        large = (F.col("rest") > bound) if step < 2 else F.lit(False)
+        large = (F.col("rest") > bound) if step < 2 and not exact else F.lit(False)
         here = todo.where(~large)
         blocks = lambda n: F.ceil(F.col(n) / bound).cast("int")
         block = lambda n: F.pmod(F.xxhash64("point"), blocks(n)).cast("int")
@@ -396,7 +424,7 @@ def cells(keyed: DataFrame, points: DataFrame, bound: int) -> DataFrame:
         dealt.append(here.withColumn("cell", F.explode(
             F.when(small, F.array(cell(zero, zero, "most"))).when(F.col("part") == F.col("most"), most).otherwise(rest))
         ).select(F.xxhash64(F.lit(step), "key", "cell").alias("cell"), "point", "size", "fp", "marks", "part"))
-        if step == 2:
+        if step == 2 or exact:
             break
         todo = todo.where(large).select("key", "point", "size", "fp", "marks", "part")
         if todo.isEmpty():
@@ -410,8 +438,12 @@ def cells(keyed: DataFrame, points: DataFrame, bound: int) -> DataFrame:
     return out
 
 
-def cell_pairs(dealt: DataFrame, similarity: float, best: bool, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Pairs (a, b) of points in one cell and different parts that may be near; with ``best`` only each point's likeliest one."""
+def cell_pairs(dealt: DataFrame, similarity: float, best: bool, shard_rows: int = SHARD_ROWS, exact: bool = False) -> DataFrame:
+    """Pairs (a, b) of points in one cell and different parts that may be near; with ``best`` only each point's likeliest one.
+
+    With ``exact`` nothing but their sizes rules a pair out.
+    """
+    bits, agree = (64, 0) if exact else (NEAR_BITS, AGREE)
     shards = max(6, -(-dealt.count() // shard_rows))
 
     def compared(shard: pd.DataFrame) -> pd.DataFrame:
@@ -426,13 +458,13 @@ def cell_pairs(dealt: DataFrame, similarity: float, best: bool, shard_rows: int
             for at in range(i, j, 256):
                 own, other = slice(at, min(at + 256, j)), slice(at, j)
                 x, y = np.nonzero(
-                    (np.bitwise_count(fp[own, None] ^ fp[None, other]) <= NEAR_BITS) & (part[own, None] != part[None, other])
+                    (np.bitwise_count(fp[own, None] ^ fp[None, other]) <= bits) & (part[own, None] != part[None, other])
                     & (np.minimum(size[own, None], size[None, other]) + 1e-9 >= similarity * np.maximum(size[own, None], size[None, other])))
                 x, y = x[x < y] + at, y[x < y] + at
                 for k in range(0, len(x), CHUNK):
                     p, q = x[k : k + CHUNK], y[k : k + CHUNK]
                     equal = marks_equal(mark[p], mark[q])
-                    p, q, equal = p[equal >= AGREE], q[equal >= AGREE], equal[equal >= AGREE]
+                    p, q, equal = p[equal >= agree], q[equal >= agree], equal[equal >= agree]
                     if not best:
                         a.append(np.maximum(point[p], point[q]))
                         b.append(np.minimum(point[p], point[q]))
@@ -452,18 +484,21 @@ def cell_pairs(dealt: DataFrame, similarity: float, best: bool, shard_rows: int
     return dealt.groupBy(F.pmod(F.xxhash64("cell"), F.lit(shards)).alias("shard")).applyInPandas(compared, "a long, b long").distinct()
 
 
-def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bound: int = BOUND) -> DataFrame:
+def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bound: int = BOUND, exact: bool = False) -> DataFrame:
     """(id, text, file, row) to (id, file, row, _sh_group): equal for all documents that links of ``similarity`` reach.
 
     Two turns link one point of each key to those near it, so that large groups of copies are one part. Then all points
     of a key in different parts are compared: a few rounds hold each against its likeliest partner, which joins families
     of near copies at a cost of a pair a point, and a last one proposes every pair still in different parts. Every
-    link has been verified.
+    link has been verified. ``exact`` misses no link, at the cost of counting every shingle and of verifying more pairs.
     """
     hashed = written(shingle_sets(docs, words), "near-docs")
     points = hashed.groupBy("_sh_.point").agg(F.first("_sh_").alias("p"), F.min(F.struct("file", "row")).alias("at"))
     points = written(points.select("p.*", "at"), "near-points")
-    keyed = points.select("point", "size", "fp", "marks", F.posexplode("keys").alias("order", "first")).withColumn("key", F.xxhash64("order", "first"))
+    if exact:
+        keyed = points.select("point", "size", "fp", "marks").join(written(rarest_shingles(docs, points, words, similarity), "near-rarest"), "point")
+    else:
+        keyed = points.select("point", "size", "fp", "marks", F.posexplode("keys").alias("order", "first")).withColumn("key", F.xxhash64("order", "first"))
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     keyed = written(keyed.join(several, "key").select("key", "point", "size", "fp", "marks", F.col("point").alias("part")), "near-keyed")
 
@@ -476,7 +511,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         pairs = written(proposed, "near-pairs")
         these = pairs.select(F.col("a").alias("point")).unionByName(pairs.select(F.col("b").alias("point"))).distinct()
         wanted = written(points.join(these, "point", "left_semi").select("point", F.col("at.file").alias("_f"), F.col("at.row").alias("_r")), "near-wanted")
-        found = docs.join(small_or_shuffled(wanted), (F.col("file") == F.col("_f")) & (F.col("row") == F.col("_r"))).select("point", "text")
+        found = those_in(docs, wanted, {"_f": F.col("file"), "_r": F.col("row")}).select("point", "text")
         found = written(bounded(found).mapInPandas(sets, "point long, shingles binary"), "near-sets")
         return written(verified(pairs, found, similarity), "near-links")
 
@@ -485,7 +520,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         more = checked(star_pairs(keyed, turn, similarity))
         edges = more if edges is None else edges.unionByName(more)
         keyed = written(with_part(keyed, edges), "near-keyed")
-    dealt = written(cells(keyed, points, bound), "near-cells")
+    dealt = written(cells(keyed, points, bound, exact), "near-cells")
     for _ in range(ROUNDS):
         more = checked(cell_pairs(dealt, similarity, best=True))
         if more.isEmpty():
@@ -495,24 +530,22 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         dealt = with_part(dealt, edges)
         mixed = dealt.groupBy("cell").agg((F.min("part") < F.max("part")).alias("open")).where("open").select("cell")
         dealt = written(dealt.join(mixed, "cell", "left_semi"), "near-cells")
-    edges = edges.unionByName(checked(cell_pairs(dealt, similarity, best=False)))
+    edges = edges.unionByName(checked(cell_pairs(dealt, similarity, best=False, exact=exact)))
     member = components(edges)
     return hashed.join(member, F.col("_sh_.point") == F.col("node"), "left").select("id", "file", "row", F.coalesce("component", "_sh_.point").alias("_sh_group"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, bound: int = BOUND) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, bound: int = BOUND, exact: bool = False) -> DataFrame:
     """``docs`` with one row of each group (the smallest id, then the first by place); columns as they were."""
     placed = with_locator(docs)
     group = written(near_groups(
         placed.select(F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"), F.col("_dd_file").alias("file"), F.col("_dd_row").alias("row")),
-        words, similarity, bound), "simhash-placed")
+        words, similarity, bound, exact), "simhash-placed")
     first = group.groupBy("_sh_group").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "row")).alias("stays"), F.count(F.lit(1)).alias("n"))
     several = written(first.where("n > 1").select("_sh_group", F.col("stays.file").alias("_f"), F.col("stays.row").alias("_r")), "simhash-several")
     dropped = written(
         group.join(several, "_sh_group").where("not (file = _f and row = _r)").select(F.col("file").alias("_dd_f"), F.col("row").alias("_dd_r")), "simhash-dropped")
-    return placed.join(
-        small_or_shuffled(dropped), (F.col("_dd_file") == F.col("_dd_f")) & (F.col("_dd_row") == F.col("_dd_r")), "left_anti"
-    ).select("row.*")
+    return those_not_in(placed, dropped, {"_dd_f": F.col("_dd_file"), "_dd_r": F.col("_dd_row")}).select("row.*")
 
 
 def as_hex(fp: str = "fp") -> Column:

@@ -202,6 +202,43 @@ def test_near_groups_equal_brute_jaccard(spark, bound):
     assert near_components(spark, texts, bound=bound) == sorted(want.values())
 
 
+@pytest.mark.parametrize("bound", [simhash.BOUND, 4])
+def test_exact_near_groups_need_no_fingerprints(spark, monkeypatch, bound):
+    """Nothing is missed though neither fingerprints nor marks propose a single pair, with hot shingles and texts without words."""
+    texts = [*families(5), *["the same opening of a few words then something else " + f"z{i}" for i in range(30)], "", None, "one", "one two"]
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    label = brute_components(range(len(texts)), lambda a, b: sets[a] == sets[b] or bool(sets[a] and sets[b]) and jaccard(sets[a], sets[b]) >= 0.8)
+    want = {}
+    for k, c in label.items():
+        want.setdefault(c, []).append(k)
+    monkeypatch.setattr(simhash, "NEAR_BITS", -1)
+    monkeypatch.setattr(simhash, "AGREE", simhash.MARKS + 1)
+    assert near_components(spark, texts, bound=bound, exact=True) == sorted(want.values())
+
+
+def test_rarest_shingles_of_similar_sets_meet(spark):
+    texts = families(9, sizes=(12, 8), n_words=30)
+    docs = spark.createDataFrame([(t, "f", i) for i, t in enumerate(texts)], "text string, file string, row long")
+    points = spark.createDataFrame([(i, ("f", i)) for i in range(len(texts))], "point long, at struct<file: string, row: long>")
+    keys = collections.defaultdict(set)
+    for r in simhash.rarest_shingles(docs, points, 5, 0.8).collect():
+        keys[r.point].add(r.key)
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if jaccard(sets[a], sets[b]) >= 0.8]
+    assert near and all(keys[a] & keys[b] for a, b in near)
+    assert sum(map(len, keys.values())) < 0.5 * sum(map(len, sets))
+
+
+@pytest.mark.parametrize("keep", [exact_dedup.keep_first, simhash.keep_one])
+def test_rows_kept_are_the_same_behind_a_filter(spark, sf, monkeypatch, keep):
+    """Where the places to read or drop are too many to broadcast, the results are those of a broadcast."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    small = sorted(r.doc_id for r in keep(docs).collect())
+    monkeypatch.setattr("skyledger.sources.shared.is_small", lambda *_: False)
+    kept = keep(docs)
+    assert "Union" in kept._jdf.queryExecution().toString() and sorted(r.doc_id for r in kept.collect()) == small
+
+
 def test_documents_less_alike_than_the_similarity_stay(spark):
     # 100 shingles each, pairs of Jaccard 0.5 to 0.75: many lie within 12 bits, none is a near copy.
     common = [f"c{i}" for i in range(84)]
