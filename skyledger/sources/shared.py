@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,8 @@ BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 SALTS = 64
 #: Words of 64 bits that a filter of keys has at most, so that it can be broadcast whatever the number of keys.
 FILTER_WORDS = 1 << 20
-_scratch: list[list[str]] = []
+#: The work tables that the innermost ``scratch`` of this thread of work has to remove.
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 @cache
@@ -38,20 +40,26 @@ def shared_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = _own_folder()
     path = f"{root.rstrip('/')}/skyledger/{label}-{uuid.uuid4().hex}"
-    if _scratch:
-        _scratch[-1].append(path)
+    mine = _scratch.get()
+    if mine is not None:
+        mine.append(path)
     return path
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Removes the work tables made inside when it ends; what is to stay must have been written elsewhere by then."""
-    _scratch.append([])
+    """Removes the work tables made inside when it ends; what is to stay must have been written elsewhere by then.
+
+    Only tables of the thread that entered are removed, so that what other threads run meanwhile keeps its own.
+    """
+    mine: list[str] = []
+    before = _scratch.set(mine)
     try:
         yield
     finally:
+        _scratch.reset(before)
         jvm = spark._jvm
-        for path in _scratch.pop():
+        for path in mine:
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 

@@ -1,5 +1,7 @@
 """Lookups behind a filter of the keys."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,3 +51,19 @@ def test_rows_that_surely_have_no_match_are_not_moved(spark, tables, monkeypatch
     none = shared.may_be_in(rows, side, {"of": F.col("file"), "at": F.col("row")})[1]
     plan = none._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_work_tables_of_other_threads_stay(spark):
+    kept = []
+    with shared.scratch(spark):
+        own = shared.written(spark.range(3), "scratch-own")
+        other = threading.Thread(target=lambda: kept.append(shared.written(spark.range(4), "scratch-other")))
+        other.start()
+        other.join()
+        with shared.scratch(spark):
+            inner = shared.written(spark.range(5), "scratch-inner")
+        assert own.count() == 3
+    assert kept[0].count() == 4
+    for gone in (own, inner):
+        with pytest.raises(Exception, match="(?i)not.exist"):
+            gone.count()
