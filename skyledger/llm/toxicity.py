@@ -6,8 +6,8 @@ with the word), a published supervised term weight: without it the many common w
 few that matter (the README has both recalls). It is 1 for a word that only label 0 has and rises without a
 threshold, so no word is left out.
 
-The examples are a bounded sample of the labelled texts: at most ``examples`` of each label, those with the
-smallest hash of their text. The vocabulary is all words of the examples; a word that no example holds can't
+The examples are a bounded sample of the labelled texts: at most ``examples`` of each label and ``example_bytes`` of their text,
+those with the smallest hash of their text; a text longer than a 16th of these bytes is no example, but its words count. The vocabulary is all words of the examples; a word that no example holds can't
 add to any cosine. A block-max inverted index over the examples finds the exact nearest ones: frequent
 words have their largest weight in every block of examples, rare words are added up from their postings, and
 both together bound what an example of a block can reach. Blocks are scored whole only where that bound
@@ -21,7 +21,7 @@ Defined results: a null, empty or wordless text, or one with no word of an examp
 among the labelled texts and no evidence; labels that are null are not learned from, and of several labels
 of one text each counts; ties between examples go to the one first in the index; with nothing to learn
 from every score is 0; repeated rows get equal scores; an empty table gives an empty result; other columns pass
-through. ``rate`` adds ``_tx_score`` and ``_tx_evidence`` (identifiers of the nearest examples, as text,
+through. Very long texts are scored whole. ``rate`` adds ``_tx_score`` and ``_tx_evidence`` (identifiers of the nearest examples, as text,
 nearest first), in place of input columns of these names.
 """
 
@@ -44,6 +44,8 @@ from skyledger.sources.shared import written
 
 #: Nearest examples that vote, examples of each label at most, examples of a block.
 NEAREST, EXAMPLES, BLOCK = 15, 8_192, 64
+#: Bytes of text that the examples of a label have at most, so that their words, vectors and index are bounded whatever the texts' lengths.
+EXAMPLE_BYTES = 1 << 26
 #: Blocks scored first; words (the most frequent ones) that have a weight in every block.
 FIRST_BLOCKS, FREQUENT = 6, 256
 #: Weight of the overall share that a vote starts from.
@@ -256,22 +258,27 @@ def term_counts(texts: DataFrame) -> DataFrame:
     return bounded(texts).mapInPandas(counted, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def chosen_examples(texts: DataFrame, examples: int) -> tuple[DataFrame, dict[int, int]]:
-    """The texts of each label with the smallest hashes, at most ``examples``, as a written table; and the texts of each label."""
+def chosen_examples(texts: DataFrame, examples: int, example_bytes: int = EXAMPLE_BYTES) -> tuple[DataFrame, dict[int, int]]:
+    """The texts of each label with the smallest hashes, as a written table; and the number of texts of each label.
+
+    At most ``examples`` of a label, and at most ``example_bytes`` of text; a text longer than a 16th of that is no example.
+    """
     number = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = F.shiftrightunsigned("h", 1)
     share = {y: min(1.0, (examples + 8 * examples**0.5 + 16) / n) for y, n in number.items()}
     near = texts.where(order / F.lit(2.0**63) <= F.when(F.col("label") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0)))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(order, "h", "digest"))
-    few = written(near.select("h", "digest", "label").withColumn("rank", rank).where(F.col("rank") <= examples).select("h", "digest", "label"), "toxic-chosen")
+    by_hash = Window.partitionBy("label").orderBy(order, "h", "digest").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sized = near.select("h", "digest", "label", F.octet_length("text").cast("long").alias("bytes")).where(F.col("bytes") <= example_bytes // 16)
+    ranked = sized.select("h", "digest", "label", F.row_number().over(by_hash).alias("rank"), F.sum("bytes").over(by_hash).alias("total"))
+    few = written(ranked.where((F.col("rank") <= examples) & (F.col("total") <= example_bytes)).select("h", "digest", "label"), "toxic-chosen")
     return written(near.join(F.broadcast(few), ["h", "digest", "label"]).select("h", "label", "id", "text"), "toxic-examples"), number
 
 
-def train(labelled: DataFrame, examples: int = EXAMPLES) -> Index:
+def train(labelled: DataFrame, examples: int = EXAMPLES, example_bytes: int = EXAMPLE_BYTES) -> Index:
     """An index of (id, text, label) rows, label 0 or 1."""
     spark = labelled.sparkSession
     texts = distinct_texts(labelled)
-    chosen, number = chosen_examples(texts, examples)
+    chosen, number = chosen_examples(texts, examples, example_bytes)
     n1, n0 = number.get(1, 0), number.get(0, 0)
     base = n1 / max(1, n1 + n0)
     used = term_counts(chosen).select("term", (F.col("n1") + F.col("n0")).alias("used"))

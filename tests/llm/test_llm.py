@@ -541,6 +541,20 @@ def test_em_tells_reliable_from_useless_labelers():
     assert score(0, (1, 0, 1, 0, 1)) > 0 > score(0, (-1, 0, 0, -1, -1)) and pii.reliabilities([]) == {}
 
 
+def test_examples_are_bounded_by_number_and_by_bytes(spark):
+    """Long texts of either label don't crowd the index out; what isn't chosen is still counted."""
+    rows = [(str(i), f"word{i} " * 10, i % 2) for i in range(200)] + [(f"l{i}", f"long{i} " * 5_000, i % 2) for i in range(8)]
+    texts = toxicity.distinct_texts(spark.createDataFrame(rows, "id string, text string, label int"))
+    for examples, size in ((20, 1 << 26), (1_000, 1_600), (1_000, 1 << 26)):
+        chosen, number = toxicity.chosen_examples(texts, examples, size)
+        got = [(r.label, len(r.text)) for r in chosen.collect()]
+        assert number == {0: 104, 1: 104}
+        for label in (0, 1):
+            own = [n for y, n in got if y == label]
+            assert 0 < len(own) <= examples and sum(own) <= size and max(own) <= size // 16
+    assert len(got) == 208
+
+
 # 6 Language
 
 
