@@ -28,9 +28,11 @@ nearest first), in place of input columns of these names.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from hashlib import sha256
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -48,6 +50,8 @@ NEAREST, EXAMPLES, BLOCK = 15, 8_192, 64
 EXAMPLE_BYTES = 1 << 26
 #: Blocks scored first; words (the most frequent ones) that have a weight in every block.
 FIRST_BLOCKS, FREQUENT = 6, 256
+#: Texts scored together; texts whose result a worker remembers.
+TOGETHER, KNOWN = 32, 20_000
 #: Weight of the overall share that a vote starts from.
 PRIOR = 0.1
 #: ASCII characters other than letters, digits and apostrophes part words.
@@ -73,12 +77,13 @@ class Vocabulary:
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, weights) of a text as a unit vector; terms ascending, none if it has no known word."""
-        get = self.terms.get
-        count = [(t, n) for w, n in Counter(words(text)).items() if (t := get(w)) is not None]
-        at = np.fromiter((t for t, _ in count), np.int32, len(count))
-        x = (1 + np.log(np.fromiter((n for _, n in count), float, len(count)))) * self.weight[at]
+        count = Counter(words(text))
+        at = np.fromiter(map(self.terms.get, count, repeat(-1)), np.int32, len(count))
         order = np.argsort(at)
-        return at[order], (x[order] / np.sqrt((x * x).sum()) if len(x) else x)
+        order = order[np.searchsorted(at, 0, sorter=order) :]
+        at = at[order]
+        x = (1 + np.log(np.fromiter(count.values(), float, len(count))[order])) * self.weight[at]
+        return at, (x / np.sqrt((x * x).sum()) if len(x) else x)
 
 
 @dataclass
@@ -121,47 +126,68 @@ class Index:
         return {(int(h), int(y)): i for i, (h, y) in enumerate(zip(self.hashes, self.labels, strict=True))}
 
     @cached_property
-    def known(self) -> dict[bytes, tuple[float, list[str]]]:
+    def known(self) -> dict[bytes, tuple[float, np.ndarray]]:
+        """(score, nearest examples) of texts met lately, by their digest and the curve."""
         return {}
 
     def nearest(self, at: np.ndarray, x: np.ndarray, k: int = NEAREST, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a cosine above 0, nearest first, without example ``but``."""
-        n = len(self.most)
-        common, blocks = at < n, self.most.shape[1]
-        rare, rare_x = at[~common], x[~common]
-        size = self.begin[rare + 1] - self.begin[rare]
-        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.begin[rare], size)
-        score = np.bincount(self.example[step], np.repeat(rare_x, size) * self.weight[step], blocks * BLOCK).astype(float, copy=False).reshape(blocks, BLOCK)
+        return self.nearest_of([(at, x)], k, [but])[0]
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST, but: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each of a few vectors. Those whose bounds leave many blocks open get the frequent words' part in one product."""
+        n, blocks = self.most.shape
+        every = [self._bounded(at, x, k, i) for (at, x), i in zip(vectors, but or [-1] * len(vectors), strict=True)]
+        wide = [i for i, e in enumerate(every) if len(e[-1]) * 4 > blocks]
+        row = {i: r for r, i in enumerate(wide)}
+        whole = np.zeros((len(wide), n))
+        for i, r in row.items():
+            at, x = vectors[i]
+            upto = np.searchsorted(at, n)
+            whole[r, at[:upto]] = x[:upto]
+        if wide:
+            whole = (whole @ self.frequent.reshape(n, blocks * BLOCK)).reshape(len(wide), blocks, BLOCK)
+        out = []
+        for i, ((at, x), (score, first, found, rest)) in enumerate(zip(vectors, every, strict=True)):
+            if len(rest):
+                more = score[rest] + whole[row[i]][rest] if i in row else self._whole(rest, score, at, x)
+                found, first = np.concatenate([found, more]), np.concatenate([first, rest])
+            cosine, example = found.ravel(), (first[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            if len(cosine) > 4 * k:
+                near = cosine >= np.partition(cosine, -k)[-k] - 1e-9
+                cosine, example = cosine[near], example[near]
+            cosine, example = cosine[cosine > 1e-12], example[cosine > 1e-12]
+            best = np.lexsort((example, -np.round(cosine, 9)))[:k]
+            out.append((example[best], cosine[best]))
+        return out
+
+    def _bounded(self, at: np.ndarray, x: np.ndarray, k: int, but: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What rare words give each example, the blocks scored first, their cosines, and the other blocks that can reach the k-th nearest of these."""
+        n, blocks = self.most.shape
+        upto = np.searchsorted(at, n)
+        rare = at[upto:]
+        begin = self.begin[rare]
+        size = self.begin[rare + 1] - begin
+        step = np.repeat(begin - (np.cumsum(size) - size), size)
+        step += np.arange(len(step))
+        part = np.repeat(x[upto:], size)
+        part *= self.weight.take(step)
+        score = np.bincount(self.example.take(step), part, blocks * BLOCK).astype(float, copy=False).reshape(blocks, BLOCK)
         if but >= 0:
             score[but // BLOCK, but % BLOCK] = -2.0
-        own, own_x = at[common], x[common]
-        bound = score.max(axis=1) + own_x @ self.most[own]
+        bound = score.max(axis=1) + x[:upto] @ self.most[at[:upto]]
         # A hair of room for rounding: only a block that can't reach the k-th nearest is left out.
         first = np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]
-        found = [self._whole(first, score, own, own_x)]
-        least = max(np.partition(found[0].ravel(), -k)[-k], 0.0) if found[0].size >= k else 0.0
+        found = self._whole(first, score, at, x)
+        least = max(np.partition(found.ravel(), -k)[-k], 0.0) if found.size >= k else 0.0
         open_ = bound >= max(least - 1e-9, 1e-12)
         open_[first] = False
-        rest = np.flatnonzero(open_)
-        if len(rest):
-            found.append(self._whole(rest, score, own, own_x))
-        cosine = np.concatenate(found).ravel()
-        example = (np.concatenate([first, rest])[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        if len(cosine) > 4 * k:
-            near = cosine >= np.partition(cosine, -k)[-k] - 1e-9
-            cosine, example = cosine[near], example[near]
-        cosine, example = cosine[cosine > 1e-12], example[cosine > 1e-12]
-        best = np.lexsort((example, -np.round(cosine, 9)))[:k]
-        return example[best], cosine[best]
-
-    def _whole(self, blocks: np.ndarray, score: np.ndarray, own: np.ndarray, own_x: np.ndarray) -> np.ndarray:
+        return score, first, found, np.flatnonzero(open_)
+
+    def _whole(self, blocks: np.ndarray, score: np.ndarray, at: np.ndarray, x: np.ndarray) -> np.ndarray:
         """Cosines of the examples in the given blocks: what rare words gave and the frequent ones."""
-        if len(blocks) * 4 <= len(score):
-            return score[blocks] + np.tensordot(own_x, self.frequent[own[:, None], blocks[None, :]], (0, 0))
-        score = score.copy()
-        for t, v in zip(own.tolist(), own_x.tolist(), strict=True):
-            score += v * self.frequent[t]
-        return score[blocks]
+        upto = np.searchsorted(at, len(self.most))
+        return score[blocks] + np.tensordot(x[:upto], self.frequent[at[:upto, None], blocks[None, :]], (0, 0))
 
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
         """Weighted share of label 1, drawn to the overall share where the near examples are few."""
@@ -169,21 +195,37 @@ class Index:
         return float((w @ self.labels[found] + PRIOR * self.base) / (w.sum() + PRIOR))
 
     def score(self, text: str | None, curve: tuple[float, float] | None = None) -> tuple[float, list[str]]:
+        return self.scores([text], curve)[0]
+
+    def scores(self, texts: Iterable[str | None], curve: tuple[float, float] | None = None) -> list[tuple[float, list[str]]]:
+        """Score and identifiers of the nearest examples of each text; equal texts that a worker has met lately are scored once."""
         curve = curve or self.curve
-        at, x = self.vocabulary.vector(text)
-        if not len(at) or not len(self.labels):
-            return self.base, []
-        key = at.tobytes() + x.tobytes() if len(at) < 64 else b""
-        if key and key in self.known:  # texts with the same few words are scored once
-            return self.known[key]
-        found, cosine = self.nearest(at, x)
-        one = float(1 / (1 + np.exp(-(curve[0] + curve[1] * self.vote(found, cosine))))) if len(found) else self.base
-        result = one, [self.ids[i] for i in found]
-        if key:
-            if len(self.known) > 10_000:
+        out, keys, new = [], [], {}
+
+        def settle() -> None:
+            met = {key: self.vocabulary.vector(text) for key, text in new.items()}
+            full = {key: v for key, v in met.items() if len(v[0]) and len(self.labels)}
+            near = dict(zip(full, self.nearest_of(list(full.values())), strict=True))
+            for key in met:
+                found, cosine = near.get(key, ((), ()))
+                one = float(1 / (1 + np.exp(-(curve[0] + curve[1] * self.vote(found, cosine))))) if len(found) else self.base
+                self.known[key] = one, found
+            for key in keys:
+                one, found = self.known[key]
+                out.append((one, [self.ids[i] for i in found]))
+            keys.clear()
+            new.clear()
+            if len(self.known) > KNOWN:
                 self.known.clear()
-            self.known[key] = result
-        return result
+
+        for text in texts:
+            keys.append(key := sha256((text or "").encode("utf-8", "surrogatepass")).digest() + np.array(curve).tobytes())
+            if key not in self.known:
+                new[key] = text
+            if len(new) == TOGETHER:
+                settle()
+        settle()
+        return out
 
 
 def platt(vote: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -325,12 +367,13 @@ def train(labelled: DataFrame, examples: int = EXAMPLES, example_bytes: int = EX
 
     def votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            index = shared.value
+            place = [index.place[key] for key in zip(batch["h"], batch["label"], strict=True)]
             out = []
-            for h, label, text in zip(batch["h"], batch["label"], batch["text"], strict=True):
-                i = shared.value.place[h, label]
-                near, cosine = shared.value.nearest(*shared.value.vocabulary.vector(text), but=i)
-                if len(near):
-                    out.append((i, shared.value.vote(near, cosine)))
+            for at in range(0, len(batch), TOGETHER):
+                own = place[at : at + TOGETHER]
+                near = index.nearest_of([index.vocabulary.vector(t) for t in batch["text"].iloc[at : at + TOGETHER]], but=own)
+                out += [(i, index.vote(*found)) for i, found in zip(own, near, strict=True) if len(found[0])]
             yield pd.DataFrame(out, columns=["i", "vote"])
 
     found = bounded(chosen).mapInPandas(votes, "i int, vote double").toPandas().sort_values("i")
@@ -345,7 +388,7 @@ def rate(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
 
     @F.pandas_udf("score double, evidence array<string>")
     def scored(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.score(t, curve) for t in texts], columns=["score", "evidence"])
+        return pd.DataFrame(shared.value.scores(texts, curve), columns=["score", "evidence"])
 
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("_tx_score", "_tx_evidence")]
     found = bounded(docs).select(F.struct(*others).alias("row"), scored(F.col(text_col)).alias("found"))

@@ -1048,3 +1048,29 @@ def test_pipeline_stages_on_hard_and_empty_tables(spark, hard, empty):
             # Each stage is also given the whole hard table, not only what the stage before it kept.
             assert out.count() >= 0
     assert json.dumps([n for n, _ in corpus_pipeline.STAGES]) == '["quality", "exact_dedup", "near_dedup", "mixing", "packing"]'
+
+
+@pytest.mark.parametrize("frequent", [0, 64])
+def test_texts_scored_together_score_as_alone(frequent, monkeypatch):
+    monkeypatch.setattr(toxicity, "FREQUENT", frequent)
+    monkeypatch.setattr(toxicity, "KNOWN", 40)
+    rng = np.random.default_rng(5)
+    n, terms = 300, 90
+    vocabulary = toxicity.Vocabulary("\n".join(f"w{i}" for i in range(terms)).encode(), rng.uniform(1, 3, terms))
+    texts = [" ".join(f"w{min(terms - 1, int(i))}" for i in rng.exponential(12, rng.integers(1, 30))) for _ in range(n)]
+    vectors = [vocabulary.vector(t) for t in texts]
+    example, term = np.repeat(np.arange(n), [len(a) for a, _ in vectors]), np.concatenate([a for a, _ in vectors])
+    order = np.lexsort((example, term))
+    index = toxicity.Index(vocabulary, rng.integers(0, 2, n).astype(float), np.ones(n), [str(i) for i in range(n)], np.arange(n), np.searchsorted(term[order], np.arange(terms + 1)),
+                           example[order], np.concatenate([x for _, x in vectors])[order], 0.5)
+    asked = [*texts[:150], None, "", "nothing known", *texts[:20], *(f"{a} {b}" for a, b in zip(texts, texts[1:], strict=False))]
+    dense = np.zeros((n, terms))
+    dense[example, term] = np.concatenate([x for _, x in vectors])
+    got = index.scores(asked)
+    assert len(got) == len(asked)
+    for text, (score, near) in zip(asked, got, strict=True):
+        at, x = vocabulary.vector(text)
+        cosine = dense[:, at] @ x
+        best = [i for i in np.lexsort((np.arange(n), -np.round(cosine, 9)))[: toxicity.NEAREST] if cosine[i] > 1e-12]
+        assert near == [str(i) for i in best]
+        assert score == pytest.approx(1 / (1 + np.exp(-index.vote(np.array(best), cosine[best]))) if best else 0.5)
