@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from skyledger.sources.shared import written
 
 
+#: Edges a task should have: small tables stay in few tasks and files, whatever the number of shuffle partitions.
+TASK_EDGES, LEAST_TASKS = 1 << 15, 6
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
@@ -25,14 +29,16 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (now := _state(edges)) != before:
         before = now
+        tasks = max(LEAST_TASKS, -(-2 * now[0] // TASK_EDGES))  # each edge is met from both ends
         # Large star: every larger neighbour of a node is linked to the node's smallest neighbour or itself.
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = written(large, "cc")
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(tasks).distinct()
+        large = written(large.coalesce(tasks), "cc")
         # Small star: a node and its smaller neighbours are linked to the smallest of these.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = written(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "cc")
+        edges = small.unionByName(least.select("a", F.col("m").alias("b"))).coalesce(tasks).distinct()
+        edges = written(edges.coalesce(tasks), "cc")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

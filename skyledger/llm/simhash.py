@@ -285,7 +285,7 @@ WORDS, SIMILARITY, KEYS = 5, 0.8, 8
 #: which pairs are told, and how many must be equal. At a similarity of 0.8 these miss a pair with chances of about 5 and
 #: 2 in 10,000; of pairs at 0.65 about 2 in 100 are proposed.
 NEAR_BITS, MARKS, AGREE = 20, 256, 186
-#: Rounds in which each point is held against its likeliest partner only, before all remaining pairs are proposed.
+#: Rounds in which each point is held against its likeliest partner only, before the remaining pairs are proposed by their rarest shingles.
 ROUNDS = 2
 #: Points that a task compares with one another; rows of such cells in a shard.
 BOUND, SHARD_ROWS = 1_024, 1 << 14
@@ -362,7 +362,7 @@ def star_pairs(keyed: DataFrame, turn: int, similarity: float) -> DataFrame:
     apart = lambda z: F.bit_count((z.bitwiseOR(F.shiftright(z, 1)).bitwiseOR(F.shiftright(z, 2)).bitwiseOR(F.shiftright(z, 3))).bitwiseAND(F.lit(0x1111111111111111)))
     unequal = F.aggregate(F.zip_with("marks", "one.marks", lambda x, y: apart(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
     one = keyed.groupBy("key").agg(
-        F.min_by(F.struct("point", "size", "fp", "marks", "part"), F.xxhash64("point", F.lit(turn))).alias("one"),
+        F.min_by(F.struct("point", "size", "fp", "marks", "part", "rank"), F.xxhash64("point", F.lit(turn))).alias("one"),
         (F.min("part") < F.max("part")).alias("open"))
     return keyed.join(one.where("open"), "key").where(
         (F.col("part") != F.col("one.part")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("one.fp"))) <= NEAR_BITS)
@@ -371,10 +371,11 @@ def star_pairs(keyed: DataFrame, turn: int, similarity: float) -> DataFrame:
 
 
 def rarest_shingles(docs: DataFrame, points: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(point, key): the shingles that two sets of ``similarity`` must have one of in common, of those that more than one set holds.
+    """(point, key, rank): the shingles that two sets of ``similarity`` must have one of in common, of those that more than one set holds.
 
     Sets of sizes m and n that similar share at least ``similarity`` x m shingles. So if each set is put in one order, the rarest
     first, a shared one is among the first m - ceil(similarity x m) + 1 of either. How many sets hold a shingle is counted over all of them.
+    ``rank`` is a shingle's place in its set, from 1.
     """
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -392,7 +393,7 @@ def rarest_shingles(docs: DataFrame, points: DataFrame, words: int, similarity:
     several = written(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("shingle").alias("common"), "n"), "near-common")
     rank = F.row_number().over(Window.partitionBy("point").orderBy("n", "shingle"))
     ranked = looked_up(held, several, {"common": F.col("shingle")}, "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("rank", rank)
-    return ranked.where("rank <= first and n > 1").select("point", F.col("shingle").alias("key"))
+    return ranked.where("rank <= first and n > 1").select("point", F.col("shingle").alias("key"), "rank")
 
 
 def cells(keyed: DataFrame, points: DataFrame, bound: int, exact: bool = False) -> DataFrame:
@@ -423,74 +424,95 @@ def cells(keyed: DataFrame, points: DataFrame, bound: int, exact: bool = False)
         most = F.transform(upto("rest"), lambda i: cell(i, block("n_most"), "most"))
         dealt.append(here.withColumn("cell", F.explode(
             F.when(small, F.array(cell(zero, zero, "most"))).when(F.col("part") == F.col("most"), most).otherwise(rest))
-        ).select(F.xxhash64(F.lit(step), "key", "cell").alias("cell"), "point", "size", "fp", "marks", "part"))
+        ).select(F.xxhash64(F.lit(step), "key", "cell").alias("cell"), "point", "size", "fp", "marks", "part", "rank"))
         if step == 2 or exact:
             break
-        todo = todo.where(large).select("key", "point", "size", "fp", "marks", "part")
+        todo = todo.where(large).select("key", "point", "size", "fp", "marks", "part", "rank")
         if todo.isEmpty():
             break
         todo = todo.join(points.select("point", "bands"), "point").select(
             "*", F.posexplode(F.slice("bands", step * BANDS + 1, BANDS)).alias("order", "band")
-        ).select(F.xxhash64("key", "order", "band").alias("key"), "point", "size", "fp", "marks", "part")
+        ).select(F.xxhash64("key", "order", "band").alias("key"), "point", "size", "fp", "marks", "part", "rank")
     out = dealt[0]
     for more in dealt[1:]:
         out = out.unionByName(more)
     return out
 
 
-def cell_pairs(dealt: DataFrame, similarity: float, best: bool, shard_rows: int = SHARD_ROWS, exact: bool = False) -> DataFrame:
-    """Pairs (a, b) of points in one cell and different parts that may be near; with ``best`` only each point's likeliest one.
+def cell_pairs(dealt: DataFrame, similarity: float, keep: str, shard_rows: int = SHARD_ROWS, exact: bool = False) -> DataFrame:
+    """Pairs (a, b) of points in one cell and different parts that may be near.
 
-    With ``exact`` nothing but their sizes rules a pair out.
+    ``keep`` is "all", "likeliest" (each point's only) or "points": (point, part) of those in such a pair, at a row a point and cell.
+    Where ``rank`` isn't 0, a pair needs the cell's shingle early enough in both sets to be the first that they share.
+    With ``exact`` nothing but sizes and ranks rules a pair out.
     """
     bits, agree = (64, 0) if exact else (NEAR_BITS, AGREE)
     shards = max(6, -(-dealt.count() // shard_rows))
 
     def compared(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["cell", "point"], ignore_index=True)
-        cell, point, part = (shard[c].to_numpy(np.int64) for c in ("cell", "point", "part"))
+        cell, point, part, rank = (shard[c].to_numpy(np.int64) for c in ("cell", "point", "part", "rank"))
         fp, size = shard["fp"].to_numpy(np.int64).view(np.uint64), shard["size"].to_numpy(float)
         mark = np.array(shard["marks"].tolist(), np.int64).reshape(len(shard), MARKS // 16)
         begin = np.append(0, np.flatnonzero(cell[1:] != cell[:-1]) + 1)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        a, b, open_ = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros(len(shard), bool)
         for i, j in zip(begin.tolist(), [*begin[1:].tolist(), len(cell)], strict=True):
             top, partner = np.zeros(j - i, np.int64), np.full(j - i, -1)  # of each point of the cell
-            for at in range(i, j, 256):
-                own, other = slice(at, min(at + 256, j)), slice(at, j)
-                x, y = np.nonzero(
-                    (np.bitwise_count(fp[own, None] ^ fp[None, other]) <= bits) & (part[own, None] != part[None, other])
-                    & (np.minimum(size[own, None], size[None, other]) + 1e-9 >= similarity * np.maximum(size[own, None], size[None, other])))
-                x, y = x[x < y] + at, y[x < y] + at
-                for k in range(0, len(x), CHUNK):
-                    p, q = x[k : k + CHUNK], y[k : k + CHUNK]
-                    equal = marks_equal(mark[p], mark[q])
-                    p, q, equal = p[equal >= agree], q[equal >= agree], equal[equal >= agree]
-                    if not best:
-                        a.append(np.maximum(point[p], point[q]))
-                        b.append(np.minimum(point[p], point[q]))
-                        continue
-                    p, q, equal = np.append(p, q), np.append(q, p), np.append(equal, equal)
-                    order = np.lexsort((q, -equal, p))
-                    p, q, equal = p[order], q[order], equal[order]
-                    first = np.append(True, p[1:] != p[:-1])[: len(p)]
-                    p, q, equal = p[first], q[first], equal[first]
-                    better = equal > top[p - i]
-                    top[p[better] - i], partner[p[better] - i] = equal[better], q[better]
+            for p, q, equal in _may_be_near(i, j, fp, size, part, rank, mark, bits, agree, similarity):
+                if keep == "all":
+                    a.append(np.maximum(point[p], point[q]))
+                    b.append(np.minimum(point[p], point[q]))
+                    continue
+                if keep == "points":
+                    open_[p] = open_[q] = True
+                    continue
+                p, q, equal = np.append(p, q), np.append(q, p), np.append(equal, equal)
+                order = np.lexsort((q, -equal, p))
+                p, q, equal = p[order], q[order], equal[order]
+                first = np.append(True, p[1:] != p[:-1])[: len(p)]
+                p, q, equal = p[first], q[first], equal[first]
+                better = equal > top[p - i]
+                top[p[better] - i], partner[p[better] - i] = equal[better], q[better]
             p = np.flatnonzero(partner >= 0)
             a.append(np.maximum(point[p + i], point[partner[p]]))
             b.append(np.minimum(point[p + i], point[partner[p]]))
+        if keep == "points":
+            return shard.loc[open_, ["point", "part"]].drop_duplicates()
         return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
 
-    return dealt.groupBy(F.pmod(F.xxhash64("cell"), F.lit(shards)).alias("shard")).applyInPandas(compared, "a long, b long").distinct()
+    out = "point long, part long" if keep == "points" else "a long, b long"
+    return dealt.groupBy(F.pmod(F.xxhash64("cell"), F.lit(shards)).alias("shard")).applyInPandas(compared, out).distinct()
+
+
+def _may_be_near(
+    i: int, j: int, fp: np.ndarray, size: np.ndarray, part: np.ndarray, rank: np.ndarray, mark: np.ndarray, bits: int, agree: int, similarity: float
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of the rows i to j, those that may be near: (rows, rows, equal marks), a bounded number at a time; a pair may come more than once."""
+    for leaf in [np.arange(i, j)]:
+        for at in range(0, len(leaf), 256):
+            own, other = leaf[at : at + 256], leaf[at:]
+            x, y = np.nonzero(
+                (np.bitwise_count(fp[own, None] ^ fp[None, other]) <= bits) & (part[own, None] != part[None, other])
+                & (np.minimum(size[own, None], size[None, other]) + 1e-9 >= similarity * np.maximum(size[own, None], size[None, other])))
+            x, y = own[x[x < y]], other[y[x < y]]
+            common = np.ceil(similarity / (1 + similarity) * (size[x] + size[y]) - 1e-6)  # shingles that a near pair shares at least
+            early = (rank[x] <= size[x] - common + 1) & (rank[y] <= size[y] - common + 1)
+            x, y = x[early], y[early]
+            for k in range(0, len(x), CHUNK):
+                p, q = x[k : k + CHUNK], y[k : k + CHUNK]
+                equal = marks_equal(mark[p], mark[q])
+                yield p[equal >= agree], q[equal >= agree], equal[equal >= agree]
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bound: int = BOUND, exact: bool = False) -> DataFrame:
     """(id, text, file, row) to (id, file, row, _sh_group): equal for all documents that links of ``similarity`` reach.
 
-    Two turns link one point of each key to those near it, so that large groups of copies are one part. Then all points
-    of a key in different parts are compared: a few rounds hold each against its likeliest partner, which joins families
-    of near copies at a cost of a pair a point, and a last one proposes every pair still in different parts. Every
-    link has been verified. ``exact`` misses no link, at the cost of counting every shingle and of verifying more pairs.
+    Two turns link one point of each key to those near it, so that large
+    groups of copies are one part. Then all points of a key in different parts are compared: a few rounds hold
+    each against its likeliest partner, which joins families of near copies at a cost of a pair a point. Points that still may be near one in
+    another part are listed, not their pairs, and are proposed by their rarest shingles among themselves: a text with too many words of its own to be
+    near any other is in no pair, however large its family. Every link has been verified.
+    ``exact`` misses no link, at the cost of counting every shingle and of verifying more pairs.
     """
     hashed = written(shingle_sets(docs, words), "near-docs")
     points = hashed.groupBy("_sh_.point").agg(F.first("_sh_").alias("p"), F.min(F.struct("file", "row")).alias("at"))
@@ -498,9 +520,10 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     if exact:
         keyed = points.select("point", "size", "fp", "marks").join(written(rarest_shingles(docs, points, words, similarity), "near-rarest"), "point")
     else:
-        keyed = points.select("point", "size", "fp", "marks", F.posexplode("keys").alias("order", "first")).withColumn("key", F.xxhash64("order", "first"))
+        keyed = points.select("point", "size", "fp", "marks", F.posexplode("keys").alias("order", "first")).select(
+            "point", "size", "fp", "marks", F.xxhash64("order", "first").alias("key"), F.lit(0).alias("rank"))
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    keyed = written(keyed.join(several, "key").select("key", "point", "size", "fp", "marks", F.col("point").alias("part")), "near-keyed")
+    keyed = written(keyed.join(several, "key").select("key", "point", "size", "fp", "marks", F.col("point").alias("part"), "rank"), "near-keyed")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -522,7 +545,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         keyed = written(with_part(keyed, edges), "near-keyed")
     dealt = written(cells(keyed, points, bound, exact), "near-cells")
     for _ in range(ROUNDS):
-        more = checked(cell_pairs(dealt, similarity, best=True))
+        more = checked(cell_pairs(dealt, similarity, "likeliest"))
         if more.isEmpty():
             break
         edges = edges.unionByName(more)
@@ -530,7 +553,12 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         dealt = with_part(dealt, edges)
         mixed = dealt.groupBy("cell").agg((F.min("part") < F.max("part")).alias("open")).where("open").select("cell")
         dealt = written(dealt.join(mixed, "cell", "left_semi"), "near-cells")
-    edges = edges.unionByName(checked(cell_pairs(dealt, similarity, best=False, exact=exact)))
+    if not exact:
+        left = written(cell_pairs(dealt, similarity, "points"), "near-left")
+        these = written(points.join(left, "point").select("point", "size", "fp", "marks", "part", "at"), "near-left-points")
+        rare = written(rarest_shingles(docs, these, words, similarity), "near-rarest")
+        dealt = written(cells(these.drop("at").join(rare, "point"), points, bound, exact=True), "near-cells")
+    edges = edges.unionByName(checked(cell_pairs(dealt, similarity, "all", exact=exact)))
     member = components(edges)
     return hashed.join(member, F.col("_sh_.point") == F.col("node"), "left").select("id", "file", "row", F.coalesce("component", "_sh_.point").alias("_sh_group"))
 

@@ -229,6 +229,28 @@ def test_rarest_shingles_of_similar_sets_meet(spark):
     assert sum(map(len, keys.values())) < 0.5 * sum(map(len, sets))
 
 
+def test_family_with_strangers_is_not_paired_all_with_all(spark, monkeypatch):
+    """Texts too far from a family to join it, but near enough for fingerprints and marks, are held against few of its members."""
+    rng = np.random.default_rng(4)
+    own, texts = [f"w{i}" for i in range(250)], []
+    for m, changed in [*((m, 1) for m in range(40)), *((m, 7) for m in range(40, 80))]:
+        text = list(own)
+        for at in rng.choice(25, changed, replace=False) * 10:
+            text[at] = f"x{m}a{at}"
+        texts.append(" ".join(text))
+    texts.append(" ".join(own))
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    label = brute_components(range(len(texts)), lambda a, b: jaccard(sets[a], sets[b]) >= 0.8)
+    want = {}
+    for k, c in label.items():
+        want.setdefault(c, []).append(k)
+    assert sum(0.7 < jaccard(sets[a], sets[b]) < 0.8 for a in range(81) for b in range(a)) > 1000
+    proposed, verified = [], simhash.verified
+    monkeypatch.setattr(simhash, "verified", lambda pairs, *more: (proposed.append(pairs.count()), verified(pairs, *more))[1])
+    assert near_components(spark, texts) == sorted(want.values())
+    assert sum(proposed) < 8 * len(texts)
+
+
 @pytest.mark.parametrize("keep", [exact_dedup.keep_first, simhash.keep_one])
 def test_rows_kept_are_the_same_behind_a_filter(spark, sf, monkeypatch, keep):
     """Where the places to read or drop are too many to broadcast, the results are those of a broadcast."""
