@@ -9,10 +9,11 @@ bits meet in at least one shard. In a shard the same tree goes on in memory down
 which are compared exactly. A shard reports a spanning forest, never all pairs of a group; links
 across shards are joined by distributed connected components.
 
-For whole pipelines (``keep_one``) fingerprints only propose: documents that have one of a few first
-shingles in common and lie within ``NEAR_BITS`` are compared by their whole shingle sets, and only
-pairs of a Jaccard similarity of 0.8 or more are linked. With ``exact`` no such pair is missed: documents are then proposed by
-their rarest shingles (a prefix filter), and neither fingerprints nor marks tell pairs in the last round.
+For whole pipelines (``keep_one``) the trees propose and whole shingle sets decide: only pairs of a Jaccard similarity of 0.8
+or more are linked. One tree over all fingerprints proposes what lies within ``TREE_BITS``. Pairs of that similarity lie up to ``NEAR_BITS``
+apart, where one tree over all would part nothing, so a tree for each first shingle that documents have in common finds those. What these leave
+apart is proposed by rarest shingles (a prefix filter). With ``exact`` no such pair is missed: all documents are then proposed by
+their rarest shingles, and neither fingerprints nor marks tell pairs in the last round.
 
 Defined results: a null or wordless text has fingerprint zero and is linked like any other; a null
 ``doc_id`` takes part and is never the smallest id (a group of such rows only has a null id);
@@ -207,32 +208,44 @@ def _peel(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a) if a else np.zeros(0, int), np.concatenate(b) if b else np.zeros(0, int)
 
 
-def links(points: np.ndarray, radius: int) -> np.ndarray:
-    """Labels (lowest index) of distinct points linked at ``radius`` bits or fewer, by a vantage-point tree."""
-    todo, a, b = [np.arange(len(points))], [], []
+def leaves(points: np.ndarray, radius: int, worth: float = 2.0) -> Iterator[np.ndarray]:
+    """Indices of the points in each leaf of a vantage-point tree: any two points within ``radius`` meet in one.
+
+    A leaf of more than ``BLOCK`` points is one that no vantage point parts, or that parting would leave with more than ``worth`` times
+    the comparisons.
+    """
+    todo = [np.arange(len(points))]
     while todo:
         at = todo.pop()
+        border = _border(points[at], radius) if len(at) > BLOCK else None
+        if border is not None:
+            v, m = border
+            apart = bits_apart(points[at], v)
+            inside, outside = at[apart <= m + radius], at[apart > m]
+            if len(inside) ** 2 + len(outside) ** 2 <= worth * len(at) ** 2:
+                todo += [inside, outside]
+                continue
+        yield at
+
+
+def links(points: np.ndarray, radius: int) -> np.ndarray:
+    """Labels (lowest index) of distinct points linked at ``radius`` bits or fewer, by a vantage-point tree."""
+    a, b = [], []
+    for at in leaves(points, radius):
         own = points[at]
         if len(at) <= BLOCK:
             i, j = np.nonzero(np.bitwise_count(own[:, None] ^ own[None, :]) <= radius)
             up = i < j
             a.append(at[i[up]])
             b.append(at[j[up]])
-            continue
-        border = _border(own, radius)
-        if border is None:
-            if radius == 2:
-                x, y = _midpoint_links(points, at)
-                a.append(x)
-                b.append(y)
-            else:
-                x, y = _peel(own, radius)
-                a.append(at[x])
-                b.append(at[y])
-            continue
-        v, m = border
-        apart = bits_apart(own, v)
-        todo += [at[apart <= m + radius], at[apart > m]]
+        elif radius == 2:
+            x, y = _midpoint_links(points, at)
+            a.append(x)
+            b.append(y)
+        else:
+            x, y = _peel(own, radius)
+            a.append(at[x])
+            b.append(at[y])
     return _lowest(len(points), np.concatenate(a) if a else np.arange(0), np.concatenate(b) if b else np.arange(0))
 
 
@@ -285,6 +298,10 @@ WORDS, SIMILARITY, KEYS = 5, 0.8, 8
 #: which pairs are told, and how many must be equal. At a similarity of 0.8 these miss a pair with chances of about 5 and
 #: 2 in 10,000; of pairs at 0.65 about 2 in 100 are proposed.
 NEAR_BITS, MARKS, AGREE = 20, 256, 186
+#: Bits within which the tree over all fingerprints proposes pairs.
+TREE_BITS = 2
+#: A cell's tree goes on only where that saves a tenth of the comparisons.
+WORTH = 0.9
 #: Rounds in which each point is held against its likeliest partner only, before the remaining pairs are proposed by their rarest shingles.
 ROUNDS = 2
 #: Points that a task compares with one another; rows of such cells in a shard.
@@ -357,6 +374,17 @@ def with_part(keyed: DataFrame, edges: DataFrame) -> DataFrame:
         "part", F.coalesce("component", "point")).drop("component")
 
 
+def tree_pairs(points: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of points that the tree over all fingerprints links at ``radius`` bits; of equal fingerprints, each point with one of them."""
+    one = written(points.groupBy("fp").agg(F.min(F.struct("point", "size")).alias("one")), "near-fingerprints")
+    edges = written(linked_points(one.select("fp"), radius), "near-tree")
+    x, y = (one.select(F.col("fp").alias(side), F.col("one").alias(f"{side}_one")) for side in "ab")
+    apart = edges.join(x, "a").join(y, "b").select(F.col("a_one").alias("p"), F.col("b_one").alias("q"))
+    equal = points.join(one, "fp").where("point <> one.point").select(F.struct("point", "size").alias("p"), F.col("one").alias("q"))
+    return apart.unionByName(equal).where(F.least("p.size", "q.size") + 1e-9 >= similarity * F.greatest("p.size", "q.size")).select(
+        F.greatest("p.point", "q.point").alias("a"), F.least("p.point", "q.point").alias("b")).distinct()
+
+
 def star_pairs(keyed: DataFrame, turn: int, similarity: float) -> DataFrame:
     """Pairs (a, b) of one point of each key with every other that may be near it and isn't linked to it yet."""
     apart = lambda z: F.bit_count((z.bitwiseOR(F.shiftright(z, 1)).bitwiseOR(F.shiftright(z, 2)).bitwiseOR(F.shiftright(z, 3))).bitwiseAND(F.lit(0x1111111111111111)))
@@ -440,7 +468,7 @@ def cells(keyed: DataFrame, points: DataFrame, bound: int, exact: bool = False)
 
 
 def cell_pairs(dealt: DataFrame, similarity: float, keep: str, shard_rows: int = SHARD_ROWS, exact: bool = False) -> DataFrame:
-    """Pairs (a, b) of points in one cell and different parts that may be near.
+    """Pairs (a, b) of points in one cell and different parts that may be near, found by a vantage-point tree over the cell's fingerprints.
 
     ``keep`` is "all", "likeliest" (each point's only) or "points": (point, part) of those in such a pair, at a row a point and cell.
     Where ``rank`` isn't 0, a pair needs the cell's shingle early enough in both sets to be the first that they share.
@@ -488,7 +516,8 @@ def _may_be_near(
     i: int, j: int, fp: np.ndarray, size: np.ndarray, part: np.ndarray, rank: np.ndarray, mark: np.ndarray, bits: int, agree: int, similarity: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Of the rows i to j, those that may be near: (rows, rows, equal marks), a bounded number at a time; a pair may come more than once."""
-    for leaf in [np.arange(i, j)]:
+    for leaf in leaves(fp[i:j], bits, WORTH):
+        leaf = leaf + i
         for at in range(0, len(leaf), 256):
             own, other = leaf[at : at + 256], leaf[at:]
             x, y = np.nonzero(
@@ -507,8 +536,8 @@ def _may_be_near(
 def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bound: int = BOUND, exact: bool = False) -> DataFrame:
     """(id, text, file, row) to (id, file, row, _sh_group): equal for all documents that links of ``similarity`` reach.
 
-    Two turns link one point of each key to those near it, so that large
-    groups of copies are one part. Then all points of a key in different parts are compared: a few rounds hold
+    The tree over all fingerprints proposes what it links, and two turns link one point of each key to those near it, so that large
+    groups of copies are one part. Then all points of a key in different parts are compared by a tree over their fingerprints: a few rounds hold
     each against its likeliest partner, which joins families of near copies at a cost of a pair a point. Points that still may be near one in
     another part are listed, not their pairs, and are proposed by their rarest shingles among themselves: a text with too many words of its own to be
     near any other is in no pair, however large its family. Every link has been verified.
@@ -540,7 +569,10 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 
     edges = None
     for turn in range(2):
-        more = checked(star_pairs(keyed, turn, similarity))
+        proposed = star_pairs(keyed, turn, similarity)
+        if turn == 0:
+            proposed = proposed.unionByName(tree_pairs(points, TREE_BITS, similarity)).distinct()
+        more = checked(proposed)
         edges = more if edges is None else edges.unionByName(more)
         keyed = written(with_part(keyed, edges), "near-keyed")
     dealt = written(cells(keyed, points, bound, exact), "near-cells")

@@ -251,6 +251,32 @@ def test_family_with_strangers_is_not_paired_all_with_all(spark, monkeypatch):
     assert sum(proposed) < 8 * len(texts)
 
 
+def test_near_copies_are_proposed_by_the_tree_over_all_fingerprints(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.integers(0, 1 << 64, 120, dtype=np.uint64)
+    fp = np.concatenate([centres, centres[:60] ^ np.uint64(1 << 9), centres[:30] ^ np.uint64(5 << 40), centres[:20]])
+    rows = [(i, 100, int(x)) for i, x in enumerate(fp.view(np.int64).tolist())]
+    pairs = simhash.tree_pairs(spark.createDataFrame(rows, "point long, size long, fp long"), 2, 0.8).collect()
+    got = {frozenset((r.a, r.b)) for r in pairs}
+    found = simhash._lowest(len(fp), np.array([r.a for r in pairs]), np.array([r.b for r in pairs]))
+    i, j = np.nonzero(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 2)
+    assert np.array_equal(found, simhash._lowest(len(fp), i, j)) and len(got) == len(pairs) < len(fp)
+
+
+@pytest.mark.parametrize("worth", [0.9, 2.0])
+def test_near_points_meet_in_a_leaf(worth):
+    rng = np.random.default_rng(2)
+    centres = rng.integers(0, 1 << 64, 4, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (900, 4)).astype(np.uint64)
+    points = np.unique(np.bitwise_xor.reduce(flips, axis=1) ^ centres[rng.integers(0, 4, 900)])
+    met = np.zeros((len(points), len(points)), bool)
+    n = 0
+    for at in simhash.leaves(points, 6, worth):
+        met[np.ix_(at, at)] = True
+        n += 1
+    assert n > 1 and met[np.bitwise_count(points[:, None] ^ points[None, :]) <= 6].all() and not met.all()
+
+
 @pytest.mark.parametrize("keep", [exact_dedup.keep_first, simhash.keep_one])
 def test_rows_kept_are_the_same_behind_a_filter(spark, sf, monkeypatch, keep):
     """Where the places to read or drop are too many to broadcast, the results are those of a broadcast."""
