@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.batches import bounded
 from skyledger.llm.components import components
 from skyledger.llm.exact_dedup import with_locator
-from skyledger.sources.shared import looked_up, those_in, those_not_in, written
+from skyledger.sources.shared import those_in, those_not_in, written, written_alone
 
 SEED = 42
 #: Fingerprints the tree's borders are laid out on, and points a shard should hold.
@@ -369,7 +369,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 def with_part(keyed: DataFrame, edges: DataFrame) -> DataFrame:
     """``keyed`` with ``part``: the component of each point under the links found so far."""
-    member = written(components(edges), "near-parts")
+    member = written_alone(edges.sparkSession, lambda: components(edges), "near-parts")
     return keyed.drop("part").join(member.select(F.col("node").alias("point"), "component"), "point", "left").withColumn(
         "part", F.coalesce("component", "point")).drop("component")
 
@@ -410,18 +410,18 @@ def rarest_shingles(docs: DataFrame, points: DataFrame, words: int, similarity:
         for batch in batches:
             for point, text in zip(batch["point"], batch["text"], strict=True):
                 found = np.unique(shingle_hashes(text, words))
-                first = len(found) - int(np.ceil(similarity * len(found) - 1e-6)) + 1
                 for at in range(0, len(found), CHUNK):
-                    yield pd.DataFrame({"point": point, "first": first, "shingle": found[at : at + CHUNK].view(np.int64)})
+                    yield pd.DataFrame({"point": point, "size": len(found), "shingle": found[at : at + CHUNK].view(np.int64)})
 
     # One document stands for its set.
     places = written(points.select("point", F.col("at.file").alias("_f"), F.col("at.row").alias("_r")), "near-places")
     one = those_in(docs, places, {"_f": F.col("file"), "_r": F.col("row")}).select("point", "text")
-    held = written(bounded(one).mapInPandas(listed, "point long, first long, shingle long"), "near-shingles")
+    held = written(bounded(one).mapInPandas(listed, "point long, size long, shingle long"), "near-shingles")
     several = written(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("shingle").alias("common"), "n"), "near-common")
-    rank = F.row_number().over(Window.partitionBy("point").orderBy("n", "shingle"))
-    ranked = looked_up(held, several, {"common": F.col("shingle")}, "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("rank", rank)
-    return ranked.where("rank <= first and n > 1").select("point", F.col("shingle").alias("key"), "rank")
+    # A set's own shingles come before those that several hold, so places are counted from the end and own ones need not be moved.
+    last = F.row_number().over(Window.partitionBy("point").orderBy(F.desc("n"), F.desc("shingle")))
+    ranked = those_in(held, several, {"common": F.col("shingle")}).withColumn("rank", (F.col("size") - last + 1).cast("int"))
+    return ranked.where(F.col("size") - F.col("rank") + 1 >= F.ceil(similarity * F.col("size") - 1e-6)).select("point", F.col("shingle").alias("key"), "rank")
 
 
 def cells(keyed: DataFrame, points: DataFrame, bound: int, exact: bool = False) -> DataFrame:
@@ -547,12 +547,13 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     points = hashed.groupBy("_sh_.point").agg(F.first("_sh_").alias("p"), F.min(F.struct("file", "row")).alias("at"))
     points = written(points.select("p.*", "at"), "near-points")
     if exact:
-        keyed = points.select("point", "size", "fp", "marks").join(written(rarest_shingles(docs, points, words, similarity), "near-rarest"), "point")
+        keyed = written_alone(docs.sparkSession, lambda: rarest_shingles(docs, points, words, similarity), "near-rarest")
     else:
-        keyed = points.select("point", "size", "fp", "marks", F.posexplode("keys").alias("order", "first")).select(
-            "point", "size", "fp", "marks", F.xxhash64("order", "first").alias("key"), F.lit(0).alias("rank"))
-    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    keyed = written(keyed.join(several, "key").select("key", "point", "size", "fp", "marks", F.col("point").alias("part"), "rank"), "near-keyed")
+        keyed = points.select("point", F.posexplode("keys").alias("order", "first")).select("point", F.xxhash64("order", "first").alias("key"), F.lit(0).alias("rank"))
+    # Most keys are of one point only: marks are moved once these are gone.
+    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    keyed = written(keyed.join(several, "key").join(points.select("point", "size", "fp", "marks"), "point").select(
+        "key", "point", "size", "fp", "marks", F.col("point").alias("part"), "rank"), "near-keyed")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -560,12 +561,14 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 
     def checked(proposed: DataFrame) -> DataFrame:
         """The proposed pairs that hold. Only the texts of documents in some proposed pair are read again."""
-        pairs = written(proposed, "near-pairs")
+        return written_alone(docs.sparkSession, lambda: held(written(proposed, "near-pairs")), "near-links")
+
+    def held(pairs: DataFrame) -> DataFrame:
         these = pairs.select(F.col("a").alias("point")).unionByName(pairs.select(F.col("b").alias("point"))).distinct()
         wanted = written(points.join(these, "point", "left_semi").select("point", F.col("at.file").alias("_f"), F.col("at.row").alias("_r")), "near-wanted")
         found = those_in(docs, wanted, {"_f": F.col("file"), "_r": F.col("row")}).select("point", "text")
         found = written(bounded(found).mapInPandas(sets, "point long, shingles binary"), "near-sets")
-        return written(verified(pairs, found, similarity), "near-links")
+        return verified(pairs, found, similarity)
 
     edges = None
     for turn in range(2):
@@ -588,7 +591,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     if not exact:
         left = written(cell_pairs(dealt, similarity, "points"), "near-left")
         these = written(points.join(left, "point").select("point", "size", "fp", "marks", "part", "at"), "near-left-points")
-        rare = written(rarest_shingles(docs, these, words, similarity), "near-rarest")
+        rare = written_alone(docs.sparkSession, lambda: rarest_shingles(docs, these, words, similarity), "near-rarest")
         dealt = written(cells(these.drop("at").join(rare, "point"), points, bound, exact=True), "near-cells")
     edges = edges.unionByName(checked(cell_pairs(dealt, similarity, "all", exact=exact)))
     member = components(edges)
@@ -598,9 +601,8 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, bound: int = BOUND, exact: bool = False) -> DataFrame:
     """``docs`` with one row of each group (the smallest id, then the first by place); columns as they were."""
     placed = with_locator(docs)
-    group = written(near_groups(
-        placed.select(F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"), F.col("_dd_file").alias("file"), F.col("_dd_row").alias("row")),
-        words, similarity, bound, exact), "simhash-placed")
+    texts = placed.select(F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"), F.col("_dd_file").alias("file"), F.col("_dd_row").alias("row"))
+    group = written_alone(docs.sparkSession, lambda: near_groups(texts, words, similarity, bound, exact), "simhash-placed")
     first = group.groupBy("_sh_group").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "row")).alias("stays"), F.count(F.lit(1)).alias("n"))
     several = written(first.where("n > 1").select("_sh_group", F.col("stays.file").alias("_f"), F.col("stays.row").alias("_r")), "simhash-several")
     dropped = written(

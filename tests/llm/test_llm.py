@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import json
+import os
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +15,7 @@ from comparing import same
 from pyspark.sql import functions as F
 
 from skyledger.llm import exact_dedup, langid, mixing, packing, pii, quality, queries, secrets, simhash, suffix_dedup, toxicity, vocab
+from skyledger.sources import shared
 from skyledger.sources.shared import shared_dir, written
 
 #: Extra columns with the names that operators use for their own.
@@ -229,6 +232,35 @@ def test_rarest_shingles_of_similar_sets_meet(spark):
     assert sum(map(len, keys.values())) < 0.5 * sum(map(len, sets))
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_places_of_rarest_shingles_beyond_a_broadcast(spark, monkeypatch, small):
+    """A table of common shingles that is too large to broadcast is moved once, not once for each of many salts."""
+    texts = [*families(9, sizes=(12, 8), n_words=30), "all of these words are its own", "one"]
+    docs = spark.createDataFrame([(t, "f", i) for i, t in enumerate(texts)], "text string, file string, row long")
+    points = spark.createDataFrame([(i, ("f", i)) for i in range(len(texts))], "point long, at struct<file: string, row: long>")
+    monkeypatch.setattr(shared, "is_small", lambda *_: small)
+    found = simhash.rarest_shingles(docs, points, 5, 0.8)
+    assert "explode" not in found._jdf.queryExecution().optimizedPlan().toString()
+    sets = [set(simhash.shingle_hashes(t, 5).view(np.int64).tolist()) for t in texts]
+    n = collections.Counter(x for s in sets for x in s)
+    want = set()
+    for i, s in enumerate(sets):
+        first = len(s) - int(np.ceil(0.8 * len(s) - 1e-6)) + 1
+        want |= {(i, x, k) for k, x in enumerate(sorted(s, key=lambda x: (n[x], x)), 1) if k <= first and n[x] > 1}
+    assert want and {tuple(r) for r in found.select("point", "key", "rank").collect()} == want
+
+
+@pytest.mark.parametrize(("keep", "few"), [(simhash.keep_one, "simhash-|key-filter"), (exact_dedup.keep_first, "dedup-dropped|key-filter")])
+def test_dedup_leaves_no_work_tables(spark, sf, keep, few):
+    """Of the tables on the way only those that the lazy result still reads stay, narrow and without texts."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"), "skyledger")
+    folder.mkdir(parents=True, exist_ok=True)
+    before = set(os.listdir(folder))
+    out = keep(spark.read.parquet(f"{sf}/documents.parquet"))
+    assert {x for x in set(os.listdir(folder)) - before if not re.match(few, x)} == set()
+    assert out.count() > 0
+
+
 def test_family_with_strangers_is_not_paired_all_with_all(spark, monkeypatch):
     """Texts too far from a family to join it, but near enough for fingerprints and marks, are held against few of its members."""
     rng = np.random.default_rng(4)
