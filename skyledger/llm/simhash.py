@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.batches import bounded
-from skyledger.llm.components import components
+from skyledger.llm.components import components, lowest as _lowest
 from skyledger.llm.exact_dedup import with_locator
 from skyledger.sources.shared import those_in, those_not_in, written, written_alone
 
@@ -147,23 +147,6 @@ def shards_of(points: np.ndarray, tree: list[tuple[int, int, int, int]], radius:
                 todo.append((child, at[belongs]))
 
 
-def _lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Component labels of n points under links a-b: the lowest index."""
-    label = np.arange(n)
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, label[a], low)
-        np.minimum.at(label, label[b], low)
-        while not np.array_equal(label, label[label]):
-            label = label[label]
-        if np.array_equal(before, label):
-            break
-        open_ = label[a] != label[b]
-        a, b = a[open_], b[open_]
-    return label
-
-
 def _midpoint_links(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links of points that no vantage point parts: two points within 2 bits share a value at most 1 bit from each.
 
@@ -367,9 +350,8 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     )
 
 
-def with_part(keyed: DataFrame, edges: DataFrame) -> DataFrame:
-    """``keyed`` with ``part``: the component of each point under the links found so far."""
-    member = written_alone(edges.sparkSession, lambda: components(edges), "near-parts")
+def with_part(keyed: DataFrame, member: DataFrame) -> DataFrame:
+    """``keyed`` with ``part``: the component of each point under the links found so far, ``member`` (node, component)."""
     return keyed.drop("part").join(member.select(F.col("node").alias("point"), "component"), "point", "left").withColumn(
         "part", F.coalesce("component", "point")).drop("component")
 
@@ -386,7 +368,7 @@ def tree_pairs(points: DataFrame, radius: int, similarity: float) -> DataFrame:
 
 
 def star_pairs(keyed: DataFrame, turn: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of one point of each key with every other that may be near it and isn't linked to it yet."""
+    """Pairs (a, b) of one point of each key with every other that may be near it and isn't linked to it yet; a pair may come by several keys."""
     apart = lambda z: F.bit_count((z.bitwiseOR(F.shiftright(z, 1)).bitwiseOR(F.shiftright(z, 2)).bitwiseOR(F.shiftright(z, 3))).bitwiseAND(F.lit(0x1111111111111111)))
     unequal = F.aggregate(F.zip_with("marks", "one.marks", lambda x, y: apart(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
     one = keyed.groupBy("key").agg(
@@ -395,7 +377,7 @@ def star_pairs(keyed: DataFrame, turn: int, similarity: float) -> DataFrame:
     return keyed.join(one.where("open"), "key").where(
         (F.col("part") != F.col("one.part")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("one.fp"))) <= NEAR_BITS)
         & (F.least("size", "one.size") + 1e-9 >= similarity * F.greatest("size", "one.size")) & (unequal <= MARKS - AGREE)
-    ).select(F.greatest("point", "one.point").alias("a"), F.least("point", "one.point").alias("b")).distinct()
+    ).select(F.greatest("point", "one.point").alias("a"), F.least("point", "one.point").alias("b"))
 
 
 def rarest_shingles(docs: DataFrame, points: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -570,22 +552,26 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         found = written(bounded(found).mapInPandas(sets, "point long, shingles binary"), "near-sets")
         return verified(pairs, found, similarity)
 
-    edges = None
+    def joined(member: DataFrame | None, more: DataFrame) -> DataFrame:
+        """(node, component) under all links so far: the new ones join the components that the earlier ones made."""
+        edges = more if member is None else more.unionByName(member.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        return written_alone(docs.sparkSession, lambda: components(edges), "near-parts")
+
+    member = None
     for turn in range(2):
         proposed = star_pairs(keyed, turn, similarity)
         if turn == 0:
-            proposed = proposed.unionByName(tree_pairs(points, TREE_BITS, similarity)).distinct()
-        more = checked(proposed)
-        edges = more if edges is None else edges.unionByName(more)
-        keyed = written(with_part(keyed, edges), "near-keyed")
+            proposed = proposed.unionByName(tree_pairs(points, TREE_BITS, similarity))
+        member = joined(member, checked(proposed.distinct()))
+        keyed = written(with_part(keyed, member), "near-keyed")
     dealt = written(cells(keyed, points, bound, exact), "near-cells")
     for _ in range(ROUNDS):
         more = checked(cell_pairs(dealt, similarity, "likeliest"))
         if more.isEmpty():
             break
-        edges = edges.unionByName(more)
+        member = joined(member, more)
         # Cells in one part have nothing left to compare.
-        dealt = with_part(dealt, edges)
+        dealt = with_part(dealt, member)
         mixed = dealt.groupBy("cell").agg((F.min("part") < F.max("part")).alias("open")).where("open").select("cell")
         dealt = written(dealt.join(mixed, "cell", "left_semi"), "near-cells")
     if not exact:
@@ -593,8 +579,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         these = written(points.join(left, "point").select("point", "size", "fp", "marks", "part", "at"), "near-left-points")
         rare = written_alone(docs.sparkSession, lambda: rarest_shingles(docs, these, words, similarity), "near-rarest")
         dealt = written(cells(these.drop("at").join(rare, "point"), points, bound, exact=True), "near-cells")
-    edges = edges.unionByName(checked(cell_pairs(dealt, similarity, "all", exact=exact)))
-    member = components(edges)
+    member = joined(member, checked(cell_pairs(dealt, similarity, "all", exact=exact)))
     return hashed.join(member, F.col("_sh_.point") == F.col("node"), "left").select("id", "file", "row", F.coalesce("component", "_sh_.point").alias("_sh_group"))
 
 

@@ -166,6 +166,44 @@ def test_components_of_a_long_path(spark):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
 
 
+def test_components_take_few_jobs(spark):
+    """Each job leaves threads and plans with the driver for a while, so steps are few and none runs only to tell whether the last one changed something."""
+    from skyledger.llm.components import components
+
+    context = spark.sparkContext
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 400, 300), rng.integers(0, 400, 300)
+    edges = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a, b, strict=True)], "a long, b long")
+    context.setJobGroup("few-jobs", "components")
+    try:
+        got = {r.node: r.component for r in components(edges).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    label = simhash._lowest(400, a, b)
+    assert got == {n: int(label[n]) for n in {*a[a != b].tolist(), *b[a != b].tolist()}}
+    assert len(context.statusTracker().getJobIdsForGroup("few-jobs")) <= 40
+
+
+def test_components_of_no_edges_and_of_loops(spark):
+    from skyledger.llm.components import components
+
+    for rows in ([], [(7, 7), (None, 3)]):
+        assert components(spark.createDataFrame(rows, "a long, b long")).collect() == []
+
+
+def test_components_joined_in_bounded_pieces(spark, monkeypatch):
+    from skyledger.llm import components as module
+
+    monkeypatch.setattr(module, "AT_ONCE", 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        edges = spark.createDataFrame([(n + 1, n) for n in range(50)] + [(n, n + 1) for n in range(60, 90)], "a long, b long")
+        got = {r.node: r.component for r in module.components(edges).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {**dict.fromkeys(range(51), 0), **dict.fromkeys(range(60, 91), 60)}
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b)
 
