@@ -165,3 +165,36 @@ def test_quotes_are_part_of_the_parse(spark):
     got = {r.line_number: (r.reason, r.value, r.qflag) for r in found.collect()}
     assert got[1] == (None, "1,5", 'a "b", c') and got[2][0] == "TOO MANY COLUMNS" and got[3][0] == "MISSING COLUMNS" and got[5] == (None, "7", None) and len(got[6][1]) == 40_000 and 4 not in got
     assert files.scan_observations(spark, path).count() == 3
+
+
+def test_bundles_hold_what_files_would(spark):
+    folders, bundles = shared_dir(spark, "folders"), shared_dir(spark, "bundles")
+    names = ["CAN1", "CAN2", None, "a b", "50%", "t\tb", "ü"]
+    texts = [x for n in range(900) for x in [f"{n}," + "x" * (n % 30)]] + ["", "a\tb", None]
+    rows = spark.createDataFrame([(s, n, x) for s in names for n, x in enumerate(texts)] + [("CAN3", 0, "one\n\ntwo\n")], "file_station string, event_id long, line string")
+    files.write_files(rows, folders)
+    files.write_bundles(rows, bundles)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    whole = lambda df: {r.file_station: r.sha256 for r in df.collect()}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+        assert files.bundle_lines(spark.read, bundles).select("_file", "_from").distinct().count() > 20  # a file in several splits, a split with several files
+        got = {(r.file_station, r.line_number): r.line for r in files.numbered(files.station_lines(spark.read, bundles, bundled=True)).collect()}
+        assert got == {(s, n + 1): x or "" for s in names for n, x in enumerate(texts)} | {("CAN3", n): x for n, x in enumerate(["one", "", "two", ""], 1)}
+        assert whole(files.fingerprints(spark, bundles, bundled=True)) == whole(files.fingerprints(spark, folders))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_bundles_arrive_like_files(spark):
+    days = [f"202601{n:02d}" for n in range(1, 31)]
+    loads = [[(s, text_of(s, d)) for s in (A, B) for d in days], [(A, text_of(A, d, v="2")) for d in days[1:]] + [(B, "rubbish")]]
+    found = []
+    for bundled in (False, True):
+        path, root = shared_dir(spark, "arriving"), shared_dir(spark, "arrivals")
+        for n, load in enumerate(loads, 1):
+            rows = spark.createDataFrame([(s, k, line) for k, (s, line) in enumerate(load)], "file_station string, event_id long, line string")
+            (files.write_bundles if bundled else files.write_files)(rows, f"{path}/load={n}")
+            table = arrivals.merge_arrivals(spark, path, root, by_load, buckets=2, bundled=bundled)
+        found.append([sorted(map(str, df.collect())) for df in (table, *[arrivals.stored(spark, root, n) for n in ("log", "rejects", "checks")])])
+    assert found[0] == found[1] and found[0][2]
