@@ -200,7 +200,7 @@ def test_bundles_arrive_like_files(spark):
     assert found[0] == found[1] and found[0][2]
 
 
-@pytest.mark.parametrize("name", ["fct_refresh", "stream_merge"])
+@pytest.mark.parametrize("name", ["fct_refresh", "stream_merge", "stream_backlog", "stream_backlog_log", "stream_rejects"])
 def test_queries_let_bundles_arrive(spark, sf, monkeypatch, name):
     """What arrives are a few files for each load, not one for each station."""
     from skyledger.plans import queries, tables
