@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.textcheck import CHECKS, STYLE
 
+#: Results that a row of a record holds, about.
+PART = 500
+
 
 def _named(tests: list[tuple[str, Column]]) -> Column:
     """The names of the tests that hold, in order."""
@@ -36,20 +39,32 @@ def results(cases: DataFrame, sheets: DataFrame, checked: DataFrame) -> DataFram
     return found.withColumn("passed", passed).withColumn("outcome", F.coalesce("outcome", F.when(passed, "passed").otherwise("failed")))
 
 
-def run_record(found: DataFrame, eval_id: Column, model: str, evaluated_at: Column) -> DataFrame:
-    """One row per version: counts over its cases, with the results themselves as an array by case."""
+def run_record(found: DataFrame, eval_id: Column, model: str, evaluated_at: Column, most: int = PART) -> DataFrame:
+    """One record per version: counts over its cases, with the results themselves as an array by case.
+
+    A record with more than ``most`` results is about as many rows as that goes into them: they differ in ``part`` (from 0) and in the results they hold. Which part
+    a result is in, its hash says, so no task gathers a version. found: read twice.
+    """
     count = lambda c: F.sum(F.size(c)).cast("long")
     one = F.struct("case_id", "outcome", "passed", "failed", "warnings", "style", "narrative")
-    return found.groupBy("version").agg(
+    records = found.groupBy("version").agg(
         F.count(F.lit(1)).alias("cases"), F.count_if("passed").alias("passed"), F.count_if(F.col("outcome") == "no sheet").alias("no_sheet"), F.count_if(F.col("outcome") == "no text").alias("no_text"),
-        count("failed").alias("error_failures"), count("warnings").alias("warnings"), count("style").alias("style_issues"), F.round(F.avg("chars"), 1).alias("avg_chars"),
-        F.array_sort(F.collect_list(one)).alias("results")).withColumns({"eval_id": eval_id, "model": F.lit(model), "evaluated_at": evaluated_at})
+        count("failed").alias("error_failures"), count("warnings").alias("warnings"), count("style").alias("style_issues"), F.round(F.avg("chars"), 1).alias("avg_chars"))
+    parts = F.ceil(F.col("cases") / most)
+    of = records.select(F.col("version").alias("_version"), parts.alias("_parts"))
+    dealt = found.join(F.broadcast(of), F.col("version").eqNullSafe(F.col("_version"))).groupBy("_version", F.pmod(F.xxhash64(*found.columns), F.col("_parts")).alias("_part")).agg(
+        F.array_sort(F.collect_list(one)).alias("results"))
+    rows = records.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    met = rows.join(dealt, F.col("version").eqNullSafe(F.col("_version")) & (F.col("part") == F.col("_part")), "left").drop("_version", "_part")
+    whole = met.withColumn("results", F.coalesce("results", F.array().cast(dict(dealt.dtypes)["results"])))
+    return whole.withColumns({"eval_id": eval_id, "model": F.lit(model), "evaluated_at": evaluated_at})
 
 
 def latest_evaluations(ledger: DataFrame) -> DataFrame:
     """The last run of each version and model, and how many more or fewer of its cases passed than in the run before."""
     order = F.struct("evaluated_at", "eval_id", "passed", "cases", "error_failures", "warnings", "style_issues")
     last_two = F.slice(F.reverse(F.array_sort(F.collect_list(order))), 1, 2)  # a version's runs are few
-    rows = ledger.groupBy("version", "model").agg(last_two.alias("l"), F.count(F.lit(1)).alias("runs"))
+    records = ledger.where("part = 0") if "part" in ledger.columns else ledger
+    rows = records.groupBy("version", "model").agg(last_two.alias("l"), F.count(F.lit(1)).alias("runs"))
     return rows.select("version", "model", "runs", "l", F.element_at("l", 1).alias("x")).select(
         "version", "model", "runs", "x.*", (F.col("x.passed") - F.get("l", F.lit(1))["passed"]).alias("passed_change"))

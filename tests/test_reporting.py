@@ -89,3 +89,17 @@ def test_forms_of_several_letters(spark):
     names = ["Ĳmuiden", "ﬁeld", "½ way", "Montréal", "℃ x", "日本", "plain", " ﬀ ", None]
     rows = spark.createDataFrame([(n, x) for n, x in enumerate(names)], "n int, name string").select("n", plain_name(F.col("name"))).collect()
     assert [r[1] for r in sorted(rows)] == ["IJMUIDEN", "FIELD", "12 WAY", "MONTREAL", "C X", "", "PLAIN", "FF", None]
+
+
+def test_a_large_record_is_in_parts(spark):
+    """No row of a record holds all results of a version; the parts hold each result once, and the record counts as one run."""
+    rows = [(v, f"c{n:04d}", "X", None, "no sheet" if n % 9 == 0 else "passed", n % 9 > 0, [], ["w"], [], n, "text") for v in ("v1", "v2", None) for n in range(1000)]
+    found = spark.createDataFrame(rows, "version string, case_id string, city string, obs_date date, outcome string, passed boolean, failed array<string>, warnings array<string>, style array<string>, chars int, narrative string")
+    record = evaluation.run_record(found, F.concat(F.lit("e-"), F.coalesce("version", F.lit("none"))), "m", F.lit(minutes(1)), most=50).cache()
+    got = record.collect()
+    assert max(len(r.results) for r in got) < 120 and {r.cases for r in got} == {1000} and {r.no_sheet for r in got} == {112} and {r.avg_chars for r in got} == {499.5}
+    for v in ("v1", "v2", None):
+        assert sorted(x.case_id for r in got if r.version == v for x in r.results) == [f"c{n:04d}" for n in range(1000)]
+        assert sorted(r.part for r in got if r.version == v) == list(range(20))
+    assert {(r.version, r.runs, r.passed) for r in evaluation.latest_evaluations(record).collect()} == {(v, 1, 888) for v in ("v1", "v2", None)}
+    assert evaluation.run_record(found.limit(0), F.lit("e"), "m", F.lit(minutes(1))).count() == 0
